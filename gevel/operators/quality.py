@@ -225,7 +225,11 @@ def summarise_obj(ids: DataFrame, primitives: DataFrame) -> DataFrame:
     """
     named = ids.groupBy("tile_id", "lod").agg(
         F.countDistinct("identificatie").alias("_b"), F.count("*").alias("_p")
-    ).groupBy("tile_id").agg(F.min("_b").alias("nr_building"), F.min("_p").alias("nr_buildingpart"))
+    ).groupBy("tile_id").agg(
+        # a level without any named object counts as zero
+        F.when(F.count("*") < len(PRIMITIVE_AT), 0).otherwise(F.min("_b")).alias("nr_building"),
+        F.when(F.count("*") < len(PRIMITIVE_AT), 0).otherwise(F.min("_p")).alias("nr_buildingpart"),
+    )
     bad = primitives.filter(~F.col("validity"))
     per_lod = bad.groupBy("tile_id", "lod").agg(F.countDistinct(F.substring("id", 1, 30)).alias("_b"))
     worst = per_lod.groupBy("tile_id").agg(F.max("_b").alias("nr_invalid_building"))

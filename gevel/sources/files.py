@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import gzip
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ from gevel.functions.text import feature_stem
 from gevel.operators.documents import city_objects
 from gevel.operators.quality import REPORT_SCHEMA, obj_ids
 
+# The archive check travels with its task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUADTREE_SCHEMA = "id string, level int, nr_items long, leaf string, wkt string"
 CHUNK = 1 << 20
 
