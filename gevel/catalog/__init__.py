@@ -1,8 +1,8 @@
 """Queries over the test tables, each with the SQL that gives the same rows."""
 
-from gevel.catalog import spatial
+from gevel.catalog import documents, spatial, tables, tiles
 
-MODULES = (spatial,)
+MODULES = (spatial, tiles, tables, documents)
 
 
 def all_queries() -> dict:

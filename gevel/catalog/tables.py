@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from gevel import sinks
 from gevel.catalog import adapters as A
-from gevel.catalog.spatial import register_rows
+from gevel.catalog.spatial import REGISTER_SQL, register_rows
+from gevel.functions import text as TX
 from gevel.operators import documents as D
 from gevel.operators import features as FE
 from gevel.operators import history as H
@@ -71,12 +72,15 @@ def profile(spark, sf):
 
 
 def extent(spark, sf):
-    """Overall box with swapped axes, per attribute of the layer."""
+    """Overall box over all vertices, axes swapped."""
+    o = A.boxes(A.table(spark, sf, "orders"), "o_orderkey", "o_orderkey AS fid")
+    return A.shaped(Q.extent(o, swap=True, rings="rings"), "x0:d y0:d x1:d y1:d")
+
+
+def layer_info(spark, sf):
+    """Feature count, extent and attributes of a layer."""
     o = A.boxes(A.table(spark, sf, "orders"), "o_orderkey", "o_orderkey AS fid", "o_orderstatus AS status")
-    info = Q.layer_info(o, ["fid"]).select("feature_count", "attribute", "constraint")
-    box = Q.extent(o, swap=True, rings="rings")
-    joined = info.withColumn("j", F.lit(1)).join(box.withColumn("j", F.lit(1)), "j")
-    return A.shaped(joined, "attribute:s constraint:s feature_count:l x0:d y0:d x1:d y1:d")
+    return A.shaped(Q.layer_info(o, ["fid"]), "attribute:s type:s constraint:s feature_count:l x0:d y0:d x1:d y1:d")
 
 
 def unique(spark, sf):
@@ -280,8 +284,6 @@ def current_layer(spark, sf):
 
 def dates(spark, sf):
     """Version, ISO and short date texts."""
-    from gevel.functions import text as TX
-
     o = A.table(spark, sf, "orders").select(
         "o_orderkey", TX.version_date("o_orderdate").alias("version"), TX.iso_date("o_orderdate").alias("iso"),
         TX.short_date("o_orderdate").alias("short"),
@@ -297,8 +299,6 @@ def _unpivot_sql() -> str:
     )
 
 
-from gevel.catalog.spatial import REGISTER_SQL  # noqa: E402
-
 _NUM = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in {**FEATURE_NUMBERS, **BUILDING_NUMBERS}.items())
 
 QUERIES = {
@@ -333,9 +333,13 @@ QUERIES = {
     ),
     "extent": (
         extent,
+        f"SELECT min(y0) AS x0, min(x0) AS y0, max(y1) AS x1, max(x1) AS y1 FROM (SELECT {A.box_sql('o_orderkey')} FROM orders)",
+    ),
+    "layer_info": (
+        layer_info,
         f"""WITH b AS (SELECT {A.box_sql('o_orderkey')} FROM orders)
-        SELECT attribute, "constraint", count(*) AS feature_count, min(y0) AS x0, min(x0) AS y0, max(y1) AS x1, max(x1) AS y1
-        FROM b, (VALUES ('fid', 'NOT NULL'), ('status', '')) v(attribute, "constraint") GROUP BY 1, 2""",
+        SELECT attribute, type, "constraint", count(*) AS feature_count, min(x0) AS x0, min(y0) AS y0, max(x1) AS x1, max(y1) AS y1
+        FROM b, (VALUES ('fid', 'bigint', 'NOT NULL'), ('status', 'string', '')) v(attribute, type, "constraint") GROUP BY 1, 2, 3""",
     ),
     "unique": (
         unique,
