@@ -132,7 +132,7 @@ def points_in_box(spark, sf):
     pts = A.line_points(spark, sf, "l_quantity AS z", "CASE l_returnflag WHEN 'R' THEN 2 ELSE 6 END AS class", "l_linestatus AS cloud")
     foot = part_boxes(spark, sf, town=False, **{k: v for k, v in A.GREENHOUSE.items()})
     got = PT.roof_heights(pts, foot, "fid", by="cloud")
-    for c in ("h_roof_50p", "h_roof_70p", "h_ground", "pt_density"):
+    for c in ("h_roof_50p", "h_roof_70p", "h_ground"):
         got = got.withColumn(c, F.round(c, 6))
     return A.shaped(
         got, "fid:l cloud:s h_roof_min:d h_roof_max:d n_roof:l h_roof_50p:d h_roof_70p:d h_ground:d pt_density:d"
@@ -399,7 +399,7 @@ QUERIES = {
         s AS (SELECT fid, cloud, min(z) AS h_roof_min, max(z) AS h_roof_max, count(*) AS n_roof, quantile_cont(z, 0.5) AS q5,
           quantile_cont(z, 0.7) AS q7, max(a) AS a FROM i WHERE class = 6 GROUP BY 1, 2)
         SELECT s.fid, s.cloud, h_roof_min, h_roof_max, n_roof, round(q5, 6) AS h_roof_50p, round(q7, 6) AS h_roof_70p,
-          round(h_ground, 6) AS h_ground, round(n_roof / a, 6) AS pt_density FROM s LEFT JOIN g ON s.fid = g.fid AND s.cloud = g.cloud""",
+          round(h_ground, 6) AS h_ground, n_roof / a AS pt_density FROM s LEFT JOIN g ON s.fid = g.fid AND s.cloud = g.cloud""",
     ),
     "point_tiles": (
         point_tiles,

@@ -25,12 +25,21 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def no_rings() -> Column:
+    """An empty polygon. Long runs of NULL lists are slow to hand to Python, empty ones not."""
+    return F.array().cast(RINGS)
+
+
 def point(x: Column | str, y: Column | str) -> Column:
     return F.struct(_c(x).cast("double").alias("x"), _c(y).cast("double").alias("y"))
 
 
 def box_rings(x0, y0, x1, y1) -> Column:
     """Rectangle as a one-ring polygon, counter-clockwise."""
+    if all(isinstance(v, str) for v in (x0, y0, x1, y1)):
+        corners = ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+        pts = ", ".join(f"named_struct('x', double({x}), 'y', double({y}))" for x, y in corners)
+        return F.expr(f"array(array({pts}))")
     return F.array(
         F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1), point(x0, y0))
     )
@@ -128,11 +137,18 @@ def bbox(rings: Column | str) -> Column:
     )
 
 
+def settle(df: DataFrame, *cols: Column | str) -> DataFrame:
+    """Selects columns so that each is computed once per row.
+
+    A plain select may be merged into later steps and its expressions repeated there,
+    which is costly for higher-order functions; rows of a generator are not.
+    """
+    return df.select(F.inline(F.array(F.struct(*(cols or df.columns)))))
+
+
 def with_bbox(df: DataFrame, rings: str = "rings") -> DataFrame:
     """Adds the four box columns that scans can filter on."""
-    return df.withColumn("_b", bbox(rings)).select(
-        *df.columns, *[F.col(f"_b.{c}").alias(c) for c in BOX]
-    )
+    return df.select(*df.columns, F.inline(F.array(bbox(rings))))
 
 
 def is_box(rings: Column | str) -> Column:

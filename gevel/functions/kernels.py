@@ -158,7 +158,8 @@ def _crossings(e: Edges, n: int) -> tuple[np.ndarray, np.ndarray]:
 def covered_area_batch(subject, others, frame=None) -> np.ndarray:
     """Area of ``subject ∩ (∪ others)``, inside ``frame`` where one is given.
 
-    subject: rings per row; others: list of rings per row; frame: rings per row or NULL.
+    subject: rings per row; others: list of rings per row; frame: rings per row, empty
+    where the whole subject counts.
     """
     n = len(subject)
     s = Edges.of(subject)
@@ -342,9 +343,11 @@ def simplified_count_batch(rings, tolerance: float) -> np.ndarray:
 
 @F.arrow_udf(T.BooleanType())
 def polygons_intersect(left: pa.Array, right: pa.Array) -> pa.Array:
-    """Closed intersection; rows where either side is NULL count as already decided."""
-    decided = pc.or_(pc.is_null(left), pc.is_null(right))
-    return pc.or_(decided, pa.array(intersects_batch(left, right)))
+    """Closed intersection; rows where both sides are empty count as already decided."""
+    decided = (_lengths(left) == 0) & (_lengths(right) == 0)
+    if decided.all():
+        return pa.array(decided)
+    return pa.array(decided | intersects_batch(left, right))
 
 
 @F.arrow_udf(T.DoubleType())

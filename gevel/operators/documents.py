@@ -209,15 +209,13 @@ def surface_areas(
     ``snap``.
     """
     n = surface_normal("ring")
-    df = surfaces.withColumn("_n", n).withColumn(
-        "_a", 0.5 * F.sqrt(F.col("_n.x") ** 2 + F.col("_n.y") ** 2 + F.col("_n.z") ** 2)
-    )
-    slope = F.abs(F.col("_n.z")) / (2 * F.col("_a"))
-    flat = slope >= math.cos(math.radians(flat_degrees))
-    kind = F.col("type")
-    sums = df.groupBy(id).agg(
+    df = G.settle(surfaces, id, sid, "type", "ring", n.alias("_n"))
+    length = F.sqrt(F.col("_n.x") ** 2 + F.col("_n.y") ** 2 + F.col("_n.z") ** 2)
+    flat = F.abs(F.col("_n.z")) >= math.cos(math.radians(flat_degrees)) * F.col("_l")
+    kind, size = F.col("type"), 0.5 * F.col("_l")
+    sums = df.withColumn("_l", length).groupBy(id).agg(
         *[
-            F.coalesce(F.sum(F.when(cond, F.col("_a"))), F.lit(0.0)).alias(name)
+            F.coalesce(F.sum(F.when(cond, size)), F.lit(0.0)).alias(name)
             for name, cond in (
                 ("area_ground", kind == "GroundSurface"),
                 ("area_roof_flat", (kind == "RoofSurface") & flat),
@@ -226,17 +224,17 @@ def surface_areas(
             )
         ]
     )
-    ground = F.hypot("_n.x", "_n.y")
-    angle = F.pmod(F.degrees(F.atan2(F.col("_n.y"), F.col("_n.x"))), F.lit(180.0))
-    step = F.pmod(F.round(angle / angle_step), F.lit(180.0 / angle_step))
-    walls = df.filter((kind == "WallSurface") & (ground > 0)).withColumn("_dir", step)
+    steps = 180.0 / angle_step
+    angle = F.degrees(F.atan2(F.col("_n.y"), F.col("_n.x"))) / angle_step
+    upright = (kind == "WallSurface") & ((F.col("_n.x") != 0) | (F.col("_n.y") != 0))
+    walls = G.settle(df.filter(upright), id, sid, "ring", F.pmod(F.round(angle), F.lit(steps)).alias("_dir"))
     rad = F.radians(F.col("_dir") * angle_step)
+    walls = G.settle(walls, id, sid, "ring", "_dir", F.cos(rad).alias("_cos"), F.sin(rad).alias("_sin"))
     # signed distance of the wall plane and the position along it, in the rounded direction
     p = F.col("ring")[0]
-    walls = walls.withColumn("_off", F.round((p.x * F.cos(rad) + p.y * F.sin(rad)) / snap))
-    flat_ring = F.transform("ring", lambda v: G.point(v.y * F.cos(rad) - v.x * F.sin(rad), v.z))
-    walls = walls.select(id, sid, "_dir", "_off", F.array(flat_ring).alias("rings"))
-    walls = G.with_bbox(walls)
+    off = F.round((p.x * F.col("_cos") + p.y * F.col("_sin")) / snap)
+    along = F.transform("ring", lambda v: G.point(v.y * F.col("_cos") - v.x * F.col("_sin"), v.z))
+    walls = G.with_bbox(G.settle(walls, id, sid, "_dir", off.alias("_off"), F.array(along).alias("rings")))
     shared = overlap_area(walls, sid, min_area=0.0, on=("_dir", "_off"))
     per_building = (
         walls.select(id, sid).join(shared, sid).groupBy(id).agg(F.sum("b3_bag_bag_overlap").alias("_shared"))

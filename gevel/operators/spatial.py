@@ -23,16 +23,15 @@ LEVELS = 12
 STEP = 4.0
 
 
-def _level(x0: Column, y0: Column, x1: Column, y1: Column, base: float) -> Column:
-    side = F.greatest(x1 - x0, y1 - y0)
-    level = F.lit(0)
-    for k in range(LEVELS - 1):
-        level = F.when(side > base * STEP**k, k + 1).otherwise(level)
-    return level.cast("int")
+def _level(box: Sequence[str], base: float) -> Column:
+    """Number of cell sizes smaller than the box."""
+    x0, y0, x1, y1 = box
+    sizes = ", ".join(f"{base * STEP**k}D" for k in range(LEVELS - 1))
+    return F.expr(f"size(filter(array({sizes}), s -> s < greatest({x1} - {x0}, {y1} - {y0})))")
 
 
-def _cell_size(level: Column, base: float) -> Column:
-    return F.element_at(F.array(*[F.lit(base * STEP**k) for k in range(LEVELS)]), level + 1)
+def _cell_size(level: str, base: float) -> Column:
+    return F.expr(f"{base}D * power({STEP}D, {level})")
 
 
 def _cell(v: Column, size: Column) -> Column:
@@ -46,11 +45,11 @@ def _range(lo: Column, hi: Column) -> Column:
 def _on_grid(df: DataFrame, box: Sequence[str], own: str, other_levels: Column, base: float) -> DataFrame:
     """One row per (level, cell) at which a box can meet a box of the other side."""
     x0, y0, x1, y1 = (F.col(c) for c in box)
-    size = _cell_size(F.col("_k"), base)
+    size = _cell_size("_k", base)
     coarser = F.array_intersect(other_levels, F.sequence(F.col(own) + 1, F.lit(LEVELS)))
     levels = F.array_union(F.array(F.col(own)), coarser)
     return (
-        df.withColumn(own, _level(x0, y0, x1, y1, base))
+        df.select("*", _level(box, base).alias(own))
         .withColumn("_k", F.explode(levels))
         .withColumn("_cx", F.explode(_range(_cell(x0, size), _cell(x1, size))))
         .withColumn("_cy", F.explode(_range(_cell(y0, size), _cell(y1, size))))
@@ -59,8 +58,7 @@ def _on_grid(df: DataFrame, box: Sequence[str], own: str, other_levels: Column,
 
 def _levels_of(df: DataFrame, box: Sequence[str], base: float) -> Column:
     """Grid levels in use, as a scalar subquery (at most ``LEVELS`` small integers)."""
-    level = _level(*(F.col(c) for c in box), base)
-    return df.select(level.alias("_k")).agg(F.collect_set("_k").alias("ks")).scalar()
+    return df.select(_level(box, base).alias("_k")).agg(F.collect_set("_k").alias("ks")).scalar()
 
 
 def candidates(
@@ -98,7 +96,7 @@ def candidates(
         keys.append("_salt")
     lx0, ly0, lx1, ly1 = (F.col(c) for c in left_box)
     rx0, ry0, rx1, ry1 = (F.col(c) for c in right_box)
-    size = _cell_size(F.col("_k"), base)
+    size = _cell_size("_k", base)
     meet = (lx0 <= rx1) & (rx0 <= lx1) & (ly0 <= ry1) & (ry0 <= ly1)
     once = (
         (F.col("_k") == F.greatest("_lk", "_rk"))
@@ -109,19 +107,24 @@ def candidates(
     return joined.drop("_k", "_cx", "_cy", "_lk", "_rk", "_salt")
 
 
+def _plain(df: DataFrame, rings: str = "rings") -> DataFrame:
+    """Marks rectangles before the join, so that pairs only read the mark."""
+    return df.withColumn("plain", G.is_box(rings))
+
+
 def as_right(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Right side of a join: geometry columns get an ``r`` prefix."""
     return df.select(
-        *[F.col(c).alias("r" + c) for c in (*G.BOX, "rings") if c in df.columns],
+        *[F.col(c).alias("r" + c) for c in (*G.BOX, "rings", "plain") if c in df.columns],
         *[c for c in df.columns if c in keep],
     )
 
 
-def _refine(pairs: DataFrame, left: str = "rings", right: str = "rrings") -> DataFrame:
+def _refine(pairs: DataFrame) -> DataFrame:
     """Exact intersection; two plain boxes are already decided by the box test."""
-    both = G.is_box(left) & G.is_box(right)
-    a = F.when(~both, F.col(left))
-    b = F.when(~both, F.col(right))
+    both = F.col("plain") & F.col("rplain")
+    a = F.when(both, G.no_rings()).otherwise(F.col("rings"))
+    b = F.when(both, G.no_rings()).otherwise(F.col("rrings"))
     return pairs.filter(K.polygons_intersect(a, b))
 
 
@@ -140,15 +143,15 @@ def spatial_join(
     ``keep`` names the right columns to bring along.
     """
     keep = [c for c in right.columns if c not in (*G.BOX, "rings")] if keep is None else keep
-    r = as_right(right, keep)
+    r = as_right(_plain(right), keep)
     if predicate == "intersects":
-        pairs = _refine(candidates(left, r, base=base, salt=salt))
+        pairs = _refine(candidates(_plain(left), r, base=base, salt=salt))
     elif predicate == "contains":
         pairs = candidates(left, r, left_box=("px", "py", "px", "py"), base=base, salt=salt)
         pairs = pairs.filter(G.point_in("rrings", "px", "py"))
     else:
         raise ValueError(f"unknown predicate {predicate!r}")
-    return pairs.drop("rx0", "ry0", "rx1", "ry1", "rrings")
+    return pairs.drop("rx0", "ry0", "rx1", "ry1", "rrings", "plain", "rplain")
 
 
 # --- copies ---------------------------------------------------------------------------
@@ -156,13 +159,13 @@ def spatial_join(
 
 def distinct_shapes(df: DataFrame, id: str, on: Sequence[str] = ()) -> DataFrame:
     """One row per distinct geometry: a representative id and the number of copies."""
-    return df.groupBy(*on, *G.BOX, "rings").agg(
-        F.min(id).alias("shape"), F.count("*").alias("copies")
+    return _plain(
+        df.groupBy(*on, *G.BOX, "rings").agg(F.min(id).alias("shape"), F.count("*").alias("copies"))
     )
 
 
 def _as_other(shapes: DataFrame, on: Sequence[str] = ()) -> DataFrame:
-    return shapes.select(*on, *[F.col(c).alias("r" + c) for c in (*G.BOX, "rings", "shape", "copies")])
+    return shapes.select(*on, *[F.col(c).alias("r" + c) for c in (*G.BOX, "rings", "plain", "shape", "copies")])
 
 
 def _back_to_ids(
@@ -197,7 +200,7 @@ def overlap_area(
     pairs = candidates(shapes, _as_other(shapes, on), on=on, left_levels=levels, right_levels=levels)
     own = F.col("shape") == F.col("rshape")
     pairs = _refine(pairs).withColumn(
-        "rrings", F.when(~own | (F.col("rcopies") > 1), F.col("rrings"))
+        "rrings", F.when(~own | (F.col("copies") + F.col("rcopies") > 2), F.col("rrings"))
     )
     size = F.lit(float(tile))
     gx0, gy0 = F.greatest("x0", "rx0"), F.greatest("y0", "ry0")
@@ -210,11 +213,11 @@ def overlap_area(
     px0, py0 = F.greatest("x0", fx0), F.greatest("y0", fy0)
     px1, py1 = F.least("x1", fx0 + size), F.least("y1", fy0 + size)
     covers = own | (
-        G.is_box("rrings")
+        F.col("rplain")
         & (F.col("rx0") <= px0) & (F.col("ry0") <= py0) & (F.col("rx1") >= px1) & (F.col("ry1") >= py1)
     )
     alone = (fx0 <= F.col("x0")) & (fy0 <= F.col("y0")) & (fx0 + size >= F.col("x1")) & (fy0 + size >= F.col("y1"))
-    frame = F.when(~alone, G.box_rings(fx0, fy0, fx0 + size, fy0 + size))
+    frame = F.when(alone, G.no_rings()).otherwise(G.box_rings(fx0, fy0, fx0 + size, fy0 + size))
     per_piece = (
         pieces.withColumn("_full", F.when(covers, F.col("rrings")))
         .withColumn("_part", F.when(~covers, F.col("rrings")))
@@ -249,7 +252,7 @@ def label_by_overlap(
     chosen = polys.filter(F.arrays_overlap(F.col(kinds), F.array(*[F.lit(w) for w in wanted])))
     right = (
         chosen.groupBy(*G.BOX, "rings").agg(F.count("*").alias("_times"))
-        .select(*[F.col(c).alias("r" + c) for c in (*G.BOX, "rings")], "_times")
+        .select(*[F.col(c).alias("r" + c) for c in (*G.BOX, "rings")], "_times", G.is_box("rings").alias("rplain"))
     )
     pairs = _refine(
         candidates(
@@ -279,10 +282,11 @@ def adjacent_count(df: DataFrame, id: str = "identificatie", dist: float = 0.1)
     grown = G.with_bbox(
         shapes.select("shape", "copies", F.col("rings").alias("_own"), K.mitre_buffer(F.col("rings"), dist).alias("rings"))
     )
+    grown = _plain(grown)
     pairs = _refine(
         candidates(grown, _as_other(shapes), right_levels=_levels_of(df, G.BOX, BASE))
     )
-    times = F.col("rcopies") - (F.col("shape") == F.col("rshape")).cast("int")
+    times = F.when(F.col("shape") == F.col("rshape"), F.col("copies") - 1).otherwise(F.col("rcopies"))
     met = (
         pairs.groupBy("shape").agg(F.first("_own").alias("rings"), F.sum(times).alias("no_adjacent"))
         .filter("no_adjacent > 0")

@@ -98,15 +98,15 @@ def cells_of_features(df: DataFrame, index: DataFrame, grid: Grid, id: str = "fi
     """Distinct (tile_id, cell_id) touched by any building of the tile, borders included."""
     x0, y0, x1, y1 = (F.col(c) for c in G.BOX)
     cells = (
-        df.select(id, *G.BOX, "rings").join(index.select(id, "tile_id"), id)
+        df.select(id, *G.BOX, "rings").join(index.select(id, "tile_id"), id).withColumn("_plain", G.is_box("rings"))
         .withColumn("_i", _clipped(F.ceil((x0 - grid.x0) / grid.cell) - 1, grid.column_of(x1), grid.nx))
         .withColumn("_j", _clipped(F.ceil((y0 - grid.y0) / grid.cell) - 1, grid.row_of(y1), grid.ny))
     )
     cx0, cy0 = grid.left(F.col("_i")), grid.bottom(F.col("_j"))
-    plain = G.is_box("rings")
+    plain = F.col("_plain")
     touch = K.polygons_intersect(
-        F.when(~plain, F.col("rings")),
-        F.when(~plain, G.box_rings(cx0, cy0, cx0 + grid.cell, cy0 + grid.cell)),
+        F.when(plain, G.no_rings()).otherwise(F.col("rings")),
+        F.when(plain, G.no_rings()).otherwise(G.box_rings(cx0, cy0, cx0 + grid.cell, cy0 + grid.cell)),
     )
     return cells.filter(touch).select(
         "tile_id", grid.cell_id(F.col("_i"), F.col("_j")).alias("cell_id")

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def local_session(cores: str = "8", app: str = "gevel") -> SparkSession:
+def local_session(cores: str = "8", app: str = "gevel", **conf: str) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
@@ -21,8 +21,10 @@ def local_session(cores: str = "8", app: str = "gevel") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    for key, value in conf.items():
+        builder = builder.config(key, value)
+    return builder.getOrCreate()
 
 
 def shared_dir(spark: SparkSession) -> str:
