@@ -27,14 +27,18 @@ def local_session(cores: str = "8", app: str = "gevel", **conf: str) -> SparkSes
     return builder.getOrCreate()
 
 
+_private: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach; a private one only where none is named."""
     named = spark.conf.get(CHECKPOINT_KEY, None)
     if named:
         return named
-    made = tempfile.mkdtemp(prefix="gevel-")
-    spark.conf.set(CHECKPOINT_KEY, made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _private:
+        _private[app] = tempfile.mkdtemp(prefix="gevel-")
+    return _private[app]
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
