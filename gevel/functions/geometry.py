@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gevel.functions.rows import settle
+
 POINT = T.StructType(
     [T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]
 )
@@ -137,17 +139,9 @@ def bbox(rings: Column | str) -> Column:
     )
 
 
-def settle(df: DataFrame, *cols: Column | str) -> DataFrame:
-    """Selects columns so that each is computed once per row.
-
-    A plain select may be merged into later steps and its expressions repeated there,
-    which is costly for higher-order functions; rows of a generator are not.
-    """
-    return df.select(F.inline(F.array(F.struct(*(cols or df.columns)))))
-
-
 def with_bbox(df: DataFrame, rings: str = "rings") -> DataFrame:
     """Adds the four box columns that scans can filter on."""
+    df = settle(df)
     return df.select(*df.columns, F.inline(F.array(bbox(rings))))
 
 

@@ -10,16 +10,22 @@ from pyspark.sql import functions as F
 
 def group_quantiles(
     df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], bin_width: float = 1.0,
+    count: str | None = None,
 ) -> DataFrame:
     """Linear-interpolated quantiles per group, NULL values ignored; one column per entry.
 
+    ``count`` names a column with the number of rows per value, where they are already
+    counted.
+
     Equal values are counted before the first shuffle. A running count over ``bin_width``
     wide bins finds the bins that hold the wanted ranks; only those are ordered value by
     value, so even a group with a large share of all rows is spread over many tasks.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(
-        F.count("*").alias("_c")
-    )
+    known = df.filter(F.col(value).isNotNull())
+    if count is None:
+        counted = known.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    else:
+        counted = known.select(*keys, F.col(value).alias("_v"), F.col(count).alias("_c"))
     counted = counted.withColumn("_bin", F.floor(F.col("_v") / bin_width))
     bins = counted.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_m"))
     upto = Window.partitionBy(*keys).orderBy("_bin")

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
+from gevel.functions.rows import settle
 from gevel.operators.spatial import overlap_area
+from gevel.session import cut_lineage
 
 OBJECTS_DDL = (
     "CityObjects map<string, struct<type: string, attributes: map<string, string>, "
@@ -55,7 +57,7 @@ def get_attributes(docs: DataFrame, id: str = "id", doc: str = "doc") -> DataFra
     """Attribute map of the building a document is named after."""
     objects = F.from_json(doc, OBJECTS_DDL)["CityObjects"]
     found = F.element_at(objects, F.col(id))
-    return docs.select(F.col(id).alias("id"), found["attributes"].alias("attributes")).filter(
+    return settle(docs, F.col(id).alias("id"), found["attributes"].alias("attributes")).filter(
         F.col("attributes").isNotNull()
     )
 
@@ -69,15 +71,7 @@ def set_attributes(
     ``how='left'`` documents without values get NULL attributes. Returns the rewritten
     documents and the ids of values without a document.
     """
-    extra = [c for c in values.columns if c not in (id, *names)]
-    joined = docs.join(values, id, how)
-    top = F.from_json(doc, "map<string, variant>")
-    objects = F.from_json(F.to_json(top["CityObjects"]), "map<string, map<string, variant>>")
-    own = F.element_at(objects, F.col(id))
-    had = F.coalesce(
-        F.from_json(F.to_json(own["attributes"]), "map<string, variant>"),
-        F.create_map().cast("map<string, variant>"),
-    )
+    keep = [c for c in docs.columns if c != doc]
     nothing = F.parse_json(F.lit("null"))
 
     # a value becomes a variant through its JSON text, so that its type stays
@@ -88,33 +82,31 @@ def set_attributes(
         )
 
     new = F.map_from_arrays(F.array(*[F.lit(a) for a in names.values()]), F.array(*[scalar(c) for c in names]))
-    kept = F.map_filter("_had", lambda k, _: ~k.isin(*names.values()))
-    out = (
-        joined.withColumn("_top", top).withColumn("_objects", objects).withColumn("_had", had)
-        .withColumn("_attr", F.to_variant_object(F.map_concat(kept, new)))
-        .withColumn(
-            "_own",
-            F.map_concat(
-                F.map_filter(F.element_at("_objects", F.col(id)), lambda k, _: k != "attributes"),
-                F.create_map(F.lit("attributes"), F.col("_attr")),
-            ),
-        )
-        .withColumn(
-            "_objects",
-            F.map_concat(F.map_filter("_objects", lambda k, _: k != F.col(id)), F.create_map(F.col(id), F.col("_own"))),
-        )
-        .withColumn(
-            doc,
-            F.to_json(
-                F.map_concat(
-                    F.map_filter("_top", lambda k, _: k != "CityObjects"),
-                    F.create_map(F.lit("CityObjects"), F.to_variant_object("_objects")),
-                )
-            ),
-        )
+    joined = docs.join(values.select(id, *names), id, how)
+    rows = settle(joined, *keep, F.from_json(doc, "map<string, variant>").alias("_top"), new.alias("_new"))
+    objects = F.from_json(F.to_json(F.col("_top")["CityObjects"]), "map<string, map<string, variant>>")
+    rows = settle(rows, *keep, "_top", "_new", objects.alias("_objects"))
+    own = F.element_at("_objects", F.col(id))
+    had = F.coalesce(
+        F.from_json(F.to_json(own["attributes"]), "map<string, variant>"),
+        F.create_map().cast("map<string, variant>"),
     )
+    kept = F.map_filter(had, lambda k, _: ~k.isin(*names.values()))
+    rows = settle(rows, *keep, "_top", "_objects", F.to_variant_object(F.map_concat(kept, "_new")).alias("_attr"))
+    changed = F.transform_values(
+        "_objects",
+        lambda k, o: F.when(
+            k == F.col(id),
+            F.map_concat(F.map_filter(o, lambda m, _: m != "attributes"), F.create_map(F.lit("attributes"), F.col("_attr"))),
+        ).otherwise(o),
+    )
+    whole = F.map_concat(
+        F.map_filter("_top", lambda k, _: k != "CityObjects"),
+        F.create_map(F.lit("CityObjects"), F.to_variant_object(changed)),
+    )
+    out = rows.select(*keep, F.to_json(whole).alias(doc))
     misses = values.select(id).join(docs.select(id), id, "left_anti")
-    return out.select(*docs.columns, *extra), misses
+    return out.select(*docs.columns), misses
 
 
 def set_surface_areas(docs: DataFrame, stats: DataFrame, id: str = "id", doc: str = "doc") -> tuple[DataFrame, DataFrame]:
@@ -129,16 +121,29 @@ def lod_presence(docs: DataFrame, doc: str = "doc", per_object: bool = False) ->
     of the last object that has any. ``per_object`` reads every object on its own.
     """
     objects = F.map_entries(F.from_json(doc, OBJECTS_DDL)["CityObjects"])
-    rows = docs.select(objects.alias("_all")).withColumn("_o", F.explode("_all"))
-    scope = F.array(F.col("_o")) if per_object else F.col("_all")
-    shapes = F.flatten(F.transform(scope, lambda o: F.coalesce(o.value.geometry, F.array().cast("array<struct<lod:string>>"))))
-    lods = F.transform(shapes, lambda g: g.lod)
-    filled = F.filter(scope, lambda o: F.coalesce(F.size(o.value.attributes), F.lit(0)) > 0)
-    last = F.try_element_at(filled, F.lit(-1))["value"]["attributes"]
-    rows = rows.withColumn("_lods", lods).withColumn("_attr", last)
+
+    def lods(scope: Column) -> Column:
+        none = F.array().cast("array<struct<lod:string>>")
+        shapes = F.flatten(F.transform(scope, lambda o: F.coalesce(o.value.geometry, none)))
+        return F.transform(shapes, lambda g: g.lod)
+
+    def last(scope: Column) -> Column:
+        filled = F.filter(scope, lambda o: F.coalesce(F.size(o.value.attributes), F.lit(0)) > 0)
+        return F.try_element_at(filled, F.lit(-1))["value"]["attributes"]
+
+    rows = settle(docs, objects.alias("_all"))
+    if per_object:
+        one = rows.select(F.explode("_all").alias("_o"))
+        scope = F.array(F.col("_o"))
+        rows = settle(one, F.col("_o.key").alias("id"), lods(scope).alias("_lods"), last(scope).alias("_attr"))
+    else:
+        # flags and attributes once per document, then one row per object
+        scope = F.col("_all")
+        shared = settle(rows, scope.key.alias("_ids"), lods(scope).alias("_lods"), last(scope).alias("_attr"))
+        rows = shared.select(F.explode("_ids").alias("id"), "_lods", "_attr")
     return rows.select(
-        F.col("_o.key").alias("id"),
-        F.substring("_o.key", 1, 30).alias("identificatie"),
+        "id",
+        F.substring("id", 1, 30).alias("identificatie"),
         *[F.array_contains("_lods", v).cast("int").alias(k) for k, v in LODS.items()],
         (F.size("_lods") > 0).alias("has_geometry"),
         *[F.col("_attr")[a].alias(a) for a in EVALUATED],
@@ -198,7 +203,7 @@ def surface_normal(ring: Column | str) -> Column:
 
 def surface_areas(
     surfaces: DataFrame, id: str = "identificatie", sid: str = "surface_id", flat_degrees: float = FLAT_DEGREES,
-    snap: float = 0.05, angle_step: float = 1.0,
+    snap: float = 0.05, angle_step: float = 1.0, materialise: bool = True,
 ) -> DataFrame:
     """Ground, flat roof, sloped roof, shared and exterior wall area per building.
 
@@ -206,10 +211,12 @@ def surface_areas(
     where it overlaps, in its own plane, a wall of the same plane of another building;
     the rest of the wall is exterior. Two walls are in one plane when their direction
     rounds to the same ``angle_step`` and their distance from the origin to the same
-    ``snap``.
+    ``snap``. ``materialise`` writes the surfaces with their normals once.
     """
     n = surface_normal("ring")
-    df = G.settle(surfaces, id, sid, "type", "ring", n.alias("_n"))
+    df = settle(surfaces, id, sid, "type", "ring", n.alias("_n"))
+    if materialise:
+        df = cut_lineage(df)
     length = F.sqrt(F.col("_n.x") ** 2 + F.col("_n.y") ** 2 + F.col("_n.z") ** 2)
     flat = F.abs(F.col("_n.z")) >= math.cos(math.radians(flat_degrees)) * F.col("_l")
     kind, size = F.col("type"), 0.5 * F.col("_l")
@@ -227,14 +234,14 @@ def surface_areas(
     steps = 180.0 / angle_step
     angle = F.degrees(F.atan2(F.col("_n.y"), F.col("_n.x"))) / angle_step
     upright = (kind == "WallSurface") & ((F.col("_n.x") != 0) | (F.col("_n.y") != 0))
-    walls = G.settle(df.filter(upright), id, sid, "ring", F.pmod(F.round(angle), F.lit(steps)).alias("_dir"))
+    walls = settle(df.filter(upright), id, sid, "ring", F.pmod(F.round(angle), F.lit(steps)).alias("_dir"))
     rad = F.radians(F.col("_dir") * angle_step)
-    walls = G.settle(walls, id, sid, "ring", "_dir", F.cos(rad).alias("_cos"), F.sin(rad).alias("_sin"))
+    walls = settle(walls, id, sid, "ring", "_dir", F.cos(rad).alias("_cos"), F.sin(rad).alias("_sin"))
     # signed distance of the wall plane and the position along it, in the rounded direction
     p = F.col("ring")[0]
     off = F.round((p.x * F.col("_cos") + p.y * F.col("_sin")) / snap)
     along = F.transform("ring", lambda v: G.point(v.y * F.col("_cos") - v.x * F.col("_sin"), v.z))
-    walls = G.with_bbox(G.settle(walls, id, sid, "_dir", off.alias("_off"), F.array(along).alias("rings")))
+    walls = G.with_bbox(settle(walls, id, sid, "_dir", off.alias("_off"), F.array(along).alias("rings")))
     shared = overlap_area(walls, sid, min_area=0.0, on=("_dir", "_off"))
     per_building = (
         walls.select(id, sid).join(shared, sid).groupBy(id).agg(F.sum("b3_bag_bag_overlap").alias("_shared"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gevel.functions.quantiles import group_quantiles
+from gevel.functions.rows import settle
 
 # Runs whose newest events make up the lineage, in order.
 LINEAGE_ASSETS = [
@@ -87,23 +88,25 @@ def lineage_metadata(
 
 def log_timings(lines: DataFrame, line: str = "value") -> DataFrame:
     """Step times of each timing line; lines of another form or with a bad number are skipped."""
-    found = lines.select(F.regexp_extract(line, TIMING, 2).alias("building_id"), F.regexp_extract(line, TIMING, 3).alias("_t"))
-    found = found.filter("building_id <> ''")
-    pairs = F.regexp_extract_all("_t", F.lit(r"\(+([^(),]+), [^(),]+\)"), F.lit(1))
-    texts = F.regexp_extract_all("_t", F.lit(r"\(+[^(),]+, ([^(),]+)\)"), F.lit(1))
-    times = F.transform(texts, lambda v: v.try_cast("int"))
-    items = F.size(F.split("_t", r"\),\("))
-    ok = (F.size(times) == items) & ~F.exists(times, lambda v: v.isNull())
-    found = found.withColumn("_k", pairs).withColumn("_v", times).filter(ok)
-    as_map = F.map_from_entries(F.arrays_zip("_k", "_v"))
-    return found.withColumn("_m", as_map).select("building_id", *[F.col("_m")[s].alias(s) for s in STEPS])
+    timed = settle(lines.select(F.col(line).alias("_l"))).filter(F.contains("_l", F.lit("[reconstructor t]")))
+    found = settle(timed, F.regexp_extract("_l", TIMING, 2).alias("building_id"), F.regexp_extract("_l", TIMING, 3).alias("_t"))
+    items = F.split("_t", r"\),\(")
+
+    def piece(item, i: int):
+        return F.translate(F.substring_index(F.substring_index(item, ", ", i), ", ", -1), "(), ", "")
+
+    read = F.transform(items, lambda i: F.struct(piece(i, 1).alias("k"), piece(i, 2).try_cast("int").alias("v")))
+    found = settle(found.filter("building_id <> ''"), "building_id", read.alias("_p"))
+    found = found.filter(~F.exists("_p", lambda p: p.v.isNull()))
+    found = settle(found, "building_id", F.map_from_entries("_p").alias("_m"))
+    return found.select("building_id", *[F.col("_m")[s].alias(s) for s in STEPS])
 
 
 def unfinished(lines: DataFrame, line: str = "value") -> DataFrame:
     """Buildings with a start line and no finish line."""
     def ids(word: str) -> DataFrame:
         pattern = r"\[reconstructor\] " + word + r": /\S*?([^/\s]+)\.city\.jsonl"
-        return lines.select(F.regexp_extract(line, pattern, 1).alias("building_id")).filter("building_id <> ''")
+        return settle(lines, F.regexp_extract(line, pattern, 1).alias("building_id")).filter("building_id <> ''")
 
     return ids("start").distinct().join(ids("finish"), "building_id", "left_anti")
 
@@ -115,10 +118,11 @@ def one_run(times: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:
 
 def step_statistics(times: DataFrame, steps: Sequence[str] = STEPS, bin_width: float = 100.0) -> DataFrame:
     """Median and mean per step over distinct buildings."""
-    one = one_run(times, steps)
-    long = one.unpivot("building_id", list(steps), "step", "ms").filter("ms IS NOT NULL")
-    medians = group_quantiles(long, ["step"], "ms", {"median": 0.5}, bin_width)
-    return medians.join(long.groupBy("step").agg(F.avg("ms").alias("mean")), "step")
+    long = one_run(times, steps).unpivot("building_id", list(steps), "step", "ms").filter("ms IS NOT NULL")
+    counted = long.groupBy("step", "ms").agg(F.count("*").alias("n"))
+    medians = group_quantiles(counted, ["step"], "ms", {"median": 0.5}, bin_width, count="n")
+    means = counted.groupBy("step").agg((F.sum(F.col("ms") * F.col("n")) / F.sum("n")).alias("mean"))
+    return medians.join(means, "step")
 
 
 def slow_buildings(times: DataFrame, steps: Sequence[str] = STEPS, limit: float = SLOW_MS) -> DataFrame:

@@ -9,6 +9,7 @@ from gevel.functions import geometry as G
 from gevel.functions.quantiles import group_quantiles
 from gevel.operators.history import dedupe
 from gevel.operators.spatial import points_in
+from gevel.session import cut_lineage
 
 ROOF_CLASS, GROUND_CLASS = 6, 2
 # Quality rank given with each cloud (higher is older).
@@ -34,30 +35,40 @@ def point_stats_json(points: DataFrame, key: str = "tile_id") -> DataFrame:
 
 def roof_heights(
     points: DataFrame, footprints: DataFrame, id: str = "identificatie", by: str | None = None, bin_width: float = 1.0,
+    materialise: bool = True,
 ) -> DataFrame:
     """Roof height 50th/70th percentile, range, ground height and density per building.
 
     Definitions are ours: roof points are class 6 and ground points class 2 inside the
     footprint polygon; ground height is the median; density is roof points per area.
-    ``by`` separates point clouds.
+    ``by`` separates point clouds. ``materialise`` writes the counts per height once, as
+    three later steps read them.
     """
     keys = [id] if by is None else [id, by]
-    shape = footprints.select(id, "rings", *G.BOX)
-    inside = points_in(points, shape.select(id, *G.BOX), id).join(shape.select(id, "rings"), id)
-    inside = inside.filter(G.point_in("rings", "x", "y", boundary=True))
-    roof = inside.filter(F.col("class") == ROOF_CLASS)
-    ground = inside.filter(F.col("class") == GROUND_CLASS)
-    sums = roof.groupBy(*keys).agg(
-        F.min("z").alias("h_roof_min"), F.max("z").alias("h_roof_max"), F.count("*").alias("n_roof"),
-        F.first(G.area("rings")).alias("_area"),
-    )
-    roofs = group_quantiles(roof, keys, "z", {"h_roof_50p": 0.5, "h_roof_70p": 0.7}, bin_width)
-    floor = group_quantiles(ground, keys, "z", {"h_ground": 0.5}, bin_width)
-    return (
-        sums.join(roofs, keys).join(floor, keys, "left")
-        .withColumn("pt_density", F.col("n_roof") / F.nullif(F.col("_area"), F.lit(0.0)))
-        .drop("_area")
-    )
+    kinds = [ROOF_CLASS, GROUND_CLASS]
+    shape = footprints.select(id, *G.BOX, "rings", G.is_box("rings").alias("_plain"))
+    inside = points_in(points.filter(F.col("class").isin(*kinds) & F.col("z").isNotNull()), shape, id, keep=["rings", "_plain"])
+    inside = inside.filter(F.col("_plain") | G.point_in("rings", "x", "y", boundary=True))
+    # everything below reads these counts: one row per building and height, not per point
+    counted = inside.groupBy(*keys, "class", "z").agg(F.count("*").alias("n"))
+    if materialise:
+        counted = cut_lineage(counted)
+    mid = group_quantiles(counted, [*keys, "class"], "z", {"p50": 0.5, "p70": 0.7}, bin_width, count="n")
+    ends = counted.groupBy(*keys, "class").agg(F.min("z").alias("low"), F.max("z").alias("high"), F.sum("n").alias("n"))
+    both = ends.join(mid, [*keys, "class"])
+    roof, ground = F.col("class") == ROOF_CLASS, F.col("class") == GROUND_CLASS
+
+    def pick(cond, c: str, name: str):
+        return F.max(F.when(cond, F.col(c))).alias(name)
+
+    wide = both.groupBy(*keys).agg(
+        pick(roof, "low", "h_roof_min"), pick(roof, "high", "h_roof_max"), pick(roof, "n", "n_roof"),
+        pick(roof, "p50", "h_roof_50p"), pick(roof, "p70", "h_roof_70p"), pick(ground, "p50", "h_ground"),
+    ).filter("n_roof IS NOT NULL")
+    areas = footprints.select(id, G.area("rings").alias("_area"))
+    return wide.join(areas, id).withColumn(
+        "pt_density", F.col("n_roof") / F.nullif(F.col("_area"), F.lit(0.0))
+    ).drop("_area")
 
 
 def best_cloud(stats: DataFrame, id: str = "identificatie") -> DataFrame:

@@ -20,18 +20,22 @@ from gevel.functions import kernels as K
 
 BASE = 4.0
 LEVELS = 12
-STEP = 4.0
+STEP_BITS = 2
+STEP = 2.0**STEP_BITS
 
 
 def _level(box: Sequence[str], base: float) -> Column:
     """Number of cell sizes smaller than the box."""
     x0, y0, x1, y1 = box
-    sizes = ", ".join(f"{base * STEP**k}D" for k in range(LEVELS - 1))
-    return F.expr(f"size(filter(array({sizes}), s -> s < greatest({x1} - {x0}, {y1} - {y0})))")
+    if (x0, y0) == (x1, y1):
+        return F.lit(0)
+    side = f"greatest({x1} - {x0}, {y1} - {y0})"
+    whens = " ".join(f"WHEN {side} <= {base * STEP**k}D THEN {k}" for k in range(LEVELS - 1))
+    return F.expr(f"CASE {whens} ELSE {LEVELS - 1} END")
 
 
 def _cell_size(level: str, base: float) -> Column:
-    return F.expr(f"{base}D * power({STEP}D, {level})")
+    return F.expr(f"{base}D * shiftleft(1L, {STEP_BITS} * {level})")
 
 
 def _cell(v: Column, size: Column) -> Column:
@@ -46,10 +50,17 @@ def _on_grid(df: DataFrame, box: Sequence[str], own: str, other_levels: Column,
     """One row per (level, cell) at which a box can meet a box of the other side."""
     x0, y0, x1, y1 = (F.col(c) for c in box)
     size = _cell_size("_k", base)
+    level = _level(box, base)
+    if (box[0], box[1]) == (box[2], box[3]):
+        # a point has one cell on each level of the other side
+        return (
+            df.select("*", level.alias(own), F.explode(other_levels).alias("_k"))
+            .select("*", _cell(x0, size).alias("_cx"), _cell(y0, size).alias("_cy"))
+        )
     coarser = F.array_intersect(other_levels, F.sequence(F.col(own) + 1, F.lit(LEVELS)))
     levels = F.array_union(F.array(F.col(own)), coarser)
     return (
-        df.select("*", _level(box, base).alias(own))
+        df.select("*", level.alias(own))
         .withColumn("_k", F.explode(levels))
         .withColumn("_cx", F.explode(_range(_cell(x0, size), _cell(x1, size))))
         .withColumn("_cy", F.explode(_range(_cell(y0, size), _cell(y1, size))))
@@ -369,8 +380,10 @@ def neighbour_tiles(tiles: DataFrame, id: str = "tile_id") -> DataFrame:
     return candidates(l, r).filter(F.col(id) != F.col("neighbour")).select(id, "neighbour")
 
 
-def points_in(points: DataFrame, footprints: DataFrame, id: str, salt: int = 1) -> DataFrame:
-    """Points inside a footprint's bounding box, with the footprint id."""
-    r = footprints.select(id, *[F.col(c).alias("r" + c) for c in G.BOX])
+def points_in(
+    points: DataFrame, footprints: DataFrame, id: str, salt: int = 1, keep: Sequence[str] = (),
+) -> DataFrame:
+    """Points inside a footprint's bounding box, with the footprint id and ``keep`` columns."""
+    r = footprints.select(id, *keep, *[F.col(c).alias("r" + c) for c in G.BOX])
     pairs = candidates(points, r, left_box=("x", "y", "x", "y"), salt=salt)
     return pairs.drop("rx0", "ry0", "rx1", "ry1")
