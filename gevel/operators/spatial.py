@@ -19,23 +19,23 @@ from gevel.functions import geometry as G
 from gevel.functions import kernels as K
 
 BASE = 4.0
-LEVELS = 12
-STEP_BITS = 2
-STEP = 2.0**STEP_BITS
+LEVELS = 22  # the coarsest cells are then wider than any country
+STEP_BITS = 2  # each level's cells are four times as wide as the one before
+POINT_BITS = 1  # points have one cell per level, so finer steps cost them little
 
 
-def _level(box: Sequence[str], base: float) -> Column:
+def _level(box: Sequence[str], base: float, bits: int) -> Column:
     """Number of cell sizes smaller than the box."""
     x0, y0, x1, y1 = box
     if (x0, y0) == (x1, y1):
         return F.lit(0)
     side = f"greatest({x1} - {x0}, {y1} - {y0})"
-    whens = " ".join(f"WHEN {side} <= {base * STEP**k}D THEN {k}" for k in range(LEVELS - 1))
+    whens = " ".join(f"WHEN {side} <= {base * 2.0 ** (bits * k)}D THEN {k}" for k in range(LEVELS - 1))
     return F.expr(f"CASE {whens} ELSE {LEVELS - 1} END")
 
 
-def _cell_size(level: str, base: float) -> Column:
-    return F.expr(f"{base}D * shiftleft(1L, {STEP_BITS} * {level})")
+def _cell_size(level: str, base: float, bits: int) -> Column:
+    return F.expr(f"{base}D * shiftleft(1L, {bits} * {level})")
 
 
 def _cell(v: Column, size: Column) -> Column:
@@ -46,11 +46,13 @@ def _range(lo: Column, hi: Column) -> Column:
     return F.sequence(lo, hi)
 
 
-def _on_grid(df: DataFrame, box: Sequence[str], own: str, other_levels: Column, base: float) -> DataFrame:
+def _on_grid(
+    df: DataFrame, box: Sequence[str], own: str, other_levels: Column, base: float, bits: int,
+) -> DataFrame:
     """One row per (level, cell) at which a box can meet a box of the other side."""
     x0, y0, x1, y1 = (F.col(c) for c in box)
-    size = _cell_size("_k", base)
-    level = _level(box, base)
+    size = _cell_size("_k", base, bits)
+    level = _level(box, base, bits)
     if (box[0], box[1]) == (box[2], box[3]):
         # a point has one cell on each level of the other side
         return (
@@ -67,9 +69,9 @@ def _on_grid(df: DataFrame, box: Sequence[str], own: str, other_levels: Column,
     )
 
 
-def _levels_of(df: DataFrame, box: Sequence[str], base: float) -> Column:
+def _levels_of(df: DataFrame, box: Sequence[str], base: float = BASE, bits: int = STEP_BITS) -> Column:
     """Grid levels in use, as a scalar subquery (at most ``LEVELS`` small integers)."""
-    return df.select(_level(box, base).alias("_k")).agg(F.collect_set("_k").alias("ks")).scalar()
+    return df.select(_level(box, base, bits).alias("_k")).agg(F.collect_set("_k").alias("ks")).scalar()
 
 
 def candidates(
@@ -82,9 +84,12 @@ def candidates(
     salt: int = 1,
     left_levels: Column | None = None,
     right_levels: Column | None = None,
+    bits: int = STEP_BITS,
 ) -> DataFrame:
     """All pairs of rows whose closed boxes meet, each pair once.
 
+    Cells of level ``k`` are ``base * 2 ** (bits * k)`` wide.
+
     ``on`` adds equality keys shared by name. ``salt`` spreads the left rows of one cell
     over that many tasks and repeats the right rows; use it where the right side is a
     short list of large areas. Other hot cells are split by adaptive skew handling.
@@ -94,11 +99,11 @@ def candidates(
     left = left.filter(F.col(left_box[0]).isNotNull())
     right = right.filter(F.col(right_box[0]).isNotNull())
     if left_levels is None:
-        left_levels = _levels_of(left, left_box, base)
+        left_levels = _levels_of(left, left_box, base, bits)
     if right_levels is None:
-        right_levels = _levels_of(right, right_box, base)
-    l = _on_grid(left, left_box, "_lk", right_levels, base)
-    r = _on_grid(right, right_box, "_rk", left_levels, base)
+        right_levels = _levels_of(right, right_box, base, bits)
+    l = _on_grid(left, left_box, "_lk", right_levels, base, bits)
+    r = _on_grid(right, right_box, "_rk", left_levels, base, bits)
     keys = ["_k", "_cx", "_cy", *on]
     if salt > 1:
         spread = F.pmod(F.xxhash64(*[c for c in left.columns if c not in on]), F.lit(salt)).cast("int")
@@ -107,7 +112,7 @@ def candidates(
         keys.append("_salt")
     lx0, ly0, lx1, ly1 = (F.col(c) for c in left_box)
     rx0, ry0, rx1, ry1 = (F.col(c) for c in right_box)
-    size = _cell_size("_k", base)
+    size = _cell_size("_k", base, bits)
     meet = (lx0 <= rx1) & (rx0 <= lx1) & (ly0 <= ry1) & (ry0 <= ly1)
     once = (
         (F.col("_k") == F.greatest("_lk", "_rk"))
@@ -158,7 +163,7 @@ def spatial_join(
     if predicate == "intersects":
         pairs = _refine(candidates(_plain(left), r, base=base, salt=salt))
     elif predicate == "contains":
-        pairs = candidates(left, r, left_box=("px", "py", "px", "py"), base=base, salt=salt)
+        pairs = candidates(left, r, left_box=("px", "py", "px", "py"), base=base, salt=salt, bits=POINT_BITS)
         pairs = pairs.filter(G.point_in("rrings", "px", "py"))
     else:
         raise ValueError(f"unknown predicate {predicate!r}")
@@ -206,7 +211,7 @@ def overlap_area(
     neighbours is worked on in pieces, and a piece that one neighbour covers completely
     keeps only that neighbour. A shape meets itself when it has copies.
     """
-    levels = _levels_of(df, G.BOX, BASE)
+    levels = _levels_of(df, G.BOX)
     shapes = distinct_shapes(df, id, on)
     pairs = candidates(shapes, _as_other(shapes, on), on=on, left_levels=levels, right_levels=levels)
     own = F.col("shape") == F.col("rshape")
@@ -268,7 +273,7 @@ def label_by_overlap(
     pairs = _refine(
         candidates(
             distinct_shapes(df, id).drop("copies"), right,
-            left_levels=_levels_of(df, G.BOX, BASE), right_levels=_levels_of(chosen, G.BOX, BASE),
+            left_levels=_levels_of(df, G.BOX), right_levels=_levels_of(chosen, G.BOX),
         )
     )
     parts = pairs.select("shape", "rings", (K.shared_area("rings", "rrings") * F.col("_times")).alias("_a"))
@@ -295,7 +300,7 @@ def adjacent_count(df: DataFrame, id: str = "identificatie", dist: float = 0.1)
     )
     grown = _plain(grown)
     pairs = _refine(
-        candidates(grown, _as_other(shapes), right_levels=_levels_of(df, G.BOX, BASE))
+        candidates(grown, _as_other(shapes), right_levels=_levels_of(df, G.BOX))
     )
     times = F.when(F.col("shape") == F.col("rshape"), F.col("copies") - 1).otherwise(F.col("rcopies"))
     met = (
@@ -385,5 +390,5 @@ def points_in(
 ) -> DataFrame:
     """Points inside a footprint's bounding box, with the footprint id and ``keep`` columns."""
     r = footprints.select(id, *keep, *[F.col(c).alias("r" + c) for c in G.BOX])
-    pairs = candidates(points, r, left_box=("x", "y", "x", "y"), salt=salt)
+    pairs = candidates(points, r, left_box=("x", "y", "x", "y"), salt=salt, bits=POINT_BITS)
     return pairs.drop("rx0", "ry0", "rx1", "ry1")
