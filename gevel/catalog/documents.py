@@ -76,7 +76,7 @@ def write_back(spark, sf):
     docs = event_docs(spark, sf).withColumn("tile_id", F.concat(F.lit("t"), "event_type"))
     values = docs.filter("value <= 50").select("id", F.rint(F.col("value") / 8).cast("int").alias("n"))
     new, _ = D.set_attributes(docs.select("id", "tile_id", "doc"), values, {"n": "b3_bouwlagen"}, how="left")
-    path = f"{shared_dir(spark).rstrip(chr(47))}/gevel-docs-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/gevel-docs-{uuid.uuid4().hex}"
     sinks.write_features(new, path)
     back = spark.read.text(path)
     objects = D.city_objects(back.select("tile_id", F.col("value").alias("doc"))).filter("type = 'Building'")

@@ -47,7 +47,7 @@ def overlap(spark, sf):
     return A.shaped(S.overlap_area(order_boxes(spark, sf)), "fid:l b3_bag_bag_overlap:d")
 
 
-def overlap_by_supplier_part(spark, sf):
+def overlap_by_brand(spark, sf):
     """J1 with further equal keys: overlap among the parts of one brand."""
     parts = part_boxes(spark, sf, "p_brand", **A.GREENHOUSE)
     return A.shaped(S.overlap_area(parts, on=["p_brand"]), "fid:l p_brand:s b3_bag_bag_overlap:d")
@@ -353,7 +353,7 @@ BOX_MEET = "a.x0 <= n.x1 AND n.x0 <= a.x1 AND a.y0 <= n.y1 AND n.y0 <= a.y1"
 QUERIES = {
     "overlap": (overlap, f"WITH b AS ({ORDER_BOXES}), {OVERLAP_CTE} SELECT fid, b3_bag_bag_overlap FROM overlap"),
     "overlap_by_key": (
-        overlap_by_supplier_part,
+        overlap_by_brand,
         f"""WITH b AS ({part_sql('p_brand,', **A.GREENHOUSE)}), {OVERLAP_CTE.replace('a.fid <> n.fid', 'a.fid <> n.fid AND a.p_brand = n.p_brand')}
         SELECT o.fid, b.p_brand, o.b3_bag_bag_overlap FROM overlap o JOIN b ON o.fid = b.fid""",
     ),
