@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import labelled, toxicity
+from gevel.llm import labelled, langid, quality, toxicity
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -16,6 +16,13 @@ def with_held_out(scored: DataFrame, modulus: int, rest: int, *columns: str | Co
     return scored.select("doc_id", (labelled.remainder(modulus) == rest).alias("held_out"), *columns)
 
 
+def quality_model(spark: SparkSession, sf: str) -> quality.Model:
+    docs = table(spark, sf, "documents")
+    labels = table(spark, sf, "labels").where(labelled.remainder(3) != 1)
+    rows = labelled.sample(docs, labels.select("doc_id", F.col("quality").alias("label")), per_class=1000, longest=8000)
+    return quality.fit([t for t, _ in rows], [y for _, y in rows])
+
+
 def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity score of every document, with the tagged spans; labels are learnt from two thirds of the labelled rows."""
     docs = table(spark, sf, "documents")
@@ -25,8 +32,24 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return with_held_out(toxicity.score(docs, model), 3, 1, "score", "predicted", "spans")
 
 
+def op7_language(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every document; learnt from the languages of three quarters of the rows."""
+    docs = table(spark, sf, "documents")
+    labels = docs.where(labelled.remainder(4) != 2).select("doc_id", F.col("lang").alias("label"))
+    rows = labelled.sample(docs, labels, per_class=300, longest=6000)
+    model = langid.fit([t for t, _ in rows], [y for _, y in rows])
+    return with_held_out(langid.predict(docs, model), 4, 2, "lang_pred", "score", "ambiguous")
+
+
+def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality of every document; learnt from the labels of two thirds of the labelled rows."""
+    return with_held_out(quality.score(table(spark, sf, "documents"), quality_model(spark, sf)), 3, 1, "score", "predicted", "n_lines", "n_bad_lines")
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op7_language": op7_language,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {}
