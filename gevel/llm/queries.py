@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import labelled, langid, quality, toxicity
+from gevel.llm import labelled, langid, quality, simhash, toxicity
+from gevel.session import cut_lineage
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -41,6 +42,13 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     return with_held_out(langid.predict(docs, model), 4, 2, "lang_pred", "score", "ambiguous")
 
 
+def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprint of every document over 4-word shingles, and its component of links at 4 or fewer bits."""
+    prints = cut_lineage(simhash.fingerprints(table(spark, sf, "documents"), words=4))
+    out = simhash.near_groups(prints, tau=4)
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Quality of every document; learnt from the labels of two thirds of the labelled rows."""
     return with_held_out(quality.score(table(spark, sf, "documents"), quality_model(spark, sf)), 3, 1, "score", "predicted", "n_lines", "n_bad_lines")
@@ -49,6 +57,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op7_language": op7_language,
+    "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
 }
 
