@@ -139,25 +139,27 @@ def plan(sample: np.ndarray, count: int, tau: int, probe_cost: float = 60.0) ->
     return best[1]
 
 
+def _signed(mask: int) -> int:
+    return mask - (1 << WIDTH) if mask >> (WIDTH - 1) else mask
+
+
 def _masks(group: list[int], radius: int) -> list[int]:
     """Every way to flip at most ``radius`` of the bits, as signed 64-bit masks."""
     out = []
     for d in range(radius + 1):
         for flips in combinations(group, d):
-            mask = sum(1 << b for b in flips)
-            out.append(mask - (1 << WIDTH) if mask >> (WIDTH - 1) else mask)
+            out.append(_signed(sum(1 << b for b in flips)))
     return out
 
 
 def signatures(prints: DataFrame, chosen: Plan) -> DataFrame:
     """A row for each partition and each value within its threshold."""
-    rows = []
-    for i, (group, radius) in enumerate(zip(chosen.parts, chosen.thresholds, strict=True)):
-        inside = sum(1 << b for b in group)
-        inside = inside - (1 << WIDTH) if inside >> (WIDTH - 1) else inside
-        base = F.col("fingerprint").bitwiseAND(F.lit(inside))
-        rows.append(F.transform(F.array(*(F.lit(x) for x in _masks(group, radius))), lambda x, b=base, i=i: F.struct(F.lit(i).alias("part"), b.bitwiseXOR(x).alias("value"))))
-    return prints.select("fingerprint", "node", F.inline(F.flatten(F.array(*rows))))
+    def signature(i: int, flip: int):
+        kept = F.col("fingerprint").bitwiseAND(F.lit(_signed(sum(1 << b for b in chosen.parts[i]))).cast("long"))
+        return F.struct(F.lit(i).alias("part"), kept.bitwiseXOR(F.lit(flip).cast("long")).alias("value"))
+
+    rows = [signature(i, flip) for i, radius in enumerate(chosen.thresholds) for flip in _masks(chosen.parts[i], radius)]
+    return prints.select("fingerprint", "node", F.inline(F.array(*rows)))
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
