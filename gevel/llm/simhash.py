@@ -182,7 +182,7 @@ def _compare(group: np.ndarray, side: np.ndarray, value: np.ndarray, node: np.nd
     a, b, lag = [], [], 1
     at = np.flatnonzero(group[:-1] == group[1:])
     while len(at):
-        near = np.bitwise_count(value[at] ^ value[at + lag]) <= tau
+        near = np.bitwise_count((value[at] ^ value[at + lag]).view(np.uint64)) <= tau
         near &= (side[at] != side[at + lag]) | (side[at] == 2)
         a.append(node[at[near]])
         b.append(node[at[near] + lag])
