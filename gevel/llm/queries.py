@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import labelled, langid, quality, simhash, toxicity
+from gevel.llm import labelled, langid, quality, simhash, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -33,6 +33,14 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return with_held_out(toxicity.score(docs, model), 3, 1, "score", "predicted", "spans")
 
 
+def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item, and the items."""
+    out = winnow.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated")
+    )
+
+
 def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     """Language of every document; learnt from the languages of three quarters of the rows."""
     docs = table(spark, sf, "documents")
@@ -56,6 +64,7 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_decontaminate": op4_decontaminate,
     "op7_language": op7_language,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
