@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import labelled, langid, quality, simhash, toxicity, winnow
+from gevel.llm import labelled, langid, quality, simhash, suffix, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -50,6 +50,11 @@ def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     return with_held_out(langid.predict(docs, model), 4, 2, "lang_pred", "score", "ambiguous")
 
 
+def op8_suffix(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes of every document that are left when 50-byte strings of earlier documents are cut out."""
+    return suffix.dedup(table(spark, sf, "documents")).drop("kept")
+
+
 def op9_simhash(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint of every document over 4-word shingles, and its component of links at 4 or fewer bits."""
     prints = cut_lineage(simhash.fingerprints(table(spark, sf, "documents"), words=4))
@@ -66,6 +71,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op7_language": op7_language,
+    "op8_suffix": op8_suffix,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
 }
