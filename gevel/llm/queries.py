@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import labelled, langid, quality, simhash, suffix, toxicity, winnow
+from gevel.llm import labelled, langid, packing, quality, sharding, simhash, suffix, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -33,6 +33,17 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return with_held_out(toxicity.score(docs, model), 3, 1, "score", "predicted", "spans")
 
 
+def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Sixteen shards with row counts at most one apart; equal texts are kept together."""
+    out = sharding.shard(table(spark, sf, "documents"), shards=16)
+    return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op3_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Bin and place of every piece of every document, in sequences of 8192 bytes."""
+    return packing.pack(table(spark, sf, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item, and the items."""
     out = winnow.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
@@ -69,6 +80,8 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_sharding": op2_sharding,
+    "op3_packing": op3_packing,
     "op4_decontaminate": op4_decontaminate,
     "op7_language": op7_language,
     "op8_suffix": op8_suffix,
