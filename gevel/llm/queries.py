@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import labelled, langid, packing, quality, sharding, simhash, suffix, toxicity, winnow
+from gevel.llm import covertree, labelled, langid, packing, quality, sharding, simhash, suffix, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -52,6 +52,15 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    """The 20 best inner products of every 20th vector with all others, on components in steps of 1/64."""
+    rows = table(spark, sf, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    steps = F.transform("embedding", lambda x: F.floor(x.cast("double") * 64))
+    vectors = rows.where(F.col("embedding").isNotNull() & finite).select("vec_id", steps.alias("vector"))
+    return covertree.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op7_language(spark: SparkSession, sf: str) -> DataFrame:
     """Language of every document; learnt from the languages of three quarters of the rows."""
     docs = table(spark, sf, "documents")
@@ -83,10 +92,24 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_decontaminate": op4_decontaminate,
+    "op6_top_k": op6_top_k,
     "op7_language": op7_language,
     "op8_suffix": op8_suffix,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, d.vec_id AS vec_id, CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score
+            FROM v q JOIN v d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id
+        ), ranked AS (
+            SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 20""",
+}
