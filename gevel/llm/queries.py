@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import covertree, labelled, langid, packing, quality, sharding, simhash, suffix, toxicity, winnow
+from gevel.llm import covertree, labelled, langid, packing, quality, quotes, sharding, simhash, suffix, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -52,6 +52,11 @@ def op4_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op5_quotes(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message without its quotations, linked to the one it answers, in reply order."""
+    return quotes.reply_order(table(spark, sf, "conversations"))
+
+
 def op6_top_k(spark: SparkSession, sf: str) -> DataFrame:
     """The 20 best inner products of every 20th vector with all others, on components in steps of 1/64."""
     rows = table(spark, sf, "embeddings")
@@ -92,6 +97,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_packing": op3_packing,
     "op4_decontaminate": op4_decontaminate,
+    "op5_quotes": op5_quotes,
     "op6_top_k": op6_top_k,
     "op7_language": op7_language,
     "op8_suffix": op8_suffix,
@@ -100,6 +106,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "op5_quotes": quotes.SQL,
     "op6_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
