@@ -169,3 +169,12 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return kept.mapInArrow(per_piece(work), "doc_id long, score double, predicted int, n_lines long, n_bad_lines long")
+
+
+def keep(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose quality reaches the threshold."""
+
+    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
+        return piece.filter(pa.array(rate(model, *text_bytes(piece.column("text")))[0] >= threshold))
+
+    return docs.mapInArrow(per_piece(work), docs.schema)

@@ -15,10 +15,10 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gevel.llm.arrays import LOWER, per_piece, spans, text_bytes
+from gevel.llm.arrays import LOWER, SpanHash, mix, owner, per_piece, spans, text_bytes
 from gevel.llm.components import components
 from gevel.session import cut_lineage
 
@@ -159,7 +159,7 @@ def signatures(prints: DataFrame, chosen: Plan) -> DataFrame:
         return F.struct(F.lit(i).alias("part"), kept.bitwiseXOR(F.lit(flip).cast("long")).alias("value"))
 
     rows = [signature(i, flip) for i, radius in enumerate(chosen.thresholds) for flip in _masks(chosen.parts[i], radius)]
-    return prints.select("fingerprint", "node", F.inline(F.array(*rows)))
+    return prints.select(*prints.columns, F.inline(F.array(*rows)))
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -177,31 +177,37 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[leaf], ids[label[leaf]]
 
 
-def _compare(group: np.ndarray, side: np.ndarray, value: np.ndarray, node: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
+def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((x ^ y).view(np.uint64)).astype(np.int64)
+
+
+def _compare(group: np.ndarray, side: np.ndarray, node: np.ndarray, value: np.ndarray, checks: list[np.ndarray], tau: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Verified links among rows of equal, neighbouring groups; in a split group only between its sides."""
     a, b, lag = [], [], 1
     at = np.flatnonzero(group[:-1] == group[1:])
     while len(at):
-        near = np.bitwise_count((value[at] ^ value[at + lag]).view(np.uint64)) <= tau
-        near &= (side[at] != side[at + lag]) | (side[at] == 2)
-        a.append(node[at[near]])
-        b.append(node[at[near] + lag])
+        here = at[(_apart(value[at], value[at + lag]) <= tau) & ((side[at] != side[at + lag]) | (side[at] == 2))]
+        if checks and len(here):
+            here = here[sum(_apart(c[here], c[here + lag]) for c in checks) <= limit]
+        a.append(node[here])
+        b.append(node[here + lag])
         lag += 1
         at = at[at + lag < len(group)]
         at = at[group[at] == group[at + lag]]
     return (np.concatenate(a), np.concatenate(b)) if a else (node[:0], node[:0])
 
 
-def links(prints: DataFrame, tau: int = 4, block: int = 256, sample: int = 4000) -> DataFrame:
+def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit: int = 0, block: int = 256, sample: int = 4000) -> DataFrame:
     """Links between nodes whose fingerprints are at most ``tau`` bits apart, enough to connect the same components.
 
-    ``prints`` has node and fingerprint, one row for each fingerprint. The plan is fitted to the
+    ``prints`` has node and fingerprint, one row for each node. The fingerprints in ``checks`` may differ
+    by ``limit`` bits together besides. The plan is fitted to the
     ``sample`` fingerprints with the smallest hashes. A value that more than ``block`` signatures share
     is split into blocks, and each two of them meet in a task of their own; a task gives one star for
     each component it finds, not all pairs.
     """
     count = prints.count()
-    drawn = prints.select("fingerprint").orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).collect()
+    drawn = prints.select("fingerprint").distinct().orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).collect()
     chosen = plan(np.array([r[0] for r in drawn], np.int64), count, tau)
     rows = signatures(prints, chosen)
     crowded = rows.groupBy("part", "value").count().where(F.col("count") > block)
@@ -211,14 +217,14 @@ def links(prints: DataFrame, tau: int = 4, block: int = 256, sample: int = 4000)
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     met = F.transform(other, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
     alone = F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(2).alias("side")))
-    rows = rows.select("part", "value", "fingerprint", "node", F.inline(F.when(F.col("blocks").isNull(), alone).otherwise(met)))
-    keyed = rows.select(F.xxhash64("part", "value", "i", "j").alias("group"), "side", "fingerprint", "node")
+    rows = rows.select("part", "value", "fingerprint", "node", *checks, F.inline(F.when(F.col("blocks").isNull(), alone).otherwise(met)))
+    keyed = rows.select(F.xxhash64("part", "value", "i", "j").alias("group"), "side", "node", "fingerprint", *checks)
     keyed = keyed.repartition("group").sortWithinPartitions("group")
 
     def run(batches):
         held = None
         for batch in batches:
-            now = [np.asarray(batch.column(c)) for c in ("group", "side", "fingerprint", "node")]
+            now = [np.asarray(c) for c in batch.columns]
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now, strict=True)]
             cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
@@ -229,7 +235,7 @@ def links(prints: DataFrame, tau: int = 4, block: int = 256, sample: int = 4000)
 
     def found(part):
         if len(part[0]):
-            a, b = forest(*_compare(part[0], part[1], part[2], part[3], tau))
+            a, b = forest(*_compare(*part[:4], part[4:], tau, limit))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return keyed.mapInArrow(run, "a long, b long").distinct()
@@ -245,3 +251,54 @@ def near_groups(prints: DataFrame, tau: int = 4) -> DataFrame:
     found = components(links(nodes, tau))
     of = nodes.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id"))
     return prints.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def shingle_bits(similarity: float, bits: int) -> int:
+    """Bits that two texts of this Jaccard similarity of shingles may differ by, two deviations above the mean."""
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(np.ceil(bits * share + 2 * np.sqrt(bits * share * (1 - share))))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, tau: int = 7) -> DataFrame:
+    """One row of ``docs`` for each group of near copies, with all its columns: the smallest doc_id, then text hash.
+
+    Texts are near copies when the fingerprints of their distinct words differ by at most ``tau`` bits and
+    128 bits over their shingles of ``words`` words speak for a Jaccard similarity of ``similarity`` or
+    more (within two deviations of the estimate). Rows of equal doc_id and text count once; null, empty
+    and blank texts are copies of each other; a null doc_id comes first.
+    """
+    mine = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+    def work(piece: pa.RecordBatch) -> pa.RecordBatch:
+        data, offsets = text_bytes(piece.column("text"))
+        low = LOWER[data]
+        starts, ends, first = spans(WORD[low], offsets)
+        hashes, row = SpanHash(low)(starts, ends), owner(first)
+        order = np.lexsort((hashes, row))
+        new = np.ones(len(order), bool)
+        new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])
+        single = order[new]
+        grams = np.zeros(len(hashes), np.uint64)
+        left = np.minimum(words, np.repeat(first[1:], np.diff(first)) - np.arange(len(hashes)))  # words up to the end of the row
+        for j in range(words):
+            at = np.minimum(np.arange(len(hashes)) + j, max(len(hashes) - 1, 0))
+            grams = np.where(j < left, grams * np.uint64(0x9E3779B97F4A7C15) + hashes[at], grams)
+        full = (left == words) | (np.arange(len(hashes)) == first[:-1][row])  # whole shingles; a short text is one
+        bounds = np.searchsorted(row[full], np.arange(len(first)))
+        return pa.RecordBatch.from_arrays(
+            [piece.column("doc_id"), piece.column("hash"), pa.array(majority(hashes[single], np.searchsorted(row[single], np.arange(len(first))))), pa.array(majority(mix(grams[full]), bounds)), pa.array(majority(mix(grams[full] ^ np.uint64(0x5851F42D4C957F2D)), bounds))],
+            ["doc_id", "hash", "fingerprint", "check_1", "check_2"],
+        )
+
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mine.alias("hash"), F.col("text").cast("string").alias("text"))
+    prints = cut_lineage(kept.mapInArrow(per_piece(work), "doc_id long, hash long, fingerprint long, check_1 long, check_2 long"))
+    same = ["fingerprint", "check_1", "check_2"]
+    nodes = prints.groupBy(*same).agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+    nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
+    found = components(links(nodes.select("node", *same), tau, ("check_1", "check_2"), shingle_bits(similarity, 2 * WIDTH)))
+    firsts = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
+    stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_hash")))
+    stays = stays.withColumnRenamed("_hash", "_of")
+    out = docs.withColumn("_hash", mine).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left_semi")
+    once = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
+    return out.withColumn("_once", F.row_number().over(once)).where("_once = 1").select(*docs.columns)
