@@ -23,6 +23,8 @@ from gevel.llm.components import components
 from gevel.session import cut_lineage
 
 WIDTH = 64
+#: fingerprints over long shingles that confirm a link of near copies
+CHECKS = ("check_1", "check_2", "check_3", "check_4")
 _CODE = np.arange(256)
 WORD = ~((_CODE == 32) | ((_CODE >= 9) & (_CODE <= 13)))
 
@@ -254,17 +256,17 @@ def near_groups(prints: DataFrame, tau: int = 4) -> DataFrame:
 
 
 def shingle_bits(similarity: float, bits: int) -> int:
-    """Bits that two texts of this Jaccard similarity of shingles may differ by, two deviations above the mean."""
+    """Bits that two texts of this Jaccard similarity of shingles may differ by, 1.5 deviations above the mean."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(np.ceil(bits * share + 2 * np.sqrt(bits * share * (1 - share))))
+    return int(np.ceil(bits * share + 1.5 * np.sqrt(bits * share * (1 - share))))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, tau: int = 7) -> DataFrame:
     """One row of ``docs`` for each group of near copies, with all its columns: the smallest doc_id, then text hash.
 
     Texts are near copies when the fingerprints of their distinct words differ by at most ``tau`` bits and
-    128 bits over their shingles of ``words`` words speak for a Jaccard similarity of ``similarity`` or
-    more (within two deviations of the estimate). Rows of equal doc_id and text count once; null, empty
+    256 bits over their shingles of ``words`` words speak for a Jaccard similarity of ``similarity`` or
+    more (within 1.5 deviations of the estimate). Rows of equal doc_id and text count once; null, empty
     and blank texts are copies of each other; a null doc_id comes first.
     """
     mine = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -285,20 +287,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
             grams = np.where(j < left, grams * np.uint64(0x9E3779B97F4A7C15) + hashes[at], grams)
         full = (left == words) | (np.arange(len(hashes)) == first[:-1][row])  # whole shingles; a short text is one
         bounds = np.searchsorted(row[full], np.arange(len(first)))
-        return pa.RecordBatch.from_arrays(
-            [piece.column("doc_id"), piece.column("hash"), pa.array(majority(hashes[single], np.searchsorted(row[single], np.arange(len(first))))), pa.array(majority(mix(grams[full]), bounds)), pa.array(majority(mix(grams[full] ^ np.uint64(0x5851F42D4C957F2D)), bounds))],
-            ["doc_id", "hash", "fingerprint", "check_1", "check_2"],
-        )
+        prints = [majority(hashes[single], np.searchsorted(row[single], np.arange(len(first))))]
+        prints += [majority(mix(grams[full] ^ np.uint64(j * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)), bounds) for j in range(len(CHECKS))]
+        return pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("hash"), *map(pa.array, prints)], ["doc_id", "hash", *same])
 
+    same = ["fingerprint", *CHECKS]
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mine.alias("hash"), F.col("text").cast("string").alias("text"))
-    prints = cut_lineage(kept.mapInArrow(per_piece(work), "doc_id long, hash long, fingerprint long, check_1 long, check_2 long"))
-    same = ["fingerprint", "check_1", "check_2"]
+    prints = cut_lineage(kept.mapInArrow(per_piece(work), f"doc_id long, hash long, {', '.join(f'{c} long' for c in same)}"))
     nodes = prints.groupBy(*same).agg(F.min(F.struct("doc_id", "hash")).alias("first"))
     nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
-    found = components(links(nodes.select("node", *same), tau, ("check_1", "check_2"), shingle_bits(similarity, 2 * WIDTH)))
+    found = components(links(nodes.select("node", *same), tau, CHECKS, shingle_bits(similarity, len(CHECKS) * WIDTH)))
     firsts = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
-    stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("_id"), F.col("first.hash").alias("_hash")))
-    stays = stays.withColumnRenamed("_hash", "_of")
-    out = docs.withColumn("_hash", mine).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")), "left_semi")
-    once = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
-    return out.withColumn("_once", F.row_number().over(once)).where("_once = 1").select(*docs.columns)
+    stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("__gevel_id"), F.col("first.hash").alias("__gevel_hash")))
+    stays = stays.withColumnRenamed("__gevel_hash", "__gevel_of")
+    out = docs.withColumn("__gevel_hash", mine).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("__gevel_id")) & (F.col("__gevel_hash") == F.col("__gevel_of")), "left_semi")
+    once = Window.partitionBy("doc_id", "__gevel_hash").orderBy("doc_id")
+    return out.withColumn("__gevel_once", F.row_number().over(once)).where("__gevel_once = 1").select(*docs.columns)
