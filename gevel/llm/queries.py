@@ -28,7 +28,7 @@ def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     """Toxicity score of every document, with the tagged spans; labels are learnt from two thirds of the labelled rows."""
     docs = table(spark, sf, "documents")
     labels = table(spark, sf, "labels").where(labelled.remainder(3) != 1)
-    rows = labelled.sample(docs, labels.select("doc_id", F.col("toxic").alias("label")), per_class=1000, longest=6000)
+    rows = labelled.sample(docs, labels.select("doc_id", F.col("toxic").alias("label")), per_class=2000, longest=6000)
     model = toxicity.fit([t for t, _ in rows], [y for _, y in rows])
     return with_held_out(toxicity.score(docs, model), 3, 1, "score", "predicted", "spans")
 

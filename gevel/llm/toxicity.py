@@ -35,7 +35,7 @@ def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     span = SpanHash(data)
     whole = span(starts, ends)
     columns = [whole]
-    for n in (4, 5, 6):
+    for n in range(4, 10):
         columns.append(span(starts, np.minimum(starts + n, ends)) + np.uint64(n))
     columns.append(span(np.maximum(ends - 4, starts), ends) + np.uint64(11))
     columns.append(np.minimum(ends - starts, 24).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -49,18 +49,28 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return low, starts, ends, first
 
 
-def word_labels(keys: np.ndarray, first: np.ndarray, toxic: np.ndarray, ratio: float = 60.0, least: int = 5) -> np.ndarray:
-    """Which words are offensive: some key of theirs occurs in ``ratio`` times as large a share of the toxic texts."""
+def word_labels(keys: np.ndarray, first: np.ndarray, toxic: np.ndarray, ratio: float = 20.0, evidence: float = 18.0) -> np.ndarray:
+    """Which words are offensive: some key of theirs is ``ratio`` times as frequent in toxic texts as in others.
+
+    A key counts once for each different word before it, so that what many copies of one toxic text
+    share does not become offensive. ``evidence`` is the least log likelihood ratio against equal
+    frequencies, so that rare keys which a few toxic texts have by chance do not count.
+    """
     row = owner(first)
+    of = toxic[row]
+    before = np.full(len(row), -1, np.int64)
+    before[1:] = np.where(row[1:] == row[:-1], keys[:-1, 0], -1)
     bad = np.zeros(len(row), bool)
     for column in range(keys.shape[1]):
-        seen = np.unique(keys[:, column].astype(np.int64) << 32 | row)
-        key, of = seen >> 32, toxic[seen & 0xFFFFFFFF]
-        inside = np.bincount(key[of], minlength=1 << BITS)
-        outside = np.bincount(key[~of], minlength=1 << BITS)
-        odds = (inside / max(1, toxic.sum())) / ((outside + 0.5) / max(1, (~toxic).sum()))
-        bad |= ((odds > ratio) & (inside >= least))[keys[:, column]]
-    return bad & toxic[row]
+        pair = keys[:, column].astype(np.int64) << 32 | (before & 0xFFFFFFFF)
+        inside = np.bincount(np.unique(pair[of]) >> 32, minlength=1 << BITS)
+        outside = np.bincount(np.unique(pair[~of]) >> 32, minlength=1 << BITS)
+        share = min(max(inside.sum() / max(1, inside.sum() + outside.sum()), 1e-6), 1 - 1e-6)
+        odds = inside / (outside + 0.5) * (1 - share) / share
+        both = np.maximum(inside + outside, 1)
+        gain = inside * np.log(np.maximum(inside / both, 1e-9) / share) + outside * np.log(np.maximum(outside / both, 1e-9) / (1 - share))
+        bad |= ((odds > ratio) & (gain > evidence))[keys[:, column]]
+    return bad & of
 
 
 def fit(texts: list[str], toxic: list[int], rounds: int = 25, rate: float = 0.5, decay: float = 1e-6) -> Tagger:
@@ -68,7 +78,7 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 25, rate: float = 0.5,
     data, offsets = text_bytes(pa.array(texts, pa.string()))
     low, starts, ends, first = words(data, offsets)
     keys = features(low, starts, ends)
-    target = word_labels(keys[:, :4], first, np.array(toxic, bool)).astype(float)
+    target = word_labels(keys[:, :7], first, np.array(toxic, bool)).astype(float)
     weights, pair, bias = np.zeros(1 << BITS), np.zeros((2, 2)), 0.0
     grown, grown_pair, grown_bias = np.full(1 << BITS, 1e-6), np.full((2, 2), 1e-6), 1e-6
     row = owner(first)
