@@ -72,15 +72,15 @@ def attributes(spark, sf):
 
 
 def write_back(spark, sf):
-    """Documents written below their tile and indexed again."""
+    """Documents written below their tile and read again."""
     docs = event_docs(spark, sf).withColumn("tile_id", F.concat(F.lit("t"), "event_type"))
     values = docs.filter("value <= 50").select("id", F.rint(F.col("value") / 8).cast("int").alias("n"))
     new, _ = D.set_attributes(docs.select("id", "tile_id", "doc"), values, {"n": "b3_bouwlagen"}, how="left")
     path = f"{shared_dir(spark).rstrip('/')}/gevel-docs-{uuid.uuid4().hex}"
     sinks.write_features(new, path)
-    back = spark.read.text(path)
-    objects = D.city_objects(back.select("tile_id", F.col("value").alias("doc"))).filter("type = 'Building'")
-    got = objects.select("tile_id", F.col("coid").alias("id"), F.col("attributes")["b3_bouwlagen"].alias("b3_bouwlagen"))
+    back = SF.read_features(spark, path).withColumn("tile_id", F.regexp_extract("path", "tile_id=([^/]+)/", 1))
+    objects = D.city_objects(back.select("tile_id", "id", "doc")).filter("type = 'Building' AND coid = id")
+    got = objects.select("tile_id", "id", F.col("attributes")["b3_bouwlagen"].alias("b3_bouwlagen"))
     return A.shaped(got, "tile_id:s id:s b3_bouwlagen:l")
 
 
@@ -115,14 +115,15 @@ def dequantised(spark, sf):
 
 
 def row_houses(spark, sf):
-    """Parts as box houses in rows of ten; neighbours share a wall as high as the lower one."""
+    """Parts as box houses in rows of ten, turned by the angle of (3, 4, 5); neighbours share a wall as high as the lower one."""
     k = F.col("p_partkey")
     x0, y0, h = ((k % 10) * 10).cast("double"), (F.floor(k / 10) * 30).cast("double"), F.col("p_size").cast("double")
     df = A.table(spark, sf, "part").select(k.alias("identificatie"), x0.alias("x0"), y0.alias("y0"), (x0 + 10).alias("x1"), (y0 + 10).alias("y1"), h.alias("h"))
     zero = F.lit(0.0)
 
     def face(kind, *corners):
-        ring = [F.struct(*[v.alias(n) for n, v in zip("xyz", c)]) for c in (*corners, corners[0])]
+        turned = [(x * 0.6 - y * 0.8, x * 0.8 + y * 0.6, z) for x, y, z in corners]
+        ring = [F.struct(*[v.alias(n) for n, v in zip("xyz", c)]) for c in (*turned, turned[0])]
         return F.struct(F.lit(kind).alias("type"), F.array(*ring).alias("ring"))
 
     a, b, c, d, e = (F.col(n) for n in ("x0", "y0", "x1", "y1", "h"))
@@ -190,6 +191,17 @@ def geojson(spark, sf):
     return A.shaped(got.select("tile_id", "link", G.area("rings").alias("area"), G.to_wkt("rings").alias("wkt")), "tile_id:s link:s area:d wkt:s")
 
 
+def multipart_regions(spark, sf):
+    """Every part of regions with several parts, from GeoJSON and from text."""
+    s = A.table(spark, sf, "supplier")
+    parts = "[[[0,0],[4,0],[4,3],[0,3],[0,0]]],[[[9,0],[', 9 + s_suppkey, ',0],[', 9 + s_suppkey, ',2],[9,2],[9,0]],[[10,0.5],[10.5,0.5],[10.5,1],[10,1],[10,0.5]]]"
+    doc = F.expr(f"concat('{{\"features\":\n[{{\"properties\":{{\"AHN\":\"T', s_suppkey, '\"}},\n\"geometry\":{{\"type\":\"MultiPolygon\",\"coordinates\":[{parts}]}}}}]}}')")
+    got = SF.parse_geojson(s.select(doc.alias("doc")), "doc", "AHN").select("tile_id", "rings")
+    text = F.expr("concat('MULTIPOLYGON (((0 0, 4 0, 4 3, 0 3, 0 0)), ((9 0, ', 9 + s_suppkey, ' 0, ', 9 + s_suppkey, ' 2, 9 2, 9 0), (10 0.5, 10.5 0.5, 10.5 1, 10 1, 10 0.5)))')")
+    wkt = s.select(F.expr("concat('w', s_suppkey)").alias("tile_id"), F.explode(G.parts_from_wkt(text)).alias("rings"))
+    return A.shaped(got.unionByName(wkt).select("tile_id", F.size("rings").alias("n_rings"), F.round(G.area("rings"), 6).alias("area")), "tile_id:s n_rings:l area:d")
+
+
 def file_index(spark, sf):
     """Building documents found by their path, in both layouts."""
     o = A.table(spark, sf, "orders")
@@ -250,6 +262,11 @@ QUERIES = {
         """SELECT 't' || s_suppkey AS tile_id, s_name AS link, CAST(s_suppkey*4 AS DOUBLE) AS area, 'POLYGON((0.0 0.0,' || s_suppkey || '.0 0.0,' || s_suppkey || '.0 4.0,0.0 4.0,0.0 0.0))' AS wkt
         FROM supplier""",
     ),
+    "multipart_regions": (
+        multipart_regions,
+        """SELECT k || s_suppkey AS tile_id, CAST(n AS BIGINT) AS n_rings, CAST(CASE n WHEN 1 THEN 12 ELSE 2 * s_suppkey - 0.25 END AS DOUBLE) AS area
+        FROM supplier, (VALUES ('t'), ('w')) a(k), (VALUES (1), (2)) b(n)""",
+    ),
     "file_index": (
         file_index,
         """SELECT CASE WHEN o_custkey % 3 = 0 THEN 'objects' ELSE 'tiles' END AS layout, 'P' || o_orderkey AS id, '6/240/' || o_custkey AS tile_id FROM orders WHERE o_custkey % 3 < 2""",

@@ -345,7 +345,7 @@ def layers_union(spark, sf):
     tiles = A.table(spark, sf, "lineitem").selectExpr("concat('r', l_returnflag) AS tile_id").distinct().unionByName(
         A.table(spark, sf, "orders").selectExpr("concat('o', o_orderstatus) AS tile_id").distinct()
     )
-    every, missing = sinks.union_layers(spark, tiles, {n: f"{root}/{n}" for n in layers}, "json")
+    every, missing = sinks.union_layers(spark, tiles, {n: f"{root}/{n}" for n in layers}, "json", schemas=dict.fromkeys(layers, "tile_id string, l_orderkey long, l_quantity double"))
     got = every.groupBy("layer", "tile_id").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("qty"))
     gone = missing.select("layer", "tile_id", F.lit(0).alias("n"), F.lit(0.0).alias("qty"))
     return A.shaped(got.unionByName(gone), "layer:s tile_id:s n:l qty:d")

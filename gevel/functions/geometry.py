@@ -246,6 +246,14 @@ def from_wkt(wkt: Column | str) -> Column:
     return F.when(wkt.rlike(r"(?i)^\s*(SRID=\d+;)?\s*polygon"), F.transform(rings, ring))
 
 
+def parts_from_wkt(wkt: Column | str) -> Column:
+    """Rings of each part of a ``POLYGON`` or ``MULTIPOLYGON`` text; NULL for any other kind."""
+    wkt = _c(wkt)
+    bodies = F.regexp_extract_all(wkt, F.lit(r"\((\s*\([^()]+\)(?:\s*,\s*\([^()]+\))*\s*)\)"), F.lit(1))
+    parts = F.transform(bodies, lambda body: from_wkt(F.concat(F.lit("POLYGON("), body, F.lit(")"))))
+    return F.when(wkt.rlike(r"(?i)^\s*(SRID=\d+;)?\s*(multi)?polygon"), parts)
+
+
 def to_wkt(rings: Column | str) -> Column:
     def ring(r: Column) -> Column:
         text = F.transform(r, lambda p: F.concat_ws(" ", p.x.cast("string"), p.y.cast("string")))
@@ -264,6 +272,20 @@ def from_geojson(geometry: Column | str) -> Column:
     )
 
 
+def parts_from_geojson(geometry: Column | str) -> Column:
+    """Rings of each part of a GeoJSON ``Polygon`` or ``MultiPolygon`` document; NULL for any other kind."""
+    doc = F.from_json(_c(geometry), "type string, coordinates string")
+    polygon = "array<array<array<double>>>"
+
+    def shape(rings: Column) -> Column:
+        return F.transform(rings, lambda r: F.transform(r, lambda p: point(p[0], p[1])))
+
+    one = F.array(shape(F.from_json(doc.coordinates, polygon)))
+    many = F.transform(F.from_json(doc.coordinates, f"array<{polygon}>"), shape)
+    kind = F.lower(doc["type"])
+    return F.when(kind == "polygon", one).when(kind == "multipolygon", many)
+
+
 def bbox_from_wkt(wkt: Column | str) -> Column:
     return bbox(from_wkt(wkt))
 

@@ -13,8 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
+from gevel.functions import kernels as K
 from gevel.functions.rows import settle
-from gevel.operators.spatial import overlap_area
+from gevel.operators.spatial import candidates
 from gevel.session import cut_lineage
 
 OBJECTS_DDL = (
@@ -203,15 +204,16 @@ def surface_normal(ring: Column | str) -> Column:
 
 def surface_areas(
     surfaces: DataFrame, id: str = "identificatie", sid: str = "surface_id", flat_degrees: float = FLAT_DEGREES,
-    snap: float = 0.05, angle_step: float = 1.0, materialise: bool = True,
+    snap: float = 0.05, angle: float = 1.0, materialise: bool = True,
 ) -> DataFrame:
     """Ground, flat roof, sloped roof, shared and exterior wall area per building.
 
-    Definitions are ours: a roof is flat up to ``flat_degrees`` of slope; a wall is shared
-    where it overlaps, in its own plane, a wall of the same plane of another building;
-    the rest of the wall is exterior. Two walls are in one plane when their direction
-    rounds to the same ``angle_step`` and their distance from the origin to the same
-    ``snap``. ``materialise`` writes the surfaces with their normals once.
+    Definitions are ours: a roof is flat up to ``flat_degrees`` of slope; a wall is shared where the
+    union of walls of other buildings in its plane covers it, and the rest of it is exterior. Another
+    wall is in the plane when its direction differs by at most ``angle`` degrees and none of its corners
+    lies farther than ``snap`` from the plane. Planes are taken from each wall's own corner, so neither
+    the direction nor the size of the coordinates matters. ``materialise`` writes the surfaces with
+    their normals once.
     """
     n = surface_normal("ring")
     df = settle(surfaces, id, sid, "type", "ring", n.alias("_n"))
@@ -231,23 +233,42 @@ def surface_areas(
             )
         ]
     )
-    steps = 180.0 / angle_step
-    angle = F.degrees(F.atan2(F.col("_n.y"), F.col("_n.x"))) / angle_step
-    upright = (kind == "WallSurface") & ((F.col("_n.x") != 0) | (F.col("_n.y") != 0))
-    walls = settle(df.filter(upright), id, sid, "ring", F.pmod(F.round(angle), F.lit(steps)).alias("_dir"))
-    rad = F.radians(F.col("_dir") * angle_step)
-    walls = settle(walls, id, sid, "ring", "_dir", F.cos(rad).alias("_cos"), F.sin(rad).alias("_sin"))
-    # signed distance of the wall plane and the position along it, in the rounded direction
-    p = F.col("ring")[0]
-    off = F.round((p.x * F.col("_cos") + p.y * F.col("_sin")) / snap)
-    along = F.transform("ring", lambda v: G.point(v.y * F.col("_cos") - v.x * F.col("_sin"), v.z))
-    walls = G.with_bbox(settle(walls, id, sid, "_dir", off.alias("_off"), F.array(along).alias("rings")))
-    shared = overlap_area(walls, sid, min_area=0.0, on=("_dir", "_off"))
-    per_building = (
-        walls.select(id, sid).join(shared, sid).groupBy(id).agg(F.sum("b3_bag_bag_overlap").alias("_shared"))
-    )
+    per_building = shared_walls(df, id, sid, snap, angle).groupBy(id).agg(F.sum("_shared").alias("_shared"))
     both = sums.join(per_building, id, "left").withColumn("area_shared_wall", F.coalesce("_shared", F.lit(0.0)))
     return both.select(
         id, "area_ground", "area_roof_flat", "area_roof_sloped", "area_shared_wall",
         (F.col("_wall") - F.col("area_shared_wall")).alias("area_exterior_wall"),
     )
+
+
+def shared_walls(df: DataFrame, id: str, sid: str, snap: float, angle: float) -> DataFrame:
+    """Area of each wall that the union of other buildings' walls in its plane covers.
+
+    Walls whose boxes in plan meet are compared exactly, in coordinates along the wall and upwards;
+    equal walls of any number of other buildings count once.
+    """
+    flat = F.sqrt(F.col("_n.x") ** 2 + F.col("_n.y") ** 2)
+    walls = df.filter((F.col("type") == "WallSurface") & (flat > 0))
+    # corners as seen from the first one
+    first = F.col("ring")[0]
+    walls = settle(walls, id, sid, "ring", (F.col("_n.x") / flat).alias("nx"), (F.col("_n.y") / flat).alias("ny"), first.x.alias("ox"), first.y.alias("oy"))
+
+    def ends(pick, axis: str, by: float):
+        return pick(F.transform("ring", lambda v: v[axis])) + by
+
+    box = [ends(F.array_min, "x", -snap), ends(F.array_min, "y", -snap), ends(F.array_max, "x", snap), ends(F.array_max, "y", snap)]
+    walls = settle(walls, *walls.columns, *(b.alias(c) for b, c in zip(box, G.BOX)))
+    others = walls.select(
+        F.col(id).alias("_other"), F.col("ring").alias("rring"), F.col("nx").alias("rnx"), F.col("ny").alias("rny"), *[F.col(c).alias("r" + c) for c in G.BOX]
+    ).distinct()
+    pairs = candidates(walls, others).filter(F.col(id) != F.col("_other"))
+    cross = F.abs(F.col("nx") * F.col("rny") - F.col("ny") * F.col("rnx"))
+    away = F.exists("rring", lambda v: F.abs((v.x - F.col("ox")) * F.col("nx") + (v.y - F.col("oy")) * F.col("ny")) > snap)
+    pairs = pairs.filter((cross <= math.sin(math.radians(angle))) & ~away)
+
+    def upright(ring: str):
+        return F.array(F.transform(ring, lambda v: G.point((v.y - F.col("oy")) * F.col("nx") - (v.x - F.col("ox")) * F.col("ny"), v.z)))
+
+    drawn = settle(pairs, id, sid, upright("ring").alias("_own"), upright("rring").alias("_met"))
+    per_wall = drawn.groupBy(id, sid).agg(F.first("_own").alias("_own"), F.collect_set("_met").alias("_met"))
+    return per_wall.select(id, sid, K.covered_area("_own", "_met", G.no_rings()).alias("_shared"))

@@ -160,14 +160,15 @@ def external_features(
 
 
 def building_features(attributes: DataFrame) -> DataFrame:
-    """Model columns of each building from its attribute map; the first row of an id stays.
+    """Model columns of each building from its attribute map; of several rows of an id the smallest stays.
 
     The roof area is NULL where a part is unknown; the building is kept.
     """
     cols = [
         F.col("attributes")[source].cast(kind).alias(name) for name, (source, kind) in MODEL_ATTRIBUTES.items()
     ]
-    flat = attributes.select("id", *cols).dropDuplicates(["id"])
+    names = list(MODEL_ATTRIBUTES)
+    flat = attributes.select("id", *cols).groupBy("id").agg(F.min(F.struct(*names)).alias("_least")).select("id", "_least.*")
     return flat.select(
         "id", "construction_year", "roof_type", "h_roof_50p", "h_roof_70p", "h_roof_max", "h_roof_min",
         (F.col("area_roof_flat") + F.col("area_roof_sloped")).alias("area_roof"),

@@ -87,19 +87,21 @@ def lineage_metadata(
 
 
 def log_timings(lines: DataFrame, line: str = "value") -> DataFrame:
-    """Step times of each timing line; lines of another form or with a bad number are skipped."""
+    """Step times of each timing line, the last one where a line names a step twice.
+
+    Lines of another form, with a bad number or with an unknown step are skipped.
+    """
     timed = settle(lines.select(F.col(line).alias("_l"))).filter(F.contains("_l", F.lit("[reconstructor t]")))
     found = settle(timed, F.regexp_extract("_l", TIMING, 2).alias("building_id"), F.regexp_extract("_l", TIMING, 3).alias("_t"))
-    items = F.split("_t", r"\),\(")
-
-    def piece(item, i: int):
-        return F.translate(F.substring_index(F.substring_index(item, ", ", i), ", ", -1), "(), ", "")
-
-    read = F.transform(items, lambda i: F.struct(piece(i, 1).alias("k"), piece(i, 2).try_cast("int").alias("v")))
-    found = settle(found.filter("building_id <> ''"), "building_id", read.alias("_p"))
-    found = found.filter(~F.exists("_p", lambda p: p.v.isNull()))
-    found = settle(found, "building_id", F.map_from_entries("_p").alias("_m"))
-    return found.select("building_id", *[F.col("_m")[s].alias(s) for s in STEPS])
+    found = settle(found.filter("building_id <> ''"), "building_id", F.split(F.translate("_t", "() ", ""), ",").alias("_w"))
+    # names and numbers take turns
+    count = F.floor(F.size("_w") / 2).cast("int")
+    at = F.sequence(F.lit(0), count - 1)
+    names = F.transform(at, lambda i: F.get("_w", i * 2))
+    times = F.transform(at, lambda i: F.get("_w", i * 2 + 1).try_cast("int"))
+    found = settle(found.filter(count > 0), "building_id", F.reverse(names).alias("_k"), F.reverse(times).alias("_v"))
+    found = found.filter(~F.exists("_v", lambda v: v.isNull()) & (F.size(F.array_except("_k", F.array(*map(F.lit, STEPS)))) == 0))
+    return found.select("building_id", *[F.get("_v", F.array_position("_k", s).cast("int") - 1).alias(s) for s in STEPS])
 
 
 def unfinished(lines: DataFrame, line: str = "value") -> DataFrame:

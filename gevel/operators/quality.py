@@ -177,11 +177,12 @@ def summarise_reports(features: DataFrame, attributes: DataFrame | None = None)
     ``features`` has one report feature per row (``tile_id, id, validity, primitives``).
     ``attributes(tile_id, id, lod12, lod13, lod22)`` holds the codes stored with the
     building as bracket lists; differing sets are counted, unknown buildings skipped.
+    A tile with a feature that lacks a level's primitive gets NULL in all fields.
     """
     f = features.select("tile_id", "id", "validity", "primitives")
     for lod, i in PRIMITIVE_AT.items():
         p = F.get("primitives", F.lit(i))
-        f = f.withColumn(f"_bad_{lod}", _invalid(p["validity"])).withColumn(
+        f = f.withColumn(f"_lacks_{lod}", p.isNull()).withColumn(f"_bad_{lod}", _invalid(p["validity"])).withColumn(
             f"_codes_{lod}",
             F.array_sort(F.array_distinct(F.coalesce(p["errors"]["code"], F.array().cast("array<int>")))),
         )
@@ -203,8 +204,13 @@ def summarise_reports(features: DataFrame, attributes: DataFrame | None = None)
             .alias(f"nr_mismatch_errors_{lod}")
             for lod in PRIMITIVE_AT
         ]
-    out = f.groupBy("tile_id").agg(*aggs)
-    return out.select(*[F.col(c).cast("int").alias(c) if c.startswith("nr_") else F.col(c) for c in out.columns])
+    lacks = F.lit(False)
+    for lod in PRIMITIVE_AT:
+        lacks = lacks | F.col(f"_lacks_{lod}")
+    out = f.groupBy("tile_id").agg(F.max(lacks).alias("_lacks"), *aggs)
+    fields = [c for c in out.columns if c not in ("tile_id", "_lacks")]
+    known = [F.when(~F.col("_lacks"), F.col(c).cast("int") if c.startswith("nr_") else F.col(c)).alias(c) for c in fields]
+    return out.select("tile_id", *known)
 
 
 OBJECT_LINE = r"o (NL\.IMBAG\.Pand\.\d{16})"
@@ -242,7 +248,9 @@ def summarise_obj(ids: DataFrame, primitives: DataFrame) -> DataFrame:
             for v in lods
         ],
     )
-    out = named.join(worst, "tile_id", "left").join(per_tile, "tile_id", "left")
+    # a tile with reports but without named objects has no buildings
+    tiles = ids.select("tile_id").union(primitives.select("tile_id")).distinct()
+    out = tiles.join(named, "tile_id", "left").join(worst, "tile_id", "left").join(per_tile, "tile_id", "left")
     counts = [c for c in out.columns if c.startswith("nr_")]
     return out.select(
         "tile_id",

@@ -8,22 +8,63 @@ from pyspark.sql import functions as F
 from gevel.functions.text import typed_or_null
 from gevel.operators.quality import VALIDATION_SCHEMA
 
-_PER_CLOUD = [
-    f"b3_{what}_AHN{n}"
-    for what in ("nodata_fractie", "nodata_radius", "puntdichtheid")
-    for n in (3, 4, 5)
-]
-_PER_LOD = [f"b3_{what}_lod{n}" for what in ("rmse", "val3dity", "volume") for n in (12, 13, 22)]
-# Building attributes every model layer carries.
+# Building attributes every model layer carries, in the order of the published tables.
 LAYER_ATTRIBUTES = [
-    "b3_bag_bag_overlap", "b3_n_vlakken", "b3_pw_onvoldoende", "b3_t_run", "b3_succes", "b3_extrusie",
-    "b3_is_glas_dak", "b3_dak_type", "b3_h_maaiveld", "b3_kas_warenhuis", "b3_mutatie_AHN3_AHN4",
-    "b3_mutatie_AHN4_AHN5", *_PER_CLOUD, "b3_opp_buitenmuur", "b3_opp_dak_plat", "b3_opp_dak_schuin",
-    "b3_opp_grond", "b3_opp_scheidingsmuur", "b3_pw_bron", "b3_pw_datum", "b3_pw_selectie_reden", *_PER_LOD,
-    "b3_bouwlagen", "b3_kwaliteitsindicator", "begingeldigheid", "documentdatum", "documentnummer",
-    "eindgeldigheid", "eindregistratie", "geconstateerd", "oorspronkelijkbouwjaar", "status",
-    "tijdstipeindregistratielv", "tijdstipinactief", "tijdstipinactieflv", "tijdstipnietbaglv",
-    "tijdstipregistratie", "tijdstipregistratielv", "voorkomenidentificatie",
+    "b3_bag_bag_overlap",
+    "b3_n_vlakken",
+    "b3_pw_onvoldoende",
+    "b3_t_run",
+    "b3_succes",
+    "b3_extrusie",
+    "b3_is_glas_dak",
+    "b3_dak_type",
+    "b3_h_maaiveld",
+    "b3_kas_warenhuis",
+    "b3_mutatie_AHN3_AHN4",
+    "b3_mutatie_AHN4_AHN5",
+    "b3_nodata_fractie_AHN3",
+    "b3_nodata_fractie_AHN4",
+    "b3_nodata_fractie_AHN5",
+    "b3_nodata_radius_AHN3",
+    "b3_nodata_radius_AHN4",
+    "b3_nodata_radius_AHN5",
+    "b3_opp_buitenmuur",
+    "b3_opp_dak_plat",
+    "b3_opp_dak_schuin",
+    "b3_opp_grond",
+    "b3_opp_scheidingsmuur",
+    "b3_puntdichtheid_AHN3",
+    "b3_puntdichtheid_AHN4",
+    "b3_puntdichtheid_AHN5",
+    "b3_pw_bron",
+    "b3_pw_datum",
+    "b3_pw_selectie_reden",
+    "b3_rmse_lod12",
+    "b3_rmse_lod13",
+    "b3_rmse_lod22",
+    "b3_val3dity_lod12",
+    "b3_val3dity_lod13",
+    "b3_val3dity_lod22",
+    "b3_volume_lod12",
+    "b3_volume_lod13",
+    "b3_volume_lod22",
+    "b3_bouwlagen",
+    "b3_kwaliteitsindicator",
+    "begingeldigheid",
+    "documentdatum",
+    "documentnummer",
+    "eindgeldigheid",
+    "eindregistratie",
+    "geconstateerd",
+    "oorspronkelijkbouwjaar",
+    "status",
+    "tijdstipeindregistratielv",
+    "tijdstipinactief",
+    "tijdstipinactieflv",
+    "tijdstipnietbaglv",
+    "tijdstipregistratie",
+    "tijdstipregistratielv",
+    "voorkomenidentificatie",
 ]
 
 

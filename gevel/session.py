@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,10 +32,12 @@ _private: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach; a private one only where none is named."""
+    """The folder every executor can reach; a private one only in local mode where none is named."""
     named = spark.conf.get(CHECKPOINT_KEY, None)
     if named:
         return named
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _private:
         _private[app] = tempfile.mkdtemp(prefix="gevel-")

@@ -17,8 +17,10 @@ def replace_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def new_rows(df: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """Rows whose key the target lacks, one per key."""
-    return assert_references(df.dropDuplicates([key]), target, key).select(*df.columns)
+    """Rows whose key the target lacks; of several with one key the smallest in column order."""
+    rest = [c for c in df.columns if c != key]
+    once = df.groupBy(key).agg(F.min(F.struct(*rest)).alias("_least")).select(key, "_least.*") if rest else df.distinct()
+    return assert_references(once, target, key).select(*df.columns)
 
 
 def insert_ignore(df: DataFrame, table: str, key: str) -> None:
@@ -44,9 +46,14 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
     flat.write.mode("overwrite").csv(path, header=True, quoteAll=quote_all)
 
 
-def write_features(docs: DataFrame, path: str, tile: str = "tile_id", doc: str = "doc") -> None:
-    """Documents as JSON lines below their tile, many per file; sources stay untouched."""
-    docs.select(tile, doc).write.mode("overwrite").partitionBy(tile).text(path)
+def _by_tile(df: DataFrame, tile: str, files: int) -> DataFrame:
+    """A task for each tile, or ``files`` of them, so that a tile does not get a file from every task."""
+    return df.repartition(tile, *([F.pmod(F.xxhash64(*df.columns), F.lit(files))] if files > 1 else []))
+
+
+def write_features(docs: DataFrame, path: str, tile: str = "tile_id", doc: str = "doc", files: int = 1) -> None:
+    """Documents as JSON lines below their tile, in up to ``files`` files each; ``read_features`` reads them."""
+    _by_tile(docs.select(tile, doc), tile, files).write.mode("overwrite").partitionBy(tile).text(path)
 
 
 def write_metadata_json(df: DataFrame, path: str) -> None:
@@ -54,24 +61,27 @@ def write_metadata_json(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").text(path)
 
 
-def write_tiles_gz(df: DataFrame, path: str, fmt: str = "json", tile: str = "tile_id", file_rows: int = 1_000_000) -> None:
-    """Gzipped files per tile; a tile with very many rows gets several."""
-    writer = df.write.mode("overwrite").partitionBy(tile)
+def write_tiles_gz(df: DataFrame, path: str, fmt: str = "json", tile: str = "tile_id", file_rows: int = 1_000_000, files: int = 1) -> None:
+    """Gzipped files per tile; a tile gets several with over ``file_rows`` rows, or where ``files`` tasks write it."""
+    writer = _by_tile(df, tile, files).write.mode("overwrite").partitionBy(tile)
     writer.option("compression", "gzip").option("maxRecordsPerFile", file_rows).format(fmt).save(path)
 
 
 def union_layers(
-    spark: SparkSession, tiles: DataFrame, layers: dict[str, str], fmt: str = "parquet", tile: str = "tile_id",
+    spark: SparkSession, tiles: DataFrame, layers: dict[str, str], fmt: str = "parquet", tile: str = "tile_id", schemas: dict | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All tiles of every layer as one frame, and the (tile, layer) pairs without data.
 
-    ``layers`` maps a layer name to its folder, partitioned by tile.
+    ``layers`` maps a layer name to its folder, partitioned by tile; ``schemas`` maps it to its schema,
+    without which text formats are read twice.
     """
-    frames = [
-        spark.read.option("mergeSchema", "true").format(fmt).load(path).withColumn("layer", F.lit(name))
-        .withColumn(tile, F.col(tile).cast("string"))
-        for name, path in layers.items()
-    ]
+
+    def load(name: str, path: str) -> DataFrame:
+        reader = spark.read.option("mergeSchema", "true").format(fmt)
+        reader = reader.schema(schemas[name]) if schemas else reader
+        return reader.load(path).withColumn("layer", F.lit(name)).withColumn(tile, F.col(tile).cast("string"))
+
+    frames = [load(name, path) for name, path in layers.items()]
     every = frames[0]
     for f in frames[1:]:
         every = every.unionByName(f, allowMissingColumns=True)

@@ -6,6 +6,7 @@ import gzip
 import io
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -29,15 +30,16 @@ CHUNK = 1 << 20
 
 
 def parse_geojson(df: DataFrame, doc: str, id: str, links: Sequence[str] = ()) -> DataFrame:
-    """Features of a collection: lower-cased id, link properties and rings."""
-    schema = (
-        "features array<struct<properties: map<string,string>, "
-        "geometry: struct<type:string, coordinates:array<array<array<double>>>>>>"
-    )
+    """Polygons of a collection: lower-cased id, link properties and rings; a row for each part of a multipolygon.
+
+    A feature without a polygon stays, with NULL rings.
+    """
+    schema = "features array<struct<properties: map<string,string>, geometry: string>>"
     f = df.select(F.explode(F.from_json(doc, schema)["features"]).alias("_f"))
-    rings = F.transform("_f.geometry.coordinates", lambda r: F.transform(r, lambda p: G.point(p[0], p[1])))
     props = F.col("_f.properties")
-    return f.select(F.lower(props[id]).alias("tile_id"), *[props[k].alias(k) for k in links], rings.alias("rings"))
+    return f.select(
+        F.lower(props[id]).alias("tile_id"), *[props[k].alias(k) for k in links], F.explode_outer(G.parts_from_geojson("_f.geometry")).alias("rings")
+    )
 
 
 def parse_checksums(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -74,9 +76,9 @@ def parse_event_logs(df: DataFrame, doc: str = "doc", step: str | None = None) -
 
 
 def _documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    r = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true")
+    r = spark.read.option("recursiveFileLookup", "true")
     r = r.option("pathGlobFilter", glob) if glob else r
-    return r.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
+    return r.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
 
 
 def read_geojson(spark: SparkSession, path: str, id: str, links: Sequence[str] = ()) -> DataFrame:
@@ -88,8 +90,18 @@ def read_checksums(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """Building documents: one per line, named after the file where it holds just one."""
-    return _documents(spark, path, "*.city.jsonl").withColumn("id", feature_stem("path"))
+    """Building documents of single files, indented or not, and of files with one document per line.
+
+    The id is that of the document's building, its smallest object name; a document without objects is
+    named after its file.
+    """
+    files = _documents(spark, path, "*.{city.jsonl,txt}")
+    lines = F.filter(F.split("doc", "\n"), lambda x: F.trim(x) != "")
+    # a document over several lines has lines that are no objects
+    many = F.forall(lines, lambda x: x.rlike(r"^\s*\{.*\}\s*$"))
+    docs = files.select("path", F.explode(F.when(many, lines).otherwise(F.array("doc"))).alias("doc"))
+    names = F.json_object_keys(F.get_json_object("doc", "$.CityObjects"))
+    return docs.withColumn("id", F.coalesce(F.array_min(names), feature_stem("path")))
 
 
 def read_file_list(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -180,7 +192,7 @@ def _members(path: str, content: bytes) -> Iterator[tuple[str, str, bool, int]]:
             with gzip.open(io.BytesIO(content)) as f:
                 while block := f.read(CHUNK):
                     size += len(block)
-        except (OSError, EOFError):
+        except (OSError, EOFError, zlib.error):
             ok = False
         yield path, path.rsplit("/", 1)[-1][:-3], ok, size
         return
@@ -196,8 +208,8 @@ def _members(path: str, content: bytes) -> Iterator[tuple[str, str, bool, int]]:
                 with archive.open(info) as f:
                     while block := f.read(CHUNK):
                         size += len(block)
-            except (OSError, EOFError, zipfile.BadZipFile):
-                ok = False
+            except (OSError, EOFError, zipfile.BadZipFile, zlib.error, RuntimeError, NotImplementedError):
+                ok = False  # RuntimeError: encrypted; NotImplementedError: unknown method
             yield path, info.filename, ok, size
 
 

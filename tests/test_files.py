@@ -1,5 +1,6 @@
 import gzip
 import json
+import math
 import zipfile
 
 import pytest
@@ -104,11 +105,62 @@ def test_two_boxes_share_a_wall(spark):
         assert r.area_shared_wall == pytest.approx(50.0) and r.area_exterior_wall == pytest.approx(150.0)
 
 
+def turned_houses(degrees, names):
+    """Box houses of 10 x 10 x 5 in a row, far from the origin."""
+    cos, sin = math.cos(math.radians(degrees)), math.sin(math.radians(degrees))
+
+    def at(x, y, z):
+        return 84_000 + x * cos - y * sin, 446_000 + x * sin + y * cos, z
+
+    rows = []
+    for i, name in enumerate(names):
+        x = 10.0 * i
+        ground = [(x, 0.0), (x, 10.0), (x + 10, 10.0), (x + 10, 0.0)]
+        for k, (p, q) in enumerate(zip(ground, ground[1:] + ground[:1])):
+            ring = [at(*p, 0.0), at(*q, 0.0), at(*q, 5.0), at(*p, 5.0)]
+            rows.append((name, i * 100 + k, "WallSurface", [*ring, ring[0]]))
+    return rows
+
+
+@pytest.mark.parametrize("degrees", [0, 30, 30.4, 17.45, 90, 179.9])
+def test_walls_of_any_direction_are_shared_between_buildings_only(spark, degrees):
+    ddl = "identificatie string, surface_id long, type string, ring array<struct<x:double,y:double,z:double>>"
+    got = {r.identificatie: (round(r.area_shared_wall, 3), round(r.area_exterior_wall, 3)) for r in D.surface_areas(spark.createDataFrame(turned_houses(degrees, "ab"), ddl)).collect()}
+    assert got == {"a": (50.0, 150.0), "b": (50.0, 150.0)}
+    inner = D.surface_areas(spark.createDataFrame(turned_houses(degrees, "aa"), ddl)).first()
+    assert inner.area_shared_wall == 0
+
+
+def test_indented_files_and_lines(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    report = {"features": [{"id": "x", "validity": True, "primitives": []}, {"id": "y", "validity": False, "primitives": []}]}
+    (tmp_path / "r/a.json").write_text(json.dumps(report, indent=2))
+    assert sorted(r.id for r in SO.read_validation_reports(spark, str(tmp_path / "r")).collect()) == ["x", "y"]
+    (tmp_path / "g").mkdir()
+    square = [[[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]]
+    shapes = {"features": [{"properties": {"id": "P"}, "geometry": {"type": "MultiPolygon", "coordinates": [square, square]}}, {"properties": {"id": "Q"}, "geometry": {"type": "Polygon", "coordinates": square}}]}
+    (tmp_path / "g/a.geojson").write_text(json.dumps(shapes, indent=1))
+    assert sorted(r.tile_id for r in SO.read_geojson(spark, str(tmp_path / "g"), "id").collect()) == ["p", "p", "q"]
+    docs = spark.createDataFrame([("t", json.dumps({"CityObjects": {f"P{i}-0": {}, f"P{i}": {}}})) for i in range(3)], "tile_id string, doc string")
+    sinks.write_features(docs, str(tmp_path / "f"))
+    (tmp_path / "f/one.city.jsonl").write_text(json.dumps({"CityObjects": {"P9": {}}}, indent=2))
+    assert sorted(r.id for r in SO.read_features(spark, str(tmp_path / "f")).collect()) == ["P0", "P1", "P2", "P9"]
+
+
+def test_a_tile_has_one_file(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 8).selectExpr("concat('t', id % 5) AS tile_id", "id")
+    sinks.write_tiles_gz(df, str(tmp_path / "t"))
+    assert len(list((tmp_path / "t").glob("*/part-*"))) == 5
+    sinks.write_tiles_gz(df, str(tmp_path / "s"), files=3)
+    assert 5 <= len(list((tmp_path / "s").glob("*/part-*"))) <= 15
+
+
 def test_archives(spark, tmp_path):
     with gzip.open(tmp_path / "a.city.json.gz", "wb") as f:
         f.write(b"x" * 3_000_000)
     whole = (tmp_path / "a.city.json.gz").read_bytes()
     (tmp_path / "cut.gz").write_bytes(whole[: len(whole) // 2])
+    (tmp_path / "bad.gz").write_bytes(whole[:40] + bytes(255 - x for x in whole[40:60]) + whole[60:])
     with zipfile.ZipFile(tmp_path / "b.zip", "w") as z:
         z.writestr("one.obj", "o x")
         z.writestr("two.obj", "o y")
@@ -117,7 +169,7 @@ def test_archives(spark, tmp_path):
 
     got = {(r.path.rsplit("/", 1)[-1], r.member): (r.ok, r["size"]) for r in read_archives(spark, str(tmp_path)).collect()}
     assert got[("a.city.json.gz", "a.city.json")] == (True, 3_000_000)
-    assert got[("cut.gz", "cut")][0] is False and got[("c.zip", "")][0] is False
+    assert got[("bad.gz", "bad")][0] is False and got[("cut.gz", "cut")][0] is False and got[("c.zip", "")][0] is False
     assert got[("b.zip", "one.obj")] == (True, 3) and got[("b.zip", "two.obj")] == (True, 3)
 
 
@@ -166,6 +218,17 @@ def test_shared_folder_is_taken_from_the_session(spark):
     assert shared_dir(spark) == shared_dir(spark)
 
 
+def test_a_cluster_must_name_a_shared_folder():
+    class Cluster:
+        conf = {}
+
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(Cluster())
+
+
 def test_cut_lineage_keeps_rows_and_reads_files(spark):
     df = cut_lineage(spark.range(5).withColumn("a", F.array("id")))
     assert df.count() == 5 and df.inputFiles()

@@ -204,12 +204,12 @@ SAMPLE = (
 
 def test_log_lines(spark):
     lines = [
-        SAMPLE, SAMPLE.replace("P1", "P2").replace("extrude, 2", "extrude, x"), SAMPLE.replace("P1", "P3").replace("extrude, 2", "extrude"), "noise",
+        SAMPLE, SAMPLE.replace("P1", "P4").replace("(extrude, 2)", "(extrude, 2),(extrude, 9)"), SAMPLE.replace("P1", "P5").replace("extrude", "other"), SAMPLE.replace("P1", "P2").replace("extrude, 2", "extrude, x"), SAMPLE.replace("P1", "P3").replace("extrude, 2", "extrude"), "noise",
         "[reconstructor] start: /d/o/A.city.jsonl", "[reconstructor] finish: /d/o/A.city.jsonl", "[reconstructor] start: /d/o/B.city.jsonl",
     ]
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     got = L.log_timings(df).collect()
-    assert [(r.building_id, r.SegmentRasteriser, r.PlaneDetector) for r in got] == [("P1", 6, 1)]
+    assert sorted((r.building_id, r.SegmentRasteriser, r.PlaneDetector, r.extrude) for r in got) == [("P1", 6, 1, 2), ("P4", 6, 1, 9)]
     assert [r.building_id for r in L.unfinished(df).collect()] == ["B"]
 
 
