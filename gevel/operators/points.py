@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions.quantiles import group_quantiles
-from gevel.operators.history import dedupe
 from gevel.operators.spatial import points_in
 from gevel.session import cut_lineage
 
@@ -76,11 +75,8 @@ def best_cloud(stats: DataFrame, id: str = "identificatie") -> DataFrame:
 
     ``stats(id, cloud, coverage, quality)``. The reason says what decided.
     """
-    ties = stats.groupBy(id).agg(
-        F.max("coverage").alias("_top"), F.count("*").alias("_n")
-    )
-    near = stats.join(ties, id).withColumn("_tied", F.col("coverage") == F.col("_top"))
-    level = near.groupBy(id).agg(F.count_if("_tied").alias("_k"), F.max("_n").alias("_n"))
-    chosen = dedupe(stats, id, [F.col("coverage").desc_nulls_last(), F.col("quality"), F.col("cloud")])
-    reason = F.when(F.col("_n") == 1, "only").when(F.col("_k") > 1, "quality").otherwise("coverage")
-    return chosen.join(level, id).select(id, "cloud", "coverage", reason.alias("reason"))
+    same = stats.groupBy(id, "coverage").agg(F.count("*").alias("_k"), F.min(F.struct("quality", "cloud")).alias("_first"))
+    best = same.groupBy(id).agg(F.max(F.struct("coverage", "_k", "_first")).alias("_b"), F.sum("_k").alias("_n"))
+    tied = F.col("_b.coverage").isNotNull() & (F.col("_b._k") > 1)
+    reason = F.when(F.col("_n") == 1, "only").when(tied, "quality").otherwise("coverage")
+    return best.select(id, F.col("_b._first.cloud").alias("cloud"), F.col("_b.coverage").alias("coverage"), reason.alias("reason"))

@@ -34,6 +34,11 @@ def _level(box: Sequence[str], base: float, bits: int) -> Column:
     return F.expr(f"CASE {whens} ELSE {LEVELS - 1} END")
 
 
+def _point_levels() -> Column:
+    """The levels of points, without reading them: all are on the finest."""
+    return F.array(F.lit(0))
+
+
 def _cell_size(level: str, base: float, bits: int) -> Column:
     return F.expr(f"{base}D * shiftleft(1L, {bits} * {level})")
 
@@ -163,7 +168,7 @@ def spatial_join(
     if predicate == "intersects":
         pairs = _refine(candidates(_plain(left), r, base=base, salt=salt))
     elif predicate == "contains":
-        pairs = candidates(left, r, left_box=("px", "py", "px", "py"), base=base, salt=salt, bits=POINT_BITS)
+        pairs = candidates(left, r, left_box=("px", "py", "px", "py"), base=base, salt=salt, bits=POINT_BITS, left_levels=_point_levels())
         pairs = pairs.filter(G.point_in("rrings", "px", "py"))
     else:
         raise ValueError(f"unknown predicate {predicate!r}")
@@ -390,5 +395,5 @@ def points_in(
 ) -> DataFrame:
     """Points inside a footprint's bounding box, with the footprint id and ``keep`` columns."""
     r = footprints.select(id, *keep, *[F.col(c).alias("r" + c) for c in G.BOX])
-    pairs = candidates(points, r, left_box=("x", "y", "x", "y"), salt=salt, bits=POINT_BITS)
+    pairs = candidates(points, r, left_box=("x", "y", "x", "y"), salt=salt, bits=POINT_BITS, left_levels=_point_levels())
     return pairs.drop("rx0", "ry0", "rx1", "ry1")
