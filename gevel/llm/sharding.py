@@ -85,7 +85,8 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
     hubs = rows.groupBy("hub", "home").agg(F.count("*").alias("members"))
     sizes = hubs.groupBy("hub").agg(F.sum("members").alias("of")).where("of > 1")
     linked = hubs.join(sizes, "hub").select("hub", F.col("home").alias("shard"), "members")
-    placed = propagate(linked, shards, low + 1, rounds)
+    # some room beyond the even size lets hubs pass each other; the end evens it out
+    placed = propagate(linked, shards, int(1.1 * (low + 1)), rounds)
     per_hub = placed.groupBy("hub").agg(F.sort_array(F.collect_list(F.struct("shard", "members"))).alias("kept"), F.sum("members").alias("of"))
     # a row of a spread hub draws its shard with the hub's shares
     draw = _uniform("doc_id", F.lit("draw")) * F.col("of")
@@ -95,9 +96,11 @@ def shard(docs: DataFrame, shards: int = 16, rounds: int = 8) -> DataFrame:
         lambda acc, x: F.struct((acc["sum"] + x["members"]).alias("sum"), F.when((acc["shard"] < 0) & (draw < acc["sum"] + x["members"]), x["shard"]).otherwise(acc["shard"]).alias("shard")),
     )
     drawn = F.when(F.col("kept").isNull(), F.col("home")).when(F.size("kept") == 1, F.col("kept")[0]["shard"]).otherwise(F.greatest(step["shard"], F.lit(0)))
-    wished = rows.join(per_hub, "hub", "left").select("doc_id", "size", "text_crc32", "hub", drawn.alias("wish"), F.coalesce("of", F.lit(1)).alias("of"))
-    # large hubs first, rows without links last: those are handed on where a shard is too full
-    ranked = cut_lineage(number(wished.withColumn("rank", -F.col("of")), "wish", "rank", "hub", "doc_id", name="place"))
+    # whole hubs first, the largest before; then hubs that are spread anyway; rows without links last.
+    # The last ones are handed on where a shard is too full.
+    rank = F.when(F.col("kept").isNull(), 1).when(F.size("kept") > 1, 0).otherwise(-F.col("of"))
+    wished = rows.join(per_hub, "hub", "left").select("doc_id", "size", "text_crc32", "hub", drawn.alias("wish"), rank.alias("rank"))
+    ranked = cut_lineage(number(wished, "wish", "rank", "hub", "doc_id", name="place"))
     count = np.zeros(shards, np.int64)
     for r in ranked.groupBy("wish").count().collect():
         count[r["wish"]] = r["count"]
