@@ -45,6 +45,13 @@ def _split(select: str) -> list[str]:
     return [part.strip() for part in select.split(", ")]
 
 
+def slanted(df: DataFrame) -> DataFrame:
+    """The boxes seen with (x + y) / 2 and (x - y) / 2 as coordinates: turned by 45 degrees, half the area."""
+    turn = lambda p: G.point((p.x + p.y) / 2, (p.x - p.y) / 2)
+    rest = [c for c in df.columns if c not in (*G.BOX, "rings")]
+    return G.with_bbox(df.select(*rest, F.transform("rings", lambda r: F.transform(r, turn)).alias("rings")))
+
+
 GREENHOUSE = dict(w="20+j%17", h="20+j%13")
 TILE = dict(w="5+(j%11)*40", h="5+(j%7)*40", town=False)
 

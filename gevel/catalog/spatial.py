@@ -77,6 +77,18 @@ def label(spark, sf):
     return A.shaped(out, "fid:l kas_warenhuis:b")
 
 
+def overlap_slanted(spark, sf):
+    """The same buildings turned by 45 degrees, so that no shape is an upright box."""
+    got = S.overlap_area(A.slanted(order_boxes(spark, sf)), min_area=0.5)
+    return A.shaped(got.withColumn("b3_bag_bag_overlap", F.round(F.col("b3_bag_bag_overlap") * 2, 6)), "fid:l b3_bag_bag_overlap:d")
+
+
+def label_slanted(spark, sf):
+    """Buildings and greenhouses turned by 45 degrees."""
+    out = S.label_by_overlap(A.slanted(order_boxes(spark, sf)), A.slanted(greenhouses(spark, sf)), wanted=WANTED)
+    return A.shaped(out, "fid:l kas_warenhuis:b")
+
+
 def customer_points(spark, sf):
     c = A.boxes(A.table(spark, sf, "customer"), "c_custkey", "c_custkey")
     return c.select("c_custkey", F.col("x0").alias("cx"), F.col("y0").alias("cy"))
@@ -107,6 +119,17 @@ def region_of_point(spark, sf):
     return A.shaped(got, "c_custkey:l n_name:s")
 
 
+def region_of_slanted(spark, sf):
+    """Points and buildings in regions turned by 45 degrees."""
+    pts = A.boxes(A.table(spark, sf, "customer"), "c_custkey", "c_custkey", town=False)
+    pts = pts.select(F.col("c_custkey").alias("id"), ((F.col("x0") + F.col("y0")) / 2).alias("px"), ((F.col("x0") - F.col("y0")) / 2).alias("py"))
+    regions = A.slanted(A.nations(spark, sf))
+    points = S.assign_region(pts, regions, "n_name", "id", "contains").withColumn("kind", F.lit("point"))
+    parts = A.slanted(part_boxes(spark, sf, town=False)).withColumnRenamed("fid", "id")
+    shapes = S.assign_region(parts, regions, "n_name", "id").withColumn("kind", F.lit("shape"))
+    return A.shaped(points.unionByName(shapes), "kind:s id:l n_name:s")
+
+
 def region_of_building(spark, sf):
     """The smallest code among the regions a building meets."""
     parts = part_boxes(spark, sf, town=False)
@@ -352,6 +375,8 @@ BOX_MEET = "a.x0 <= n.x1 AND n.x0 <= a.x1 AND a.y0 <= n.y1 AND n.y0 <= a.y1"
 
 QUERIES = {
     "overlap": (overlap, f"WITH b AS ({ORDER_BOXES}), {OVERLAP_CTE} SELECT fid, b3_bag_bag_overlap FROM overlap"),
+    "overlap_slanted": (overlap_slanted, f"WITH b AS ({ORDER_BOXES}), {OVERLAP_CTE} SELECT fid, round(b3_bag_bag_overlap, 6) AS b3_bag_bag_overlap FROM overlap"),
+    "label_slanted": (label_slanted, f"WITH b AS ({ORDER_BOXES}), {LABEL_CTE} SELECT fid, kas_warenhuis FROM label"),
     "overlap_by_key": (
         overlap_by_brand,
         f"""WITH b AS ({part_sql('p_brand,', **A.GREENHOUSE)}), {OVERLAP_CTE.replace('a.fid <> n.fid', 'a.fid <> n.fid AND a.p_brand = n.p_brand')}
@@ -375,6 +400,12 @@ QUERIES = {
         f"""WITH p AS (SELECT c_custkey, {A.box_sql('c_custkey', town=False)} FROM customer), r AS ({A.NATION_SQL})
         SELECT c_custkey, min(n_name) AS n_name FROM p JOIN r ON p.x0 > r.x0 AND p.x0 < r.x1 AND p.y0 > r.y0 AND p.y0 < r.y1 GROUP BY 1""",
     ),
+    "region_of_slanted": (
+        region_of_slanted,
+        f"""WITH p AS (SELECT c_custkey, {A.box_sql('c_custkey', town=False)} FROM customer), r AS ({A.NATION_SQL}), a AS ({part_sql(town=False)}), n AS (SELECT * FROM r)
+        SELECT 'point' AS kind, c_custkey AS id, min(n_name) AS n_name FROM p JOIN r ON p.x0 > r.x0 AND p.x0 < r.x1 AND p.y0 > r.y0 AND p.y0 < r.y1 GROUP BY 1, 2
+        UNION ALL SELECT 'shape', a.fid, min(n.n_name) FROM a JOIN n ON {BOX_MEET} GROUP BY 1, 2""",
+    ),
     "region_of_building": (
         region_of_building,
         f"""WITH a AS ({part_sql(town=False)}), n AS ({A.NATION_SQL})
