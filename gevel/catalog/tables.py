@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gevel import sinks
@@ -15,6 +17,8 @@ from gevel.operators import lineage as L
 from gevel.operators import model as M
 from gevel.operators import quality as Q
 from gevel.operators import webservice as W
+from gevel.plans import reconstruction as RC
+from gevel.session import shared_dir
 from gevel.sources import files as SF
 
 
@@ -259,11 +263,12 @@ def features(spark, sf):
 
 
 def floors(spark, sf):
-    """Floors predicted by boosted trees; rows are the answer, values depend on the fit."""
-    df = FE.training_filter(FE.all_features(*feature_tables(spark, sf)))
-    known = df.withColumn("floors", F.col("h_roof_70p").cast("double") / 3)
-    model = M.fit_floors(known, INPUTS, rounds=3)
-    return A.shaped(M.predictions(M.predict_floors(df, model, INPUTS)), "identificatie:s b3_bouwlagen:l")
+    """Floors by boosted trees that were stored and read again; a step of one column is found exactly."""
+    parts = A.table(spark, sf, "part").selectExpr("concat('P', p_partkey) AS identificatie", "p_size % 10 AS height", "nullif(p_size % 3, 0) AS units")
+    model = M.fit_floors(parts.withColumn("floors", F.when(F.col("height") < 4, 2.0).otherwise(5.0)), ["height", "units"], rounds=3)
+    path = f"{shared_dir(spark).rstrip('/')}/gevel-model-{uuid.uuid4().hex}"
+    M.save_model(model, path)
+    return A.shaped(M.predictions(M.predict_floors(parts, M.load_model(path), ["height", "units"])), "identificatie:s b3_bouwlagen:l")
 
 
 def publish(spark, sf):
@@ -282,6 +287,49 @@ def current_layer(spark, sf):
     return A.shaped(H.dedupe(rows, "identificatie", ["fid"]), "fid:l identificatie:s oorspronkelijkbouwjaar:l status:s documentnummer:s")
 
 
+LAYER_STATUS = [
+    "Naamgeving uitgegeven", "Naamgeving ingetrokken", "Woonplaats aangewezen", "Woonplaats ingetrokken", "Verblijfsobject in gebruik",
+    "Verblijfsobject ingetrokken", "Verblijfsobject buiten gebruik", "Niet gerealiseerd verblijfsobject",
+]
+
+
+def register_layers(spark, sf):
+    """Addresses, streets, towns and units as of a date, with the statuses each layer leaves out."""
+    o = A.table(spark, sf, "orders")
+    status = F.element_at(F.array(*map(F.lit, LAYER_STATUS)), (F.col("o_custkey") % len(LAYER_STATUS) + 1).cast("int"))
+    out = None
+    for layer in ("verblijfsobject", "nummeraanduiding", "openbareruimte", "woonplaats"):
+        own = H.LAYER_COLUMNS[layer]
+        nulls = [F.lit(None).cast("timestamp").alias(c) for c in H.HISTORY_COLUMNS if c not in ("identificatie", "status", "begingeldigheid", "tijdstipregistratielv")]
+        rows = o.select(
+            F.col("o_orderkey").alias("ogc_fid"), F.concat(F.lit("N"), F.col("o_orderkey").cast("string")).alias("identificatie"), status.alias("status"),
+            F.col("o_orderdate").alias("begingeldigheid"), F.col("o_orderdate").alias("tijdstipregistratielv"), *nulls,
+            *[F.concat(F.lit(c), F.col("o_orderpriority")).alias(c) for c in own], F.lit("g").alias("wkb_geometry"),
+        )
+        got = H.layer_snapshot(rows, layer, H.reference_date("1997-01-01"))
+        part = got.select(F.lit(layer).alias("layer"), "fid", "status", F.col(own[-1]).alias("last_own"), F.lit(len(got.columns)).alias("n_columns"))
+        out = part if out is None else out.unionByName(part)
+    return A.shaped(out, "layer:s fid:l status:s last_own:s n_columns:l")
+
+
+def topographic(spark, sf):
+    """Topographic buildings with polygon shape, in their types."""
+    p = A.boxes(A.table(spark, sf, "part"), "p_partkey", "p_partkey", "p_type", "p_brand", "p_size")
+    two = F.when(F.col("p_size") % 4 == 0, F.array("rings", "rings")).otherwise(F.array("rings"))
+    text = {"bronbeschrijving": "p_type", "mutatietype": "p_brand", "hoogteklasse": "p_brand", "status": "p_type", "soortnaam": "p_brand"}
+    numbers = {"bronnauwkeurigheid": "p_size / 4.0", "hoogteniveau": "p_size", "visualisatiecode": "p_size * 2", "tdncode": "p_size + 1"}
+    layer = p.select(
+        F.col("p_partkey").alias("ogc_fid"), F.concat("p_type", "p_type").alias("namespace"), F.col("p_partkey").cast("string").alias("lokaalid"), F.col("p_type").alias("brontype"),
+        *[F.col(c).alias(k) for k, c in text.items()], *[F.expr(f"cast({e} as string)").alias(k) for k, e in numbers.items()], F.array("p_type").alias("typegebouw"),
+        F.array("p_brand").alias("naam"), F.lit("2001-02-03").alias("bronactualiteit"), F.lit("2001-02-03 04:05:06").alias("objectbegintijd"), F.lit("x").alias("tijdstipregistratie"), two.alias("geometry"),
+    ).withColumn("tijdstipregistratie", F.lit(None).cast("string"))
+    got = RC.topographic_buildings(layer).withColumn("area", (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")))
+    return A.shaped(
+        got.withColumn("day", F.col("bronactualiteit").cast("string")).withColumn("kind", F.col("typegebouw")[0]),
+        "fid:l namespace:s lokaalid:l brontype:s day:s bronnauwkeurigheid:d hoogteniveau:l visualisatiecode:l tdncode:l kind:s area:d",
+    )
+
+
 def dates(spark, sf):
     """Version, ISO and short date texts."""
     o = A.table(spark, sf, "orders").select(
@@ -400,7 +448,10 @@ QUERIES = {
         FROM part WHERE p_brand <> 'Brand#3' AND p_partkey % 6 IN (0, 1) AND 1000 + p_partkey % 1040 > 1005 AND 1000 + p_partkey % 1040 < 2025
           AND p_size * 7.0 < 300 AND p_partkey % 8 > 0""",
     ),
-    "floors": (floors, None),
+    "floors": (
+        floors,
+        "SELECT 'P' || p_partkey AS identificatie, CAST(CASE WHEN p_size % 10 < 4 THEN 2 ELSE 5 END AS BIGINT) AS b3_bouwlagen FROM part",
+    ),
     "publish": (
         publish,
         """SELECT l_orderkey, floors, round_even(floors, 0) AS floors_int, CASE WHEN round_even(floors, 0) <= 5 THEN CAST(round_even(floors, 0) AS BIGINT) END AS b3_bouwlagen
@@ -414,6 +465,20 @@ QUERIES = {
           AND begingeldigheid <= TIMESTAMP '1999-01-01' AND coalesce(eindgeldigheid = begingeldigheid OR eindgeldigheid > TIMESTAMP '1999-01-01', true))
         SELECT ogc_fid AS fid, identificatie, CAST(1990 AS BIGINT) AS oorspronkelijkbouwjaar, status, CAST(NULL AS VARCHAR) AS documentnummer FROM c WHERE rn = 1""",
     ),
+    "register_layers": (
+        register_layers,
+        f"""WITH s AS (SELECT *, list_extract({LAYER_STATUS!r}, CAST(o_custkey % {len(LAYER_STATUS)} AS INT) + 1) AS status FROM orders WHERE o_orderdate <= TIMESTAMP '1997-01-01')
+        SELECT layer, o_orderkey AS fid, status, own || o_orderpriority AS last_own, CAST(n AS BIGINT) AS n_columns FROM s, (VALUES
+          ('verblijfsobject', 'pandref', 22, ['Niet gerealiseerd verblijfsobject', 'Verblijfsobject ingetrokkent', 'Verblijfsobject buiten gebruik']),
+          ('nummeraanduiding', 'openbareruimteref', 23, ['Naamgeving ingetrokken']), ('openbareruimte', 'woonplaatsref', 20, ['Naamgeving ingetrokken']),
+          ('woonplaats', 'naam', 18, ['Woonplaats ingetrokken'])) l(layer, own, n, gone) WHERE NOT list_contains(gone, status)""",
+    ),
+    "topographic": (
+        topographic,
+        f"""SELECT p_partkey AS fid, substr(p_type || p_type, 1, 10) AS namespace, p_partkey AS lokaalid, substr(p_type, 1, 12) AS brontype, '2001-02-03' AS day,
+        CAST(p_size / 4.0 AS DOUBLE) AS bronnauwkeurigheid, CAST(p_size AS BIGINT) AS hoogteniveau, CAST(p_size * 2 AS BIGINT) AS visualisatiecode, CAST(p_size + 1 AS BIGINT) AS tdncode,
+        p_type AS kind, (x1 - x0) * (y1 - y0) AS area FROM (SELECT *, {A.box_sql('p_partkey')} FROM part) WHERE p_size % 4 <> 0""",
+    ),
     "dates": (
         dates,
         "SELECT o_orderkey, strftime(o_orderdate, '%Y.%m.%d') AS version, strftime(o_orderdate, '%Y-%m-%d') AS iso, strftime(o_orderdate, '%d%m%Y') AS short FROM orders",

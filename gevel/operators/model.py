@@ -27,6 +27,14 @@ def fit_floors(df: DataFrame, inputs: Sequence[str], label: str = "floors", roun
     return Pipeline(stages=stages).fit(_numeric(df, [*inputs, label]))
 
 
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
 def predict_floors(df: DataFrame, model: PipelineModel, inputs: Sequence[str]) -> DataFrame:
     """Adds ``floors`` and ``floors_int`` (rounded half to even)."""
     scored = model.transform(_numeric(df, inputs))
