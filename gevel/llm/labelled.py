@@ -16,7 +16,8 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, longest: int) ->
 
     ``docs`` has doc_id and text, ``labels`` doc_id and label. The ids with the smallest hashes are
     taken, so the sample is the same in every run; texts above ``longest`` characters are not used
-    to learn from. Nulls and ids with several labels are left out.
+    to learn from, and of the texts of a repeated id the first in order is. Nulls and ids with several
+    labels are left out.
     """
     one = labels.where(F.col("label").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("_most"))
     one = one.where(F.col("label") == F.col("_most")).select("doc_id", "label")
@@ -29,5 +30,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, longest: int) ->
         picked = part if picked is None else picked.unionByName(part)
     if picked is None:
         return []
-    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").orderBy("doc_id", "text").collect()
+    # one text for each id, so that a repeated id does not widen the sample
+    texts = docs.where(F.length("text") <= longest).select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("label").alias("label")).orderBy("doc_id").collect()
     return [(r["text"], r["label"]) for r in rows]
