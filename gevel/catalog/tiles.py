@@ -14,6 +14,7 @@ from gevel.functions import geometry as G
 from gevel.functions import text as TX
 from gevel.operators import lineage as L
 from gevel.operators import points as PT
+from gevel.operators import documents as D
 from gevel.operators import quality as Q
 from gevel.operators import tiling as TI
 from gevel.operators import webservice as W
@@ -313,20 +314,27 @@ def validate_tiles(spark, sf):
     each = s.select(F.col("s_suppkey").cast("string").alias("tile_id"), "s_name", "s_acctbal", F.explode(F.array(*map(F.lit, ("cityjson", "obj", "gpkg")))).alias("format"))
     archives = each.filter("format <> 'obj' OR s_acctbal > 0").select("tile_id", "format", (F.col("s_acctbal") < 9000).alias("zip_ok"))
     hashes = each.select("tile_id", "format", F.sha2("s_name", 256).alias("sha256"))
+    # one building per tile, with a part of two levels unless the key is a multiple of three
+    doc = F.expr(
+        "concat('{\"CityObjects\":{\"B', s_suppkey, '\":{\"type\":\"Building\",\"geometry\":[{\"lod\":\"0\"}]}', CASE WHEN s_suppkey % 3 > 0 THEN "
+        "concat(',\"B', s_suppkey, '-0\":{\"type\":\"BuildingPart\",\"geometry\":[{\"lod\":\"2.2\"},{\"lod\":\"1.2\"}]}') ELSE '' END, '}}')"
+    )
+    objects = D.city_objects(s.select(F.col("s_suppkey").cast("string").alias("tile_id"), doc.alias("doc")).filter("s_suppkey % 5 > 0"))
     got = Q.validate_tiles(
-        index, archives, hashes, "https://example.org", "v2024.01.01",
+        index, archives, hashes, "https://example.org", "v2024.01.01", cityjson=Q.summarise_cityjson(objects),
         obj=Q.summarise_obj(*obj_tables(spark, sf)), gpkg=Q.layer_counts(layer_rows(spark, sf)),
     )
-    got = _codes_as_text(got, ["obj_errors_lod12"])
+    got = _codes_as_text(got, ["obj_errors_lod12"]).withColumn("cj_lod", F.array_join("cj_lod", " "))
     return A.shaped(
-        got, "tile_id:s cj_zip_ok:b cj_nr_building:l cj_sha256:s cj_download:s obj_zip_ok:b obj_nr_building:l obj_nr_invalid_building:l "
+        got, "tile_id:s cj_zip_ok:b cj_nr_building:l cj_nr_buildingpart:l cj_lod:s cj_sha256:s cj_download:s obj_zip_ok:b obj_nr_building:l obj_nr_invalid_building:l "
         "obj_errors_lod12:s obj_download:s gpkg_zip_ok:b gpkg_nr_building:l gpkg_nr_buildingpart:l",
     )
 
 
 VALIDATE_SQL = f"""
-WITH {OBJ_CTE}, {LAYER_CTE}, s AS (SELECT CAST(s_suppkey AS VARCHAR) AS tile_id, s_name, s_acctbal FROM supplier)
-SELECT s.tile_id, s_acctbal < 9000 AS cj_zip_ok, CAST(NULL AS BIGINT) AS cj_nr_building, sha256(s_name) AS cj_sha256,
+WITH {OBJ_CTE}, {LAYER_CTE}, s AS (SELECT CAST(s_suppkey AS VARCHAR) AS tile_id, s_suppkey AS k, s_name, s_acctbal FROM supplier)
+SELECT s.tile_id, s_acctbal < 9000 AS cj_zip_ok, CASE WHEN k % 5 > 0 THEN 1 END AS cj_nr_building, CASE WHEN k % 5 > 0 THEN CAST(k % 3 > 0 AS BIGINT) END AS cj_nr_buildingpart,
+  CASE WHEN k % 5 > 0 THEN CASE WHEN k % 3 > 0 THEN '0 1.2 2.2' ELSE '0' END END AS cj_lod, sha256(s_name) AS cj_sha256,
   'https://example.org/v20240101/tiles/' || s.tile_id || '/' || s.tile_id || '.city.json.gz' AS cj_download,
   CASE WHEN s_acctbal > 0 THEN s_acctbal < 9000 END AS obj_zip_ok, obj.nr_building AS obj_nr_building,
   obj.nr_invalid_building AS obj_nr_invalid_building, obj.errors_lod12 AS obj_errors_lod12,

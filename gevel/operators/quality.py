@@ -259,6 +259,15 @@ def summarise_obj(ids: DataFrame, primitives: DataFrame) -> DataFrame:
     )
 
 
+def summarise_cityjson(objects: DataFrame) -> DataFrame:
+    """Per tile from its city objects (``tile_id, type, geometry``): buildings, parts and levels of detail in order."""
+    def of(kind: str) -> Column:
+        return F.count_if(F.col("type") == kind).cast("int")
+
+    levels = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.coalesce(F.col("geometry.lod"), F.array().cast("array<string>"))))))
+    return objects.groupBy("tile_id").agg(of("Building").alias("nr_building"), of("BuildingPart").alias("nr_buildingpart"), levels.alias("lod"))
+
+
 def validate_tiles(
     index: DataFrame, archives: DataFrame, hashes: DataFrame, root: str, version: str,
     cityjson: DataFrame | None = None, obj: DataFrame | None = None, gpkg: DataFrame | None = None,

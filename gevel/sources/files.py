@@ -111,6 +111,13 @@ def read_file_list(spark: SparkSession, path: str, glob: str | None = None) -> D
     return r.load(path).select("path", "length")
 
 
+def read_file_hashes(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Path and SHA-256 of all files below a folder."""
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    r = r.option("pathGlobFilter", glob) if glob else r
+    return r.load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+
 # Directory layouts of the building documents.
 LAYOUTS = {
     "objects": r"(\d+/\d+/\d+)/objects/([^/]+)/reconstruct/([^/]+)\.city\.jsonl$",
