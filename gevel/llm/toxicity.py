@@ -84,12 +84,13 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 25, rate: float = 0.5,
     row = owner(first)
     same = np.flatnonzero(row[1:] == row[:-1])
     seen_pairs = np.bincount((target[same] * 2 + target[same + 1]).astype(int), minlength=4).reshape(2, 2) if len(target) else np.zeros((2, 2))
-    flat = keys.ravel()
+    columns = [np.ascontiguousarray(keys[:, j]) for j in range(keys.shape[1])]
+    del keys
     n = max(1, len(target))
     for _ in range(rounds if len(target) else 0):
-        m = crf.messages(weights[keys].sum(1) + bias, first, pair)
+        m = crf.messages(sum(weights[c] for c in columns) + bias, first, pair)
         gap = target - m.marginals()
-        slope = np.bincount(flat, np.repeat(gap, keys.shape[1]), 1 << BITS) - decay * n * weights
+        slope = sum(np.bincount(c, gap, 1 << BITS) for c in columns) - decay * n * weights
         pair_slope = seen_pairs - m.pair_totals(pair, first)
         grown += slope**2
         grown_pair += pair_slope**2
