@@ -54,14 +54,23 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, words: int, seed: int
 
 
 def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Fingerprint of each row: the bits set in over half of its hashes."""
+    """Fingerprint of each row: the bits set in over half of its hashes.
+
+    Eight bits of a hash at a time are added up in the eight bytes of a word, over at most 255 hashes.
+    """
     out = np.zeros(len(bounds) - 1, np.int64)
     some = np.flatnonzero(bounds[1:] > bounds[:-1])
     if len(some):
-        bits = np.unpackbits(np.ascontiguousarray(hashes, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones = np.add.reduceat(bits, bounds[some], axis=0, dtype=np.int64)
-        set_ = (2 * ones > np.diff(bounds)[some][:, None]).astype(np.uint8)
-        out[some] = np.packbits(set_, axis=1, bitorder="little").view("<i8").ravel()
+        size = np.diff(bounds)[some]
+        runs = -(-size // 255)
+        first = np.cumsum(runs) - runs
+        starts = np.repeat(bounds[some] - 255 * first, runs) + 255 * np.arange(runs.sum())
+        ones = np.empty((len(starts), 8, 8), np.int64)
+        for b in range(8):
+            bytes_ = np.add.reduceat((hashes >> np.uint64(b)) & np.uint64(0x0101010101010101), starts)
+            ones[:, :, b] = bytes_.astype("<u8").view(np.uint8).reshape(-1, 8)
+        ones = np.add.reduceat(ones.reshape(-1, WIDTH), first, axis=0)
+        out[some] = np.packbits((2 * ones > size[:, None]).astype(np.uint8), axis=1, bitorder="little").view("<i8").ravel()
     return out
 
 
