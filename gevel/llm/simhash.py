@@ -23,6 +23,8 @@ from gevel.llm.components import components
 from gevel.session import cut_lineage
 
 WIDTH = 64
+#: signature rows that a task compares at a time
+AT_ONCE = 50_000
 #: fingerprints over long shingles that confirm a link of near copies
 CHECKS = ("check_1", "check_2", "check_3", "check_4")
 _CODE = np.arange(256)
@@ -233,16 +235,18 @@ def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit:
     keyed = keyed.repartition("group").sortWithinPartitions("group")
 
     def run(batches):
-        held = None
+        held, size = [], 0
         for batch in batches:
-            now = [np.asarray(c) for c in batch.columns]
-            if held is not None:
-                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-            cut = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-            held = [x[cut:] for x in now]
-            yield from found([x[:cut] for x in now])
-        if held is not None:
-            yield from found(held)
+            held.append([np.asarray(c) for c in batch.columns])
+            size += batch.num_rows
+            if size >= AT_ONCE:
+                now = [np.concatenate(x) for x in zip(*held, strict=True)]
+                cut = int(np.searchsorted(now[0], now[0][-1]))  # the last group may go on
+                yield from found([x[:cut] for x in now])
+                held = [[x[cut:] for x in now]]
+                size = size - cut
+        if size:
+            yield from found([np.concatenate(x) for x in zip(*held, strict=True)])
 
     def found(part):
         if len(part[0]):
