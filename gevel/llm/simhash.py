@@ -224,7 +224,8 @@ def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit:
     chosen = plan(np.array([r[0] for r in drawn], np.int64), count, tau)
     rows = signatures(prints, chosen)
     crowded = rows.groupBy("part", "value").count().where(F.col("count") > block)
-    crowded = crowded.select("part", "value", F.ceil(F.col("count") / block).cast("int").alias("blocks"))
+    # written first: where few values are crowded, Spark sees a small table and need not shuffle the signatures for it
+    crowded = cut_lineage(crowded.select("part", "value", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
     rows = rows.join(crowded, ["part", "value"], "left")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
