@@ -72,13 +72,15 @@ def test_language_held_out(spark):
 
 
 def test_spans_are_the_offending_words():
-    clean = ["a quiet day by the river", "green trees and a house", "walk by the river"] * 20
-    bad = [f"{c} you vile{x} fool" for c, x in zip(clean, itertools.cycle("abc"))]
-    model = toxicity.fit(clean + bad, [0] * len(clean) + [1] * len(bad))
-    data, offsets = text_bytes(pa.array(["by the river you vileb fool", "a quiet river", ""]))
+    rng = np.random.default_rng(2)
+    vocabulary = np.array([a + b for a in ("river", "house", "stone", "green", "walk", "tree") for b in ("", "s", "ing", "ly", "er")])
+    clean = [list(rng.choice(vocabulary, 12)) for _ in range(240)]
+    bad = [[*c[: n % 11], f"vile{'abc'[n % 3]}", *c[n % 11 :]] for n, c in enumerate(clean)]
+    model = toxicity.fit([" ".join(t) for t in clean + bad], [0] * len(clean) + [1] * len(bad))
+    data, offsets = text_bytes(pa.array(["walks greenly vileb river", "trees walking", ""]))
     p, starts, ends, first = toxicity.tag(model, data, offsets)
     words = [data[a:b].tobytes() for a, b in zip(starts, ends)]
-    assert {w for w, x in zip(words, p) if x > 0.5} == {b"you", b"vileb", b"fool"}
+    assert {w for w, x in zip(words, p) if x > 0.5} == {b"vileb"}
 
 
 def test_lines_of_every_text():
