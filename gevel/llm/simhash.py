@@ -210,18 +210,19 @@ def _compare(group: np.ndarray, side: np.ndarray, node: np.ndarray, value: np.nd
     return (np.concatenate(a), np.concatenate(b)) if a else (node[:0], node[:0])
 
 
-def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit: int = 0, block: int = 256, sample: int = 4000) -> DataFrame:
+def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit: int = 0, block: int = 256, sample: int = 4000, least: int = 250_000) -> DataFrame:
     """Links between nodes whose fingerprints are at most ``tau`` bits apart, enough to connect the same components.
 
     ``prints`` has node and fingerprint, one row for each node. The fingerprints in ``checks`` may differ
     by ``limit`` bits together besides. The plan is fitted to the
-    ``sample`` fingerprints with the smallest hashes. A value that more than ``block`` signatures share
+    ``sample`` fingerprints with the smallest hashes, and made for ``least`` of them or more, so that
+    small tables are worked on like large ones. A value that more than ``block`` signatures share
     is split into blocks, and each two of them meet in a task of their own; a task gives one star for
     each component it finds, not all pairs.
     """
     count = prints.count()
     drawn = prints.select("fingerprint").distinct().orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).collect()
-    chosen = plan(np.array([r[0] for r in drawn], np.int64), count, tau)
+    chosen = plan(np.array([r[0] for r in drawn], np.int64), max(count, least), tau)
     rows = signatures(prints, chosen)
     crowded = rows.groupBy("part", "value").count().where(F.col("count") > block)
     # written first: where few values are crowded, Spark sees a small table and need not shuffle the signatures for it
