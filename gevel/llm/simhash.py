@@ -311,7 +311,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, ta
     prints = cut_lineage(kept.mapInArrow(per_piece(work), f"doc_id long, hash long, {', '.join(f'{c} long' for c in same)}"))
     nodes = prints.groupBy(*same).agg(F.min(F.struct("doc_id", "hash")).alias("first"))
     nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
-    found = components(links(nodes.select("node", *same), tau, CHECKS, shingle_bits(similarity, len(CHECKS) * WIDTH)))
+    found = components(links(nodes.select("node", *same), tau, CHECKS, shingle_bits(similarity, len(CHECKS) * WIDTH), block=2048))
     firsts = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
     stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("__gevel_id"), F.col("first.hash").alias("__gevel_hash")))
     stays = stays.withColumnRenamed("__gevel_hash", "__gevel_of")
