@@ -25,8 +25,12 @@ from gevel.session import cut_lineage
 WIDTH = 64
 #: signature rows that a task compares at a time
 AT_ONCE = 50_000
-#: fingerprints over long shingles that confirm a link of near copies
-CHECKS = ("check_1", "check_2", "check_3", "check_4")
+#: bands of minima over shingles, and minima in each: a pair of similarity 0.8 shares no band in 3 of 100,000 cases
+BANDS, ROWS = 20, 4
+#: a group of up to so many rows gives all its plausible pairs; in larger ones each row gives its nearest
+SMALL, NEAREST = 64, 4
+#: two bits of each minimum, which tell unlike pairs of a band
+SKETCH = ("sketch_1", "sketch_2", "sketch_3")
 _CODE = np.arange(256)
 WORD = ~((_CODE == 32) | ((_CODE >= 9) & (_CODE <= 13)))
 
@@ -194,14 +198,12 @@ def _apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count((x ^ y).view(np.uint64)).astype(np.int64)
 
 
-def _compare(group: np.ndarray, side: np.ndarray, node: np.ndarray, value: np.ndarray, checks: list[np.ndarray], tau: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+def _compare(group: np.ndarray, side: np.ndarray, node: np.ndarray, value: np.ndarray, tau: int) -> tuple[np.ndarray, np.ndarray]:
     """Verified links among rows of equal, neighbouring groups; in a split group only between its sides."""
     a, b, lag = [], [], 1
     at = np.flatnonzero(group[:-1] == group[1:])
     while len(at):
         here = at[(_apart(value[at], value[at + lag]) <= tau) & ((side[at] != side[at + lag]) | (side[at] == 2))]
-        if checks and len(here):
-            here = here[sum(_apart(c[here], c[here + lag]) for c in checks) <= limit]
         a.append(node[here])
         b.append(node[here + lag])
         lag += 1
@@ -210,20 +212,14 @@ def _compare(group: np.ndarray, side: np.ndarray, node: np.ndarray, value: np.nd
     return (np.concatenate(a), np.concatenate(b)) if a else (node[:0], node[:0])
 
 
-def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit: int = 0, block: int = 256, sample: int = 4000, least: int = 250_000) -> DataFrame:
-    """Links between nodes whose fingerprints are at most ``tau`` bits apart, enough to connect the same components.
+def _met(rows: DataFrame, block: int, find) -> DataFrame:
+    """Distinct links (a, b) that ``find`` sees among signature rows (part, value, node and more) of one value.
 
-    ``prints`` has node and fingerprint, one row for each node. The fingerprints in ``checks`` may differ
-    by ``limit`` bits together besides. The plan is fitted to the
-    ``sample`` fingerprints with the smallest hashes, and made for ``least`` of them or more, so that
-    small tables are worked on like large ones. A value that more than ``block`` signatures share
-    is split into blocks, and each two of them meet in a task of their own; a task gives one star for
-    each component it finds, not all pairs.
+    A value that more than ``block`` rows share is split into blocks, and each two of them meet in a task
+    of their own. ``find`` has arrays of the group, the side (2 if the group is whole), the node and the
+    other columns, sorted by group, and gives arrays of links.
     """
-    count = prints.count()
-    drawn = prints.select("fingerprint").distinct().orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).collect()
-    chosen = plan(np.array([r[0] for r in drawn], np.int64), max(count, least), tau)
-    rows = signatures(prints, chosen)
+    more = [c for c in rows.columns if c not in ("part", "value", "node")]
     crowded = rows.groupBy("part", "value").count().where(F.col("count") > block)
     # written first: where few values are crowded, Spark sees a small table and need not shuffle the signatures for it
     crowded = cut_lineage(crowded.select("part", "value", F.ceil(F.col("count") / block).cast("int").alias("blocks")))
@@ -232,8 +228,8 @@ def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit:
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     met = F.transform(other, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
     alone = F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(2).alias("side")))
-    rows = rows.select("part", "value", "fingerprint", "node", *checks, F.inline(F.when(F.col("blocks").isNull(), alone).otherwise(met)))
-    keyed = rows.select(F.xxhash64("part", "value", "i", "j").alias("group"), "side", "node", "fingerprint", *checks)
+    rows = rows.select("part", "value", "node", *more, F.inline(F.when(F.col("blocks").isNull(), alone).otherwise(met)))
+    keyed = rows.select(F.xxhash64("part", "value", "i", "j").alias("group"), "side", "node", *more)
     keyed = keyed.repartition("group").sortWithinPartitions("group")
 
     def run(batches):
@@ -252,12 +248,25 @@ def links(prints: DataFrame, tau: int = 4, checks: tuple[str, ...] = (), limit:
 
     def found(part):
         if len(part[0]):
-            a, b = forest(*_compare(*part[:4], part[4:], tau, limit))
+            a, b = find(*part)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return keyed.mapInArrow(run, "a long, b long").distinct()
 
 
+def links(prints: DataFrame, tau: int = 4, block: int = 256, sample: int = 4000, least: int = 250_000) -> DataFrame:
+    """Links between nodes whose fingerprints are at most ``tau`` bits apart, enough to connect the same components.
+
+    ``prints`` has node and fingerprint, one row for each node. The plan is fitted to the ``sample``
+    fingerprints with the smallest hashes, and made for ``least`` of them or more, so that small tables
+    are worked on like large ones. A task gives one star for each component it finds, not all pairs.
+    """
+    count = prints.count()
+    drawn = prints.select("fingerprint").distinct().orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample).collect()
+    chosen = plan(np.array([r[0] for r in drawn], np.int64), max(count, least), tau)
+    return _met(signatures(prints, chosen), block, lambda group, side, node, value: forest(*_compare(group, side, node, value, tau)))
+
+
 def near_groups(prints: DataFrame, tau: int = 4) -> DataFrame:
     """Every row of ``prints`` (doc_id, fingerprint) with component_id, the smallest doc_id it is linked to by any path.
 
@@ -270,49 +279,162 @@ def near_groups(prints: DataFrame, tau: int = 4) -> DataFrame:
     return prints.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def shingle_bits(similarity: float, bits: int) -> int:
-    """Bits that two texts of this Jaccard similarity of shingles may differ by, 1.5 deviations above the mean."""
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(np.ceil(bits * share + 1.5 * np.sqrt(bits * share * (1 - share))))
+def unlike(similarity: float) -> int:
+    """Minima that may differ in their two bits at this Jaccard similarity, four deviations above the mean."""
+    n, share = BANDS * ROWS, 0.75 * (1 - similarity)
+    return int(np.ceil(n * share + 4 * np.sqrt(n * share * (1 - share))))
+
+
+def _differ(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many minima differ in their two bits."""
+    total = 0
+    for p, q in zip(x, y, strict=True):
+        d = (p ^ q).view(np.uint64)
+        total = total + np.bitwise_count((d | d >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    return total
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8, tau: int = 7) -> DataFrame:
+def _plausible(limit: int):
+    """Links to look at among rows of equal, neighbouring groups, for ``_met``: all in a small group.
+
+    In a larger one the NEAREST ones of each row, and as many between each two parts which these leave apart.
+    """
+
+    def find(group, side, node, *sketch):
+        a, b = [], []
+        cuts = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
+        size = np.diff(cuts)
+        place = np.arange(len(group)) - np.repeat(cuts[:-1], size)
+        left = np.repeat(size, size) - place - 1
+        few = np.repeat(size <= SMALL, size)
+        for lag in range(1, min(SMALL, int(size.max()))):
+            at = np.flatnonzero(few & (left >= lag))
+            at = at[(side[at] != side[at + lag]) | (side[at] == 2)]
+            at = at[_differ([s[at] for s in sketch], [s[at + lag] for s in sketch]) <= limit]
+            a.append(node[at])
+            b.append(node[at + lag])
+        for k in np.flatnonzero(size > SMALL):
+            here = cuts[k] + np.argsort(node[cuts[k] : cuts[k + 1]])
+            i, j = _nearest(side[here], [s[here] for s in sketch], limit)
+            a.append(node[here][i])
+            b.append(node[here][j])
+        if not a:
+            return node[:0], node[:0]
+        a, b = np.concatenate(a), np.concatenate(b)
+        return np.minimum(a, b), np.maximum(a, b)
+
+    return find
+
+
+def _nearest(side: np.ndarray, sketch: list[np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray]:
+    n = len(side)
+    far = np.uint32(1) << np.uint32(31)
+    step = max(1, (1 << 21) // n)
+
+    def keys(rows: np.ndarray) -> np.ndarray:
+        """Distance and place of all others for each of the rows; ``far`` where they are no pair."""
+        d = _differ([s[rows, None] for s in sketch], [s[None] for s in sketch]).astype(np.uint32)
+        pair = (d <= limit) & ((side[rows, None] != side[None]) | (side[rows, None] == 2)) & (rows[:, None] != np.arange(n))
+        return np.where(pair, (d << np.uint32(20)) | np.arange(n, dtype=np.uint32), far)
+
+    a, b = [], []
+
+    def take(rows: np.ndarray, key: np.ndarray) -> None:
+        best = np.partition(key, NEAREST - 1, axis=1)[:, :NEAREST] if key.shape[1] > NEAREST else key
+        r, c = np.nonzero(best < far)
+        a.append(rows[r])
+        b.append((best[r, c] & np.uint32((1 << 20) - 1)).astype(np.int64))
+
+    for start in range(0, n, step):
+        rows = np.arange(start, min(n, start + step))
+        take(rows, keys(rows))
+    leaf, top = forest(np.concatenate(a), np.concatenate(b))
+    label = np.arange(n)
+    label[leaf] = top
+    if len(parts := np.unique(label)) > 1:
+        by = np.argsort(label, kind="stable")
+        first = np.searchsorted(label[by], parts)
+        for start in range(0, n, step):
+            rows = np.arange(start, min(n, start + step))
+            key = keys(rows)
+            key[label[rows, None] == label[None]] = far
+            rows, key = rows[some := (key < far).any(1)], key[some]
+            if len(rows):  # the best one of each other part
+                best = np.minimum.reduceat(key[:, by], first, axis=1)
+                r, c = np.nonzero(best < far)
+                a.append(rows[r])
+                b.append((best[r, c] & np.uint32((1 << 20) - 1)).astype(np.int64))
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct shingles of each row in order, and the bounds of the rows.
+
+    A text of fewer words is one shingle; one without words has none.
+    """
+    data, offsets = text_bytes(column)
+    low = LOWER[data]
+    starts, ends, first = spans(WORD[low], offsets)
+    hashes, row = SpanHash(low)(starts, ends), owner(first)
+    grams = np.zeros(len(hashes), np.uint64)
+    left = np.minimum(words, np.repeat(first[1:], np.diff(first)) - np.arange(len(hashes)))  # words up to the end of the row
+    for j in range(words):
+        at = np.minimum(np.arange(len(hashes)) + j, max(len(hashes) - 1, 0))
+        grams = np.where(j < left, grams * np.uint64(0x9E3779B97F4A7C15) + hashes[at], grams)
+    full = (left == words) | (np.arange(len(hashes)) == first[:-1][row])  # whole shingles; a short text is one
+    grams, row = mix(grams[full]), row[full]
+    order = np.lexsort((grams, row))
+    grams, row = grams[order], row[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (grams[1:] != grams[:-1]) | (row[1:] != row[:-1])
+    return grams[new], np.searchsorted(row[new], np.arange(len(first)))
+
+
+def _minima(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The least value of each row under each of BANDS * ROWS hash functions; rows without shingles get 0."""
+    some = np.flatnonzero(bounds[1:] > bounds[:-1])
+    out = np.zeros((len(bounds) - 1, BANDS * ROWS), np.uint64)
+    factors = np.random.default_rng(11).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
+    for j, factor in enumerate(factors):
+        if len(some):
+            out[some, j] = np.minimum.reduceat(grams * factor, bounds[some])
+    return mix(out)
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of ``docs`` for each group of near copies, with all its columns: the smallest doc_id, then text hash.
 
-    Texts are near copies when the fingerprints of their distinct words differ by at most ``tau`` bits and
-    256 bits over their shingles of ``words`` words speak for a Jaccard similarity of ``similarity`` or
-    more (within 1.5 deviations of the estimate). Rows of equal doc_id and text count once; null, empty
-    and blank texts are copies of each other; a null doc_id comes first.
+    Texts are near copies when bands of minima over their shingles of ``words`` words meet and two bits of
+    each minimum speak for a Jaccard similarity of ``similarity`` or more (within four deviations of the
+    estimate). Rows of equal doc_id and text count once;
+    null, empty and blank texts are copies of each other; a null doc_id comes first.
     """
     mine = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mine.alias("hash"), F.col("text").cast("string").alias("text"))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets = text_bytes(piece.column("text"))
-        low = LOWER[data]
-        starts, ends, first = spans(WORD[low], offsets)
-        hashes, row = SpanHash(low)(starts, ends), owner(first)
-        order = np.lexsort((hashes, row))
-        new = np.ones(len(order), bool)
-        new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (row[order][1:] != row[order][:-1])
-        single = order[new]
-        grams = np.zeros(len(hashes), np.uint64)
-        left = np.minimum(words, np.repeat(first[1:], np.diff(first)) - np.arange(len(hashes)))  # words up to the end of the row
-        for j in range(words):
-            at = np.minimum(np.arange(len(hashes)) + j, max(len(hashes) - 1, 0))
-            grams = np.where(j < left, grams * np.uint64(0x9E3779B97F4A7C15) + hashes[at], grams)
-        full = (left == words) | (np.arange(len(hashes)) == first[:-1][row])  # whole shingles; a short text is one
-        bounds = np.searchsorted(row[full], np.arange(len(first)))
-        prints = [majority(hashes[single], np.searchsorted(row[single], np.arange(len(first))))]
-        prints += [majority(mix(grams[full] ^ np.uint64(j * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)), bounds) for j in range(len(CHECKS))]
-        return pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("hash"), *map(pa.array, prints)], ["doc_id", "hash", *same])
-
-    same = ["fingerprint", *CHECKS]
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mine.alias("hash"), F.col("text").cast("string").alias("text"))
-    prints = cut_lineage(kept.mapInArrow(per_piece(work), f"doc_id long, hash long, {', '.join(f'{c} long' for c in same)}"))
-    nodes = prints.groupBy(*same).agg(F.min(F.struct("doc_id", "hash")).alias("first"))
+        grams, bounds = _shingle_sets(piece.column("text"), words)
+        least = _minima(grams, bounds)
+        whole = [np.concatenate([[0], np.cumsum(mix(grams + np.uint64(k)), dtype=np.uint64)]).astype(np.uint64) for k in (1, 2)]
+        digest = [(w[bounds[1:]] - w[bounds[:-1]]).view(np.int64) for w in whole]
+        bands = least.reshape(-1, BANDS, ROWS)
+        band = np.zeros(bands.shape[:2], np.uint64)
+        for j in range(ROWS):
+            band = mix(band * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, j])
+        two = np.zeros((len(least), 32 * len(SKETCH)), np.uint64)
+        two[:, : BANDS * ROWS] = least & np.uint64(3)
+        sketch = [np.bitwise_or.reduce(two[:, 32 * k : 32 * k + 32] << (np.uint64(2) * np.arange(32, dtype=np.uint64)), axis=1).view(np.int64) for k in range(len(SKETCH))]
+        wordy = np.where(bounds[1:] > bounds[:-1], BANDS, 0)  # texts without words are one node, without bands
+        values = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wordy)]).astype(np.int32)), pa.array(band[wordy > 0].ravel().view(np.int64)))
+        return pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("hash"), *map(pa.array, digest), *map(pa.array, sketch), values], ["doc_id", "hash", "one", "two", *SKETCH, "bands"])
+
+    prints = kept.mapInArrow(per_piece(work), f"doc_id long, hash long, one long, two long, {', '.join(f'{c} long' for c in SKETCH)}, bands array<long>")
+    nodes = prints.groupBy("one", "two").agg(F.min(F.struct("doc_id", "hash")).alias("first"), *[F.first(c).alias(c) for c in (*SKETCH, "bands")])
     nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
-    found = components(links(nodes.select("node", *same), tau, CHECKS, shingle_bits(similarity, len(CHECKS) * WIDTH), block=2048))
-    firsts = nodes.join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
+    rows = nodes.select("node", *SKETCH, F.posexplode("bands").alias("part", "value"))
+    pairs = cut_lineage(_met(rows.select("part", "value", "node", *SKETCH), 2048, _plausible(unlike(similarity))))
+    found = components(pairs)
+    firsts = nodes.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
     stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("__gevel_id"), F.col("first.hash").alias("__gevel_hash")))
     stays = stays.withColumnRenamed("__gevel_hash", "__gevel_of")
     out = docs.withColumn("__gevel_hash", mine).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("__gevel_id")) & (F.col("__gevel_hash") == F.col("__gevel_of")), "left_semi")

@@ -203,3 +203,51 @@ def test_pipeline_of_the_small_table(spark, sf):
     for r in corpus_pipeline.run(spark, sf).collect():
         got[r["doc_id"]] += r["size"]
     assert got == {d: len(t.encode()) + 1 for d, t in kept[3].items()}
+
+
+def altered(seed=8, vocabulary=20_000):
+    """(doc_id, text): texts over a large vocabulary, each with an appended, a truncated, an edited and a half-shared version."""
+    rng = np.random.default_rng(seed)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, vocabulary, n)]
+    out = []
+    for n in rng.integers(60, 400, 250).tolist():
+        base, share = words(n), rng.uniform(0.8, 0.97)
+        edited = list(base)
+        for at in rng.integers(0, n, max(1, int((n - 4) * (1 - share) / 12))):
+            edited[at] = words(1)[0]
+        for text in (base, base + words(int(n * (1 / share - 1))), base[: int(n * share)], edited, base[: int(n * rng.uniform(0.62, 0.79))]):
+            out.append((len(out), " ".join(text)))
+    return out
+
+
+def pairs_of(rows, least):
+    """Pairs with their likeness by an exact join over shingles."""
+    held, by = {d: shingles(t) for d, t in rows}, defaultdict(list)
+    for d, s in held.items():
+        for x in s:
+            by[x].append(d)
+    both = Counter((a, b) for ds in by.values() for i, a in enumerate(ds) for b in ds[i + 1 :])
+    like = {(a, b): n / (len(held[a]) + len(held[b]) - n) for (a, b), n in both.items()}
+    return {p: x for p, x in like.items() if x >= least}
+
+
+def test_near_duplicates_against_a_shingle_join(spark):
+    rows = altered()
+    like = pairs_of(rows, 0.8)
+    assert sum(x < 0.85 for x in like.values()) > 100
+    left = {r["doc_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not [p for p in like if left.issuperset(p)]
+
+
+@pytest.mark.parametrize("n, sides", [(40, (2,)), (700, (2,)), (700, (0, 1))])
+def test_nearest_of_a_large_group_connect_what_all_pairs_connect(n, sides):
+    rng = np.random.default_rng(n)
+    centre, pick = rng.integers(0, 2**63, (9, 3)), rng.integers(0, 9, n)
+    flips = 1 << rng.integers(0, 62, (n, 3, 3))
+    sketch = [np.bitwise_xor.reduce(np.concatenate([centre[pick, k, None], flips[:, k]], 1), axis=1) for k in range(3)]
+    side, node = rng.choice(sides, n), rng.permutation(n)
+    got = groups(zip(*(x.tolist() for x in simhash._plausible(20)(np.zeros(n, int), side, node, *sketch))), range(n))
+    apart = simhash._differ([s[:, None] for s in sketch], [s[None] for s in sketch])
+    meet = (side[:, None] != side[None]) | (side[:, None] == 2)
+    a, b = np.nonzero((apart <= 20) & meet)
+    assert len(set(got.values())) < n and got == groups(zip(node[a].tolist(), node[b].tolist()), range(n))
