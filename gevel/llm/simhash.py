@@ -404,9 +404,9 @@ def _minima(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of ``docs`` for each group of near copies, with all its columns: the smallest doc_id, then text hash.
 
-    Texts are near copies when bands of minima over their shingles of ``words`` words meet and two bits of
-    each minimum speak for a Jaccard similarity of ``similarity`` or more (within four deviations of the
-    estimate). Rows of equal doc_id and text count once;
+    Texts are near copies when the sets of their shingles of ``words`` words have a Jaccard similarity of
+    ``similarity`` or more, or by a chain of such pairs. Pairs are looked for by bands of minima over the
+    shingles; the sets of a pair are then compared themselves. Rows of equal doc_id and text count once;
     null, empty and blank texts are copies of each other; a null doc_id comes first.
     """
     mine = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -433,10 +433,38 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
     rows = nodes.select("node", *SKETCH, F.posexplode("bands").alias("part", "value"))
     pairs = cut_lineage(_met(rows.select("part", "value", "node", *SKETCH), 2048, _plausible(unlike(similarity))))
-    found = components(pairs)
+    found = components(_alike(kept, pairs, words, similarity))
     firsts = nodes.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
     stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("__gevel_id"), F.col("first.hash").alias("__gevel_hash")))
     stays = stays.withColumnRenamed("__gevel_hash", "__gevel_of")
     out = docs.withColumn("__gevel_hash", mine).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("__gevel_id")) & (F.col("__gevel_hash") == F.col("__gevel_of")), "left_semi")
     once = Window.partitionBy("doc_id", "__gevel_hash").orderBy("doc_id")
     return out.withColumn("__gevel_once", F.row_number().over(once)).where("__gevel_once = 1").select(*docs.columns)
+
+
+def _alike(kept: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets of shingles are alike; the sets are made for nodes of pairs only."""
+
+    def sets(piece: pa.RecordBatch) -> pa.RecordBatch:
+        grams, bounds = _shingle_sets(piece.column("text"), words)
+        blobs = [grams[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([piece.column("node"), pa.array(blobs, pa.binary())], ["node", "grams"])
+
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = kept.select(F.xxhash64("doc_id", "hash").alias("node"), "text").join(asked, "node", "left_semi").dropDuplicates(["node"])
+    held = cut_lineage(texts.mapInArrow(per_piece(sets), "node long, grams binary"))
+    both = pairs.join(held.select(F.col("node").alias("b"), F.col("grams").alias("of_b")), "b").join(held.select(F.col("node").alias("a"), F.col("grams").alias("of_a")), "a")
+
+    def check(batches):
+        for batch in batches:
+            x, y = batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()
+            keep = np.zeros(len(x), bool)
+            for i, (p, q) in enumerate(zip(x, y, strict=True)):
+                m, n = len(p) // 8, len(q) // 8
+                if min(m, n) >= similarity * max(m, n):
+                    union = np.sort(np.concatenate([np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)]))
+                    shared = int((union[1:] == union[:-1]).sum())
+                    keep[i] = shared >= similarity * (m + n - shared) - 1e-9
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long")

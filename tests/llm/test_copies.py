@@ -237,6 +237,8 @@ def test_near_duplicates_against_a_shingle_join(spark):
     assert sum(x < 0.85 for x in like.values()) > 100
     left = {r["doc_id"] for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert not [p for p in like if left.issuperset(p)]
+    group = groups(like, [d for d, _ in rows])
+    assert left == {d for d, top in group.items() if d == top}
 
 
 @pytest.mark.parametrize("n, sides", [(40, (2,)), (700, (2,)), (700, (0, 1))])
