@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -148,6 +149,37 @@ def test_suffix_query(spark, sf):
     assert got == want
 
 
+@pytest.mark.parametrize("crowded", [0, 40])
+def test_crowded_anchors(spark, crowded):
+    """A header in front of other text each time, and one inside of it: as by brute force, wherever windows meet."""
+    rng = np.random.default_rng(crowded)
+    words = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 9999, n))
+    header, ends = words(30), [words(3) for _ in range(9)]
+    rows = [(int(d), words(5) + " " + header + " " + (words(9) if d % 3 else ends[d % 9] + words(6))) for d in rng.permutation(400)] + [(None, header), (5, header)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = Counter((r[0], n, n - len(k), s, hashlib.sha256(k).hexdigest()) for r, (n, k, s) in zip(rows, cut(rows)))
+    got = suffix.dedup(docs, crowded=crowded).collect()
+    assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got) == want
+
+
+def test_contexts_of_one_anchor_spread_over_buckets():
+    """One anchor with 3000 contexts: the largest bucket holds a small share of its windows."""
+    rng = np.random.default_rng(6)
+    texts = [b"one passage of a header that many texts hold " + rng.integers(97, 123, 60).astype(np.uint8).tobytes() for _ in range(3000)]
+    offsets = np.arange(len(texts) + 1) * len(texts[0])
+    ids, data = np.arange(len(texts)), np.frombuffer(b"".join(texts), np.uint8)
+    packed = suffix._batch(segment=[0], data=[suffix._pack(ids, ids, offsets, data)])
+    gram, count = np.unique(suffix._short(suffix.runs(data, offsets, suffix.WINDOW)[4]), return_counts=True)
+    value = gram[[count.argmax()]]
+    kinds = {}
+    for crowded in (False, True):
+        wanted = pa.Table.from_batches([suffix._batch(segment=[0], data=[suffix._six(value | np.uint64(crowded)).tobytes()])])
+        sent = pa.Table.from_batches(list(suffix._sorted_runs(0, wanted, pa.Table.from_batches([packed]), 64))).to_pylist()
+        kinds[crowded] = [len(suffix._unpack(r["data"], *(suffix.WINDOWS if crowded else suffix.RUN))[-1]) for r in sent if r["kind"] == 2 * crowded]
+    assert len(kinds[False]) == 1 and kinds[False][0] > 1000
+    assert len(kinds[True]) == 64 and max(kinds[True]) < 3 * sum(kinds[True]) / 64
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.binary(max_size=4).map(lambda b: b.translate(bytes(x & 1 for x in range(256)))), max_size=8), max_size=6))
 def test_merge_is_sorted_and_knows_prefixes(runs):
