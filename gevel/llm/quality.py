@@ -65,9 +65,10 @@ def measures(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     words = np.maximum(n, 1)
     key = SpanHash(LOWER[data])(w0, w1)
     near = np.zeros(len(w0), bool)
-    for lag in (1, 2):
-        near[lag:] |= key[lag:] == key[:-lag]
     line = owner(at)
+    row = owner(first)[line]
+    for lag in (1, 2):
+        near[lag:] |= (key[lag:] == key[:-lag]) & (row[lag:] == row[:-lag])
     order = np.lexsort((key, line))
     new = np.ones(len(order), bool)
     new[1:] = (key[order][1:] != key[order][:-1]) | (line[order][1:] != line[order][:-1])

@@ -115,3 +115,10 @@ def test_odd_rows(spark):
     assert toxicity.score(none, toxicity.fit([], [])).count() == quality.score(none, quality.fit([], [])).count() == langid.predict(none, langid.fit([], [])).count() == 0
     assert labelled.sample(docs, docs.selectExpr("doc_id", "lang AS label"), 2, 1000) == labelled.sample(docs, docs.selectExpr("doc_id", "lang AS label"), 2, 1000)
     assert labelled.sample(none, none.selectExpr("doc_id", "lang AS label"), 2, 1000) == []
+
+
+def test_measures_of_a_text_do_not_depend_on_the_one_before():
+    for text in ("word", "word other", "other word\nword"):
+        alone = quality.measures(*text_bytes(pa.array([text])))[0]
+        after = quality.measures(*text_bytes(pa.array(["some other word", text, text])))[0]
+        assert np.array_equal(after[1:], np.concatenate([alone, alone]))
