@@ -84,8 +84,8 @@ def pack(docs: DataFrame, capacity: int = 8192, per_source: int = 2, block: int
     Sizes are UTF-8 bytes and one for the end mark; a text over ``capacity`` is cut into full pieces and
     a rest, so nothing is left out. A bin has at most ``per_source`` pieces of a source and one of a
     duplicate cluster (texts equal but for case and outer blanks). A null text is an empty one, a null
-    source a source of its own. Blocks have ``block`` rows on average whatever the data, so each is
-    packed in bounded memory; only the last bins of a block stay open. Other columns are dropped.
+    source a source of its own. Blocks have ``block`` rows on average whatever the data, and repeated rows
+    are dealt by their number, so each is packed in bounded memory; only the last bins of a block stay open. Other columns are dropped.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     cluster = F.xxhash64(F.lower(F.trim(text)))
@@ -93,5 +93,6 @@ def pack(docs: DataFrame, capacity: int = 8192, per_source: int = 2, block: int
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\x00"))).alias("source_key"), cluster.alias("cluster"), (F.octet_length(text) + 1).cast("long").alias("size")
     )
     blocks = max(1, -(-docs.count() // block))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(blocks)).cast("long"))
+    rows = rows.groupBy(*rows.columns).count().select(*rows.columns, F.explode(F.sequence(F.lit(1), F.col("count"))).alias("repeat"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "source_key", "cluster", "size", "repeat"), F.lit(blocks)).cast("long")).drop("repeat")
     return rows.groupBy("block").applyInArrow(lambda t: pack_block(t, capacity, per_source), "doc_id long, piece int, start long, size long, bin long, place long")

@@ -178,3 +178,11 @@ def test_one_reply(spark):
     last = got[2]
     assert (last["reply"], last["parent"], last["thread"], last["depth"], last["n_quotes"], last["n_linked"], last["place"]) == ("yes", 0, 0, 1, 2, 2, 1)
     assert got[1]["place"] == 2
+
+
+def test_repeated_rows_are_dealt_over_the_blocks(spark):
+    rows = [(5, "same", "s")] * 400 + [(None, "other", f"s{i % 2}") for i in range(400)] + [(i, f"text {i}", "s") for i in range(10, 410)]
+    got = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=100).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    for doc in (5, None):
+        assert max(Counter(r["bin"] >> 32 for r in got if r["doc_id"] == doc).values()) < 100
