@@ -271,6 +271,14 @@ def floors(spark, sf):
     return A.shaped(M.predictions(M.predict_floors(parts, M.load_model(path), ["height", "units"])), "identificatie:s b3_bouwlagen:l")
 
 
+def floors_of_features(spark, sf):
+    """G11, G12 on J6, F8: floors predicted by boosted trees over the feature matrix; rows are the answer, values depend on the fit."""
+    df = FE.training_filter(FE.all_features(*feature_tables(spark, sf)))
+    known = df.withColumn("floors", F.col("h_roof_70p").cast("double") / 3)
+    model = M.fit_floors(known, INPUTS, rounds=3)
+    return A.shaped(M.predictions(M.predict_floors(df, model, INPUTS)), "identificatie:s b3_bouwlagen:l")
+
+
 def publish(spark, sf):
     """Rounded half to even; more than five floors are not published."""
     li = A.table(spark, sf, "lineitem").groupBy("l_orderkey").agg((F.sum("l_quantity") / 32).alias("floors"))
@@ -452,6 +460,7 @@ QUERIES = {
         floors,
         "SELECT 'P' || p_partkey AS identificatie, CAST(CASE WHEN p_size % 10 < 4 THEN 2 ELSE 5 END AS BIGINT) AS b3_bouwlagen FROM part",
     ),
+    "floors_of_features": (floors_of_features, None),
     "publish": (
         publish,
         """SELECT l_orderkey, floors, round_even(floors, 0) AS floors_int, CASE WHEN round_even(floors, 0) <= 5 THEN CAST(round_even(floors, 0) AS BIGINT) END AS b3_bouwlagen

@@ -217,3 +217,12 @@ def test_best_cloud(spark):
     s = spark.createDataFrame([("a", "AHN3", 0.9, 2), ("a", "AHN5", 0.9, 0), ("b", "AHN3", 0.9, 2), ("b", "AHN4", 0.5, 1), ("c", "AHN4", None, 1)], "identificatie string, cloud string, coverage double, quality int")
     got = {r.identificatie: (r.cloud, r.reason) for r in PT.best_cloud(s).collect()}
     assert got == {"a": ("AHN5", "quality"), "b": ("AHN3", "coverage"), "c": ("AHN4", "only")}
+
+
+def test_floors_of_the_feature_matrix(spark, sf):
+    from gevel.catalog import all_queries
+
+    features = {r["identificatie"] for r in all_queries()["features"](spark, sf).collect()}
+    got = all_queries()["floors_of_features"](spark, sf).collect()
+    assert features and sorted(r["identificatie"] for r in got) == sorted(features)
+    assert all(r["b3_bouwlagen"] is not None for r in got) and len({r["b3_bouwlagen"] for r in got}) > 1
