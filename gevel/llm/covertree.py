@@ -143,12 +143,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = 32, s
     taken from the ``sample`` vectors with the smallest hashes; every vector is in a block and every
     block is searched or ruled out by its bound. Rows with a null id or a null number take no part, a
     repeated row counts once, a shorter vector ends in zeros. Rows of the query's own id are not its
-    candidates.
+    candidates. Larger numbers or scores raise ValueError.
     """
     spark = vectors.sparkSession
     good = vectors.where("vec_id IS NOT NULL AND vector IS NOT NULL AND forall(vector, x -> x IS NOT NULL)").select(F.col("vec_id").cast("long").alias("vec_id"), "vector", F.coalesce(is_query, F.lit(False)).alias("is_query"))
     good = good.dropDuplicates(["vec_id", "vector"])
-    width = good.agg(F.max(F.size("vector"))).first()[0]
+    size = F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double"))))
+    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
+    width, most, longest, asks = good.agg(F.max(F.size("vector")), F.max(size), F.max(norm), F.max(F.when(F.col("is_query"), norm))).first()
+    if (most or 0) >= 2**31 or (longest or 0) * (asks or 0) >= 2**53:
+        raise ValueError(f"vectors are too large to score exactly: a number of {most:.0f}, scores up to {(longest or 0) * (asks or 0):.3g}")
     if not width:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     drawn = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()

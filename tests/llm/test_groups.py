@@ -186,3 +186,10 @@ def test_repeated_rows_are_dealt_over_the_blocks(spark):
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
     for doc in (5, None):
         assert max(Counter(r["bin"] >> 32 for r in got if r["doc_id"] == doc).values()) < 100
+
+
+@pytest.mark.parametrize("big", [2**31, -(2**31), 2**30])
+def test_vectors_too_large_for_exact_scores(spark, big):
+    rows = [(i, [i, 1]) for i in range(40)] + [(100, [big, 1])]
+    with pytest.raises(ValueError, match="too large"):
+        covertree.top_k(spark.createDataFrame(rows, "vec_id long, vector array<long>"), F.col("vec_id") % 20 == 0)
