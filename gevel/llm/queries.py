@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import covertree, labelled, langid, packing, quality, quotes, sharding, simhash, suffix, toxicity, winnow
+from gevel.llm import covertree, labelled, langid, merkle, packing, quality, quotes, sharding, simhash, suffix, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -92,6 +92,12 @@ def op10_quality(spark: SparkSession, sf: str) -> DataFrame:
     return with_held_out(quality.score(table(spark, sf, "documents"), quality_model(spark, sf)), 3, 1, "score", "predicted", "n_lines", "n_bad_lines")
 
 
+def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf, roots and proof of every document; every third is checked with its text in lower case."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return merkle.manifest(table(spark, sf, "documents"), changed=crc % 3 == 0)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -103,9 +109,11 @@ QUERIES = {
     "op8_suffix": op8_suffix,
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
 }
 
 SQL: dict[str, str] = {
+    "op11_merkle": merkle.sql(),
     "op5_quotes": quotes.SQL,
     "op6_top_k": """
         WITH v AS (
