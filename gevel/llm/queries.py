@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import covertree, labelled, langid, merkle, packing, quality, quotes, sharding, simhash, suffix, toxicity, winnow
+from gevel.llm import bpe, covertree, labelled, langid, merkle, packing, quality, quotes, sharding, simhash, suffix, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -98,6 +99,13 @@ def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.manifest(table(spark, sf, "documents"), changed=crc % 3 == 0)
 
 
+def op13_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document as ids of a byte-level vocabulary, and the text that the ids give back."""
+    tokenizer = bpe.Tokenizer.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    out = bpe.decode(bpe.encode(table(spark, sf, "documents"), tokenizer), tokenizer)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -110,6 +118,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op13_bpe": op13_bpe,
 }
 
 SQL: dict[str, str] = {
