@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gevel.llm import bpe, covertree, labelled, langid, merkle, packing, quality, quotes, sharding, simhash, suffix, toxicity, winnow
+from gevel.llm import bpe, covertree, labelled, langid, merkle, packing, quality, quotes, sharding, simhash, spelling, suffix, toxicity, winnow
 from gevel.session import cut_lineage
 
 
@@ -99,6 +99,12 @@ def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
     return merkle.manifest(table(spark, sf, "documents"), changed=crc % 3 == 0)
 
 
+def op12_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word of the documents with its more frequent spelling, one edit away, and the last one of such a chain."""
+    words = spelling.words_of(table(spark, sf, "documents"), least=7, misspell=31)
+    return spelling.variants(words.where("n >= 2"), least=7, ratio=10)
+
+
 def op13_bpe(spark: SparkSession, sf: str) -> DataFrame:
     """Every document as ids of a byte-level vocabulary, and the text that the ids give back."""
     tokenizer = bpe.Tokenizer.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -118,11 +124,13 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op12_spelling": op12_spelling,
     "op13_bpe": op13_bpe,
 }
 
 SQL: dict[str, str] = {
     "op11_merkle": merkle.sql(),
+    "op12_spelling": spelling.sql(),
     "op5_quotes": quotes.SQL,
     "op6_top_k": """
         WITH v AS (
