@@ -209,6 +209,52 @@ def geom_scalars(spark, sf):
     return A.shaped(out, "fid:l area:d perimeter:d n_points:l cx:d cy:d x0:d y0:d x1:d y1:d area_text:d same_box:b")
 
 
+# outlines with faults, by the remainder of p_partkey; a and b are the width and height of the sound outline
+FAULTY = {
+    0: ["x, y; x+a, y+b; x+a, y; x, y+b; x, y"],  # bow-tie
+    1: ["x, y; x+a, y+b; x+a, y; x, y+3*b; x, y"],  # bow-tie of unequal halves
+    2: ["x, y; x+a, y; x+a, y+b; x+2*a, y+2*b; x+a, y+b; x, y+b; x, y"],  # spike
+    3: ["x, y; x+a, y; x+a, y+b; x, y+b; x, y", "x+a/2, y+b/4; x+3*a/2, y+b/4; x+3*a/2, y+3*b/4; x+a/2, y+3*b/4; x+a/2, y+b/4"],  # hole across the outline
+    4: ["x, y; x+a, y; x+a, y+b; x, y+b; x, y", "x+a/4, y+b/4; x+a/2, y+b/2; x+3*a/4, y+b/4; x+3*a/4, y+3*b/4; x+a/2, y+b/2; x+a/4, y+3*b/4; x+a/4, y+b/4"],  # hole that meets itself
+    5: ["x, y; x+a, y; x, y; x, y"],  # no area
+    6: ["x, y; x+2*a, y+b; x+a, y+2*b; x, y+b; x, y"],  # sound
+}
+
+
+def faulty(spark, sf):
+    p = A.table(spark, sf, "part").selectExpr(
+        "p_partkey AS fid", "p_partkey % 7 AS kind", "CAST(p_partkey % 997 AS DOUBLE) AS x", "CAST(p_partkey % 1009 AS DOUBLE) AS y",
+        "CAST(4 * p_size AS DOUBLE) AS a", "CAST(4 + 4 * (p_partkey % 5) AS DOUBLE) AS b",
+    )
+    shape = F.lit(None).cast(G.RINGS)
+    for kind, rings in FAULTY.items():
+        made = F.array(*[F.array(*[G.point(*map(F.expr, pair.split(","))) for pair in ring.split(";")]) for ring in rings])
+        shape = F.when(F.col("kind") == kind, made).otherwise(shape)
+    return p.withColumn("rings", shape)
+
+
+def repaired_parts(spark, sf):
+    """Valid parts of outlines that cross or touch themselves, numbered from the largest."""
+    made = R.repair_parts(faulty(spark, sf)).withColumn("n_parts", F.size("parts"))
+    got = made.select("fid", "geometry_type", "n_parts", F.posexplode_outer("parts").alias("part", "one"))
+    got = got.select("fid", "geometry_type", "n_parts", "part", F.round(G.area("one"), 6).alias("area"), F.size("one").alias("n_rings"), G.n_points("one").alias("n_points"))
+    return A.shaped(got, "fid:l geometry_type:s n_parts:l part:l area:d n_rings:l n_points:l")
+
+
+REPAIR_SQL = """
+WITH p AS (SELECT p_partkey AS fid, p_partkey % 7 AS kind, CAST(4 * p_size AS DOUBLE) AS a, CAST(4 + 4 * (p_partkey % 5) AS DOUBLE) AS b FROM part),
+-- kind, type, parts, part, area in parts of a * b, rings, points
+want(kind, geometry_type, n_parts, part, share, n_rings, n_points) AS (VALUES
+  (0, 'MULTIPOLYGON', 2, 0, 1/4.0, 1, 4), (0, 'MULTIPOLYGON', 2, 1, 1/4.0, 1, 4),
+  (1, 'MULTIPOLYGON', 2, 0, 9/8.0, 1, 4), (1, 'MULTIPOLYGON', 2, 1, 1/8.0, 1, 4),
+  (2, 'GEOMETRYCOLLECTION', 1, 0, 1.0, 1, 5),
+  (3, 'MULTIPOLYGON', 2, 0, 3/4.0, 1, 9), (3, 'MULTIPOLYGON', 2, 1, 1/4.0, 1, 5),
+  (4, 'POLYGON', 1, 0, 7/8.0, 3, 13),
+  (5, 'MULTILINESTRING', 0, NULL, NULL, NULL, NULL),
+  (6, 'POLYGON', 1, 0, 2.0, 1, 5))
+SELECT fid, geometry_type, CAST(n_parts AS BIGINT) AS n_parts, CAST(part AS BIGINT) AS part, round(share * a * b, 6) AS area,
+  CAST(n_rings AS BIGINT) AS n_rings, CAST(n_points AS BIGINT) AS n_points FROM p JOIN want USING (kind)"""
+
 AREA2 = _house_terms("(AX*BY - BX*AY)", " + ")
 GEOM_SQL = f"""
 WITH h AS ({HOUSE_SQL}), s AS (
@@ -235,7 +281,9 @@ def register_rows(spark, sf):
         "CASE WHEN o_orderkey % 17 = 0 THEN o_orderdate + INTERVAL '500' DAY END AS tijdstipnietbaglv",
     )
     second = G.box_rings(F.col("x0"), F.col("y0"), F.col("x0") + 1, F.col("y0") + 1)
-    parts = F.when(F.col("ogc_fid") % 9 == 0, F.array(second, "rings")).otherwise(F.array("rings"))
+    # corners in the order of a bow-tie: the shape falls into two triangles
+    tie = F.array(F.array(*[G.point(F.col(x), F.col(y)) for x, y in (("x0", "y0"), ("x1", "y1"), ("x1", "y0"), ("x0", "y1"), ("x0", "y0"))]))
+    parts = F.when(F.col("ogc_fid") % 16 == 5, F.array(tie)).when(F.col("ogc_fid") % 9 == 0, F.array(second, "rings")).otherwise(F.array("rings"))
     return o.withColumn("geometry", parts).drop("rings", *G.BOX)
 
 
@@ -283,7 +331,7 @@ RECON_SQL = f"""
 WITH r AS ({REGISTER_SQL}), cur AS ({CURRENT_SQL}),
 b AS (SELECT * FROM (
   SELECT ogc_fid AS fid, identificatie, status, x0, y0, x1, y1,
-    row_number() OVER (PARTITION BY identificatie ORDER BY (x1-x0)*(y1-y0) DESC, ogc_fid) AS rn FROM cur) WHERE rn = 1),
+    row_number() OVER (PARTITION BY identificatie ORDER BY (x1-x0)*(y1-y0) DESC, ogc_fid) AS rn FROM cur WHERE ogc_fid % 16 <> 5) WHERE rn = 1),
 {OVERLAP_CTE}, {LABEL_CTE}
 SELECT b.fid, b.identificatie, b.status, l.kas_warenhuis AS b3_kas_warenhuis, o.b3_bag_bag_overlap,
   (b.x1 - b.x0) * (b.y1 - b.y0) AS area
@@ -439,6 +487,7 @@ QUERIES = {
           ON p.x BETWEEN f.x0 AND f.x1 AND p.y BETWEEN f.y0 AND f.y1 GROUP BY 1""",
     ),
     "geom_scalars": (geom_scalars, GEOM_SQL),
+    "repaired_parts": (repaired_parts, REPAIR_SQL),
     "snapshot": (snapshot, f"WITH r AS ({REGISTER_SQL}) SELECT ogc_fid, identificatie, status FROM ({CURRENT_SQL})"),
     "reconstruction_input": (reconstruction_input, RECON_SQL),
     "units": (
