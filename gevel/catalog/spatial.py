@@ -9,6 +9,7 @@ from gevel.functions import geometry as G
 from gevel.operators import features as FE
 from gevel.operators import history as H
 from gevel.operators import points as PT
+from gevel.operators import regions as RN
 from gevel.operators import spatial as S
 from gevel.plans import reconstruction as R
 
@@ -115,7 +116,7 @@ def region_of_point(spark, sf):
     """The region whose interior holds the point."""
     pts = A.boxes(A.table(spark, sf, "customer"), "c_custkey", "c_custkey", town=False)
     pts = pts.select("c_custkey", F.col("x0").alias("px"), F.col("y0").alias("py"))
-    got = S.assign_region(pts, A.nations(spark, sf), "n_name", "c_custkey", "contains")
+    got = RN.assign_region(pts, A.nations(spark, sf), "n_name", "c_custkey", "contains")
     return A.shaped(got, "c_custkey:l n_name:s")
 
 
@@ -124,23 +125,49 @@ def region_of_slanted(spark, sf):
     pts = A.boxes(A.table(spark, sf, "customer"), "c_custkey", "c_custkey", town=False)
     pts = pts.select(F.col("c_custkey").alias("id"), ((F.col("x0") + F.col("y0")) / 2).alias("px"), ((F.col("x0") - F.col("y0")) / 2).alias("py"))
     regions = A.slanted(A.nations(spark, sf))
-    points = S.assign_region(pts, regions, "n_name", "id", "contains").withColumn("kind", F.lit("point"))
+    points = RN.assign_region(pts, regions, "n_name", "id", "contains").withColumn("kind", F.lit("point"))
     parts = A.slanted(part_boxes(spark, sf, town=False)).withColumnRenamed("fid", "id")
-    shapes = S.assign_region(parts, regions, "n_name", "id").withColumn("kind", F.lit("shape"))
+    shapes = RN.assign_region(parts, regions, "n_name", "id").withColumn("kind", F.lit("shape"))
+    return A.shaped(points.unionByName(shapes), "kind:s id:l n_name:s")
+
+
+STEPS = 2500
+
+
+def regions_of_many_vertices(spark, sf):
+    """Points and buildings in regions of ten thousand vertices, whose every second edge point lies a little further in."""
+    nat = A.nations(spark, sf)
+    edge = F.sequence(F.lit(0), F.lit(STEPS - 1))
+    corners = [("x0", "y0", 1, 0), ("x1", "y0", 0, 1), ("x1", "y1", -1, 0), ("x0", "y1", 0, -1)]
+
+    def side(x: str, y: str, dx: int, dy: int):
+        """Points along one side; the inside is to the left of (dx, dy)."""
+        step = 400.0 / STEPS
+        far = lambda i: F.when(i % 2 == 1, 0.25).otherwise(0.0)
+        return F.transform(edge, lambda i: G.point(F.col(x) + i * step * dx - far(i) * dy, F.col(y) + i * step * dy + far(i) * dx))
+
+    ring = F.concat(*[side(*c) for c in corners], F.array(G.point("x0", "y0")))
+    fine = nat.select("n_name", F.array(ring).alias("rings"))
+    pts = A.boxes(A.table(spark, sf, "customer"), "c_custkey", "c_custkey", town=False)
+    # places between whole numbers stay clear of the saw teeth
+    pts = pts.select(F.col("c_custkey").alias("id"), (F.col("x0") + 0.5).alias("px"), (F.col("y0") + 0.5).alias("py"))
+    points = RN.assign_region(pts, fine, "n_name", "id", "contains").withColumn("kind", F.lit("point"))
+    parts = part_boxes(spark, sf, town=False, **A.GREENHOUSE).withColumnRenamed("fid", "id")
+    shapes = RN.assign_region(parts, fine, "n_name", "id").withColumn("kind", F.lit("shape"))
     return A.shaped(points.unionByName(shapes), "kind:s id:l n_name:s")
 
 
 def region_of_building(spark, sf):
     """The smallest code among the regions a building meets."""
     parts = part_boxes(spark, sf, town=False)
-    got = S.assign_region(parts, A.nations(spark, sf), "n_name", "fid", values=["k"])
+    got = RN.assign_region(parts, A.nations(spark, sf), "n_name", "fid", values=["k"])
     return A.shaped(got, "fid:l n_name:s k:l")
 
 
 def region_tiles(spark, sf):
     """Tiles that meet a region, all pairs."""
     tiles = A.boxes(A.table(spark, sf, "supplier"), "s_suppkey", "s_suppkey", **A.TILE)
-    pairs = S.spatial_join(tiles, A.nations(spark, sf), keep=["n_name"], salt=4)
+    pairs = RN.shapes_in_regions(tiles, RN.index_regions(A.nations(spark, sf), ["n_name"]), "s_suppkey", ["n_name"]).distinct()
     return A.shaped(pairs, "s_suppkey:l n_name:s")
 
 
@@ -454,6 +481,12 @@ QUERIES = {
         SELECT 'point' AS kind, c_custkey AS id, min(n_name) AS n_name FROM p JOIN r ON p.x0 > r.x0 AND p.x0 < r.x1 AND p.y0 > r.y0 AND p.y0 < r.y1 GROUP BY 1, 2
         UNION ALL SELECT 'shape', a.fid, min(n.n_name) FROM a JOIN n ON {BOX_MEET} GROUP BY 1, 2""",
     ),
+    "regions_of_many_vertices": (
+        regions_of_many_vertices,
+        f"""WITH p AS (SELECT c_custkey, {A.box_sql('c_custkey', town=False)} FROM customer), r AS ({A.NATION_SQL}), a AS ({part_sql(town=False, **A.GREENHOUSE)}), n AS (SELECT * FROM r)
+        SELECT 'point' AS kind, c_custkey AS id, min(n_name) AS n_name FROM p JOIN r ON p.x0 + 0.5 BETWEEN r.x0 AND r.x1 AND p.y0 + 0.5 BETWEEN r.y0 AND r.y1 GROUP BY 1, 2
+        UNION ALL SELECT 'shape', a.fid, min(n.n_name) FROM a JOIN n ON {BOX_MEET} GROUP BY 1, 2""",
+    ),
     "region_of_building": (
         region_of_building,
         f"""WITH a AS ({part_sql(town=False)}), n AS ({A.NATION_SQL})

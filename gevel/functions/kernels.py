@@ -127,6 +127,33 @@ def intersects_batch(left, right) -> np.ndarray:
     return hit
 
 
+def meets_edges_batch(rings, edges) -> np.ndarray:
+    """Rows whose polygon meets one of the row's edges, or holds one; touching counts."""
+    n = len(rings)
+    a = Edges.of(rings)
+    edges = _flat(edges)
+    flat = edges.flatten()
+    b = Edges(
+        np.repeat(np.arange(n), _lengths(edges)),
+        *(pc.struct_field(flat, c).to_numpy(zero_copy_only=False).astype(float) for c in ("ax", "ay", "bx", "by")),
+    )
+    hit = np.zeros(n, bool)
+    inside = np.zeros(len(b.row), np.int64)
+    for i, j in _row_pairs(a.row, b.row, n):
+        p, q, r, s = (a.ax[i], a.ay[i]), (a.bx[i], a.by[i]), (b.ax[j], b.ay[j]), (b.bx[j], b.by[j])
+        near = np.ones(len(i), bool)
+        for k in (0, 1):
+            near &= (np.minimum(p[k], q[k]) <= np.maximum(r[k], s[k])) & (np.minimum(r[k], s[k]) <= np.maximum(p[k], q[k]))
+        ok = near & (_cross(*r, *s, *p) * _cross(*r, *s, *q) <= 0) & (_cross(*p, *q, *r) * _cross(*p, *q, *s) <= 0)
+        hit[a.row[i[ok]]] = True
+        spans = (p[1] > r[1]) != (q[1] > r[1])
+        with np.errstate(divide="ignore", invalid="ignore"):
+            at = p[0] + (r[1] - p[1]) * (q[0] - p[0]) / (q[1] - p[1])
+        np.add.at(inside, j, spans & (r[0] < at))
+    hit[b.row[inside % 2 == 1]] = True
+    return hit
+
+
 def _crossings(e: Edges, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and x of proper crossings between non-vertical edges of the same row."""
     sloped = np.bincount(e.row[e.ay != e.by], minlength=n) > 0
@@ -350,6 +377,14 @@ def polygons_intersect(left: pa.Array, right: pa.Array) -> pa.Array:
     return pa.array(decided | intersects_batch(left, right))
 
 
+@F.arrow_udf(T.BooleanType())
+def polygon_meets_edges(rings: pa.Array, edges: pa.Array) -> pa.Array:
+    """Whether a polygon meets one of the edges beside it; never where either side is empty."""
+    if not len(_flat(rings).flatten()):
+        return pa.array(np.zeros(len(rings), bool))
+    return pa.array(meets_edges_batch(rings, edges))
+
+
 @F.arrow_udf(T.DoubleType())
 def shared_area(left: pa.Array, right: pa.Array) -> pa.Array:
     """Area of the intersection of two polygons."""

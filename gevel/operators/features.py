@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gevel.functions import geometry as G
 from gevel.functions import kernels as K
 from gevel.functions.text import building_id
+from gevel.operators import regions as RN
 from gevel.operators import spatial as S
 from gevel.session import cut_lineage
 
@@ -140,7 +141,7 @@ def external_features(
     beside = S.adjacent_count(known, dist=grow)
     around = S.neighbours_within(known, radius)
     values = ("cbs_percent_multihousehold", "cbs_pop_per_km2", "cbs_dist_to_horeca")
-    hood = S.assign_region(base, neighbourhoods(stats_new, stats_old, areas), "bu_code", "identificatie", values=values)
+    hood = RN.assign_region(base, neighbourhoods(stats_new, stats_old, areas), "bu_code", "identificatie", values=values)
     kind = (
         types.groupBy(building_id("identificatie").alias("identificatie"))
         .agg(F.min(building_type("woningtypering")).alias("buildingtype"))

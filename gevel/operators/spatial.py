@@ -366,21 +366,7 @@ def neighbours_within(
     return df.join(counts, (F.col(x) == F.col("_x")) & (F.col(y) == F.col("_y"))).select(id, "no_neighbours")
 
 
-# --- regions ----------------------------------------------------------------------------
-
-
-def assign_region(
-    df: DataFrame, regions: DataFrame, code: str, id: str, predicate: str = "intersects",
-    salt: int = 8, values: Sequence[str] = (),
-) -> DataFrame:
-    """The region of each row; one that meets several gets the smallest code.
-
-    ``values`` are further region columns, taken from the same region.
-    """
-    cols = [c for c in (id, *G.BOX, "rings", "px", "py") if c in df.columns]
-    pairs = spatial_join(df.select(*cols), regions, predicate, keep=[code, *values], salt=salt)
-    best = F.min(F.struct(code, *values)).alias("_best")
-    return pairs.groupBy(id).agg(best).select(id, F.col(f"_best.{code}"), *[F.col(f"_best.{v}") for v in values])
+# --- tiles and points ---------------------------------------------------------------------
 
 
 def neighbour_tiles(tiles: DataFrame, id: str = "tile_id") -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
+from gevel.operators import regions as RN
 from gevel.operators import spatial as S
 from tests.shapes import HOLED, box, frame, rings
 
@@ -106,10 +107,10 @@ def test_neighbours_equal_brute_force_with_a_pile(spark):
 def test_region_on_a_border_takes_the_smaller_code(spark):
     regions = frame(spark, [box(0, 0, 10, 10), box(10, 0, 20, 10)]).withColumn("code", F.concat(F.lit("B"), 9 - F.col("fid"))).drop("fid")
     b = frame(spark, [box(9, 1, 11, 2), box(1, 1, 2, 2), box(30, 30, 31, 31)])
-    got = {r.fid: r.code for r in S.assign_region(b, regions, "code", "fid").collect()}
+    got = {r.fid: r.code for r in RN.assign_region(b, regions, "code", "fid").collect()}
     assert got == {0: "B8", 1: "B9"}
     pts = b.select("fid", F.lit(10.0).alias("px"), F.lit(5.0).alias("py"))
-    assert S.assign_region(pts, regions, "code", "fid", "contains").count() == 0
+    assert RN.assign_region(pts, regions, "code", "fid", "contains").count() == 0
 
 
 def test_point_in_polygon_and_text(spark):
