@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import re
 from functools import cached_property
-from itertools import chain
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +17,10 @@ from pyspark.sql import functions as F
 
 from gevel.llm.arrays import SpanHash, mix, owner, per_piece, text_bytes
 
-#: words that a task remembers besides the vocabulary; it starts anew when they are reached
-REMEMBERED = 1 << 18
+#: words that a worker process remembers besides the vocabulary; it starts anew when they are reached
+REMEMBERED = 1 << 19
 _SHIFT = 24
+_PLACE = (1 << 40) - 1
 # Letters and numbers of later Unicode versions than the one by which the tokenizer library splits texts.
 LATER = (
     "\u0558 \u058b-\u058c \u088f \u0c5c \u0cdc \u208f \u209d-\u209f \ua7ce-\ua7cf \ua7d2 \ua7d4 \ua7dd \ua7e2 \ua7f1 \uab6c-\uab6d "
@@ -33,6 +35,8 @@ LATER = (
 _LATER = re.compile(f"[{LATER.replace(' ', '')}]")
 #: a character of no class, which stands for those
 _UNASSIGNED = "\u0378"
+#: what a worker process keeps of each tokenizer between tasks: merges and remembered words
+_kept: dict[bytes, dict] = {}
 
 
 def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -100,7 +104,7 @@ class Tokenizer:
         return Tokenizer({base64.b64decode(token): int(rank) for token, rank in lines}, pattern)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("_pattern", "pairs", "single", "places", "_known")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("_pattern", "pairs", "single", "places", "_shared")}
 
     @cached_property
     def _pattern(self):
@@ -112,6 +116,11 @@ class Tokenizer:
             return self._pattern.findall(text)
         return [text[m.start() : m.end()] for m in self._pattern.finditer(_LATER.sub(_UNASSIGNED, text))]
 
+    @cached_property
+    def _shared(self) -> dict:
+        name = hashlib.sha256(self.data.tobytes() + self.bounds.tobytes() + self.ids.tobytes() + self.pattern.encode()).digest()
+        return _kept.setdefault(name, {"known": {}})
+
     @cached_property
     def places(self) -> np.ndarray:
         """Entry of each id, -1 for ids that are none."""
@@ -122,6 +131,8 @@ class Tokenizer:
     @cached_property
     def pairs(self) -> dict[int, int]:
         """Id of the entry that two entries make together; the two ids are the key."""
+        if "pairs" in self._shared:
+            return self._shared["pairs"]
         data, bounds = self.data.tobytes(), self.bounds.tolist()
         of = {data[a:b]: i for a, b, i in zip(bounds, bounds[1:], self.ids.tolist(), strict=False)}
         out = {}
@@ -130,6 +141,7 @@ class Tokenizer:
                 left, right = of.get(token[:k]), of.get(token[k:])
                 if left is not None and right is not None:
                     out[left << _SHIFT | right] = i
+        self._shared["pairs"] = out
         return out
 
     @cached_property
@@ -156,43 +168,43 @@ class Tokenizer:
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a word: of all neighbours the pair of least rank is joined, the first one on a tie, as long as there is one."""
-        pairs, n = self.pairs, len(word)
-        ids = [*map(self.single.__getitem__, word), -1]
-        after, before = list(range(1, n + 2)), list(range(-1, n))
-        heap = [r << 40 | i for i in range(n - 1) if (r := pairs.get(ids[i] << _SHIFT | ids[i + 1])) is not None]
+        get, n = self.pairs.get, len(word)
+        single = self.single
+        ids = [single[b] for b in word]
+        heap = [r << 40 | i for i, r in enumerate([get(a << _SHIFT | b) for a, b in zip(ids, ids[1:], strict=False)]) if r is not None]
         heapq.heapify(heap)
+        ids.append(-1)
+        after, before = list(range(1, n + 2)), list(range(-1, n))
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            top = heapq.heappop(heap)
-            rank, i = top >> 40, top & (1 << 40) - 1
+            top = pop(heap)
+            rank, i = top >> 40, top & _PLACE
             j = after[i]
-            if ids[i] < 0 or ids[j] < 0 or pairs.get(ids[i] << _SHIFT | ids[j]) != rank:
+            if ids[i] < 0 or ids[j] < 0 or get(ids[i] << _SHIFT | ids[j]) != rank:
                 continue  # one of the two has been joined to another since
             ids[i], ids[j] = rank, -1
             k = after[i] = after[j]
             before[k] = i
-            if k < n and (r := pairs.get(rank << _SHIFT | ids[k])) is not None:
-                heapq.heappush(heap, r << 40 | i)
-            if (h := before[i]) >= 0 and (r := pairs.get(ids[h] << _SHIFT | rank)) is not None:
-                heapq.heappush(heap, r << 40 | h)
+            if k < n and (r := get(rank << _SHIFT | ids[k])) is not None:
+                push(heap, r << 40 | i)
+            h = before[i]
+            if h >= 0 and (r := get(ids[h] << _SHIFT | rank)) is not None:
+                push(heap, r << 40 | h)
         return [x for x in ids if x >= 0]
 
-    @cached_property
-    def _known(self) -> dict[str, list[int]]:
-        return {}
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, and the bounds of the texts; null is empty."""
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as 32-bit little-endian numbers; null is empty."""
         words = [self.split(t) if t else [] for t in texts]
-        known = self._known
+        known = self._shared["known"]
         if len(known) > REMEMBERED:
             known.clear()
         new = list(set().union(*words).difference(known))
         if new:
             raw = [w.encode() for w in new]
             for word, data, i in zip(new, raw, self.whole(raw).tolist(), strict=True):
-                known[word] = [i] if i >= 0 else self.merge(data)
-        rows = [np.fromiter(chain.from_iterable(map(known.__getitem__, each)), np.int64) for each in words]
-        return np.concatenate(rows or [np.zeros(0, np.int64)]), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+                ids = (i,) if i >= 0 else self.merge(data)
+                known[word] = pack(f"<{len(ids)}I", *ids)
+        return [b"".join(map(known.__getitem__, each)) for each in words]
 
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all ids, and how many each has."""
@@ -215,8 +227,9 @@ def encode(docs: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
-        ids, bounds = tokenizer.encode(piece.column("text").to_pylist())
-        return pa.RecordBatch.from_arrays([piece.column("doc_id"), pa.array(np.diff(bounds)), _binary(ids.astype("<u4"), 4 * bounds)], ["doc_id", "n_tokens", "ids"])
+        ids = tokenizer.encode(piece.column("text").to_pylist())
+        count = pa.array([len(x) // 4 for x in ids], pa.int64())
+        return pa.RecordBatch.from_arrays([piece.column("doc_id"), count, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return kept.mapInArrow(per_piece(work), "doc_id long, n_tokens long, ids binary")
