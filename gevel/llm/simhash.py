@@ -81,7 +81,10 @@ def majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id and 64-bit fingerprint of every row; null texts and texts without words have fingerprint 0."""
+    """doc_id and 64-bit fingerprint of every row; null texts and texts without words have fingerprint 0.
+
+    Whole texts are read; a null doc_id stays null; repeated rows are rows of their own; an empty table gives none.
+    """
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         data, offsets = text_bytes(piece.column("text"))
@@ -271,11 +274,14 @@ def near_groups(prints: DataFrame, tau: int = 4) -> DataFrame:
     """Every row of ``prints`` (doc_id, fingerprint) with component_id, the smallest doc_id it is linked to by any path.
 
     Rows of one fingerprint are one node, so a pile of copies makes no pairs. Fingerprint 0 of texts
-    without words is linked like any other.
+    without words is linked like any other. A row without doc_id links the others as any row does, but names
+    no component: the id is that of the smallest doc_id that is not null, and null only if all are.
     """
-    nodes = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("node")))
-    found = components(links(nodes, tau))
-    of = nodes.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id"))
+    nodes = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    found = components(links(nodes.select(F.col("fingerprint").alias("node"), "fingerprint"), tau))
+    of = nodes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").withColumn("component", F.coalesce("component", "fingerprint"))
+    names = of.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = of.select("fingerprint", "component").join(names, "component").select("fingerprint", "component_id")
     return prints.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
