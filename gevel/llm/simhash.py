@@ -27,8 +27,10 @@ WIDTH = 64
 AT_ONCE = 50_000
 #: bands of minima over shingles, and minima in each: a pair of similarity 0.8 shares no band in 3 of 100,000 cases
 BANDS, ROWS = 20, 4
-#: a group of up to so many rows gives all its plausible pairs; in larger ones each row gives its nearest
-SMALL, NEAREST = 64, 4
+#: a group of more rows is a crowd, whose rows are compared in blocks of whole shingle sets instead of pair by pair
+SMALL = 64
+#: rows and bytes of sets of a block, and how members are counted in it
+BLOCK, BLOCK_BYTES, FEW, SLICE = 1024, 16 << 20, 24, 4096
 #: two bits of each minimum, which tell unlike pairs of a band
 SKETCH = ("sketch_1", "sketch_2", "sketch_3")
 _CODE = np.arange(256)
@@ -301,76 +303,54 @@ def _differ(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
 
 
 def _plausible(limit: int):
-    """Links to look at among rows of equal, neighbouring groups, for ``_met``: all in a small group.
-
-    In a larger one the NEAREST ones of each row, and as many between each two parts which these leave apart.
-    """
+    """All links to look at among rows of equal, neighbouring groups, for ``_met``."""
 
     def find(group, side, node, *sketch):
-        a, b = [], []
-        cuts = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
-        size = np.diff(cuts)
-        place = np.arange(len(group)) - np.repeat(cuts[:-1], size)
-        left = np.repeat(size, size) - place - 1
-        few = np.repeat(size <= SMALL, size)
-        for lag in range(1, min(SMALL, int(size.max()))):
-            at = np.flatnonzero(few & (left >= lag))
-            at = at[(side[at] != side[at + lag]) | (side[at] == 2)]
-            at = at[_differ([s[at] for s in sketch], [s[at + lag] for s in sketch]) <= limit]
-            a.append(node[at])
-            b.append(node[at + lag])
-        for k in np.flatnonzero(size > SMALL):
-            here = cuts[k] + np.argsort(node[cuts[k] : cuts[k + 1]])
-            i, j = _nearest(side[here], [s[here] for s in sketch], limit)
-            a.append(node[here][i])
-            b.append(node[here][j])
-        if not a:
-            return node[:0], node[:0]
+        a, b, lag = [node[:0]], [node[:0]], 1
+        at = np.flatnonzero(group[:-1] == group[1:])
+        while len(at):
+            here = at[(side[at] != side[at + lag]) | (side[at] == 2)]
+            here = here[_differ([s[here] for s in sketch], [s[here + lag] for s in sketch]) <= limit]
+            a.append(node[here])
+            b.append(node[here + lag])
+            lag += 1
+            at = at[at + lag < len(group)]
+            at = at[group[at] == group[at + lag]]
         a, b = np.concatenate(a), np.concatenate(b)
         return np.minimum(a, b), np.maximum(a, b)
 
     return find
 
 
-def _nearest(side: np.ndarray, sketch: list[np.ndarray], limit: int) -> tuple[np.ndarray, np.ndarray]:
-    n = len(side)
-    far = np.uint32(1) << np.uint32(31)
-    step = max(1, (1 << 21) // n)
-
-    def keys(rows: np.ndarray) -> np.ndarray:
-        """Distance and place of all others for each of the rows; ``far`` where they are no pair."""
-        d = _differ([s[rows, None] for s in sketch], [s[None] for s in sketch]).astype(np.uint32)
-        pair = (d <= limit) & ((side[rows, None] != side[None]) | (side[rows, None] == 2)) & (rows[:, None] != np.arange(n))
-        return np.where(pair, (d << np.uint32(20)) | np.arange(n, dtype=np.uint32), far)
-
-    a, b = [], []
-
-    def take(rows: np.ndarray, key: np.ndarray) -> None:
-        best = np.partition(key, NEAREST - 1, axis=1)[:, :NEAREST] if key.shape[1] > NEAREST else key
-        r, c = np.nonzero(best < far)
-        a.append(rows[r])
-        b.append((best[r, c] & np.uint32((1 << 20) - 1)).astype(np.int64))
-
-    for start in range(0, n, step):
-        rows = np.arange(start, min(n, start + step))
-        take(rows, keys(rows))
-    leaf, top = forest(np.concatenate(a), np.concatenate(b))
-    label = np.arange(n)
-    label[leaf] = top
-    if len(parts := np.unique(label)) > 1:
-        by = np.argsort(label, kind="stable")
-        first = np.searchsorted(label[by], parts)
-        for start in range(0, n, step):
-            rows = np.arange(start, min(n, start + step))
-            key = keys(rows)
-            key[label[rows, None] == label[None]] = far
-            rows, key = rows[some := (key < far).any(1)], key[some]
-            if len(rows):  # the best one of each other part
-                best = np.minimum.reduceat(key[:, by], first, axis=1)
-                r, c = np.nonzero(best < far)
-                a.append(rows[r])
-                b.append((best[r, c] & np.uint32((1 << 20) - 1)).astype(np.int64))
-    return np.concatenate(a), np.concatenate(b)
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members each two of the sets share, as a matrix.
+
+    Members of few sets are counted pair by pair; those of many, a slice at a time, by a product of matrices.
+    """
+    n = len(sets)
+    row = np.repeat(np.arange(n), [len(x) for x in sets])
+    member = np.unique(np.concatenate(sets), return_inverse=True)[1] if n else row
+    order = np.lexsort((row, member))
+    row, member = row[order], member[order]
+    times = np.bincount(member) if len(member) else np.zeros(0, np.int64)
+    out = np.zeros((n, n), np.float32)
+    many = times > FEW
+    column = np.cumsum(many) - 1
+    for start in range(0, int(many.sum()), SLICE):
+        here = many[member] & (column[member] >= start) & (column[member] < start + SLICE)
+        table = np.zeros((n, SLICE), np.float32)
+        table[row[here], column[member[here]] - start] = 1
+        out += table @ table.T
+    few = ~many[member]
+    row, member, lag = row[few], member[few], 1
+    at = np.flatnonzero(member[:-1] == member[1:])
+    while len(at):
+        pairs = np.bincount(row[at] * n + row[at + lag], minlength=n * n).reshape(n, n).astype(np.float32)
+        out += pairs + pairs.T
+        lag += 1
+        at = at[at + lag < len(member)]
+        at = at[member[at] == member[at + lag]]
+    return out
 
 
 def _shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -412,7 +392,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 
     Texts are near copies when the sets of their shingles of ``words`` words have a Jaccard similarity of
     ``similarity`` or more, or by a chain of such pairs. Pairs are looked for by bands of minima over the
-    shingles; the sets of a pair are then compared themselves. Rows of equal doc_id and text count once;
+    shingles; the sets of a pair are then compared themselves. Groups of many rows of one band, and those they
+    share rows with, are a crowd, in which all rows are compared. Rows of equal doc_id and text count once;
     null, empty and blank texts are copies of each other; a null doc_id comes first.
     """
     mine = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
@@ -438,8 +419,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     nodes = prints.groupBy("one", "two").agg(F.min(F.struct("doc_id", "hash")).alias("first"), *[F.first(c).alias(c) for c in (*SKETCH, "bands")])
     nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
     rows = nodes.select("node", *SKETCH, F.posexplode("bands").alias("part", "value"))
-    pairs = cut_lineage(_met(rows.select("part", "value", "node", *SKETCH), 2048, _plausible(unlike(similarity))))
-    found = components(_alike(kept, pairs, words, similarity))
+    crowds = cut_lineage(rows.groupBy("part", "value").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where(F.col("n") > SMALL).drop("n"))
+    pairs = _met(rows.join(crowds, ["part", "value"], "left_anti"), 2 * SMALL, _plausible(unlike(similarity)))
+    crowd = cut_lineage(components(rows.join(crowds, ["part", "value"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))))
+    # a pair of one crowd is settled there
+    of = crowd.select(F.col("node").alias("a"), F.col("component").alias("_a")), crowd.select(F.col("node").alias("b"), F.col("component").alias("_b"))
+    pairs = cut_lineage(pairs.join(of[0], "a", "left").join(of[1], "b", "left").where("_a IS NULL OR _b IS NULL OR _a <> _b").select("a", "b"))
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(crowd.select("node")).distinct()
+    held = _held_sets(kept, asked, words)
+    links = _alike(held, pairs, similarity).union(_alike_in_crowds(held, crowd, similarity))
+    found = components(links)
     firsts = nodes.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
     stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("__gevel_id"), F.col("first.hash").alias("__gevel_hash")))
     stays = stays.withColumnRenamed("__gevel_hash", "__gevel_of")
@@ -448,17 +437,20 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     return out.withColumn("__gevel_once", F.row_number().over(once)).where("__gevel_once = 1").select(*docs.columns)
 
 
-def _alike(kept: DataFrame, pairs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets of shingles are alike; the sets are made for nodes of pairs only."""
+def _held_sets(kept: DataFrame, asked: DataFrame, words: int) -> DataFrame:
+    """node and grams, the sorted hashes of its shingles, of the asked nodes; written once."""
 
     def sets(piece: pa.RecordBatch) -> pa.RecordBatch:
         grams, bounds = _shingle_sets(piece.column("text"), words)
         blobs = [grams[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         return pa.RecordBatch.from_arrays([piece.column("node"), pa.array(blobs, pa.binary())], ["node", "grams"])
 
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     texts = kept.select(F.xxhash64("doc_id", "hash").alias("node"), "text").join(asked, "node", "left_semi").dropDuplicates(["node"])
-    held = cut_lineage(texts.mapInArrow(per_piece(sets), "node long, grams binary"))
+    return cut_lineage(texts.mapInArrow(per_piece(sets), "node long, grams binary"))
+
+
+def _alike(held: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets of shingles are alike."""
     both = pairs.join(held.select(F.col("node").alias("b"), F.col("grams").alias("of_b")), "b").join(held.select(F.col("node").alias("a"), F.col("grams").alias("of_a")), "a")
 
     def check(batches):
@@ -474,3 +466,30 @@ def _alike(kept: DataFrame, pairs: DataFrame, words: int, similarity: float) ->
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return both.select("a", "b", "of_a", "of_b").mapInArrow(check, "a long, b long")
+
+
+def _alike_in_crowds(held: DataFrame, crowd: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that connect all alike nodes of each crowd (node, component).
+
+    Every two nodes of a crowd are compared by their whole sets. A crowd is dealt into blocks bounded in rows and
+    bytes, and each two blocks meet in a task of their own, which gives a star for each component it finds.
+    """
+    rows = crowd.join(held, "node")
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("grams")) / BLOCK_BYTES)).cast("int")
+    sizes = cut_lineage(rows.groupBy("component").agg(blocks.alias("blocks")))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.sequence(F.lit(0), F.col("blocks") - 1)
+    met = F.transform(other, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
+    rows = rows.join(sizes, "component").select("component", "node", "grams", F.inline(met))
+
+    def find(table: pa.Table) -> pa.Table:
+        node, side = table.column("node").to_numpy(), table.column("side").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("grams").to_pylist()]
+        shared, size = shared_counts(sets), np.array([len(x) for x in sets], np.float64)
+        alike = shared >= similarity * (size[:, None] + size[None] - shared) - 1e-9
+        alike &= (side[:, None] != side[None]) | (side[:, None] == 2)
+        a, b = np.nonzero(np.triu(alike, 1))
+        leaf, top = forest(node[a], node[b])
+        return pa.table({"a": leaf, "b": top})
+
+    return rows.groupBy("component", "i", "j").applyInArrow(find, "a long, b long")
