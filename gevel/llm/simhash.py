@@ -421,10 +421,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     rows = nodes.select("node", *SKETCH, F.posexplode("bands").alias("part", "value"))
     crowds = cut_lineage(rows.groupBy("part", "value").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where(F.col("n") > SMALL).drop("n"))
     pairs = _met(rows.join(crowds, ["part", "value"], "left_anti"), 2 * SMALL, _plausible(unlike(similarity)))
-    crowd = cut_lineage(components(rows.join(crowds, ["part", "value"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))))
-    # a pair of one crowd is settled there
-    of = crowd.select(F.col("node").alias("a"), F.col("component").alias("_a")), crowd.select(F.col("node").alias("b"), F.col("component").alias("_b"))
-    pairs = cut_lineage(pairs.join(of[0], "a", "left").join(of[1], "b", "left").where("_a IS NULL OR _b IS NULL OR _a <> _b").select("a", "b"))
+    crowd = cut_lineage(_crowds(rows.join(crowds, ["part", "value"]).select("node", "part", "value", F.col("hub").alias("crowd"))))
+    pairs = cut_lineage(pairs)
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(crowd.select("node")).distinct()
     held = _held_sets(kept, asked, words)
     links = _alike(held, pairs, similarity).union(_alike_in_crowds(held, crowd, similarity))
@@ -437,6 +435,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     return out.withColumn("__gevel_once", F.row_number().over(once)).where("__gevel_once = 1").select(*docs.columns)
 
 
+def _crowds(members: DataFrame) -> DataFrame:
+    """node and crowd, each pair once, from node, part, value and crowd: the rows of one group keep a crowd in common.
+
+    Groups that share rows mostly get one name, the least, in two exchanges of names; where they do not, a row is in several crowds.
+    """
+    for _ in range(2):
+        least = members.groupBy("node").agg(F.min("crowd").alias("crowd"))
+        named = members.drop("crowd").join(least, "node")
+        members = named.drop("crowd").join(named.groupBy("part", "value").agg(F.min("crowd").alias("crowd")), ["part", "value"])
+    return members.select("node", "crowd").distinct()
+
+
 def _held_sets(kept: DataFrame, asked: DataFrame, words: int) -> DataFrame:
     """node and grams, the sorted hashes of its shingles, of the asked nodes; written once."""
 
@@ -469,18 +479,18 @@ def _alike(held: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
 
 
 def _alike_in_crowds(held: DataFrame, crowd: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) that connect all alike nodes of each crowd (node, component).
+    """Links (a, b) that connect all alike nodes of each crowd (node, crowd).
 
     Every two nodes of a crowd are compared by their whole sets. A crowd is dealt into blocks bounded in rows and
     bytes, and each two blocks meet in a task of their own, which gives a star for each component it finds.
     """
     rows = crowd.join(held, "node")
     blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("grams")) / BLOCK_BYTES)).cast("int")
-    sizes = cut_lineage(rows.groupBy("component").agg(blocks.alias("blocks")))
+    sizes = cut_lineage(rows.groupBy("crowd").agg(blocks.alias("blocks")))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     met = F.transform(other, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
-    rows = rows.join(sizes, "component").select("component", "node", "grams", F.inline(met))
+    rows = rows.join(sizes, "crowd").select("crowd", "node", "grams", F.inline(met))
 
     def find(table: pa.Table) -> pa.Table:
         node, side = table.column("node").to_numpy(), table.column("side").to_numpy()
@@ -492,4 +502,4 @@ def _alike_in_crowds(held: DataFrame, crowd: DataFrame, similarity: float) -> Da
         leaf, top = forest(node[a], node[b])
         return pa.table({"a": leaf, "b": top})
 
-    return rows.groupBy("component", "i", "j").applyInArrow(find, "a long, b long")
+    return rows.groupBy("crowd", "i", "j").applyInArrow(find, "a long, b long")
