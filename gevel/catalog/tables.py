@@ -10,6 +10,7 @@ from gevel import sinks
 from gevel.catalog import adapters as A
 from gevel.catalog.spatial import REGISTER_SQL, register_rows
 from gevel.functions import text as TX
+from gevel.functions.quantiles import group_quantiles
 from gevel.operators import documents as D
 from gevel.operators import features as FE
 from gevel.operators import history as H
@@ -224,7 +225,7 @@ def unfinished(spark, sf):
 
 def method_times(spark, sf):
     """Median, mean and deviation per method."""
-    got = L.method_statistics(A.table(spark, sf, "events"), "event_type", "value", 1.0)
+    got = L.method_statistics(A.table(spark, sf, "events"), "event_type", "value")
     got = got.select("event_type", *[F.round(c, 6).alias(c) for c in ("median", "avg", "sd")])
     return A.shaped(got, "event_type:s median:d avg:d sd:d")
 
@@ -357,7 +358,20 @@ def _unpivot_sql() -> str:
 
 _NUM = ", ".join(f"CAST({e} AS DOUBLE) AS {n}" for n, e in {**FEATURE_NUMBERS, **BUILDING_NUMBERS}.items())
 
+def fine_quantiles(spark, sf):
+    """Quantiles of groups with very many different, unevenly spread values."""
+    v = "(l_orderkey * 8 + l_linenumber) * 7919 % 1000003"
+    rows = A.table(spark, sf, "lineitem").selectExpr("l_returnflag AS kind", f"CAST({v} * ({v}) AS double) AS v")
+    got = group_quantiles(rows, ["kind"], "v", {"q25": 0.25, "q50": 0.5, "q90": 0.9})
+    return A.shaped(got.select("kind", *[F.round(c, 2).alias(c) for c in ("q25", "q50", "q90")]), "kind:s q25:d q50:d q90:d")
+
+
+FINE_SQL = """
+WITH r AS (SELECT l_returnflag AS kind, CAST((l_orderkey * 8 + l_linenumber) * 7919 % 1000003 AS DOUBLE) AS w FROM lineitem)
+SELECT kind, round(quantile_cont(w * w, 0.25), 2) AS q25, round(quantile_cont(w * w, 0.5), 2) AS q50, round(quantile_cont(w * w, 0.9), 2) AS q90 FROM r GROUP BY kind"""
+
 QUERIES = {
+    "fine_quantiles": (fine_quantiles, FINE_SQL),
     "dedupe": (
         dedupe,
         """SELECT l_orderkey, l_partkey, l_suppkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice FROM (

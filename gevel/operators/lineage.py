@@ -21,7 +21,7 @@ STEPS = [
     "extrude", "LineDetector", "AlphaShaper_ground", "PlaneDetector_ground", "AlphaShaper", "PlaneDetector",
 ]
 SLOW_MS = 600_000
-TIMING = r"\[reconstructor t\] (/\S*?([^/\s]+)\.city\.jsonl) (.*)$"
+TIMED, MODEL = "[reconstructor t] ", ".city.jsonl"
 
 
 def latest_runs(log: DataFrame, assets: Sequence[str] | None = None) -> DataFrame:
@@ -91,17 +91,36 @@ def log_timings(lines: DataFrame, line: str = "value") -> DataFrame:
 
     Lines of another form, with a bad number or with an unknown step are skipped.
     """
-    timed = settle(lines.select(F.col(line).alias("_l"))).filter(F.contains("_l", F.lit("[reconstructor t]")))
-    found = settle(timed, F.regexp_extract("_l", TIMING, 2).alias("building_id"), F.regexp_extract("_l", TIMING, 3).alias("_t"))
-    found = settle(found.filter("building_id <> ''"), "building_id", F.split(F.translate("_t", "() ", ""), ",").alias("_w"))
-    # names and numbers take turns
+    timed = lines.select(F.col(line).alias("_l")).filter(F.contains("_l", F.lit(TIMED)))
+    timed = settle(timed, F.expr(f"substring(_l, locate('{TIMED}', _l) + {len(TIMED)})").alias("_l"))
+    found = settle(timed, F.substring_index("_l", " ", 1).alias("_p"), "_l").filter(F.startswith("_p", F.lit("/")) & F.endswith("_p", F.lit(MODEL)) & F.contains("_l", F.lit(" ")))
+    name = F.substring_index("_p", "/", -1)
+    found = settle(
+        found, F.substring(name, F.lit(1), F.length(name) - len(MODEL)).alias("building_id"),
+        F.split(F.translate(F.substring("_l", F.length("_p") + 2, F.length("_l")), "() ", ""), ",").alias("_w"),
+    ).filter("building_id <> ''")
+    # names and numbers take turns; most lines have all steps in order, which needs no search
     count = F.floor(F.size("_w") / 2).cast("int")
-    at = F.sequence(F.lit(0), count - 1)
-    names = F.transform(at, lambda i: F.get("_w", i * 2))
-    times = F.transform(at, lambda i: F.get("_w", i * 2 + 1).try_cast("int"))
-    found = settle(found.filter(count > 0), "building_id", F.reverse(names).alias("_k"), F.reverse(times).alias("_v"))
-    found = found.filter(~F.exists("_v", lambda v: v.isNull()) & (F.size(F.array_except("_k", F.array(*map(F.lit, STEPS)))) == 0))
-    return found.select("building_id", *[F.get("_v", F.array_position("_k", s).cast("int") - 1).alias(s) for s in STEPS])
+    usual = count == len(STEPS)
+    for i, step in enumerate(STEPS):
+        usual &= F.coalesce(F.get("_w", F.lit(2 * i)) == step, F.lit(False))
+    found = settle(found.filter(count > 0), "building_id", "_w", usual.alias("_usual"), count.alias("_n"))
+    at = F.sequence(F.lit(0), F.col("_n") - 1)
+    names = F.when(~F.col("_usual"), F.reverse(F.transform(at, lambda i: F.get("_w", i * 2))))
+    times = F.when(~F.col("_usual"), F.reverse(F.transform(at, lambda i: F.get("_w", i * 2 + 1).try_cast("int"))))
+    found = settle(found, "building_id", "_w", "_usual", names.alias("_k"), times.alias("_v"))
+    known = ~F.exists("_v", lambda v: v.isNull()) & (F.size(F.array_except("_k", F.array(*map(F.lit, STEPS)))) == 0)
+
+    def time(i: int, step: str):
+        there = F.get("_w", F.lit(2 * i + 1)).try_cast("int")
+        return F.when(F.col("_usual"), there).otherwise(F.get("_v", F.array_position("_k", step).cast("int") - 1)).alias(step)
+
+    out = settle(found.filter(F.col("_usual") | known), "building_id", "_usual", *[time(i, s) for i, s in enumerate(STEPS)])
+    whole = ~F.col("_usual")
+    every = F.lit(True)
+    for step in STEPS:
+        every &= F.col(step).isNotNull()
+    return out.filter(whole | every).select("building_id", *STEPS)
 
 
 def unfinished(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -118,11 +137,11 @@ def one_run(times: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:
     return times.groupBy("building_id").agg(F.min(F.struct(*steps)).alias("_s")).select("building_id", "_s.*")
 
 
-def step_statistics(times: DataFrame, steps: Sequence[str] = STEPS, bin_width: float = 100.0) -> DataFrame:
+def step_statistics(times: DataFrame, steps: Sequence[str] = STEPS) -> DataFrame:
     """Median and mean per step over distinct buildings."""
     long = one_run(times, steps).unpivot("building_id", list(steps), "step", "ms").filter("ms IS NOT NULL")
     counted = long.groupBy("step", "ms").agg(F.count("*").alias("n"))
-    medians = group_quantiles(counted, ["step"], "ms", {"median": 0.5}, bin_width, count="n")
+    medians = group_quantiles(counted, ["step"], "ms", {"median": 0.5}, count="n")
     means = counted.groupBy("step").agg((F.sum(F.col("ms") * F.col("n")) / F.sum("n")).alias("mean"))
     return medians.join(means, "step")
 
@@ -134,10 +153,10 @@ def slow_buildings(times: DataFrame, steps: Sequence[str] = STEPS, limit: float
     return one.withColumn("total", total).filter(F.col("total") > limit)
 
 
-def method_statistics(df: DataFrame, key: str = "type", value: str = "run_ns", bin_width: float = 1e6) -> DataFrame:
+def method_statistics(df: DataFrame, key: str = "type", value: str = "run_ns") -> DataFrame:
     """Median, mean and standard deviation per method."""
     spread = df.groupBy(key).agg(F.avg(value).alias("avg"), F.stddev_samp(value).alias("sd"))
-    return group_quantiles(df, [key], value, {"median": 0.5}, bin_width).join(spread, key)
+    return group_quantiles(df, [key], value, {"median": 0.5}).join(spread, key)
 
 
 def sizes(files: DataFrame, length: str = "length", per: Sequence[str] = ()) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions.quantiles import group_quantiles
+from gevel.functions.rows import settle
 from gevel.operators.spatial import points_in
 from gevel.session import cut_lineage
 
@@ -33,7 +34,7 @@ def point_stats_json(points: DataFrame, key: str = "tile_id") -> DataFrame:
 
 
 def roof_heights(
-    points: DataFrame, footprints: DataFrame, id: str = "identificatie", by: str | None = None, bin_width: float = 1.0,
+    points: DataFrame, footprints: DataFrame, id: str = "identificatie", by: str | None = None,
     materialise: bool = True,
 ) -> DataFrame:
     """Roof height 50th/70th percentile, range, ground height and density per building.
@@ -45,14 +46,15 @@ def roof_heights(
     """
     keys = [id] if by is None else [id, by]
     kinds = [ROOF_CLASS, GROUND_CLASS]
-    shape = footprints.select(id, *G.BOX, "rings", G.is_box("rings").alias("_plain"))
+    shape = settle(footprints, id, *G.BOX, "rings", G.is_box("rings").alias("_plain"))
+    shape = shape.withColumn("rings", F.when(~F.col("_plain"), F.col("rings")))
     inside = points_in(points.filter(F.col("class").isin(*kinds) & F.col("z").isNotNull()), shape, id, keep=["rings", "_plain"])
     inside = inside.filter(F.col("_plain") | G.point_in("rings", "x", "y", boundary=True))
     # everything below reads these counts: one row per building and height, not per point
     counted = inside.groupBy(*keys, "class", "z").agg(F.count("*").alias("n"))
     if materialise:
         counted = cut_lineage(counted)
-    mid = group_quantiles(counted, [*keys, "class"], "z", {"p50": 0.5, "p70": 0.7}, bin_width, count="n")
+    mid = group_quantiles(counted, [*keys, "class"], "z", {"p50": 0.5, "p70": 0.7}, count="n")
     ends = counted.groupBy(*keys, "class").agg(F.min("z").alias("low"), F.max("z").alias("high"), F.sum("n").alias("n"))
     both = ends.join(mid, [*keys, "class"])
     roof, ground = F.col("class") == ROOF_CLASS, F.col("class") == GROUND_CLASS

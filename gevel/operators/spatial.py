@@ -21,24 +21,17 @@ from gevel.functions import kernels as K
 BASE = 4.0
 LEVELS = 22  # the coarsest cells are then wider than any country
 STEP_BITS = 2  # each level's cells are four times as wide as the one before
-POINT_BITS = 1  # points have one cell per level, so finer steps cost them little
+CLASS_BITS = 5  # footprints of one class of sizes differ by up to 32 times
 
 
 def _level(box: Sequence[str], base: float, bits: int) -> Column:
     """Number of cell sizes smaller than the box."""
     x0, y0, x1, y1 = box
-    if (x0, y0) == (x1, y1):
-        return F.lit(0)
     side = f"greatest({x1} - {x0}, {y1} - {y0})"
     whens = " ".join(f"WHEN {side} <= {base * 2.0 ** (bits * k)}D THEN {k}" for k in range(LEVELS - 1))
     return F.expr(f"CASE {whens} ELSE {LEVELS - 1} END")
 
 
-def _point_levels() -> Column:
-    """The levels of points, without reading them: all are on the finest."""
-    return F.array(F.lit(0))
-
-
 def _cell_size(level: str, base: float, bits: int) -> Column:
     return F.expr(f"{base}D * shiftleft(1L, {bits} * {level})")
 
@@ -58,12 +51,6 @@ def _on_grid(
     x0, y0, x1, y1 = (F.col(c) for c in box)
     size = _cell_size("_k", base, bits)
     level = _level(box, base, bits)
-    if (box[0], box[1]) == (box[2], box[3]):
-        # a point has one cell on each level of the other side
-        return (
-            df.select("*", level.alias(own), F.explode(other_levels).alias("_k"))
-            .select("*", _cell(x0, size).alias("_cx"), _cell(y0, size).alias("_cy"))
-        )
     coarser = F.array_intersect(other_levels, F.sequence(F.col(own) + 1, F.lit(LEVELS)))
     levels = F.array_union(F.array(F.col(own)), coarser)
     return (
@@ -168,8 +155,7 @@ def spatial_join(
     if predicate == "intersects":
         pairs = _refine(candidates(_plain(left), r, base=base, salt=salt))
     elif predicate == "contains":
-        pairs = candidates(left, r, left_box=("px", "py", "px", "py"), base=base, salt=salt, bits=POINT_BITS, left_levels=_point_levels())
-        pairs = pairs.filter(G.point_in("rrings", "px", "py"))
+        pairs = points_on_grid(left, r, "px", "py", salt).filter(G.point_in("rrings", "px", "py"))
     else:
         raise ValueError(f"unknown predicate {predicate!r}")
     return pairs.drop("rx0", "ry0", "rx1", "ry1", "rrings", "plain", "rplain")
@@ -376,10 +362,51 @@ def neighbour_tiles(tiles: DataFrame, id: str = "tile_id") -> DataFrame:
     return candidates(l, r).filter(F.col(id) != F.col("neighbour")).select(id, "neighbour")
 
 
+def size_classes(boxes: DataFrame, box: Sequence[str] = G.BOX) -> list[tuple[int, float]]:
+    """Classes of box sizes in use, at most a few tens, and the width of the cells for each.
+
+    A cell has the mean area of the boxes of its class, or their mean side where that is more. The boxes then touch
+    at most about four cells each on average, whatever their sizes.
+    """
+    x0, y0, x1, y1 = (F.col(c) for c in box)
+    side = F.greatest(x1 - x0, y1 - y0, F.lit(1e-3))
+    rows = boxes.filter(x0.isNotNull()).groupBy(F.floor(F.log2(side) / CLASS_BITS).cast("int").alias("k"))
+    found = rows.agg(F.greatest(F.sqrt(F.avg((x1 - x0) * (y1 - y0))), F.avg(x1 - x0 + y1 - y0) / 2, F.lit(1e-3)).alias("c")).collect()
+    return sorted((r["k"], r["c"]) for r in found)
+
+
+def points_on_grid(points: DataFrame, boxes: DataFrame, x: str = "x", y: str = "y", salt: int = 1, box: Sequence[str] = ("rx0", "ry0", "rx1", "ry1")) -> DataFrame:
+    """All pairs of a point and a closed box around it.
+
+    The boxes, of which there are far fewer, are copied to the cells they touch, by ``size_classes``; a point goes through the
+    shuffle once for each class, which is once unless some boxes are 32 times larger than others. Points
+    outside of all boxes are dropped at the scan.
+    """
+    x0, y0, x1, y1 = (F.col(c) for c in box)
+    classes = size_classes(boxes, box)
+    if not classes:
+        classes = [(0, 1.0)]
+    width = F.element_at(F.create_map(*[F.lit(v) for k, c in classes for v in (k, float(c))]), F.col("_k"))
+    kind = F.floor(F.log2(F.greatest(x1 - x0, y1 - y0, F.lit(1e-3))) / CLASS_BITS).cast("int")
+    r = boxes.filter(x0.isNotNull()).withColumn("_k", kind).withColumn("_c", width)
+    r = r.withColumn("_cx", F.explode(_range(_cell(x0, F.col("_c")), _cell(x1, F.col("_c"))))).withColumn("_cy", F.explode(_range(_cell(y0, F.col("_c")), _cell(y1, F.col("_c"))))).drop("_c")
+    extent = boxes.agg(F.min(x0), F.min(y0), F.max(x1), F.max(y1)).first()
+    near = F.lit(False) if extent[0] is None else F.col(x).between(extent[0], extent[2]) & F.col(y).between(extent[1], extent[3])
+    ks = F.lit(classes[0][0]) if len(classes) == 1 else F.explode(F.array(*[F.lit(k) for k, _ in classes]))
+    l = points.filter(near).withColumn("_k", ks)
+    l = l.withColumn("_cx", _cell(F.col(x), width)).withColumn("_cy", _cell(F.col(y), width))
+    keys = ["_k", "_cx", "_cy"]
+    if salt > 1:
+        l = l.withColumn("_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salt)).cast("int"))
+        r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        keys.append("_salt")
+    met = l.join(r, keys).filter(F.col(x).between(x0, x1) & F.col(y).between(y0, y1))
+    return met.drop("_k", "_cx", "_cy", "_salt")
+
+
 def points_in(
     points: DataFrame, footprints: DataFrame, id: str, salt: int = 1, keep: Sequence[str] = (),
 ) -> DataFrame:
     """Points inside a footprint's bounding box, with the footprint id and ``keep`` columns."""
     r = footprints.select(id, *keep, *[F.col(c).alias("r" + c) for c in G.BOX])
-    pairs = candidates(points, r, left_box=("x", "y", "x", "y"), salt=salt, bits=POINT_BITS, left_levels=_point_levels())
-    return pairs.drop("rx0", "ry0", "rx1", "ry1")
+    return points_on_grid(points, r, salt=salt).drop("rx0", "ry0", "rx1", "ry1")

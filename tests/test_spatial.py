@@ -143,3 +143,25 @@ def test_morton_keeps_neighbours_together(spark):
     rows = df.withColumn("m", G.morton("x", "y")).orderBy("m").collect()
     assert len({r.m for r in rows}) == 64
     assert {(r.x, r.y) for r in rows[:4]} == {(0, 0), (1, 0), (0, 1), (1, 1)}
+
+
+@pytest.mark.parametrize("mixed", [False, True])
+def test_points_in_boxes_of_any_size(spark, mixed):
+    rng = random.Random(9)
+    sides = [0, 0.5, 3, 40, 900, 5000] if mixed else [10, 14, 30]
+    boxes = []
+    for _ in range(150):
+        x, y = rng.uniform(-500, 500), rng.choice([0.0, rng.uniform(-500, 500)])
+        boxes.append((x, y, x + rng.choice(sides), y + rng.choice(sides)))
+    pts = [(b[0], b[1]) for b in boxes[:80]] + [(b[2], b[3]) for b in boxes[:80]] + [(rng.uniform(-600, 600), rng.uniform(-600, 600)) for _ in range(400)]
+    p = spark.createDataFrame([(i, *v) for i, v in enumerate(pts)] + [(-1, None, 1.0)], "pid long, x double, y double")
+    f = spark.createDataFrame([(i, *b) for i, b in enumerate(boxes)] + [(-1, None, None, None, None)], "fid long, x0 double, y0 double, x1 double, y1 double")
+    want = sorted((i, j) for i, (x, y) in enumerate(pts) for j, b in enumerate(boxes) if b[0] <= x <= b[2] and b[1] <= y <= b[3])
+    for salt in (1, 3):
+        got = S.points_in(p, f, "fid", salt=salt)
+        assert pairs_of(got, "pid", "fid") == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert (len(S.size_classes(f)) > 1) == mixed
+    # a point is one row of the exchange unless sizes are mixed
+    assert ("explode([" in plan or "explode(array(" in plan) == mixed
+    assert S.points_in(p, f.limit(0), "fid").count() == 0

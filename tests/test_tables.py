@@ -68,7 +68,7 @@ def test_quantiles_with_one_large_group(spark):
     rng = random.Random(1)
     rows = [("big", round(rng.gauss(10, 4), 2)) for _ in range(3000)] + [("small", v) for v in (1.0, 2.0, 4.0)] + [("one", 7.5), ("one", None)]
     df = spark.createDataFrame(rows, "k string, v double")
-    got = {r.k: r for r in group_quantiles(df, ["k"], "v", {"a": 0.5, "b": 0.7, "c": 0.0, "d": 1.0}, 0.5).collect()}
+    got = {r.k: r for r in group_quantiles(df, ["k"], "v", {"a": 0.5, "b": 0.7, "c": 0.0, "d": 1.0}).collect()}
     for k in ("big", "small", "one"):
         vs = [v for g, v in rows if g == k and v is not None]
         want = np.quantile(vs, [0.5, 0.7, 0.0, 1.0])
