@@ -385,7 +385,40 @@ SELECT DISTINCT tile_id, j * 1073741824 + i + 1 AS cell_id FROM (
     SELECT o_orderpriority AS tile_id, y0, y1, unnest(generate_series(greatest(CAST(ceil(x0/200) AS BIGINT) - 1, 0), CAST(floor(x1/200) AS BIGINT))) AS i
     FROM b JOIN orders ON fid = o_orderkey))"""
 
+VIEW = (300.0, 250.0, 700.0, 640.0)
+
+
+def clustered_box(spark, sf):
+    """Buildings written in Morton order, and those of a box read back from the files that it meets."""
+    path = f"{shared_dir(spark).rstrip('/')}/gevel-clustered-{uuid.uuid4().hex}"
+    sinks.write_clustered(order_boxes(spark, sf).drop("rings"), path, files=16)
+    return A.shaped(SF.read_box(spark, path, *VIEW), "fid:l x0:d y0:d x1:d y1:d")
+
+
+def incremental_build(spark, sf):
+    """Totals per partition after two runs, the second over changed files only."""
+    path = f"{shared_dir(spark).rstrip('/')}/gevel-build-{uuid.uuid4().hex}"
+    files = A.table(spark, sf, "orders").selectExpr("o_custkey % 97 AS tile_id", "CAST(o_orderkey AS string) AS file", "md5(CAST(o_totalprice AS string)) AS hash", "CAST(o_totalprice AS bigint) AS size")
+    later = files.withColumn("hash", F.when(F.expr("tile_id % 7 = 3 AND CAST(file AS bigint) % 5 = 0"), F.md5("file")).otherwise(F.col("hash")))
+
+    def build(run: int):
+        return lambda rows: rows.groupBy("tile_id").agg(F.count("*").alias("n"), F.sum("size").alias("total"), F.lit(run).alias("run"))
+
+    for run, now in enumerate((files, later, later), 1):
+        sinks.build_changed(now, build(run), path)
+    return A.shaped(spark.read.parquet(f"{path}/data"), "tile_id:l n:l total:l run:l")
+
+
 QUERIES = {
+    "clustered_box": (
+        clustered_box,
+        f"SELECT * FROM ({ORDER_BOXES}) WHERE x0 <= {VIEW[2]} AND x1 >= {VIEW[0]} AND y0 <= {VIEW[3]} AND y1 >= {VIEW[1]}",
+    ),
+    "incremental_build": (
+        incremental_build,
+        """SELECT o_custkey % 97 AS tile_id, count(*) AS n, CAST(sum(CAST(trunc(o_totalprice) AS BIGINT)) AS BIGINT) AS total,
+        CAST(CASE WHEN o_custkey % 97 % 7 = 3 AND count(*) FILTER (o_orderkey % 5 = 0) > 0 THEN 2 ELSE 1 END AS BIGINT) AS run FROM orders GROUP BY 1""",
+    ),
     "grid": (
         grid,
         f"""WITH t AS (SELECT s_suppkey AS tile_id, {A.box_sql('s_suppkey', **A.TILE)} FROM supplier),

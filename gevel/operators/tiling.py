@@ -219,6 +219,9 @@ def distribution_tile_index(index: DataFrame) -> DataFrame:
 
 
 def cluster_by_location(df: DataFrame, n: int, cell: float = 50.0, x: str = "x0", y: str = "y0") -> DataFrame:
-    """Rows near each other in space end up in the same file, files in Morton order."""
-    code = G.morton(x, y, cell)
-    return df.withColumn("_m", code).repartitionByRange(n, "_m").sortWithinPartitions("_m").drop("_m")
+    """Rows near each other in space end up in the same file, files in Morton order; rows without a place last.
+
+    Rows of one cell are told apart by their place within it, so that a crowded cell does not become one task.
+    """
+    df = df.withColumn("_m", F.coalesce(G.morton(x, y, cell), F.lit((1 << 63) - 1)))
+    return df.repartitionByRange(n, "_m", x, y).sortWithinPartitions("_m", x, y).drop("_m")

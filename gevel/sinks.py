@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gevel.functions import geometry as G
 from gevel.operators.quality import assert_references, profile
+from gevel.operators.tiling import cluster_by_location
+from gevel.session import cut_lineage
 
 
 def replace_table(df: DataFrame, name: str) -> DataFrame:
@@ -56,6 +60,65 @@ def write_features(docs: DataFrame, path: str, tile: str = "tile_id", doc: str =
     _by_tile(docs.select(tile, doc), tile, files).write.mode("overwrite").partitionBy(tile).text(path)
 
 
+def write_clustered(df: DataFrame, path: str, files: int = 64, cell: float = 50.0, file_rows: int = 1_000_000) -> None:
+    """Rows with box columns in Morton order, in about ``files`` files, and the box of each file; ``read_box`` reads them.
+
+    Files hold disjoint ranges of the order and rows are sorted within, so both files and row groups cover small areas.
+    A place with very many rows gives several files of at most ``file_rows``. Rows without a box come last.
+    """
+    data = cluster_by_location(df, files, cell)
+    data.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(f"{path}/data")
+    back = df.sparkSession.read.schema(df.schema).parquet(f"{path}/data")
+    x0, y0, x1, y1 = G.BOX
+    boxes = back.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.min(x0).alias(x0), F.min(y0).alias(y0), F.max(x1).alias(x1), F.max(y1).alias(y1), F.count("*").alias("n_rows")
+    )
+    boxes.coalesce(1).write.mode("overwrite").parquet(f"{path}/index")
+
+
+def changed_partitions(now: DataFrame, before: DataFrame, part: str = "tile_id") -> DataFrame:
+    """Partitions in which a file is new, gone or has another hash: ``part`` and ``status`` (changed or gone).
+
+    Both sides are lists of (part, file, hash). A partition is gone when none of its files is left.
+    """
+    l = now.select(part, "file", F.col("hash").alias("_now"), F.lit(1).alias("_here"))
+    r = before.filter(F.col("file").isNotNull()).select(part, "file", F.col("hash").alias("_before"), F.lit(1).alias("_there"))
+    both = l.join(r, [part, "file"], "full")
+    other = F.col("_here").isNull() | F.col("_there").isNull() | ~F.col("_now").eqNullSafe(F.col("_before"))
+    found = both.groupBy(part).agg(F.max(other.cast("int")).alias("_other"), F.count("_here").alias("_left"))
+    return found.filter("_other = 1").select(part, F.when(F.col("_left") == 0, "gone").otherwise("changed").alias("status"))
+
+
+def build_changed(now: DataFrame, build: Callable[[DataFrame], DataFrame], path: str, part: str = "tile_id") -> DataFrame:
+    """Rebuilds only the partitions whose files changed since the last run, and returns them with their status.
+
+    ``now`` lists (part, file, hash) and perhaps more columns; ``build`` makes the rows of whole partitions, with the column
+    ``part``, from the rows of ``now`` that belong to them. Partitions are replaced, never added to, so a run that is
+    repeated changes nothing. The list of files is written after the data: a run that ends between the two is done again.
+    The data of partitions that are gone stay until they are deleted; they are reported once.
+    """
+    spark = now.sparkSession
+    listed = now.select(part, "file", "hash")
+    try:
+        before = spark.read.schema(listed.schema).parquet(f"{path}/files")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        before = listed.limit(0)
+    touched = cut_lineage(changed_partitions(listed, before, part))
+    if touched.isEmpty():
+        return touched
+    mine = now.join(touched.filter("status = 'changed'").select(part), part, "left_semi")
+
+    def replace(df: DataFrame, to: str) -> None:
+        df.repartition(part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(to)
+
+    replace(build(mine), f"{path}/data")
+    none = touched.filter("status = 'gone'").select(part, F.lit(None).cast("string").alias("file"), F.lit(None).cast("string").alias("hash"))
+    replace(mine.select(part, "file", "hash").unionByName(none), f"{path}/files")
+    return touched
+
+
 def write_metadata_json(df: DataFrame, path: str) -> None:
     """A single document; ``df`` has exactly one row."""
     df.coalesce(1).write.mode("overwrite").text(path)

@@ -145,6 +145,20 @@ def read_cityjson_tile(spark: SparkSession, path: str) -> DataFrame:
     return city_objects(_documents(spark, path))
 
 
+def box_files(spark: SparkSession, path: str, x0: float, y0: float, x1: float, y1: float) -> list[str]:
+    """Files of ``write_clustered`` whose box meets the given one; their list has a row per file, not per feature."""
+    index = spark.read.parquet(f"{path}/index").filter(G.in_bbox(x0, y0, x1, y1))
+    return sorted(f"{path}/data/{r['file']}" for r in index.select("file").collect())
+
+
+def read_box(spark: SparkSession, path: str, x0: float, y0: float, x1: float, y1: float) -> DataFrame:
+    """Rows of ``write_clustered`` whose box meets the given one. Other files are not opened, nor row groups by their statistics."""
+    files = box_files(spark, path, x0, y0, x1, y1)
+    if not files:
+        return spark.read.parquet(f"{path}/data").limit(0)
+    return spark.read.parquet(*files).filter(G.in_bbox(x0, y0, x1, y1))
+
+
 def read_quadtree(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", header=True, schema=QUADTREE_SCHEMA)
 
