@@ -48,6 +48,19 @@ def overlap(spark, sf):
     return A.shaped(S.overlap_area(order_boxes(spark, sf)), "fid:l b3_bag_bag_overlap:d")
 
 
+# places where hundreds of outlines meet in a cell: two thousand keys share an area of 200 by 200
+CROWD_BOX = (
+    "CAST({k} - {k} % 2000 + {k} % 2000 * 7919 % 199 AS DOUBLE) AS x0, CAST({k} % 2000 * 104729 % 197 AS DOUBLE) AS y0, "
+    "CAST({k} - {k} % 2000 + {k} % 2000 * 7919 % 199 + 5 + {k} % 11 AS DOUBLE) AS x1, CAST({k} % 2000 * 104729 % 197 + 5 + {k} % 7 AS DOUBLE) AS y1"
+).format(k="p_partkey")
+
+
+def overlap_crowd(spark, sf):
+    """Overlap where so many outlines meet that cells are split."""
+    b = A.table(spark, sf, "part").selectExpr("p_partkey AS fid", *CROWD_BOX.split(", ")).withColumn("rings", G.box_rings(*G.BOX))
+    return A.shaped(S.overlap_area(b, crowd=64), "fid:l b3_bag_bag_overlap:d")
+
+
 def overlap_by_brand(spark, sf):
     """J1 with further equal keys: overlap among the parts of one brand."""
     parts = part_boxes(spark, sf, "p_brand", **A.GREENHOUSE)
@@ -449,6 +462,7 @@ LEFT JOIN hood ON b.identificatie = hood.identificatie LEFT JOIN t ON b.identifi
 BOX_MEET = "a.x0 <= n.x1 AND n.x0 <= a.x1 AND a.y0 <= n.y1 AND n.y0 <= a.y1"
 
 QUERIES = {
+    "overlap_crowd": (overlap_crowd, f"WITH b AS (SELECT p_partkey AS fid, {CROWD_BOX} FROM part), {OVERLAP_CTE} SELECT fid, b3_bag_bag_overlap FROM overlap"),
     "overlap": (overlap, f"WITH b AS ({ORDER_BOXES}), {OVERLAP_CTE} SELECT fid, b3_bag_bag_overlap FROM overlap"),
     "overlap_slanted": (overlap_slanted, f"WITH b AS ({ORDER_BOXES}), {OVERLAP_CTE} SELECT fid, round(b3_bag_bag_overlap, 6) AS b3_bag_bag_overlap FROM overlap"),
     "label_slanted": (label_slanted, f"WITH b AS ({ORDER_BOXES}), {LABEL_CTE} SELECT fid, kas_warenhuis FROM label"),

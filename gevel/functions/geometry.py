@@ -183,6 +183,17 @@ def point_in(rings: Column | str, x: Column | str, y: Column | str, boundary: bo
     return (inside | touching) if boundary else (inside & ~touching)
 
 
+def outline_meets(rings: Column | str, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Whether an edge meets the closed box; otherwise the polygon holds all of the box or none of it."""
+
+    def meets(s: Column) -> Column:
+        near = (F.least(s.a.x, s.b.x) <= x1) & (F.greatest(s.a.x, s.b.x) >= x0) & (F.least(s.a.y, s.b.y) <= y1) & (F.greatest(s.a.y, s.b.y) >= y0)
+        sides = [F.signum((s.b.x - s.a.x) * (y - s.a.y) - (s.b.y - s.a.y) * (x - s.a.x)) for x in (x0, x1) for y in (y0, y1)]
+        return near & (F.least(*sides) <= 0) & (F.greatest(*sides) >= 0)
+
+    return F.exists(F.flatten(F.transform(_c(rings), segments)), meets)
+
+
 # --- repair -------------------------------------------------------------------------
 
 

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions import kernels as K
+from gevel.functions.rows import settle
+from gevel.session import cut_lineage
 
 BASE = 4.0
 LEVELS = 22  # the coarsest cells are then wider than any country
@@ -190,8 +192,51 @@ def _back_to_ids(
 # --- overlap of buildings ---------------------------------------------------------------
 
 
+def crowded_cells(shapes: DataFrame, tile: float, on: Sequence[str] = (), crowd: int = 256, depth: int = 6) -> DataFrame | None:
+    """Pieces (_fx, _fy, _fs: corner and width) of the crowded ``tile`` cells (_tx, _ty), or None where no cell is crowded.
+
+    A cell that the outlines of more than ``crowd`` shapes meet is cut into four, and so are its quarters, ``depth`` times
+    at most: outlines that run through one place cannot be parted. The cells are counted, not their pairs; only
+    crowded ones are read with their shapes.
+    """
+    size = F.lit(float(tile))
+    x0, y0, x1, y1 = (F.col(c) for c in G.BOX)
+    fx, fy, fs = F.col("_fx"), F.col("_fy"), F.col("_fs")
+    at = shapes.withColumn("_tx", F.explode(_range(_cell(x0, size), _cell(x1, size)))).withColumn("_ty", F.explode(_range(_cell(y0, size), _cell(y1, size))))
+    at = at.withColumns({"_fx": F.col("_tx") * size, "_fy": F.col("_ty") * size, "_fs": size})
+    around = F.col("plain") & (x0 < fx) & (y0 < fy) & (x1 > fx + fs) & (y1 > fy + fs)
+    place = [*on, "_tx", "_ty", "_fx", "_fy", "_fs"]
+    cells = cut_lineage(at.filter(~around).groupBy(*place).count().filter(F.col("count") > crowd).drop("count"))
+    if cells.isEmpty():
+        return None
+    members = at.join(cells.select(*on, "_tx", "_ty"), [*on, "_tx", "_ty"], "left_semi").select(*place, "rings")
+    corners = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
+
+    def quarters(df: DataFrame) -> DataFrame:
+        cut = df.withColumn("_q", F.explode(corners)).withColumn("_fs", fs / 2)
+        return cut.withColumns({"_fx": fx + F.col("_q.i") * fs, "_fy": fy + F.col("_q.j") * fs}).drop("_q")
+
+    whole = []
+    for _ in range(depth):
+        members = quarters(members).filter(G.outline_meets("rings", fx, fy, fx + fs, fy + fs))
+        members = cut_lineage(members)
+        full = cut_lineage(members.groupBy(*place).count().filter(F.col("count") > crowd).drop("count"))
+        cells = quarters(cells)
+        whole.append(cells.join(full, place, "left_anti"))
+        cells = full
+        if cells.isEmpty():
+            break
+        members = members.join(full, place, "left_semi")
+    else:
+        whole.append(cells)
+    out = whole[0]
+    for more in whole[1:]:
+        out = out.unionByName(more)
+    return cut_lineage(out)
+
+
 def overlap_area(
-    df: DataFrame, id: str = "fid", min_area: float = 1.0, tile: float = 64.0, on: Sequence[str] = (),
+    df: DataFrame, id: str = "fid", min_area: float = 1.0, tile: float = 64.0, on: Sequence[str] = (), crowd: int = 256,
 ) -> DataFrame:
     """Per building the area it shares with the union of all others it meets.
 
@@ -200,7 +245,8 @@ def overlap_area(
 
     The union is taken per building and ``tile`` cell, so a large shape with very many
     neighbours is worked on in pieces, and a piece that one neighbour covers completely
-    keeps only that neighbour. A shape meets itself when it has copies.
+    keeps only that neighbour. Cells that the outlines of more than ``crowd`` shapes meet are split
+    further, see ``crowded_cells``. A shape meets itself when it has copies.
     """
     levels = _levels_of(df, G.BOX)
     shapes = distinct_shapes(df, id, on)
@@ -216,20 +262,34 @@ def overlap_area(
         pairs.withColumn("_tx", F.explode(_range(_cell(gx0, size), _cell(gx1, size))))
         .withColumn("_ty", F.explode(_range(_cell(gy0, size), _cell(gy1, size))))
     )
-    fx0, fy0 = F.col("_tx") * size, F.col("_ty") * size
+    cells = crowded_cells(shapes, tile, on, crowd)
+    if cells is None:
+        pieces = pieces.withColumns({"_fx": F.col("_tx") * size, "_fy": F.col("_ty") * size, "_fs": size, "_split": F.lit(False)})
+    else:
+        pieces = pieces.join(cells, [*on, "_tx", "_ty"], "left").withColumn("_split", F.col("_fs").isNotNull())
+        met = (F.col("_fx") <= gx1) & (F.col("_fy") <= gy1) & (F.col("_fx") + F.col("_fs") >= gx0) & (F.col("_fy") + F.col("_fs") >= gy0)
+        pieces = pieces.filter(~F.col("_split") | met)
+        pieces = pieces.withColumns({"_fx": F.coalesce("_fx", F.col("_tx") * size), "_fy": F.coalesce("_fy", F.col("_ty") * size), "_fs": F.coalesce("_fs", size)})
+    fx0, fy0, fs = F.col("_fx"), F.col("_fy"), F.col("_fs")
     px0, py0 = F.greatest("x0", fx0), F.greatest("y0", fy0)
-    px1, py1 = F.least("x1", fx0 + size), F.least("y1", fy0 + size)
+    px1, py1 = F.least("x1", fx0 + fs), F.least("y1", fy0 + fs)
     covers = own | (
         F.col("rplain")
         & (F.col("rx0") <= px0) & (F.col("ry0") <= py0) & (F.col("rx1") >= px1) & (F.col("ry1") >= py1)
     )
-    alone = (fx0 <= F.col("x0")) & (fy0 <= F.col("y0")) & (fx0 + size >= F.col("x1")) & (fy0 + size >= F.col("y1"))
-    frame = F.when(alone, G.no_rings()).otherwise(G.box_rings(fx0, fy0, fx0 + size, fy0 + size))
+    if cells is not None:
+        # in a split place the others are told apart exactly: all of the piece, none of it, or a part
+        pieces = settle(pieces, *pieces.columns, (F.col("_split") & ~G.outline_meets("rrings", px0, py0, px1, py1)).alias("_clear"))
+        pieces = settle(pieces, *pieces.columns, (F.col("_clear") & G.point_in("rrings", (px0 + px1) / 2, (py0 + py1) / 2, boundary=True)).alias("_all"))
+        pieces = pieces.filter(F.col("rrings").isNull() | ~F.col("_clear") | F.col("_all"))
+        covers = covers | F.coalesce("_all", F.lit(False))
+    alone = (fx0 <= F.col("x0")) & (fy0 <= F.col("y0")) & (fx0 + fs >= F.col("x1")) & (fy0 + fs >= F.col("y1"))
+    frame = F.when(alone, G.no_rings()).otherwise(G.box_rings(fx0, fy0, fx0 + fs, fy0 + fs))
     per_piece = (
         pieces.withColumn("_full", F.when(covers, F.col("rrings")))
         .withColumn("_part", F.when(~covers, F.col("rrings")))
         .withColumn("_frame", frame)
-        .groupBy(*on, "shape", "_tx", "_ty")
+        .groupBy(*on, "shape", "_fx", "_fy", "_fs")
         .agg(
             F.first("rings").alias("_p"),
             F.first("_frame").alias("_frame"),

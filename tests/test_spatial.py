@@ -68,8 +68,25 @@ def test_overlap_is_the_same_in_pieces(spark):
     df = frame(spark, shapes)
     small = {r.fid: r.b3_bag_bag_overlap for r in S.overlap_area(df, tile=16.0).collect()}
     large = {r.fid: r.b3_bag_bag_overlap for r in S.overlap_area(df, tile=1e6).collect()}
-    assert small.keys() == large.keys()
-    assert all(small[k] == pytest.approx(large[k]) for k in small)
+    split = {r.fid: r.b3_bag_bag_overlap for r in S.overlap_area(df, crowd=3).collect()}
+    assert small.keys() == large.keys() == split.keys()
+    assert all(small[k] == pytest.approx(large[k]) == pytest.approx(split[k]) for k in small)
+
+
+def test_crowded_cells_are_split_until_few_outlines_meet(spark):
+    rng = random.Random(5)
+    shapes = [box(0, 0, 100, 100)]
+    for _ in range(3000):
+        x, y = rng.uniform(0, 100), rng.uniform(0, 60)
+        shapes.append(rings([(x, y), (x + rng.uniform(1, 5), y + 1), (x + 1, y + rng.uniform(1, 5))]))
+    df = S.distinct_shapes(frame(spark, shapes), "fid")
+    cells = S.crowded_cells(df, 64.0, crowd=40)
+    tiles = cells.groupBy("_tx", "_ty").agg(F.sum(F.col("_fs") * F.col("_fs")).alias("area"), F.min("_fs").alias("least")).collect()
+    assert {(r["_tx"], r["_ty"]) for r in tiles} >= {(0, 0), (1, 0)} and all(r["area"] == 64.0 * 64.0 for r in tiles)
+    fx, fy, fs = F.col("_fx"), F.col("_fy"), F.col("_fs")
+    met = cells.join(F.broadcast(df), G.outline_meets("rings", fx, fy, fx + fs, fy + fs)).groupBy("_fx", "_fy", "_fs").count()
+    assert met.filter("_fs > 1").agg(F.max("count")).first()[0] <= 40
+    assert S.crowded_cells(df, 64.0, crowd=5000) is None
 
 
 def test_label_threshold_is_strict_and_parts_add_up(spark):
