@@ -270,8 +270,8 @@ REPORT_DOC = (
 )
 
 
-def reports(spark, sf):
-    """Validity, error codes and mismatches per tile."""
+def report_rows(spark, sf):
+    """Events as report features of the tile of their user, and the codes stored for most of them."""
     e = A.table(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     e = e.withColumn("tile_id", F.col("user_id").cast("string")).withColumn("id", F.col("event_id").cast("string"))
     for i in range(4):
@@ -285,8 +285,12 @@ def reports(spark, sf):
     stored = e.filter("event_type <> 'view'").select(
         "tile_id", "id", *[F.when(F.col("value") > 50, "[100]").otherwise("[]").alias(lod) for lod in Q.PRIMITIVE_AT]
     )
-    got = Q.summarise_reports(SF.parse_reports(docs), stored)
-    got = _codes_as_text(got, ["errors_lod12", "errors_lod13", "errors_lod22"])
+    return Q.summarise_reports(SF.parse_reports(docs), stored)
+
+
+def reports(spark, sf):
+    """Validity, error codes and mismatches per tile."""
+    got = _codes_as_text(report_rows(spark, sf), ["errors_lod12", "errors_lod13", "errors_lod22"])
     return A.shaped(got, "tile_id:s " + " ".join(f"{c}:{'s' if c.startswith('errors') else 'l'}" for c in got.columns[1:]))
 
 
@@ -313,7 +317,11 @@ def validate_tiles(spark, sf):
     index = s.select(F.col("s_suppkey").cast("string").alias("tile_id"))
     each = s.select(F.col("s_suppkey").cast("string").alias("tile_id"), "s_name", "s_acctbal", F.explode(F.array(*map(F.lit, ("cityjson", "obj", "gpkg")))).alias("format"))
     archives = each.filter("format <> 'obj' OR s_acctbal > 0").select("tile_id", "format", (F.col("s_acctbal") < 9000).alias("zip_ok"))
-    hashes = each.select("tile_id", "format", F.sha2("s_name", 256).alias("sha256"))
+    # a file for each tile and format, and the hashes of these files
+    path = f"{shared_dir(spark).rstrip('/')}/gevel-tiles-{uuid.uuid4().hex}"
+    each.select("format", "tile_id", "s_name").repartition("format", "tile_id").write.partitionBy("format", "tile_id").text(path)
+    tile = lambda c: F.regexp_extract("path", f"{c}=([^/]+)/", 1).alias(c)
+    hashes = SF.read_file_hashes(spark, path, "part-*").select(tile("tile_id"), tile("format"), "sha256")
     # one building per tile, with a part of two levels unless the key is a multiple of three
     doc = F.expr(
         "concat('{\"CityObjects\":{\"B', s_suppkey, '\":{\"type\":\"Building\",\"geometry\":[{\"lod\":\"0\"}]}', CASE WHEN s_suppkey % 3 > 0 THEN "
@@ -322,25 +330,28 @@ def validate_tiles(spark, sf):
     objects = D.city_objects(s.select(F.col("s_suppkey").cast("string").alias("tile_id"), doc.alias("doc")).filter("s_suppkey % 5 > 0"))
     got = Q.validate_tiles(
         index, archives, hashes, "https://example.org", "v2024.01.01", cityjson=Q.summarise_cityjson(objects),
-        obj=Q.summarise_obj(*obj_tables(spark, sf)), gpkg=Q.layer_counts(layer_rows(spark, sf)),
+        obj=Q.summarise_obj(*obj_tables(spark, sf)), gpkg=Q.layer_counts(layer_rows(spark, sf)), reports=report_rows(spark, sf),
     )
-    got = _codes_as_text(got, ["obj_errors_lod12"]).withColumn("cj_lod", F.array_join("cj_lod", " "))
+    got = _codes_as_text(got, ["obj_errors_lod12", "cj_errors_lod13"]).withColumn("cj_lod", F.array_join("cj_lod", " "))
     return A.shaped(
         got, "tile_id:s cj_zip_ok:b cj_nr_building:l cj_nr_buildingpart:l cj_lod:s cj_sha256:s cj_download:s obj_zip_ok:b obj_nr_building:l obj_nr_invalid_building:l "
-        "obj_errors_lod12:s obj_download:s gpkg_zip_ok:b gpkg_nr_building:l gpkg_nr_buildingpart:l",
+        "obj_errors_lod12:s obj_download:s gpkg_zip_ok:b gpkg_nr_building:l gpkg_nr_buildingpart:l "
+        "cj_nr_invalid_building:l cj_nr_invalid_buildingpart_lod22:l cj_errors_lod13:s cj_nr_mismatch_errors_lod12:l obj_sha256:s",
     )
 
 
 VALIDATE_SQL = f"""
 WITH {OBJ_CTE}, {LAYER_CTE}, s AS (SELECT CAST(s_suppkey AS VARCHAR) AS tile_id, s_suppkey AS k, s_name, s_acctbal FROM supplier)
 SELECT s.tile_id, s_acctbal < 9000 AS cj_zip_ok, CASE WHEN k % 5 > 0 THEN 1 END AS cj_nr_building, CASE WHEN k % 5 > 0 THEN CAST(k % 3 > 0 AS BIGINT) END AS cj_nr_buildingpart,
-  CASE WHEN k % 5 > 0 THEN CASE WHEN k % 3 > 0 THEN '0 1.2 2.2' ELSE '0' END END AS cj_lod, sha256(s_name) AS cj_sha256,
+  CASE WHEN k % 5 > 0 THEN CASE WHEN k % 3 > 0 THEN '0 1.2 2.2' ELSE '0' END END AS cj_lod, sha256(s_name || chr(10)) AS cj_sha256,
   'https://example.org/v20240101/tiles/' || s.tile_id || '/' || s.tile_id || '.city.json.gz' AS cj_download,
   CASE WHEN s_acctbal > 0 THEN s_acctbal < 9000 END AS obj_zip_ok, obj.nr_building AS obj_nr_building,
   obj.nr_invalid_building AS obj_nr_invalid_building, obj.errors_lod12 AS obj_errors_lod12,
   'https://example.org/v20240101/tiles/' || s.tile_id || '/' || s.tile_id || '-obj.zip' AS obj_download,
-  s_acctbal < 9000 AS gpkg_zip_ok, gpkg.nr_building AS gpkg_nr_building, gpkg.nr_buildingpart AS gpkg_nr_buildingpart
-FROM s LEFT JOIN obj ON s.tile_id = obj.tile_id LEFT JOIN gpkg ON s.tile_id = gpkg.tile_id"""
+  s_acctbal < 9000 AS gpkg_zip_ok, gpkg.nr_building AS gpkg_nr_building, gpkg.nr_buildingpart AS gpkg_nr_buildingpart,
+  rep.nr_invalid_building AS cj_nr_invalid_building, rep.nr_invalid_buildingpart_lod22 AS cj_nr_invalid_buildingpart_lod22,
+  rep.errors_lod13 AS cj_errors_lod13, rep.nr_mismatch_errors_lod12 AS cj_nr_mismatch_errors_lod12, sha256(s_name || chr(10)) AS obj_sha256
+FROM s LEFT JOIN obj ON s.tile_id = obj.tile_id LEFT JOIN gpkg ON s.tile_id = gpkg.tile_id LEFT JOIN ({_report_sql()}) rep ON s.tile_id = rep.tile_id"""
 
 
 def layers_union(spark, sf):

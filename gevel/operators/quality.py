@@ -270,15 +270,17 @@ def summarise_cityjson(objects: DataFrame) -> DataFrame:
 
 def validate_tiles(
     index: DataFrame, archives: DataFrame, hashes: DataFrame, root: str, version: str,
-    cityjson: DataFrame | None = None, obj: DataFrame | None = None, gpkg: DataFrame | None = None,
+    cityjson: DataFrame | None = None, obj: DataFrame | None = None, gpkg: DataFrame | None = None, reports: DataFrame | None = None,
 ) -> DataFrame:
     """One row per tile in the columns of :data:`VALIDATION_SCHEMA`.
 
     ``archives(tile_id, format, zip_ok)`` and ``hashes(tile_id, format, sha256)`` hold one
     row per tile and format; the per-format summaries are joined where they exist and
-    leave NULL where they do not.
+    leave NULL where they do not. ``reports`` (see ``summarise_reports``) tells of the CityJSON files.
     """
     out = index.select("tile_id")
+    if reports is not None:
+        cityjson = reports if cityjson is None else cityjson.join(reports, "tile_id", "full")
     formats = {"cj": "cityjson", "obj": "obj", "gpkg": "gpkg"}
     for prefix, fmt in formats.items():
         zips = archives.filter(F.col("format") == fmt).select("tile_id", F.col("zip_ok").alias(f"{prefix}_zip_ok"))
