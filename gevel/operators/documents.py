@@ -85,11 +85,12 @@ def set_attributes(
     new = F.map_from_arrays(F.array(*[F.lit(a) for a in names.values()]), F.array(*[scalar(c) for c in names]))
     joined = docs.join(values.select(id, *names), id, how)
     rows = settle(joined, *keep, F.from_json(doc, "map<string, variant>").alias("_top"), new.alias("_new"))
-    objects = F.from_json(F.to_json(F.col("_top")["CityObjects"]), "map<string, map<string, variant>>")
+    # members are taken out of the parsed document as they are: it is read once and written once
+    objects = F.col("_top")["CityObjects"].try_cast("map<string, map<string, variant>>")
     rows = settle(rows, *keep, "_top", "_new", objects.alias("_objects"))
     own = F.element_at("_objects", F.col(id))
     had = F.coalesce(
-        F.from_json(F.to_json(own["attributes"]), "map<string, variant>"),
+        own["attributes"].try_cast("map<string, variant>"),
         F.create_map().cast("map<string, variant>"),
     )
     kept = F.map_filter(had, lambda k, _: ~k.isin(*names.values()))
