@@ -22,4 +22,4 @@ from gevel.sources.files import (  # noqa: F401
     read_tool_logs,
     read_validation_reports,
 )
-from gevel.sources.register import parse_register, read_gml_layer, read_register_xml  # noqa: F401
+from gevel.sources.register import parse_register, read_register_layer, read_gml_layer, read_register_xml  # noqa: F401

@@ -29,6 +29,8 @@ LAYER_ELEMENTS = {
     "nummeraanduiding": "Nummeraanduiding",
     "openbareruimte": "OpenbareRuimte",
     "woonplaats": "Woonplaats",
+    "ligplaats": "Ligplaats",
+    "standplaats": "Standplaats",
 }
 
 _ID = "struct<_VALUE:string,_domein:string>"
@@ -64,6 +66,10 @@ _EXTRA = {
     ),
     "openbareruimte": f"naam string, type string, ligtIn struct<WoonplaatsRef:{_ID}>",
     "woonplaats": "naam string",
+    **dict.fromkeys(
+        ("ligplaats", "standplaats"),
+        f"heeftAlsHoofdadres struct<NummeraanduidingRef:{_ID}>, heeftAlsNevenadres struct<NummeraanduidingRef:array<{_ID}>>",
+    ),
 }
 
 
@@ -105,24 +111,28 @@ def _parts(g: Column, dims: int) -> Column:
 def _flat(raw: DataFrame, layer: str, dims: int) -> DataFrame:
     v = F.col("voorkomen")["Voorkomen"]
     lv = v["BeschikbaarLV"]
+    addresses = lambda: [
+        _ref(F.col("heeftAlsHoofdadres")["NummeraanduidingRef"]).alias("hoofdadresnummeraanduidingref"),
+        F.transform(F.col("heeftAlsNevenadres")["NummeraanduidingRef"], _ref).alias("nevenadresnummeraanduidingref"),
+    ]
     extra = {
-        "pand": [F.col("oorspronkelijkBouwjaar").alias("oorspronkelijkbouwjaar")],
-        "verblijfsobject": [
-            F.col("gebruiksdoel"), F.col("oppervlakte"),
-            _ref(F.col("heeftAlsHoofdadres")["NummeraanduidingRef"]).alias("hoofdadresnummeraanduidingref"),
-            F.transform(F.col("heeftAlsNevenadres")["NummeraanduidingRef"], _ref).alias("nevenadresnummeraanduidingref"),
+        "pand": lambda: [F.col("oorspronkelijkBouwjaar").alias("oorspronkelijkbouwjaar")],
+        "verblijfsobject": lambda: [
+            F.col("gebruiksdoel"), F.col("oppervlakte"), *addresses(),
             F.transform(F.col("maaktDeelUitVan")["PandRef"], _ref).alias("pandref"),
         ],
-        "nummeraanduiding": [
+        "nummeraanduiding": lambda: [
             F.col("huisnummer"), F.col("huisletter"), F.col("huisnummertoevoeging"), F.col("postcode"),
             F.col("typeAdresseerbaarObject").alias("typeadresseerbaarobject"),
             _ref(F.col("ligtAan")["OpenbareRuimteRef"]).alias("openbareruimteref"),
         ],
-        "openbareruimte": [
+        "openbareruimte": lambda: [
             F.col("naam"), F.col("type"), _ref(F.col("ligtIn")["WoonplaatsRef"]).alias("woonplaatsref"),
         ],
-        "woonplaats": [F.col("naam")],
-    }[layer] if layer in _EXTRA else []
+        "woonplaats": lambda: [F.col("naam")],
+        "ligplaats": addresses,
+        "standplaats": addresses,
+    }[layer]()
     point = F.coalesce(F.col("geometrie")["Point"]["pos"], F.col("geometrie")["punt"]["Point"]["pos"])
     xy = F.split(F.trim(point), r"\s+")
     return raw.select(
@@ -173,6 +183,25 @@ def read_register_xml(
     return _in_bbox(_flat(raw, layer.lower(), dims), bbox)
 
 
+def layer_folder(extract: str, layer: str, date: str) -> str:
+    """Folder of a layer below an unpacked extract; ``date`` is its day as ddmmyyyy."""
+    return f"{extract.rstrip('/')}/9999{LAYER_CODES[layer.lower()].upper()}{date}"
+
+
+def read_register_layer(
+    spark: SparkSession, extract: str, layer: str, date: str, kind: str | None = None, bbox: Sequence[float] | None = None, dims: int = 3,
+) -> DataFrame:
+    """One of the ten layers of an extract, with ``ogc_fid`` and ``wkb_geometry``, as ``layer_snapshot`` takes it.
+
+    The layers ``inactief``, ``inonderzoek`` and ``nietbag`` hold objects of other layers; ``kind`` says of which. The
+    number of a row is a hash of its id, its occurrence and its time of registration, the same in every run.
+    ``wkb_geometry`` has the polygon parts, or the point.
+    """
+    rows = read_register_xml(spark, layer_folder(extract, layer, date), kind or layer, bbox, dims)
+    number = F.xxhash64("identificatie", "voorkomenidentificatie", "tijdstipregistratielv")
+    return rows.withColumn("ogc_fid", number).withColumn("wkb_geometry", F.struct(F.col("geometry").alias("parts"), "point"))
+
+
 def read_gml_layer(
     spark: SparkSession, path: str, feature: str, columns: str, geometry: str = "geometrieVlak", dims: int = 2,
 ) -> DataFrame:

@@ -10,6 +10,8 @@ from gevel import sinks
 from gevel import sources as SO
 from gevel.functions import geometry as G
 from gevel.operators import documents as D
+from gevel.operators import history as H
+from gevel.plans import reconstruction
 from gevel.session import cut_lineage, shared_dir
 from gevel.sources import register as RG
 
@@ -39,6 +41,37 @@ def test_register_files_with_bbox(spark, tmp_path):
     assert [r.identificatie for r in near.collect()] == ["NL.IMBAG.Pand.0002"]
 
 
+def test_register_layers_to_snapshot(spark, tmp_path):
+    """From the files of an extract to the rows valid on a day, for a layer of its own and one that holds others' objects."""
+    lasting = "<Historie:eindGeldigheid>2015-01-01</Historie:eindGeldigheid>"
+    known = "<Historie:BeschikbaarLV><Historie:tijdstipRegistratieLV>2010-02-03T04:05:06</Historie:tijdstipRegistratieLV></Historie:BeschikbaarLV>"
+    square = polygon("0 0 0 4 0 0 4 4 0 0 4 0 0 0 0")
+    for folder, code in (("pand", "PND"), ("inactief", "INACTIEF")):
+        at = tmp_path / f"9999{code}08102022"
+        at.mkdir()
+        for n, more in enumerate(("", lasting)):
+            one = OBJECT.format(id=f"{folder}{n}", geom=square).replace("</Historie:Voorkomen>", f"{more}{known}</Historie:Voorkomen>")
+            (at / f"{n}.xml").write_text(PAND.format(one))
+    for layer, kind in (("pand", None), ("Inactief", "pand")):
+        rows = RG.read_register_layer(spark, str(tmp_path), layer, "08102022", kind)
+        got = H.layer_snapshot(rows, "pand", H.reference_date("2020-01-01")).collect()
+        assert [r.identificatie for r in got] == [f"NL.IMBAG.Pand.{layer.lower()}0"] and got[0].oorspronkelijkbouwjaar == 1907
+        assert got[0].fid == rows.filter("eindgeldigheid IS NULL").first().ogc_fid and len(got[0].geometrie.parts) == 1
+    now = reconstruction.current_buildings(RG.read_register_layer(spark, str(tmp_path), "pand", "08102022"), H.reference_date("2020-01-01"))
+    assert [len(r.rings) for r in now.collect()] == [1]
+
+
+@pytest.mark.parametrize("layer", sorted(RG.LAYER_CODES))
+def test_every_layer_has_a_folder_and_a_reader(spark, tmp_path, layer):
+    kind = layer if layer in RG.LAYER_ELEMENTS else "ligplaats"
+    at = tmp_path / f"9999{RG.LAYER_CODES[layer].upper()}01012024"
+    at.mkdir()
+    name = RG.LAYER_ELEMENTS[kind]
+    (at / "a.xml").write_text(f'<s xmlns:o="o"><o:{name}><o:identificatie domein="NL.IMBAG.{name}">5</o:identificatie></o:{name}></s>')
+    got = RG.read_register_layer(spark, str(tmp_path), layer, "01012024", kind).first()
+    assert got.identificatie == f"NL.IMBAG.{name}.5" and got.ogc_fid is not None
+
+
 def test_units_refer_to_buildings(spark):
     xml = """<Objecten:Verblijfsobject xmlns:Objecten="o" xmlns:g="g" xmlns:r="r"><Objecten:identificatie domein="NL.IMBAG.Verblijfsobject">7</Objecten:identificatie>
     <Objecten:geometrie><Objecten:punt><g:Point><g:pos>1.5 2.5 0</g:pos></g:Point></Objecten:punt></Objecten:geometrie>
