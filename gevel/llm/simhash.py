@@ -234,7 +234,11 @@ def _met(rows: DataFrame, block: int, find) -> DataFrame:
     met = F.transform(other, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))
     alone = F.array(F.struct(F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(2).alias("side")))
     rows = rows.select("part", "value", "node", *more, F.inline(F.when(F.col("blocks").isNull(), alone).otherwise(met)))
-    keyed = rows.select(F.xxhash64("part", "value", "i", "j").alias("group"), "side", "node", *more)
+    return _found(rows.select(F.xxhash64("part", "value", "i", "j").alias("group"), "side", "node", *more), find)
+
+
+def _found(keyed: DataFrame, find) -> DataFrame:
+    """Distinct links (a, b) that ``find`` sees in the groups of ``keyed`` (group, side, node and more), whole groups at a time."""
     keyed = keyed.repartition("group").sortWithinPartitions("group")
 
     def run(batches):
@@ -420,7 +424,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
     rows = nodes.select("node", *SKETCH, F.posexplode("bands").alias("part", "value"))
     crowds = cut_lineage(rows.groupBy("part", "value").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where(F.col("n") > SMALL).drop("n"))
-    pairs = _met(rows.join(crowds, ["part", "value"], "left_anti"), 2 * SMALL, _plausible(unlike(similarity)))
+    few = rows.join(crowds, ["part", "value"], "left_anti").select(F.xxhash64("part", "value").alias("group"), F.lit(2).alias("side"), "node", *SKETCH)
+    pairs = _found(few, _plausible(unlike(similarity)))
     crowd = cut_lineage(_crowds(rows.join(crowds, ["part", "value"]).select("node", "part", "value", F.col("hub").alias("crowd"))))
     pairs = cut_lineage(pairs)
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(crowd.select("node")).distinct()
@@ -438,13 +443,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 def _crowds(members: DataFrame) -> DataFrame:
     """node and crowd, each pair once, from node, part, value and crowd: the rows of one group keep a crowd in common.
 
-    Groups that share rows mostly get one name, the least, in two exchanges of names; where they do not, a row is in several crowds.
+    Groups that share rows mostly get one name, the least of their rows' least; where they do not, a row is in several crowds.
     """
-    for _ in range(2):
-        least = members.groupBy("node").agg(F.min("crowd").alias("crowd"))
-        named = members.drop("crowd").join(least, "node")
-        members = named.drop("crowd").join(named.groupBy("part", "value").agg(F.min("crowd").alias("crowd")), ["part", "value"])
-    return members.select("node", "crowd").distinct()
+    named = members.drop("crowd").join(members.groupBy("node").agg(F.min("crowd").alias("crowd")), "node")
+    groups = named.groupBy("part", "value").agg(F.min("crowd").alias("crowd"))
+    return members.drop("crowd").join(groups, ["part", "value"]).select("node", "crowd").distinct()
 
 
 def _held_sets(kept: DataFrame, asked: DataFrame, words: int) -> DataFrame:
