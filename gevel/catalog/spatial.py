@@ -125,6 +125,17 @@ def adjacent(spark, sf):
     return A.shaped(parts.select("fid").join(n, "fid", "left"), "fid:l no_adjacent:l")
 
 
+def adjacent_slanted(spark, sf):
+    """The same buildings turned by 45 degrees, so that the grown shapes are no upright boxes."""
+    parts = A.slanted(part_boxes(spark, sf, **A.GREENHOUSE))
+    return A.shaped(parts.select("fid").join(S.adjacent_count(parts, "fid"), "fid", "left"), "fid:l no_adjacent:l")
+
+
+ADJACENT_SQL = f"""WITH b AS ({part_sql(**A.GREENHOUSE)}), n AS (SELECT a.fid, count(*) AS c FROM b a JOIN b n ON a.fid <> n.fid
+          AND a.x0 - 0.1 <= n.x1 AND n.x0 <= a.x1 + 0.1 AND a.y0 - 0.1 <= n.y1 AND n.y0 <= a.y1 + 0.1 GROUP BY 1)
+        SELECT b.fid, n.c AS no_adjacent FROM b LEFT JOIN n ON b.fid = n.fid"""
+
+
 def region_of_point(spark, sf):
     """The region whose interior holds the point."""
     pts = A.boxes(A.table(spark, sf, "customer"), "c_custkey", "c_custkey", town=False)
@@ -478,12 +489,8 @@ QUERIES = {
           AND (a.cx-b.cx)*(a.cx-b.cx) + (a.cy-b.cy)*(a.cy-b.cy) <= 10000 GROUP BY 1)
         SELECT p.c_custkey, n.c AS no_neighbours FROM p LEFT JOIN n ON p.c_custkey = n.c_custkey""",
     ),
-    "adjacent": (
-        adjacent,
-        f"""WITH b AS ({part_sql(**A.GREENHOUSE)}), n AS (SELECT a.fid, count(*) AS c FROM b a JOIN b n ON a.fid <> n.fid
-          AND a.x0 - 0.1 <= n.x1 AND n.x0 <= a.x1 + 0.1 AND a.y0 - 0.1 <= n.y1 AND n.y0 <= a.y1 + 0.1 GROUP BY 1)
-        SELECT b.fid, n.c AS no_adjacent FROM b LEFT JOIN n ON b.fid = n.fid""",
-    ),
+    "adjacent": (adjacent, ADJACENT_SQL),
+    "adjacent_slanted": (adjacent_slanted, ADJACENT_SQL),
     "region_of_point": (
         region_of_point,
         f"""WITH p AS (SELECT c_custkey, {A.box_sql('c_custkey', town=False)} FROM customer), r AS ({A.NATION_SQL})

@@ -145,6 +145,25 @@ def latest(spark, sf):
     return A.shaped(L.latest_runs(run_log(spark, sf)), "name:s runId:s featureCount:l dateTime:s")
 
 
+def latest_from_files(spark, sf):
+    """The run log written as JSON lines, read back, and its newest event per asset."""
+    path = f"{shared_dir(spark).rstrip('/')}/gevel-log-{uuid.uuid4().hex}"
+    run_log(spark, sf).write.json(path)
+    return A.shaped(L.latest_runs(SF.read_run_log(spark, path)), "name:s runId:s featureCount:l dateTime:s")
+
+
+def csv_table(spark, sf):
+    """Orders written as CSV with quoted text, and read back with their types."""
+    path = f"{shared_dir(spark).rstrip('/')}/gevel-csv-{uuid.uuid4().hex}"
+    rows = A.table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS id", "o_totalprice AS price", "concat('\"', o_orderpriority, '\", ', o_orderstatus) AS note", "array(o_orderstatus, CAST(o_custkey AS string)) AS parts",
+        "CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END AS maybe",
+    )
+    sinks.write_csv(rows, path, quote_text=True)
+    back = SF.read_csv_table(spark, path, "id long, price double, note string, parts string, maybe string")
+    return A.shaped(back, "id:l price:d note:s parts:s maybe:s")
+
+
 def lineage(spark, sf):
     """The lineage document, read back member by member."""
     doc = L.lineage_metadata(
@@ -370,7 +389,15 @@ FINE_SQL = """
 WITH r AS (SELECT l_returnflag AS kind, CAST((l_orderkey * 8 + l_linenumber) * 7919 % 1000003 AS DOUBLE) AS w FROM lineitem)
 SELECT kind, round(quantile_cont(w * w, 0.25), 2) AS q25, round(quantile_cont(w * w, 0.5), 2) AS q50, round(quantile_cont(w * w, 0.9), 2) AS q90 FROM r GROUP BY kind"""
 
+LATEST_SQL = f"""SELECT asset AS name, CAST(event_id AS VARCHAR) AS runId, CASE WHEN value > 20 THEN user_id END AS featureCount, strftime(ts, '%Y-%m-%d') AS dateTime
+        FROM (SELECT *, {EVENT_LOG} AS asset, row_number() OVER (PARTITION BY {EVENT_LOG} ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS rn FROM events) WHERE rn = 1"""
+
 QUERIES = {
+    "csv_table": (
+        csv_table,
+        """SELECT o_orderkey AS id, o_totalprice AS price, '"' || o_orderpriority || '", ' || o_orderstatus AS note, '[' || o_orderstatus || ', ' || o_custkey || ']' AS parts,
+        CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END AS maybe FROM orders""",
+    ),
     "fine_quantiles": (fine_quantiles, FINE_SQL),
     "dedupe": (
         dedupe,
@@ -434,10 +461,10 @@ QUERIES = {
         """SELECT coalesce(c_custkey, p_partkey) AS k, CASE WHEN p_partkey IS NULL THEN 'new' ELSE 'known' END AS only_in
         FROM customer FULL JOIN part ON c_custkey = p_partkey WHERE c_custkey IS NULL OR p_partkey IS NULL""",
     ),
+    "latest_from_files": (latest_from_files, LATEST_SQL),
     "latest": (
         latest,
-        f"""SELECT asset AS name, CAST(event_id AS VARCHAR) AS runId, CASE WHEN value > 20 THEN user_id END AS featureCount, strftime(ts, '%Y-%m-%d') AS dateTime
-        FROM (SELECT *, {EVENT_LOG} AS asset, row_number() OVER (PARTITION BY {EVENT_LOG} ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) AS rn FROM events) WHERE rn = 1""",
+        LATEST_SQL,
     ),
     "lineage": (
         lineage,

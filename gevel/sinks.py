@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gevel.functions import geometry as G
 from gevel.operators.quality import assert_references, profile
@@ -37,8 +39,12 @@ def append_rows(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
-def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
-    """CSV with a header; arrays are written as bracket lists."""
+def write_csv(df: DataFrame, path: str, quote_text: bool = False) -> None:
+    """CSV with a header; arrays are written as bracket lists.
+
+    With ``quote_text`` the header and every value that is not a number or a flag are quoted, missing text as an
+    empty pair of quotes; numbers stand as they are. Each file begins with the header.
+    """
     flat = df.select(
         *[
             F.concat(F.lit("["), F.array_join(F.col(c).cast("array<string>"), ", "), F.lit("]")).alias(c)
@@ -47,7 +53,26 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
             for c, t in df.dtypes
         ]
     )
-    flat.write.mode("overwrite").csv(path, header=True, quoteAll=quote_all)
+    if not quote_text:
+        flat.write.mode("overwrite").csv(path, header=True)
+        return
+
+    def quoted(text: Column) -> Column:
+        return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+
+    plain = (T.NumericType, T.BooleanType)
+    cells = [
+        F.coalesce(F.col(f.name).cast("string"), F.lit("")) if isinstance(f.dataType, plain) else quoted(F.coalesce(F.col(f.name).cast("string"), F.lit("")))
+        for f in flat.schema.fields
+    ]
+    names = ",".join('"' + c.replace('"', '""') + '"' for c in flat.columns)
+
+    def with_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([names])], ["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], ["value"])
+
+    flat.select(F.concat_ws(",", *cells).alias("value")).mapInArrow(with_header, "value string").write.mode("overwrite").text(path)
 
 
 def _by_tile(df: DataFrame, tile: str, files: int) -> DataFrame:

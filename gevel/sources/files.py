@@ -164,8 +164,8 @@ def read_quadtree(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """CSV with a header; every column of the validation tables is text at first."""
-    return spark.read.csv(path, header=True, schema=schema)
+    """CSV with a header; every column of the validation tables is text at first. Quotes within quoted text are doubled."""
+    return spark.read.csv(path, header=True, schema=schema, escape='"')
 
 
 def read_table(spark: SparkSession, name: str, **jdbc: str) -> DataFrame:

@@ -228,12 +228,27 @@ def test_tables_and_csv(spark, tmp_path):
     assert sorted((r.id, r.s) for r in spark.table("t_features").collect()) == [(1, "a"), (2, "b"), (3, "c")]
     assert sinks.table_exists(spark, "t_features") and not sinks.table_exists(spark, "t_other")
     sinks.comment_table(spark, "t_features", "it's a table")
-    sinks.write_csv(df, str(tmp_path / "csv"), quote_all=True)
+    more = spark.createDataFrame([(3, 'say "c"', None)], df.schema)
+    sinks.write_csv(df.unionByName(more), str(tmp_path / "csv"), quote_text=True)
     text = {r.value for r in spark.read.text(str(tmp_path / "csv")).collect()}
-    assert '"1","a","[1, 2]"' in text and '"2","b","[]"' in text
+    assert text == {'"id","s","codes"', '1,"a","[1, 2]"', '2,"b","[]"', '3,"say ""c""",""'}  # numbers are not quoted
     spark.sql("DROP TABLE t_features")
 
 
+def test_rows_are_appended_and_tiles_read(spark, tmp_path):
+    one = spark.createDataFrame([(1, "a")], "id int, s string")
+    sinks.append_rows(one, "t_appended")
+    sinks.append_rows(one, "t_appended")
+    assert spark.table("t_appended").count() == 2 and SO.read_table(spark, "t_appended").count() == 2
+    spark.sql("DROP TABLE t_appended")
+    tile = {"type": "CityJSON", "CityObjects": {"P1": {"type": "Building", "attributes": {"a": 1}}, "P1-0": {"type": "BuildingPart", "geometry": [{"lod": "2.2"}]}}}
+    at = tmp_path / "tiles" / "9" / "1" / "2"
+    at.mkdir(parents=True)
+    (at / "9-1-2.city.json").write_text(json.dumps(tile))
+    rows = SO.read_cityjson_tile(spark, str(tmp_path / "tiles")).collect()
+    assert rows and any("P1" in str(r) for r in rows)
+
+
 def test_metadata_is_one_file(spark, tmp_path):
     sinks.write_metadata_json(spark.createDataFrame([('{"a":1}',)], "doc string"), str(tmp_path / "m"))
     assert len(list((tmp_path / "m").glob("part-*"))) == 1
