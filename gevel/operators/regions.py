@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions import kernels as K
-from gevel.functions.rows import settle
+from gevel.functions.rows import by_merge, settle
 from gevel.session import cut_lineage
 
 #: a region has at least so many cells
@@ -56,7 +56,7 @@ def index_regions(regions: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     held = _cells_of_edges(edges).groupBy("_r", "cx", "cy").agg(F.collect_list(F.struct(*EDGE)).alias("edges"))
     corners = _corners(named, edges)
     none = F.array().cast("array<struct<ax:double,ay:double,bx:double,by:double>>")
-    cells = corners.join(held, ["_r", "cx", "cy"], "left").where("inside OR edges IS NOT NULL").withColumn("edges", F.coalesce("edges", none))
+    cells = corners.join(by_merge(held), ["_r", "cx", "cy"], "left").where("inside OR edges IS NOT NULL").withColumn("edges", F.coalesce("edges", none))
     return cells.join(named.select("_r", "level", *keep), "_r").drop("_r")
 
 
@@ -135,7 +135,7 @@ def points_in_regions(points: DataFrame, index: DataFrame, keep: Sequence[str],
     """Each point with the ``keep`` columns of every region whose interior holds it; points without a place are in none."""
     at = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("level", F.explode(_levels(index)))
     at = at.withColumn("cx", F.floor(F.col(x) / _size(F.col("level")))).withColumn("cy", F.floor(F.col(y) / _size(F.col("level"))))
-    met = at.join(index, ["level", "cx", "cy"])
+    met = at.join(by_merge(index), ["level", "cx", "cy"])
     held = (F.size("edges") == 0) | (_inside(F.col(x), F.col(y)) & ~_on_edge(F.col(x), F.col(y)))
     return met.where(held).select(*points.columns, *keep)
 
@@ -151,7 +151,7 @@ def shapes_in_regions(shapes: DataFrame, index: DataFrame, id: str, keep: Sequen
     at = settle(shapes.where(F.col("x0").isNotNull()), id, *G.BOX, F.when(boxed, G.no_rings()).otherwise(F.col("rings")).alias("rings"), boxed.alias("boxed"), first.x.alias("fx"), first.y.alias("fy"))
     at = at.withColumn("level", F.explode(_levels(index)))
     at = at.withColumn("cx", F.explode(F.sequence(F.floor(F.col("x0") / s), F.floor(F.col("x1") / s)))).withColumn("cy", F.explode(F.sequence(F.floor(F.col("y0") / s), F.floor(F.col("y1") / s))))
-    met = at.join(index, ["level", "cx", "cy"])
+    met = at.join(by_merge(index), ["level", "cx", "cy"])
     starts = (F.floor(F.col("fx") / s) == F.col("cx")) & (F.floor(F.col("fy") / s) == F.col("cy"))
     x0, y0, x1, y1 = (F.col(c) for c in G.BOX)
 
