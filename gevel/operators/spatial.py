@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions import kernels as K
-from gevel.functions.rows import settle
+from gevel.functions.rows import by_merge, settle
 from gevel.session import cut_lineage
 
 BASE = 4.0
@@ -113,7 +113,7 @@ def candidates(
         & (F.col("_cx") == _cell(F.greatest(lx0, rx0), size))
         & (F.col("_cy") == _cell(F.greatest(ly0, ry0), size))
     )
-    joined = l.join(r, keys).filter(meet & once)
+    joined = l.join(by_merge(r), keys).filter(meet & once)
     return joined.drop("_k", "_cx", "_cy", "_lk", "_rk", "_salt")
 
 
@@ -130,12 +130,17 @@ def as_right(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def _refine(pairs: DataFrame) -> DataFrame:
-    """Exact intersection; two plain boxes are already decided by the box test."""
+def _met(pairs: DataFrame) -> DataFrame:
+    """Adds ``_met``, the exact intersection; two plain boxes are already decided by the box test."""
     both = F.col("plain") & F.col("rplain")
     a = F.when(both, G.no_rings()).otherwise(F.col("rings"))
     b = F.when(both, G.no_rings()).otherwise(F.col("rrings"))
-    return pairs.filter(K.polygons_intersect(a, b))
+    return pairs.withColumn("_met", K.polygons_intersect(a, b))
+
+
+def _refine(pairs: DataFrame) -> DataFrame:
+    """Pairs that meet exactly."""
+    return _met(pairs).filter("_met").drop("_met")
 
 
 def spatial_join(
@@ -186,7 +191,7 @@ def _back_to_ids(
     same = F.col(keys[0]) == F.col("_" + keys[0])
     for c in keys[1:]:
         same &= F.col(c) == F.col("_" + c)
-    return df.select(id, *keys).join(right, same, how).select(id, *on, value)
+    return df.select(id, *keys).join(by_merge(right), same, how).select(id, *on, value)
 
 
 # --- overlap of buildings ---------------------------------------------------------------
@@ -209,7 +214,7 @@ def crowded_cells(shapes: DataFrame, tile: float, on: Sequence[str] = (), crowd:
     cells = cut_lineage(at.filter(~around).groupBy(*place).count().filter(F.col("count") > crowd).drop("count"))
     if cells.isEmpty():
         return None
-    members = at.join(cells.select(*on, "_tx", "_ty"), [*on, "_tx", "_ty"], "left_semi").select(*place, "rings")
+    members = at.join(by_merge(cells.select(*on, "_tx", "_ty")), [*on, "_tx", "_ty"], "left_semi").select(*place, "rings")
     corners = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
 
     def quarters(df: DataFrame) -> DataFrame:
@@ -222,11 +227,11 @@ def crowded_cells(shapes: DataFrame, tile: float, on: Sequence[str] = (), crowd:
         members = cut_lineage(members)
         full = cut_lineage(members.groupBy(*place).count().filter(F.col("count") > crowd).drop("count"))
         cells = quarters(cells)
-        whole.append(cells.join(full, place, "left_anti"))
+        whole.append(cells.join(by_merge(full), place, "left_anti"))
         cells = full
         if cells.isEmpty():
             break
-        members = members.join(full, place, "left_semi")
+        members = members.join(by_merge(full), place, "left_semi")
     else:
         whole.append(cells)
     out = whole[0]
@@ -248,13 +253,17 @@ def overlap_area(
     keeps only that neighbour. Cells that the outlines of more than ``crowd`` shapes meet are split
     further, see ``crowded_cells``. A shape meets itself when it has copies.
     """
-    levels = _levels_of(df, G.BOX)
+    levels = _levels_of(df, G.BOX, tile)
     shapes = distinct_shapes(df, id, on)
-    pairs = candidates(shapes, _as_other(shapes, on), on=on, left_levels=levels, right_levels=levels)
+    # cells as wide as a tile: a shape with its rings is then sent to few of them
+    pairs = candidates(shapes, _as_other(shapes, on), on=on, base=float(tile), left_levels=levels, right_levels=levels)
     own = F.col("shape") == F.col("rshape")
-    pairs = _refine(pairs).withColumn(
-        "rrings", F.when(~own | (F.col("copies") + F.col("rcopies") > 2), F.col("rrings"))
-    )
+    pairs = _met(pairs)
+    # a shape meets itself wherever it meets another, so that row alone carries its rings
+    pairs = pairs.filter(F.col("_met") | own).withColumns({
+        "rrings": F.when(~own | (F.col("_met") & (F.col("copies") + F.col("rcopies") > 2)), F.col("rrings")),
+        "rings": F.when(own, F.col("rings")),
+    }).drop("_met")
     size = F.lit(float(tile))
     gx0, gy0 = F.greatest("x0", "rx0"), F.greatest("y0", "ry0")
     gx1, gy1 = F.least("x1", "rx1"), F.least("y1", "ry1")
@@ -266,7 +275,7 @@ def overlap_area(
     if cells is None:
         pieces = pieces.withColumns({"_fx": F.col("_tx") * size, "_fy": F.col("_ty") * size, "_fs": size, "_split": F.lit(False)})
     else:
-        pieces = pieces.join(cells, [*on, "_tx", "_ty"], "left").withColumn("_split", F.col("_fs").isNotNull())
+        pieces = pieces.join(by_merge(cells), [*on, "_tx", "_ty"], "left").withColumn("_split", F.col("_fs").isNotNull())
         met = (F.col("_fx") <= gx1) & (F.col("_fy") <= gy1) & (F.col("_fx") + F.col("_fs") >= gx0) & (F.col("_fy") + F.col("_fs") >= gy0)
         pieces = pieces.filter(~F.col("_split") | met)
         pieces = pieces.withColumns({"_fx": F.coalesce("_fx", F.col("_tx") * size), "_fy": F.coalesce("_fy", F.col("_ty") * size), "_fs": F.coalesce("_fs", size)})
@@ -281,7 +290,7 @@ def overlap_area(
         # in a split place the others are told apart exactly: all of the piece, none of it, or a part
         pieces = settle(pieces, *pieces.columns, (F.col("_split") & ~G.outline_meets("rrings", px0, py0, px1, py1)).alias("_clear"))
         pieces = settle(pieces, *pieces.columns, (F.col("_clear") & G.point_in("rrings", (px0 + px1) / 2, (py0 + py1) / 2, boundary=True)).alias("_all"))
-        pieces = pieces.filter(F.col("rrings").isNull() | ~F.col("_clear") | F.col("_all"))
+        pieces = pieces.filter(own | F.col("rrings").isNull() | ~F.col("_clear") | F.col("_all"))
         covers = covers | F.coalesce("_all", F.lit(False))
     alone = (fx0 <= F.col("x0")) & (fy0 <= F.col("y0")) & (fx0 + fs >= F.col("x1")) & (fy0 + fs >= F.col("y1"))
     frame = F.when(alone, G.no_rings()).otherwise(G.box_rings(fx0, fy0, fx0 + fs, fy0 + fs))
@@ -291,7 +300,7 @@ def overlap_area(
         .withColumn("_frame", frame)
         .groupBy(*on, "shape", "_fx", "_fy", "_fs")
         .agg(
-            F.first("rings").alias("_p"),
+            F.first("rings", ignorenulls=True).alias("_p"),
             F.first("_frame").alias("_frame"),
             F.first("_full", ignorenulls=True).alias("_full"),
             F.collect_list("_part").alias("_n"),
@@ -460,7 +469,7 @@ def points_on_grid(points: DataFrame, boxes: DataFrame, x: str = "x", y: str = "
         l = l.withColumn("_salt", F.pmod(F.xxhash64(*points.columns), F.lit(salt)).cast("int"))
         r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys.append("_salt")
-    met = l.join(r, keys).filter(F.col(x).between(x0, x1) & F.col(y).between(y0, y1))
+    met = l.join(by_merge(r), keys).filter(F.col(x).between(x0, x1) & F.col(y).between(y0, y1))
     return met.drop("_k", "_cx", "_cy", "_salt")
 
 
