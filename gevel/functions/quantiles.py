@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gevel.functions.rows import by_merge
 from gevel.session import cut_lineage
 
 #: distinct values that one task orders, parts a range is divided into, and rounds at most
@@ -49,7 +50,7 @@ def _rank(p: float, kind):
 
 
 def _within(counted: DataFrame, ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return counted.join(ranges, list(keys)).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    return counted.join(by_merge(ranges), list(keys)).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
 
 
 def narrowed(counted: DataFrame, keys: Sequence[str], probs: Mapping[str, float], most: int = MOST) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions.quantiles import group_quantiles
-from gevel.functions.rows import settle
+from gevel.functions.rows import by_merge, settle
 from gevel.operators.spatial import points_in
 from gevel.session import cut_lineage
 
@@ -33,6 +33,25 @@ def point_stats_json(points: DataFrame, key: str = "tile_id") -> DataFrame:
     return stats.select(key, F.to_json(F.struct(*[c for c in stats.columns if c != key])).alias("info"))
 
 
+def alike(footprints: DataFrame, id: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct geometries (``_shape``, box, ``rings``) and the ``_shape`` of each id.
+
+    Ids with the same footprint, or the same several ones, share a ``_shape``, so points are joined to it once.
+    """
+    own = footprints.groupBy(id).agg(F.array_sort(F.collect_list(F.struct(*G.BOX, "rings"))).alias("_own"))
+    sets = own.groupBy(F.col("_own").alias("_set")).agg(F.min(id).alias("_least"))
+    sets = cut_lineage(sets.select("_set", F.struct("_least").alias("_shape")))
+    back = own.join(by_merge(sets), F.col("_own") == F.col("_set")).select(id, "_shape")
+    return sets.select("_shape", F.inline("_set")), back
+
+
+def points_and_tiles(points: DataFrame, footprints: DataFrame, id: str, tile: str) -> DataFrame:
+    """Number of points, and of different tiles, under the box of each footprint; footprints without points are not listed."""
+    shapes, back = alike(footprints, id)
+    counted = points_in(points, shapes, "_shape").groupBy("_shape").agg(F.count("*").alias("n_points"), F.countDistinct(tile).alias("n_tiles"))
+    return back.join(by_merge(counted), "_shape").drop("_shape")
+
+
 def roof_heights(
     points: DataFrame, footprints: DataFrame, id: str = "identificatie", by: str | None = None,
     materialise: bool = True,
@@ -44,11 +63,12 @@ def roof_heights(
     ``by`` separates point clouds. ``materialise`` writes the counts per height once, as
     three later steps read them.
     """
-    keys = [id] if by is None else [id, by]
+    keys = ["_shape"] if by is None else ["_shape", by]
     kinds = [ROOF_CLASS, GROUND_CLASS]
-    shape = settle(footprints, id, *G.BOX, "rings", G.is_box("rings").alias("_plain"))
+    shapes, back = alike(footprints, id)
+    shape = settle(shapes, "_shape", *G.BOX, "rings", G.is_box("rings").alias("_plain"))
     shape = shape.withColumn("rings", F.when(~F.col("_plain"), F.col("rings")))
-    inside = points_in(points.filter(F.col("class").isin(*kinds) & F.col("z").isNotNull()), shape, id, keep=["rings", "_plain"])
+    inside = points_in(points.filter(F.col("class").isin(*kinds) & F.col("z").isNotNull()), shape, "_shape", keep=["rings", "_plain"])
     inside = inside.filter(F.col("_plain") | G.point_in("rings", "x", "y", boundary=True))
     # everything below reads these counts: one row per building and height, not per point
     counted = inside.groupBy(*keys, "class", "z").agg(F.count("*").alias("n"))
@@ -56,7 +76,7 @@ def roof_heights(
         counted = cut_lineage(counted)
     mid = group_quantiles(counted, [*keys, "class"], "z", {"p50": 0.5, "p70": 0.7}, count="n")
     ends = counted.groupBy(*keys, "class").agg(F.min("z").alias("low"), F.max("z").alias("high"), F.sum("n").alias("n"))
-    both = ends.join(mid, [*keys, "class"])
+    both = ends.join(by_merge(mid), [*keys, "class"])
     roof, ground = F.col("class") == ROOF_CLASS, F.col("class") == GROUND_CLASS
 
     def pick(cond, c: str, name: str):
@@ -67,7 +87,7 @@ def roof_heights(
         pick(roof, "p50", "h_roof_50p"), pick(roof, "p70", "h_roof_70p"), pick(ground, "p50", "h_ground"),
     ).filter("n_roof IS NOT NULL")
     areas = footprints.select(id, G.area("rings").alias("_area"))
-    return wide.join(areas, id).withColumn(
+    return back.join(by_merge(wide), "_shape").drop("_shape").join(by_merge(areas), id).withColumn(
         "pt_density", F.col("n_roof") / F.nullif(F.col("_area"), F.lit(0.0))
     ).drop("_area")
 
