@@ -16,6 +16,10 @@ from gevel.operators.tiling import cluster_by_location
 from gevel.session import cut_lineage
 
 
+#: write option for folders of very many files: each task puts its own in place, else the driver moves one after the other
+TASKS_COMMIT = ("mapreduce.fileoutputcommitter.algorithm.version", "2")
+
+
 def replace_table(df: DataFrame, name: str) -> DataFrame:
     """Replaces a table and returns its profile."""
     df.write.mode("overwrite").saveAsTable(name)
@@ -80,9 +84,15 @@ def _by_tile(df: DataFrame, tile: str, files: int) -> DataFrame:
     return df.repartition(tile, *([F.pmod(F.xxhash64(*df.columns), F.lit(files))] if files > 1 else []))
 
 
-def write_features(docs: DataFrame, path: str, tile: str = "tile_id", doc: str = "doc", files: int = 1) -> None:
-    """Documents as JSON lines below their tile, in up to ``files`` files each; ``read_features`` reads them."""
-    _by_tile(docs.select(tile, doc), tile, files).write.mode("overwrite").partitionBy(tile).text(path)
+def write_features(docs: DataFrame, path: str, tile: str = "tile_id", doc: str = "doc", files: int | None = None) -> None:
+    """Documents as JSON lines below their tile; ``read_features`` reads them.
+
+    A tile has up to ``files`` files. Without that number its size decides: a small tile is one file, a
+    large one is divided among tasks, since a task sorts and writes all it gets.
+    """
+    rows = docs.select(tile, doc)
+    dealt = rows.hint("rebalance", tile) if files is None else _by_tile(rows, tile, files)
+    dealt.write.mode("overwrite").partitionBy(tile).text(path)
 
 
 def write_clustered(df: DataFrame, path: str, files: int = 64, cell: float = 50.0, file_rows: int = 1_000_000) -> None:
