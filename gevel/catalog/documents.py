@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from gevel import sinks
 from gevel.catalog import adapters as A
 from gevel.functions import geometry as G
+from gevel.functions.rows import spread
 from gevel.operators import documents as D
 from gevel.operators import features as FE
 from gevel.operators import history as H
@@ -118,7 +119,7 @@ def row_houses(spark, sf):
     """Parts as box houses in rows of ten, turned by the angle of (3, 4, 5); neighbours share a wall as high as the lower one."""
     k = F.col("p_partkey")
     x0, y0, h = ((k % 10) * 10).cast("double"), (F.floor(k / 10) * 30).cast("double"), F.col("p_size").cast("double")
-    df = A.table(spark, sf, "part").select(k.alias("identificatie"), x0.alias("x0"), y0.alias("y0"), (x0 + 10).alias("x1"), (y0 + 10).alias("y1"), h.alias("h"))
+    df = spread(A.table(spark, sf, "part")).select(k.alias("identificatie"), x0.alias("x0"), y0.alias("y0"), (x0 + 10).alias("x1"), (y0 + 10).alias("y1"), h.alias("h"))
     zero = F.lit(0.0)
 
     def face(kind, *corners):

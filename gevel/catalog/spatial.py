@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gevel.catalog import adapters as A
 from gevel.functions import geometry as G
+from gevel.functions.rows import by_merge, settle, spread
 from gevel.operators import features as FE
 from gevel.operators import history as H
 from gevel.operators import points as PT
@@ -122,13 +123,13 @@ def adjacent(spark, sf):
     """Buildings that meet the building grown by 0.1."""
     parts = part_boxes(spark, sf, **A.GREENHOUSE)
     n = S.adjacent_count(parts, "fid")
-    return A.shaped(parts.select("fid").join(n, "fid", "left"), "fid:l no_adjacent:l")
+    return A.shaped(parts.select("fid").join(by_merge(n), "fid", "left"), "fid:l no_adjacent:l")
 
 
 def adjacent_slanted(spark, sf):
     """The same buildings turned by 45 degrees, so that the grown shapes are no upright boxes."""
     parts = A.slanted(part_boxes(spark, sf, **A.GREENHOUSE))
-    return A.shaped(parts.select("fid").join(S.adjacent_count(parts, "fid"), "fid", "left"), "fid:l no_adjacent:l")
+    return A.shaped(parts.select("fid").join(by_merge(S.adjacent_count(parts, "fid")), "fid", "left"), "fid:l no_adjacent:l")
 
 
 ADJACENT_SQL = f"""WITH b AS ({part_sql(**A.GREENHOUSE)}), n AS (SELECT a.fid, count(*) AS c FROM b a JOIN b n ON a.fid <> n.fid
@@ -217,9 +218,7 @@ def point_tiles(spark, sf):
     """Number of points and of point tiles under each footprint's box."""
     pts = A.line_points(spark, sf, "l_suppkey AS tile")
     foot = part_boxes(spark, sf, town=False, **A.GREENHOUSE)
-    got = S.points_in(pts, foot, "fid").groupBy("fid").agg(
-        F.count("*").alias("n_points"), F.countDistinct("tile").alias("n_tiles")
-    )
+    got = PT.points_and_tiles(pts, foot, "fid", "tile")
     return A.shaped(got, "fid:l n_points:l n_tiles:l")
 
 
@@ -232,7 +231,7 @@ HOUSE_SQL = (
 
 
 def houses(spark, sf):
-    A.table(spark, sf, "part").createOrReplaceTempView("gevel_part")
+    spread(A.table(spark, sf, "part")).createOrReplaceTempView("gevel_part")
     df = spark.sql(HOUSE_SQL.replace("FROM part", "FROM gevel_part"))
     ring = F.array(*[G.point(F.expr(px), F.expr(py)) for px, py in HOUSE])
     return df.select("fid", F.array(ring).alias("rings"))
@@ -248,14 +247,15 @@ def _house_terms(term: str, parts: str) -> str:
 
 def geom_scalars(spark, sf):
     """Area, perimeter, centroid, box and text forms of polygons."""
-    h = houses(spark, sf)
-    b, c = G.bbox("rings"), G.centroid("rings")
-    back = G.from_wkt(G.to_wkt("rings"))
+    h = settle(houses(spark, sf))
+    h = settle(h, "fid", "rings", G.bbox("rings").alias("b"), G.centroid("rings").alias("c"), G.to_wkt("rings").alias("text"))
+    h = settle(h, "fid", "rings", "b", "c", G.from_wkt("text").alias("back"), G.bbox_from_wkt("text").alias("b_text"))
+    b, c = F.col("b"), F.col("c")
     out = h.select(
         "fid", F.round(G.area("rings"), 6).alias("area"), F.round(G.perimeter("rings"), 6).alias("perimeter"),
         G.n_points("rings").alias("n_points"), F.round(c.x, 6).alias("cx"), F.round(c.y, 6).alias("cy"),
         b.x0.alias("x0"), b.y0.alias("y0"), b.x1.alias("x1"), b.y1.alias("y1"),
-        F.round(G.area(back), 6).alias("area_text"), (G.bbox_from_wkt(G.to_wkt("rings")) == b).alias("same_box"),
+        F.round(G.area("back"), 6).alias("area_text"), (F.col("b_text") == b).alias("same_box"),
     )
     return A.shaped(out, "fid:l area:d perimeter:d n_points:l cx:d cy:d x0:d y0:d x1:d y1:d area_text:d same_box:b")
 

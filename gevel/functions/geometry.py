@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gevel.functions.rows import settle
+from gevel.functions.rows import bind, settle
 
 POINT = T.StructType(
     [T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]
@@ -74,7 +74,7 @@ def area(rings: Column | str) -> Column:
     """Outer area minus hole areas."""
     rings = _c(rings)
     sizes = F.transform(rings, lambda r: F.abs(signed_area(r)))
-    return 2 * sizes[0] - _total(sizes)
+    return bind(sizes, lambda s: 2 * s[0] - _total(s))
 
 
 def perimeter(rings: Column | str) -> Column:
@@ -106,18 +106,24 @@ def centroid(rings: Column | str) -> Column:
             F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my")),
             _add_moments,
         )
-        flip = F.when(raw.w < 0, -1.0).otherwise(1.0) * F.when(i == 0, 1.0).otherwise(-1.0)
-        return F.struct(
-            (raw.w * flip).alias("w"), (raw.mx * flip).alias("mx"), (raw.my * flip).alias("my")
-        )
+
+        def signed(m: Column) -> Column:
+            flip = F.when(m.w < 0, -1.0).otherwise(1.0) * F.when(i == 0, 1.0).otherwise(-1.0)
+            return F.struct((m.w * flip).alias("w"), (m.mx * flip).alias("mx"), (m.my * flip).alias("my"))
+
+        return bind(raw, signed)
 
     m = F.aggregate(
         F.transform(rings, moments),
         F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my")),
         _add_moments,
     )
-    w = F.nullif(3 * m.w, F.lit(0.0))
-    return F.struct((o.x + m.mx / w).alias("x"), (o.y + m.my / w).alias("y"))
+
+    def middle(m: Column) -> Column:
+        w = F.nullif(3 * m.w, F.lit(0.0))
+        return F.struct((o.x + m.mx / w).alias("x"), (o.y + m.my / w).alias("y"))
+
+    return bind(m, middle)
 
 
 def _add_moments(acc: Column, v: Column) -> Column:
@@ -249,9 +255,7 @@ def from_wkt(wkt: Column | str) -> Column:
     def ring(text: Column) -> Column:
         return F.transform(
             F.split(text, ","),
-            lambda pair: point(
-                F.split(F.trim(pair), r"\s+")[0], F.split(F.trim(pair), r"\s+")[1]
-            ),
+            lambda pair: bind(F.split(F.trim(pair), r"\s+"), lambda xy: point(xy[0], xy[1])),
         )
 
     return F.when(wkt.rlike(r"(?i)^\s*(SRID=\d+;)?\s*polygon"), F.transform(rings, ring))

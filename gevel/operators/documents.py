@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions import kernels as K
-from gevel.functions.rows import settle
+from gevel.functions.rows import by_merge, settle
 from gevel.operators.spatial import candidates
 from gevel.session import cut_lineage
 
@@ -83,7 +83,7 @@ def set_attributes(
         )
 
     new = F.map_from_arrays(F.array(*[F.lit(a) for a in names.values()]), F.array(*[scalar(c) for c in names]))
-    joined = docs.join(values.select(id, *names), id, how)
+    joined = docs.join(by_merge(values.select(id, *names)), id, how)
     rows = settle(joined, *keep, F.from_json(doc, "map<string, variant>").alias("_top"), new.alias("_new"))
     # members are taken out of the parsed document as they are: it is read once and written once
     objects = F.col("_top")["CityObjects"].try_cast("map<string, map<string, variant>>")
@@ -107,7 +107,7 @@ def set_attributes(
         F.create_map(F.lit("CityObjects"), F.to_variant_object(changed)),
     )
     out = rows.select(*keep, F.to_json(whole).alias(doc))
-    misses = values.select(id).join(docs.select(id), id, "left_anti")
+    misses = values.select(id).join(by_merge(docs.select(id)), id, "left_anti")
     return out.select(*docs.columns), misses
 
 
@@ -235,7 +235,7 @@ def surface_areas(
         ]
     )
     per_building = shared_walls(df, id, sid, snap, angle).groupBy(id).agg(F.sum("_shared").alias("_shared"))
-    both = sums.join(per_building, id, "left").withColumn("area_shared_wall", F.coalesce("_shared", F.lit(0.0)))
+    both = sums.join(by_merge(per_building), id, "left").withColumn("area_shared_wall", F.coalesce("_shared", F.lit(0.0)))
     return both.select(
         id, "area_ground", "area_roof_flat", "area_roof_sloped", "area_shared_wall",
         (F.col("_wall") - F.col("area_shared_wall")).alias("area_exterior_wall"),
