@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gevel.functions.rows import by_merge
 from gevel.functions.text import typed_or_null
 from gevel.operators.quality import VALIDATION_SCHEMA
 
@@ -71,7 +72,7 @@ LAYER_ATTRIBUTES = [
 def lod_layer(layer: DataFrame, buildings: DataFrame, attributes=None) -> DataFrame:
     """A model layer with the building attributes, joined on ``identificatie``."""
     cols = LAYER_ATTRIBUTES if attributes is None else list(attributes)
-    return layer.join(buildings.select("identificatie", *cols), "identificatie")
+    return layer.join(by_merge(buildings.select("identificatie", *cols)), "identificatie")
 
 
 def webservice_tiles(index: DataFrame, validation: DataFrame, schema=VALIDATION_SCHEMA) -> DataFrame:
