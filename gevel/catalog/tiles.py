@@ -12,6 +12,7 @@ from gevel.catalog import adapters as A
 from gevel.catalog.spatial import ORDER_BOXES, order_boxes
 from gevel.functions import geometry as G
 from gevel.functions import text as TX
+from gevel.functions.rows import spread
 from gevel.operators import lineage as L
 from gevel.operators import points as PT
 from gevel.operators import documents as D
@@ -319,7 +320,7 @@ def validate_tiles(spark, sf):
     archives = each.filter("format <> 'obj' OR s_acctbal > 0").select("tile_id", "format", (F.col("s_acctbal") < 9000).alias("zip_ok"))
     # a file for each tile and format, and the hashes of these files
     path = f"{shared_dir(spark).rstrip('/')}/gevel-tiles-{uuid.uuid4().hex}"
-    each.select("format", "tile_id", "s_name").repartition("format", "tile_id").write.partitionBy("format", "tile_id").text(path)
+    spread(each.select("format", "tile_id", "s_name"), "format", "tile_id").write.option(*sinks.TASKS_COMMIT).partitionBy("format", "tile_id").text(path)
     tile = lambda c: F.regexp_extract("path", f"{c}=([^/]+)/", 1).alias(c)
     hashes = SF.read_file_hashes(spark, path, "part-*").select(tile("tile_id"), tile("format"), "sha256")
     # one building per tile, with a part of two levels unless the key is a multiple of three
