@@ -91,36 +91,29 @@ def log_timings(lines: DataFrame, line: str = "value") -> DataFrame:
 
     Lines of another form, with a bad number or with an unknown step are skipped.
     """
-    timed = lines.select(F.col(line).alias("_l")).filter(F.contains("_l", F.lit(TIMED)))
+    timed = settle(lines, F.col(line).alias("_l")).filter(F.contains("_l", F.lit(TIMED)))
     timed = settle(timed, F.expr(f"substring(_l, locate('{TIMED}', _l) + {len(TIMED)})").alias("_l"))
     found = settle(timed, F.substring_index("_l", " ", 1).alias("_p"), "_l").filter(F.startswith("_p", F.lit("/")) & F.endswith("_p", F.lit(MODEL)) & F.contains("_l", F.lit(" ")))
     name = F.substring_index("_p", "/", -1)
-    found = settle(
-        found, F.substring(name, F.lit(1), F.length(name) - len(MODEL)).alias("building_id"),
-        F.split(F.translate(F.substring("_l", F.length("_p") + 2, F.length("_l")), "() ", ""), ",").alias("_w"),
-    ).filter("building_id <> ''")
-    # names and numbers take turns; most lines have all steps in order, which needs no search
-    count = F.floor(F.size("_w") / 2).cast("int")
-    usual = count == len(STEPS)
-    for i, step in enumerate(STEPS):
-        usual &= F.coalesce(F.get("_w", F.lit(2 * i)) == step, F.lit(False))
-    found = settle(found.filter(count > 0), "building_id", "_w", usual.alias("_usual"), count.alias("_n"))
-    at = F.sequence(F.lit(0), F.col("_n") - 1)
+    found = settle(found, F.substring(name, F.lit(1), F.length(name) - len(MODEL)).alias("building_id"), "_p", "_l", F.split("_l", ",").alias("_w")).filter("building_id <> ''")
+    # most lines read like the numbers found at the usual places when these are written out again; only the others are searched
+    there = [F.substring_index(F.get("_w", F.lit(2 * i + 1)), ")", 1).try_cast("int").alias(step) for i, step in enumerate(STEPS)]
+    found = settle(found, "building_id", "_p", "_l", *there)
+    again = [x for i, step in enumerate(STEPS) for x in (F.lit(("),(" if i else " ((") + step + ", "), F.col(step).cast("string"))]
+    usual = F.coalesce(F.col("_l") == F.concat("_p", *again, F.lit("),)")), F.lit(False))
+    found = settle(found, "building_id", "_p", "_l", usual.alias("_usual"), *STEPS)
+    rest = F.substring("_l", F.length("_p") + 2, F.length("_l"))
+    words = F.when(~F.col("_usual"), F.split(F.translate(rest, "() ", ""), ","))
+    found = settle(found, "building_id", "_usual", words.alias("_w"), *[F.when(F.col("_usual"), F.col(s)).alias(s) for s in STEPS])
+    # names and numbers take turns
+    found = found.filter(F.col("_usual") | (F.size("_w") > 1))
+    at = F.sequence(F.lit(0), F.floor(F.size("_w") / 2).cast("int") - 1)
     names = F.when(~F.col("_usual"), F.reverse(F.transform(at, lambda i: F.get("_w", i * 2))))
     times = F.when(~F.col("_usual"), F.reverse(F.transform(at, lambda i: F.get("_w", i * 2 + 1).try_cast("int"))))
-    found = settle(found, "building_id", "_w", "_usual", names.alias("_k"), times.alias("_v"))
+    found = settle(found, "building_id", "_usual", names.alias("_k"), times.alias("_v"), *STEPS)
     known = ~F.exists("_v", lambda v: v.isNull()) & (F.size(F.array_except("_k", F.array(*map(F.lit, STEPS)))) == 0)
-
-    def time(i: int, step: str):
-        there = F.get("_w", F.lit(2 * i + 1)).try_cast("int")
-        return F.when(F.col("_usual"), there).otherwise(F.get("_v", F.array_position("_k", step).cast("int") - 1)).alias(step)
-
-    out = settle(found.filter(F.col("_usual") | known), "building_id", "_usual", *[time(i, s) for i, s in enumerate(STEPS)])
-    whole = ~F.col("_usual")
-    every = F.lit(True)
-    for step in STEPS:
-        every &= F.col(step).isNotNull()
-    return out.filter(whole | every).select("building_id", *STEPS)
+    last = [F.coalesce(F.col(s), F.get("_v", F.array_position("_k", s).cast("int") - 1)).alias(s) for s in STEPS]
+    return found.filter(F.col("_usual") | known).select("building_id", *last)
 
 
 def unfinished(lines: DataFrame, line: str = "value") -> DataFrame:

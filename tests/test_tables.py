@@ -213,6 +213,18 @@ def test_log_lines(spark):
     assert [r.building_id for r in L.unfinished(df).collect()] == ["B"]
 
 
+def test_log_lines_are_made_once_and_searched_only_if_unusual(spark):
+    """The expression that makes a line stands once in the plan; lines in other spacing, order or length give what the usual ones give."""
+    made = spark.range(1).select(F.concat(F.lit("marker "), F.col("id").cast("string")).alias("value"))
+    plan = L.log_timings(made)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("marker") == 1
+    other = [SAMPLE.replace("(extrude, 2)", "( extrude,2 )"), SAMPLE.replace(",)", ""), SAMPLE.replace("extrude, 2", "extrude, 7),(extrude, 2"), SAMPLE.replace(", 2),(LineDetector, 0)", ", 02),(LineDetector, +0)"), SAMPLE.replace("(AlphaShaper, 0),(PlaneDetector, 1)", "(PlaneDetector, 1),(AlphaShaper, 0)")]
+    got = L.log_timings(spark.createDataFrame([(x,) for x in [SAMPLE, *other, None]], "value string")).collect()
+    assert len(got) == 6 and len(set(got)) == 1
+    part = L.log_timings(spark.createDataFrame([(SAMPLE.replace("(extrude, 2),", ""),)], "value string")).first()
+    assert part.extrude is None and part.PlaneDetector == 1
+
+
 def test_best_cloud(spark):
     s = spark.createDataFrame([("a", "AHN3", 0.9, 2), ("a", "AHN5", 0.9, 0), ("b", "AHN3", 0.9, 2), ("b", "AHN4", 0.5, 1), ("c", "AHN4", None, 1)], "identificatie string, cloud string, coverage double, quality int")
     got = {r.identificatie: (r.cloud, r.reason) for r in PT.best_cloud(s).collect()}
