@@ -25,14 +25,14 @@ from gevel.session import cut_lineage
 WIDTH = 64
 #: signature rows that a task compares at a time
 AT_ONCE = 50_000
-#: bands of minima over shingles, and minima in each: a pair of similarity 0.8 shares no band in 3 of 100,000 cases
-BANDS, ROWS = 20, 4
-#: a group of more rows is a crowd, whose rows are compared in blocks of whole shingle sets instead of pair by pair
+#: share of pairs of just the wanted similarity that may have no part of their prints in common
+LOST = 5e-5
+#: more rows linked in one group are a crowd, whose rows are compared in blocks of whole shingle sets instead of pair by pair
 SMALL = 64
 #: rows and bytes of sets of a block, and how members are counted in it
 BLOCK, BLOCK_BYTES, FEW, SLICE = 1024, 16 << 20, 24, 4096
-#: two bits of each minimum, which tell unlike pairs of a band
-SKETCH = ("sketch_1", "sketch_2", "sketch_3")
+#: the first prints go with each signature and tell unlike pairs
+SKETCH = ("sketch_1", "sketch_2")
 _CODE = np.arange(256)
 WORD = ~((_CODE == 32) | ((_CODE >= 9) & (_CODE <= 13)))
 
@@ -291,37 +291,68 @@ def near_groups(prints: DataFrame, tau: int = 4) -> DataFrame:
     return prints.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def gap(similarity: float) -> float:
+    """Share of bits in which the prints of two sets differ: the angle between sets of one size at this Jaccard similarity."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
 def unlike(similarity: float) -> int:
-    """Minima that may differ in their two bits at this Jaccard similarity, four deviations above the mean."""
-    n, share = BANDS * ROWS, 0.75 * (1 - similarity)
+    """Bits of the sketch that may differ at this Jaccard similarity, four deviations above the mean.
+
+    Sets of four and five shingles differ in a quarter more bits than large ones, as ties give no bit.
+    """
+    n, share = WIDTH * len(SKETCH), 1.25 * gap(similarity)
     return int(np.ceil(n * share + 4 * np.sqrt(n * share * (1 - share))))
 
 
+def prints_for(count: int, similarity: float) -> tuple[int, Plan]:
+    """How many prints ``count`` texts need, and the parts of each.
+
+    Prints at most as many bits apart as there are parts, less one, share a part for certain. Pairs of this similarity
+    are further apart in most prints; enough prints are taken that only ``LOST`` of such pairs share no part of any.
+    A part has so many bits that about 256 unlike rows, or fewer, share its value.
+    """
+    parts = next((m for m in (5, 4, 3) if count <= 256 << (WIDTH // m)), 2)
+    chosen = Plan([list(range(WIDTH * k // parts, WIDTH * (k + 1) // parts)) for k in range(parts)], [0] * parts)
+    missed = np.prod([1 - (1 - gap(similarity)) ** len(p) for p in chosen.parts])
+    return int(np.ceil(np.log(LOST) / np.log(missed))), chosen
+
+
 def _differ(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
-    """How many minima differ in their two bits."""
-    total = 0
-    for p, q in zip(x, y, strict=True):
-        d = (p ^ q).view(np.uint64)
-        total = total + np.bitwise_count((d | d >> np.uint64(1)) & np.uint64(0x5555555555555555))
-    return total
+    """How many bits of the sketches differ."""
+    return sum(_apart(p, q) for p, q in zip(x, y, strict=True))
 
 
 def _plausible(limit: int):
-    """All links to look at among rows of equal, neighbouring groups, for ``_met``."""
+    """Links to look at among rows of equal, neighbouring groups, for ``_met``.
+
+    A pair has the smaller node first. Where more than ``SMALL`` rows of a group hang together, each is instead
+    linked to the smallest of them, which stands second.
+    """
 
     def find(group, side, node, *sketch):
-        a, b, lag = [node[:0]], [node[:0]], 1
+        i, j, lag = [], [], 1
         at = np.flatnonzero(group[:-1] == group[1:])
         while len(at):
             here = at[(side[at] != side[at + lag]) | (side[at] == 2)]
             here = here[_differ([s[here] for s in sketch], [s[here + lag] for s in sketch]) <= limit]
-            a.append(node[here])
-            b.append(node[here + lag])
+            i.append(here)
+            j.append(here + lag)
             lag += 1
             at = at[at + lag < len(group)]
             at = at[group[at] == group[at + lag]]
-        a, b = np.concatenate(a), np.concatenate(b)
-        return np.minimum(a, b), np.maximum(a, b)
+        if not i:
+            return node[:0], node[:0]
+        i, j = np.concatenate(i), np.concatenate(j)
+        leaf, top = forest(i, j)
+        label = np.arange(len(node))
+        label[leaf] = top
+        crowded = np.bincount(label, minlength=len(node))[label] > SMALL
+        hub = node.copy()
+        np.minimum.at(hub, label, node)
+        member = np.flatnonzero(crowded & (node > hub[label]))
+        i, j = node[i[~crowded[i]]], node[j[~crowded[i]]]
+        return np.concatenate([np.minimum(i, j), node[member]]), np.concatenate([np.maximum(i, j), hub[label[member]]])
 
     return find
 
@@ -380,54 +411,42 @@ def _shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]
     return grams[new], np.searchsorted(row[new], np.arange(len(first)))
 
 
-def _minima(grams: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """The least value of each row under each of BANDS * ROWS hash functions; rows without shingles get 0."""
-    some = np.flatnonzero(bounds[1:] > bounds[:-1])
-    out = np.zeros((len(bounds) - 1, BANDS * ROWS), np.uint64)
-    factors = np.random.default_rng(11).integers(1, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-    for j, factor in enumerate(factors):
-        if len(some):
-            out[some, j] = np.minimum.reduceat(grams * factor, bounds[some])
-    return mix(out)
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of ``docs`` for each group of near copies, with all its columns: the smallest doc_id, then text hash.
 
     Texts are near copies when the sets of their shingles of ``words`` words have a Jaccard similarity of
-    ``similarity`` or more, or by a chain of such pairs. Pairs are looked for by bands of minima over the
-    shingles; the sets of a pair are then compared themselves. Groups of many rows of one band, and those they
-    share rows with, are a crowd, in which all rows are compared. Rows of equal doc_id and text count once;
-    null, empty and blank texts are copies of each other; a null doc_id comes first.
+    ``similarity`` or more, or by a chain of such pairs. Pairs are looked for by SimHash: several prints of the
+    distinct shingles, whose parts are signatures; rows that share one and have prints near enough are compared by
+    the sets themselves. Many such rows of one signature, and those they share rows with, are a crowd, in which all
+    rows are compared. Rows of equal doc_id and text count once; null, empty and blank texts are copies of each
+    other; a null doc_id comes first.
     """
+    n_prints, chosen = prints_for(docs.count(), similarity)
     mine = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
     kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), mine.alias("hash"), F.col("text").cast("string").alias("text"))
 
     def work(piece: pa.RecordBatch) -> pa.RecordBatch:
         grams, bounds = _shingle_sets(piece.column("text"), words)
-        least = _minima(grams, bounds)
         whole = [np.concatenate([[0], np.cumsum(mix(grams + np.uint64(k)), dtype=np.uint64)]).astype(np.uint64) for k in (1, 2)]
         digest = [(w[bounds[1:]] - w[bounds[:-1]]).view(np.int64) for w in whole]
-        bands = least.reshape(-1, BANDS, ROWS)
-        band = np.zeros(bands.shape[:2], np.uint64)
-        for j in range(ROWS):
-            band = mix(band * np.uint64(0x9E3779B97F4A7C15) + bands[:, :, j])
-        two = np.zeros((len(least), 32 * len(SKETCH)), np.uint64)
-        two[:, : BANDS * ROWS] = least & np.uint64(3)
-        sketch = [np.bitwise_or.reduce(two[:, 32 * k : 32 * k + 32] << (np.uint64(2) * np.arange(32, dtype=np.uint64)), axis=1).view(np.int64) for k in range(len(SKETCH))]
-        wordy = np.where(bounds[1:] > bounds[:-1], BANDS, 0)  # texts without words are one node, without bands
-        values = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wordy)]).astype(np.int32)), pa.array(band[wordy > 0].ravel().view(np.int64)))
-        return pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("hash"), *map(pa.array, digest), *map(pa.array, sketch), values], ["doc_id", "hash", "one", "two", *SKETCH, "bands"])
-
-    prints = kept.mapInArrow(per_piece(work), f"doc_id long, hash long, one long, two long, {', '.join(f'{c} long' for c in SKETCH)}, bands array<long>")
-    nodes = prints.groupBy("one", "two").agg(F.min(F.struct("doc_id", "hash")).alias("first"), *[F.first(c).alias(c) for c in (*SKETCH, "bands")])
+        prints = np.stack([majority(mix(grams + np.uint64(k)), bounds) for k in range(3, n_prints + 3)], axis=1)
+        wordy = np.where(bounds[1:] > bounds[:-1], n_prints, 0)  # texts without words are one node, without prints
+        values = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(wordy)]).astype(np.int32)), pa.array(prints[wordy > 0].ravel()))
+        return pa.RecordBatch.from_arrays([piece.column("doc_id"), piece.column("hash"), *map(pa.array, digest), values], ["doc_id", "hash", "one", "two", "prints"])
+
+    prints = kept.mapInArrow(per_piece(work), "doc_id long, hash long, one long, two long, prints array<long>")
+    nodes = prints.groupBy("one", "two").agg(F.min(F.struct("doc_id", "hash")).alias("first"), F.first("prints").alias("prints"))
     nodes = cut_lineage(nodes.withColumn("node", F.xxhash64("first.doc_id", "first.hash")))
-    rows = nodes.select("node", *SKETCH, F.posexplode("bands").alias("part", "value"))
-    crowds = cut_lineage(rows.groupBy("part", "value").agg(F.count("*").alias("n"), F.min("node").alias("hub")).where(F.col("n") > SMALL).drop("n"))
-    few = rows.join(crowds, ["part", "value"], "left_anti").select(F.xxhash64("part", "value").alias("group"), F.lit(2).alias("side"), "node", *SKETCH)
-    pairs = _found(few, _plausible(unlike(similarity)))
-    crowd = cut_lineage(_crowds(rows.join(crowds, ["part", "value"]).select("node", "part", "value", F.col("hub").alias("crowd"))))
-    pairs = cut_lineage(pairs)
+    sketch = [F.get("prints", F.lit(k)).alias(c) for k, c in enumerate(SKETCH)]
+    rows = signatures(nodes.select("node", *sketch, F.posexplode("prints").alias("print", "fingerprint")), chosen)
+    rows = rows.select((F.col("print") * len(chosen.parts) + F.col("part")).alias("part"), "value", "node", *SKETCH)
+    seen = cut_lineage(_met(rows, 512, _plausible(unlike(similarity))))
+    hubs = seen.where("a > b")
+    crowd = cut_lineage(_crowds(hubs.select(F.col("a").alias("node"), F.col("b").alias("hub")).union(hubs.select("b", "b"))))
+    # pairs within a crowd are compared there
+    pairs = seen.where("a < b")
+    inside = pairs.join(crowd.withColumnRenamed("node", "a"), "a").join(crowd.withColumnRenamed("node", "b"), ["b", "crowd"])
+    pairs = cut_lineage(pairs.join(inside, ["a", "b"], "left_anti"))
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(crowd.select("node")).distinct()
     held = _held_sets(kept, asked, words)
     links = _alike(held, pairs, similarity).union(_alike_in_crowds(held, crowd, similarity))
@@ -441,13 +460,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
 
 
 def _crowds(members: DataFrame) -> DataFrame:
-    """node and crowd, each pair once, from node, part, value and crowd: the rows of one group keep a crowd in common.
+    """node and crowd, each pair once, from node and hub: the rows of one hub keep a crowd in common.
 
-    Groups that share rows mostly get one name, the least of their rows' least; where they do not, a row is in several crowds.
+    Hubs that share rows mostly get one name, the least of their rows' least; where they do not, a row is in several crowds.
     """
-    named = members.drop("crowd").join(members.groupBy("node").agg(F.min("crowd").alias("crowd")), "node")
-    groups = named.groupBy("part", "value").agg(F.min("crowd").alias("crowd"))
-    return members.drop("crowd").join(groups, ["part", "value"]).select("node", "crowd").distinct()
+    named = members.join(members.groupBy("node").agg(F.min("hub").alias("least")), "node")
+    names = named.groupBy("hub").agg(F.min("least").alias("crowd"))
+    return members.join(names, "hub").select("node", "crowd").distinct()
 
 
 def _held_sets(kept: DataFrame, asked: DataFrame, words: int) -> DataFrame:

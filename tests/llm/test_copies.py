@@ -335,3 +335,32 @@ def test_plausible_pairs_of_a_group(n, sides):
     meet = (side[:, None] != side[None]) | (side[:, None] == 2)
     a, b = np.nonzero((apart <= 20) & meet)
     assert len(set(got.values())) < n and got == groups(zip(node[a].tolist(), node[b].tolist()), range(n))
+
+
+def test_candidates_of_the_near_copy_stage_are_simhash_prints(spark, sf, monkeypatch):
+    """Near copies are found by their prints alone: when these say nothing, every text stays."""
+    prints, chosen = simhash.prints_for(10**6, 0.8)
+    assert prints >= 16 and sorted(sum(chosen.parts, [])) == list(range(64)) and not any(chosen.thresholds)
+    assert [len(simhash.prints_for(n, 0.8)[1].parts) for n in (0, 10**6, 10**7, 10**8)] == [5, 5, 4, 3]
+    rows = altered(3)[:100]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert corpus_pipeline.one_of_near_copies(spark, docs, sf).count() < len(rows)
+    monkeypatch.setattr(simhash, "majority", lambda hashes, bounds: np.random.default_rng().integers(-(2**63), 2**63, len(bounds) - 1))
+    assert corpus_pipeline.one_of_near_copies(spark, docs, sf).count() == len(rows)
+
+
+def test_prints_of_pairs_of_just_the_similarity():
+    """Of 3000 pairs of just 0.8, small sets among them, few are lost by parts of prints or by the sketch; unlike ones are told apart."""
+    rng = np.random.default_rng(12)
+    prints, chosen = simhash.prints_for(1000, 0.8)
+    limit, lost, near = simhash.unlike(0.8), 0, 0
+    masks = [np.uint64(sum(1 << b for b in part)) for part in chosen.parts]
+    for n in (4, 8, 80) * 1000:
+        more = rng.integers(0, 2**63, n + n // 4, np.uint64)
+        sets, bounds = np.concatenate([more[:n], more, rng.integers(0, 2**63, n, np.uint64)]), np.array([0, n, len(more) + n, len(more) + 2 * n])
+        got = np.stack([simhash.majority(simhash.mix(sets + np.uint64(k)), bounds) for k in range(3, prints + 3)], 1).view(np.uint64)
+        shares = any(((got[0] ^ got[1]) & m == 0).any() for m in masks)
+        apart = [int(simhash._differ([x[:1] for x in got[[0]].T[:2]], [x[:1] for x in got[[k]].T[:2]])[0]) for k in (1, 2)]
+        lost += not shares or apart[0] > limit
+        near += n == 80 and apart[1] <= limit
+    assert lost <= 12 and near <= 2
