@@ -28,7 +28,7 @@ AT_ONCE = 50_000
 #: share of pairs of just the wanted similarity that may have no part of their prints in common
 LOST = 5e-5
 #: more rows linked in one group are a crowd, whose rows are compared in blocks of whole shingle sets instead of pair by pair
-SMALL = 64
+SMALL = 8
 #: rows and bytes of sets of a block, and how members are counted in it
 BLOCK, BLOCK_BYTES, FEW, SLICE = 1024, 16 << 20, 24, 4096
 #: the first prints go with each signature and tell unlike pairs
@@ -296,12 +296,12 @@ def gap(similarity: float) -> float:
     return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
-def unlike(similarity: float) -> int:
-    """Bits of the sketch that may differ at this Jaccard similarity, four deviations above the mean.
+def unlike(similarity: float, prints: int = len(SKETCH)) -> int:
+    """Bits of so many prints that may differ at this Jaccard similarity, four deviations above the mean.
 
     Sets of four and five shingles differ in a quarter more bits than large ones, as ties give no bit.
     """
-    n, share = WIDTH * len(SKETCH), 1.25 * gap(similarity)
+    n, share = WIDTH * prints, 1.25 * gap(similarity)
     return int(np.ceil(n * share + 4 * np.sqrt(n * share * (1 - share))))
 
 
@@ -446,7 +446,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     # pairs within a crowd are compared there
     pairs = seen.where("a < b")
     inside = pairs.join(crowd.withColumnRenamed("node", "a"), "a").join(crowd.withColumnRenamed("node", "b"), ["b", "crowd"])
-    pairs = cut_lineage(pairs.join(inside, ["a", "b"], "left_anti"))
+    pairs = pairs.join(inside, ["a", "b"], "left_anti")
+    for c in "ab":
+        pairs = pairs.join(nodes.select(F.col("node").alias(c), F.col("prints").alias(f"of_{c}")), c)
+    apart = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    pairs = cut_lineage(pairs.where(apart <= unlike(similarity, n_prints)).select("a", "b"))
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(crowd.select("node")).distinct()
     held = _held_sets(kept, asked, words)
     links = _alike(held, pairs, similarity).union(_alike_in_crowds(held, crowd, similarity))
