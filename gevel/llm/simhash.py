@@ -15,7 +15,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gevel.llm.arrays import LOWER, SpanHash, mix, owner, per_piece, spans, text_bytes
@@ -23,8 +23,8 @@ from gevel.llm.components import components
 from gevel.session import cut_lineage
 
 WIDTH = 64
-#: signature rows that a task compares at a time
-AT_ONCE = 50_000
+#: signature rows that a task compares at a time, and rows of one signature above which it is split into blocks
+AT_ONCE, SPLIT = 50_000, 2048
 #: share of pairs of just the wanted similarity that may have no part of their prints in common
 LOST = 5e-5
 #: more rows linked in one group are a crowd, whose rows are compared in blocks of whole shingle sets instead of pair by pair
@@ -33,6 +33,10 @@ SMALL = 8
 BLOCK, BLOCK_BYTES, FEW, SLICE = 1024, 16 << 20, 24, 4096
 #: the first prints go with each signature and tell unlike pairs
 SKETCH = ("sketch_1", "sketch_2")
+#: as many bits, in rows of 2^15, say ahead of the shuffle whose texts are asked for
+ASKED_BITS = 25
+#: what the set of a node is asked for: first or second of a pair, member of a crowd
+FIRST, SECOND, MEMBER = 1, 2, 4
 _CODE = np.arange(256)
 WORD = ~((_CODE == 32) | ((_CODE >= 9) & (_CODE <= 13)))
 
@@ -440,9 +444,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
     sketch = [F.get("prints", F.lit(k)).alias(c) for k, c in enumerate(SKETCH)]
     rows = signatures(nodes.select("node", *sketch, F.posexplode("prints").alias("print", "fingerprint")), chosen)
     rows = rows.select((F.col("print") * len(chosen.parts) + F.col("part")).alias("part"), "value", "node", *SKETCH)
-    seen = cut_lineage(_met(rows, 512, _plausible(unlike(similarity))))
-    hubs = seen.where("a > b")
-    crowd = cut_lineage(_crowds(hubs.select(F.col("a").alias("node"), F.col("b").alias("hub")).union(hubs.select("b", "b"))))
+    seen = cut_lineage(_met(rows, SPLIT, _plausible(unlike(similarity))))
+    hubs = seen.where("a > b").select(F.col("a").alias("node"), F.col("b").alias("hub"))
+    crowd = cut_lineage(_crowds(hubs.union(hubs.select("hub", "hub").distinct())))
     # pairs within a crowd are compared there
     pairs = seen.where("a < b")
     inside = pairs.join(crowd.withColumnRenamed("node", "a"), "a").join(crowd.withColumnRenamed("node", "b"), ["b", "crowd"])
@@ -451,16 +455,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) ->
         pairs = pairs.join(nodes.select(F.col("node").alias(c), F.col("prints").alias(f"of_{c}")), c)
     apart = F.aggregate(F.zip_with("of_a", "of_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     pairs = cut_lineage(pairs.where(apart <= unlike(similarity, n_prints)).select("a", "b"))
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).union(crowd.select("node")).distinct()
-    held = _held_sets(kept, asked, words)
+    asked = [pairs.select(F.col("a").alias("node"), F.lit(FIRST).alias("use")), pairs.select("b", F.lit(SECOND)), crowd.select("node", F.lit(MEMBER))]
+    held = _held_sets(kept, asked[0].union(asked[1]).union(asked[2]).groupBy("node").agg(F.bit_or("use").alias("uses")), words)
     links = _alike(held, pairs, similarity).union(_alike_in_crowds(held, crowd, similarity))
     found = components(links)
     firsts = nodes.select("node", "first").join(found, "node", "left").groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
-    stays = cut_lineage(firsts.select(F.col("first.doc_id").alias("__gevel_id"), F.col("first.hash").alias("__gevel_hash")))
-    stays = stays.withColumnRenamed("__gevel_hash", "__gevel_of")
-    out = docs.withColumn("__gevel_hash", mine).join(stays, F.col("doc_id").cast("long").eqNullSafe(F.col("__gevel_id")) & (F.col("__gevel_hash") == F.col("__gevel_of")), "left_semi")
-    once = Window.partitionBy("doc_id", "__gevel_hash").orderBy("doc_id")
-    return out.withColumn("__gevel_once", F.row_number().over(once)).where("__gevel_once = 1").select(*docs.columns)
+    stays = cut_lineage(firsts.select(F.xxhash64("first.doc_id", "first.hash").alias("__gevel_node")))
+    # one key for both steps, so that whole rows go through one shuffle
+    named = docs.withColumn("__gevel_node", F.xxhash64(F.col("doc_id").cast("long"), mine))
+    return named.join(stays, "__gevel_node", "left_semi").dropDuplicates(["__gevel_node"]).select(*docs.columns)
 
 
 def _crowds(members: DataFrame) -> DataFrame:
@@ -473,21 +476,42 @@ def _crowds(members: DataFrame) -> DataFrame:
     return members.join(names, "hub").select("node", "crowd").distinct()
 
 
+def _maybe_in(rows: DataFrame, asked: DataFrame) -> DataFrame:
+    """The rows whose node is asked for, and few others: one bit for each value of a node's last bits tells, ahead of any shuffle.
+
+    The bits take 4 MB however many nodes are asked for; the join that follows is exact.
+    """
+    place, row = F.col("node").bitwiseAND(F.lit((1 << 15) - 1)), F.shiftright(F.col("node").bitwiseAND(F.lit((1 << ASKED_BITS) - 1)), 15)
+    bits = asked.select(row.alias("__gevel_row"), place.alias("place")).groupBy("__gevel_row").agg(F.bitmap_construct_agg("place").alias("__gevel_bits"))
+    byte = F.conv(F.hex(F.substring("__gevel_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    here = F.call_function("shiftright", byte, place.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return rows.withColumn("__gevel_row", row).join(F.broadcast(bits), "__gevel_row").where(here).select(*rows.columns)
+
+
 def _held_sets(kept: DataFrame, asked: DataFrame, words: int) -> DataFrame:
-    """node and grams, the sorted hashes of its shingles, of the asked nodes; written once."""
+    """node, uses, size and grams, the sorted hashes of its shingles and their bytes, of the asked nodes (node, uses); written once."""
 
     def sets(piece: pa.RecordBatch) -> pa.RecordBatch:
         grams, bounds = _shingle_sets(piece.column("text"), words)
         blobs = [grams[a:b].tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([piece.column("node"), pa.array(blobs, pa.binary())], ["node", "grams"])
+        size = pa.array(8 * np.diff(bounds), pa.int64())
+        return pa.RecordBatch.from_arrays([piece.column("node"), piece.column("uses"), size, pa.array(blobs, pa.binary())], ["node", "uses", "size", "grams"])
+
+    asked = cut_lineage(asked)
+    texts = _maybe_in(kept.select(F.xxhash64("doc_id", "hash").alias("node"), "text"), asked)
+    texts = texts.join(asked, "node").dropDuplicates(["node"])
+    return cut_lineage(texts.mapInArrow(per_piece(sets), "node long, uses int, size long, grams binary"))
+
 
-    texts = kept.select(F.xxhash64("doc_id", "hash").alias("node"), "text").join(asked, "node", "left_semi").dropDuplicates(["node"])
-    return cut_lineage(texts.mapInArrow(per_piece(sets), "node long, grams binary"))
+def _held_for(held: DataFrame, use: int) -> DataFrame:
+    return held.where(F.col("uses").bitwiseAND(F.lit(use)) != 0)
 
 
 def _alike(held: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) of nodes whose sets of shingles are alike."""
-    both = pairs.join(held.select(F.col("node").alias("b"), F.col("grams").alias("of_b")), "b").join(held.select(F.col("node").alias("a"), F.col("grams").alias("of_a")), "a")
+    first = _held_for(held, FIRST).select(F.col("node").alias("a"), F.col("grams").alias("of_a"))
+    second = _held_for(held, SECOND).select(F.col("node").alias("b"), F.col("grams").alias("of_b"))
+    both = pairs.join(second, "b").join(first, "a")
 
     def check(batches):
         for batch in batches:
@@ -510,9 +534,11 @@ def _alike_in_crowds(held: DataFrame, crowd: DataFrame, similarity: float) -> Da
     Every two nodes of a crowd are compared by their whole sets. A crowd is dealt into blocks bounded in rows and
     bytes, and each two blocks meet in a task of their own, which gives a star for each component it finds.
     """
+    held = _held_for(held, MEMBER)
+    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_BYTES)).cast("int")
+    # from the sizes alone: the sets go through the shuffle once
+    sizes = cut_lineage(crowd.join(held.select("node", "size"), "node").groupBy("crowd").agg(blocks.alias("blocks")))
     rows = crowd.join(held, "node")
-    blocks = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.octet_length("grams")) / BLOCK_BYTES)).cast("int")
-    sizes = cut_lineage(rows.groupBy("crowd").agg(blocks.alias("blocks")))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.sequence(F.lit(0), F.col("blocks") - 1)
     met = F.transform(other, lambda j: F.struct(F.least(own, j).alias("i"), F.greatest(own, j).alias("j"), F.when(own == j, 2).when(own < j, 0).otherwise(1).alias("side")))

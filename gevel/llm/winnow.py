@@ -161,4 +161,6 @@ def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that share no window with an item; rows of one doc_id go together."""
     rows, shared = shared_windows(docs, items)
     dirty = rows.join(shared.select("row").distinct(), "row", "left_semi").select(F.col("doc_id").alias("__gevel_dirty")).distinct()
+    # written first: where few ids are dirty, Spark sees a small table and need not shuffle the texts for it
+    dirty = cut_lineage(dirty)
     return docs.join(dirty, F.col("doc_id").cast("long").eqNullSafe(F.col("__gevel_dirty")), "left_anti")

@@ -364,3 +364,67 @@ def test_prints_of_pairs_of_just_the_similarity():
         lost += not shares or apart[0] > limit
         near += n == 80 and apart[1] <= limit
     assert lost <= 12 and near <= 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_rows_of_near_copies_are_shuffled_once(spark):
+    """Choosing the rows that stay and counting equal ones once need one shuffle of the rows, keyed alike."""
+    rows = [(d, t, str(k)) for k, (d, t) in enumerate(altered(5)[:60] * 2)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+        assert plan_of(out).count("Exchange hashpartitioning") == 2
+        left = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len({r["doc_id"] for r in left}) == len(left) and all((r["doc_id"], r["text"], r["lang"]) in rows for r in left)
+
+
+def test_a_hub_names_itself_once(spark, monkeypatch):
+    """Rows and hubs that _crowds joins: no pair comes twice, however many rows a hub has."""
+    seen = []
+    monkeypatch.setattr(simhash, "_crowds", lambda members, of=simhash._crowds: seen.append(members.collect()) or of(members))
+    rows = crowd(np.random.default_rng(4), 200, 0.9, 0.95, 0, words=200)
+    assert simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == 1
+    assert seen[0] and len(seen[0]) == len(set(seen[0]))
+
+
+@pytest.mark.parametrize("bits", [15, 17, 25])
+def test_bits_ahead_of_the_shuffle_lose_no_text(spark, monkeypatch, bits):
+    monkeypatch.setattr(simhash, "ASKED_BITS", bits)
+    node = [*np.random.default_rng(bits).integers(-(2**63), 2**63, 5000).tolist(), -1, 0, 2**63 - 1, -(2**63)]
+    rows, asked = spark.createDataFrame([(n, str(n)) for n in node * 2], "node long, text string"), node[4500:]
+    got = Counter(r["node"] for r in simhash._maybe_in(rows, spark.createDataFrame([(n,) for n in asked], "node long")).collect())
+    assert got.keys() >= set(asked) and set(got.values()) == {2}
+    assert len(got) < len(asked) + (5000 if bits == 15 else 200)
+    assert simhash._maybe_in(rows, spark.createDataFrame([], "node long")).count() == 0
+
+
+def test_sets_go_only_where_they_are_asked_for(spark):
+    kept = spark.createDataFrame([(d, d, t) for d, t in altered(6)[:6]], "doc_id long, hash long, text string")
+    node = [r[0] for r in kept.selectExpr("xxhash64(doc_id, hash)").collect()]
+    asked = [(node[0], simhash.FIRST), (node[1], simhash.SECOND | simhash.MEMBER), (node[2], simhash.MEMBER)]
+    held = simhash._held_sets(kept.union(kept), spark.createDataFrame(asked, "node long, uses int"), 5)
+    assert sorted((r["node"], r["uses"]) for r in held.collect()) == sorted(asked)
+    assert all(r["size"] == len(r["grams"]) > 0 for r in held.collect())
+    got = {use: {r["node"] for r in simhash._held_for(held, use).collect()} for use in (simhash.FIRST, simhash.SECOND, simhash.MEMBER)}
+    assert got == {1: {node[0]}, 2: {node[1]}, 4: {node[1], node[2]}}
+
+
+def test_few_dirty_ids_do_not_shuffle_the_texts(spark):
+    """The ids that share a window with an item are a small table to Spark, whatever the scanned texts measure."""
+    passage = " ".join(f"p{x}" for x in range(12))
+    rows = [(d, t) for d, t in altered(7)[:400]] + [(9999, passage), (None, passage)]
+    docs, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, passage)], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+    try:
+        out = winnow.clean(docs, items)
+        assert re.search("BroadcastHashJoin.*LeftAnti", plan_of(out))
+        assert {r["doc_id"] for r in out.collect()} == {d for d, _ in rows} - {9999, None}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
