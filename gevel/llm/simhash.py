@@ -27,13 +27,15 @@ WIDTH = 64
 AT_ONCE, SPLIT = 50_000, 2048
 #: share of pairs of just the wanted similarity that may have no part of their prints in common
 LOST = 5e-5
+#: links that a task holds before it puts stars in place of those of a crowd
+LINKS = 1 << 20
 #: more rows linked in one group are a crowd, whose rows are compared in blocks of whole shingle sets instead of pair by pair
 SMALL = 8
 #: rows and bytes of sets of a block, and how members are counted in it
 BLOCK, BLOCK_BYTES, FEW, SLICE = 1024, 16 << 20, 24, 4096
 #: the first prints go with each signature and tell unlike pairs
 SKETCH = ("sketch_1", "sketch_2")
-#: as many bits, in rows of 2^15, say ahead of the shuffle whose texts are asked for
+#: as many bits, in rows of 2^9 words of 64, say ahead of the shuffle whose texts are asked for
 ASKED_BITS = 25
 #: what the set of a node is asked for: first or second of a pair, member of a crowd
 FIRST, SECOND, MEMBER = 1, 2, 4
@@ -327,6 +329,14 @@ def _differ(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     return sum(_apart(p, q) for p, q in zip(x, y, strict=True))
 
 
+def _hung_together(a: np.ndarray, b: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Stars (leaf, middle) of the links, and for each of ``count`` rows the middle and whether more than ``SMALL`` hang together."""
+    leaf, top = forest(a, b)
+    label = np.arange(count)
+    label[leaf] = top
+    return leaf, top, label, np.bincount(label, minlength=count)[label] > SMALL
+
+
 def _plausible(limit: int):
     """Links to look at among rows of equal, neighbouring groups, for ``_met``.
 
@@ -335,23 +345,27 @@ def _plausible(limit: int):
     """
 
     def find(group, side, node, *sketch):
-        i, j, lag = [], [], 1
+        i, j, lag, held = [], [], 1, 0
         at = np.flatnonzero(group[:-1] == group[1:])
         while len(at):
             here = at[(side[at] != side[at + lag]) | (side[at] == 2)]
             here = here[_differ([s[here] for s in sketch], [s[here + lag] for s in sketch]) <= limit]
             i.append(here)
             j.append(here + lag)
+            held += len(here)
+            if held > LINKS:
+                a, b = np.concatenate(i), np.concatenate(j)
+                leaf, top, _, crowded = _hung_together(a, b, len(node))
+                few, star = ~crowded[a], crowded[leaf]
+                i, j = [a[few], leaf[star]], [b[few], top[star]]
+                held = sum(map(len, i))
             lag += 1
             at = at[at + lag < len(group)]
             at = at[group[at] == group[at + lag]]
         if not i:
             return node[:0], node[:0]
         i, j = np.concatenate(i), np.concatenate(j)
-        leaf, top = forest(i, j)
-        label = np.arange(len(node))
-        label[leaf] = top
-        crowded = np.bincount(label, minlength=len(node))[label] > SMALL
+        label, crowded = _hung_together(i, j, len(node))[2:]
         hub = node.copy()
         np.minimum.at(hub, label, node)
         member = np.flatnonzero(crowded & (node > hub[label]))
@@ -481,11 +495,16 @@ def _maybe_in(rows: DataFrame, asked: DataFrame) -> DataFrame:
 
     The bits take 4 MB however many nodes are asked for; the join that follows is exact.
     """
-    place, row = F.col("node").bitwiseAND(F.lit((1 << 15) - 1)), F.shiftright(F.col("node").bitwiseAND(F.lit((1 << ASKED_BITS) - 1)), 15)
-    bits = asked.select(row.alias("__gevel_row"), place.alias("place")).groupBy("__gevel_row").agg(F.bitmap_construct_agg("place").alias("__gevel_bits"))
-    byte = F.conv(F.hex(F.substring("__gevel_bits", F.shiftright(place, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    here = F.call_function("shiftright", byte, place.bitwiseAND(F.lit(7)).cast("int")).bitwiseAND(F.lit(1)) == 1
-    return rows.withColumn("__gevel_row", row).join(F.broadcast(bits), "__gevel_row").where(here).select(*rows.columns)
+    place = F.col("node").bitwiseAND(F.lit((1 << ASKED_BITS) - 1))
+    word, row = F.shiftright(place, 6), F.shiftright(place, 15)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("node").bitwiseAND(F.lit(63)).cast("int"))
+    every = rows.sparkSession.range(1 << (ASKED_BITS - 6)).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = every.union(asked.select(word, bit)).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    # whole rows of words: a list is looked into where it lies, one row of a join for each word would take far more memory
+    words = words.groupBy(F.shiftright("word", 9).alias("__gevel_row")).agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("words"))
+    words = words.select("__gevel_row", F.transform("words", lambda w: w["bits"]).alias("__gevel_words"))
+    here = F.get("__gevel_words", word.bitwiseAND(F.lit(511)).cast("int")).bitwiseAND(bit) != 0
+    return rows.withColumn("__gevel_row", row).join(F.broadcast(words), "__gevel_row").where(here).select(*rows.columns)
 
 
 def _held_sets(kept: DataFrame, asked: DataFrame, words: int) -> DataFrame:

@@ -393,6 +393,21 @@ def test_a_hub_names_itself_once(spark, monkeypatch):
     assert seen[0] and len(seen[0]) == len(set(seen[0]))
 
 
+def test_links_of_a_crowd_are_held_as_stars(monkeypatch):
+    """However few links a task may hold, the same pairs and the same hubs come out."""
+    rng = np.random.default_rng(12)
+    centre, n = rng.integers(0, 2**63, (90, 2)), 900
+    pick = np.where(np.arange(n) < 700, rng.integers(0, 4, n), rng.integers(4, 90, n))
+    sketch = [centre[pick, k] ^ (1 << rng.integers(0, 62, n)) for k in range(2)]
+    found = {}
+    for held in (10**9, 3000):
+        monkeypatch.setattr(simhash, "LINKS", held)
+        pairs = zip(*(x.tolist() for x in simhash._plausible(20)(np.zeros(n, int), np.full(n, 2), np.arange(n), *sketch)), strict=True)
+        found[held] = sorted(pairs)
+    a, b = np.array(found[3000]).T
+    assert found[10**9] == found[3000] and (a > b).sum() > 600 and (a < b).sum() > 50
+
+
 @pytest.mark.parametrize("bits", [15, 17, 25])
 def test_bits_ahead_of_the_shuffle_lose_no_text(spark, monkeypatch, bits):
     monkeypatch.setattr(simhash, "ASKED_BITS", bits)
