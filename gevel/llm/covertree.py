@@ -4,11 +4,13 @@ Vectors are dealt to the nearest of a few pivots and into blocks of bounded size
 tree whose nodes hold a centre and a covering radius. A pair of nodes is left out when no product
 between their balls can reach the worst kth score of the node's queries. A first search in a block
 nearby sets these scores; all other blocks are then searched unless the bound of their pivot rules
-them out.
+them out. For that, blocks of data lie on shelves: a task builds the trees of one shelf, and blocks of
+queries pass by, one in memory at a time.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,9 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gevel.functions.rows import by_merge, spread
 from gevel.session import cut_lineage
 
 FAN, SLACK = 12, 1e-6
+SHELF_BYTES = 1 << 26  # of the points of a shelf, as doubles
+DEAL = 64  # blocks of queries that pass by a shelf in one task, on average
 HIT = "query_id long, vec_id long, score long"
 
 
@@ -116,7 +121,12 @@ def search(queries: Tree, data: Tree, best: Best) -> None:
         stack.extend(pairs[i] for i in np.argsort(reach))
 
 
-def _tree_blocks(rows: DataFrame, name: str, count: Column) -> DataFrame:
+def _number(most: float) -> str:
+    """The shortest type that holds the numbers."""
+    return "<i1" if most < 2**7 else "<i2" if most < 2**15 else "<i4"
+
+
+def _tree_blocks(rows: DataFrame, name: str, count: Column, number: str) -> DataFrame:
     """Rows (name, centre, part, ids, points): one for each block of at most some rows of a pivot."""
     dealt = rows.withColumn("part", F.pmod(F.xxhash64("vec_id"), count).cast("int"))
 
@@ -124,16 +134,23 @@ def _tree_blocks(rows: DataFrame, name: str, count: Column) -> DataFrame:
         order = np.argsort(np.asarray(table.column("vec_id")), kind="stable")
         table = table.take(pa.array(order)).combine_chunks()
         ids = np.asarray(table.column("vec_id")).astype("<i8")
-        points = np.asarray(table.column("vector").combine_chunks().flatten()).astype("<i4")
+        points = np.asarray(table.column("vector").combine_chunks().flatten()).astype(number)
         where = [[table.column("centre")[0].as_py()], [table.column("part")[0].as_py()]]
         return pa.Table.from_arrays([pa.array(where[0], pa.int32()), pa.array(where[1], pa.int32()), pa.array([ids.tobytes()], pa.binary()), pa.array([points.tobytes()], pa.binary())], ["centre", "part", f"{name}_ids", f"{name}_points"])
 
     return dealt.groupBy("centre", "part").applyInArrow(block, f"centre int, part int, {name}_ids binary, {name}_points binary")
 
 
-def _read(ids: bytes, points: bytes, leaf: int) -> Tree:
-    n = len(ids) // 8
-    return Tree(np.frombuffer(ids, "<i8"), np.frombuffer(points, "<i4").reshape(n, -1).astype(np.float64), leaf)
+def _read(ids: pa.Scalar, points: pa.Scalar, number: str, leaf: int) -> Tree:
+    ids = np.frombuffer(ids.as_buffer(), "<i8")
+    return Tree(ids, np.frombuffer(points.as_buffer(), number).reshape(len(ids), -1).astype(np.float64), leaf)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, pa.Scalar]]:
+    """The rows of batches; a block is not copied before it is read."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(name)[i] for name in batch.schema.names}
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = 32, sample: int = 1024, block: int = 4096, group: int = 512, leaf: tuple[int, int] = (64, 256)) -> DataFrame:
@@ -157,13 +174,20 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = 32, s
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     drawn = good.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()
     wide = lambda values: np.array([[*v, *[0] * (width - len(v))] for v in values], float).reshape(-1, width)
+
+    def matrix(vectors: pa.ListArray) -> np.ndarray:
+        sizes = vectors.value_lengths().to_numpy(zero_copy_only=False)
+        out = np.zeros((len(vectors), width))
+        out[np.arange(width) < sizes[:, None]] = vectors.flatten().to_numpy(zero_copy_only=False)
+        return out
+
     centres = _pivots(wide([r[0] for r in drawn]), pivots)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points = wide(batch.column("vector").to_pylist())
+            points = matrix(batch.column("vector"))
             gap = (points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)[None]
             mine = gap.argmin(1)
             far = np.sqrt(((points - centres[mine]) ** 2).sum(1))
@@ -179,57 +203,78 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, pivots: int = 32, s
     def count_of(counts: dict[int, int]) -> Column:
         return F.element_at(F.array(*(F.lit(counts.get(c, 1)) for c in range(len(centres)))), F.col("centre") + 1)
 
-    data = cut_lineage(_tree_blocks(placed, "data", count_of(parts)))
-    asked = _tree_blocks(placed.where("is_query"), "query", count_of(groups)).withColumnRenamed("part", "group")
-    near = asked.withColumn("part", F.pmod("group", count_of(parts)).cast("int")).join(data, ["centre", "part"], "left")
+    number = _number(most)
+    data = cut_lineage(_tree_blocks(placed, "data", count_of(parts), number))
+    asked = _tree_blocks(placed.where("is_query"), "query", count_of(groups), number).withColumnRenamed("part", "group")
+    near = asked.withColumn("part", F.pmod("group", count_of(parts)).cast("int")).join(by_merge(data), ["centre", "part"], "left")
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
-            queries = _read(row["query_ids"], row["query_points"], leaf[0])
+        for row in _rows(batches):
+            queries = _read(row["query_ids"], row["query_points"], number, leaf[0])
             best = Best(len(queries.ids), k)
-            if row["data_ids"] is not None:
-                search(queries, _read(row["data_ids"], row["data_points"], leaf[1]), best)
+            if row["data_ids"].is_valid:
+                search(queries, _read(row["data_ids"], row["data_points"], number, leaf[1]), best)
             floor = np.empty(len(queries.ids))
             floor[queries.order] = best.worst()
             yield pa.RecordBatch.from_pylist(
-                [{**{c: row[c] for c in ("centre", "part", "group", "query_ids", "query_points")}, "floor": floor.tobytes(), "hits": _hits(queries, best)}], schema=FIRST
+                [{**{c: row[c].as_py() for c in ("centre", "part", "group", "query_ids", "query_points")}, "floor": floor.tobytes(), "hits": _hits(queries, best)}], schema=FIRST
             )
 
     found = cut_lineage(near.mapInArrow(first, "centre int, part int, group int, query_ids binary, query_points binary, floor binary, hits array<struct<query_id: long, vec_id: long, score: long>>"))
+    # blocks in the order of pivots, so that those of a shelf lie near each other; a small table has a block on each shelf
+    before = {c: sum(n for other, n in parts.items() if other < c) for c in parts}
+    per = max(1, min(sum(parts.values()) // 32, SHELF_BYTES // (block * width * 8)))
+    deals = -(-sum(groups.values()) // DEAL)
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The query block once for each data block that its worst kth score does not rule out."""
-        for row in (r for b in batches for r in b.to_pylist()):
-            queries = _read(row["query_ids"], row["query_points"], leaf[0])
-            least = np.frombuffer(row["floor"], np.float64).min()
-            for c, number in parts.items():
+        """The query block once for each shelf with a data block that its worst kth score does not rule out."""
+        for row in _rows(batches):
+            queries = _read(row["query_ids"], row["query_points"], number, leaf[0])
+            floor = row["floor"].as_py()
+            least, shelves, own = np.frombuffer(floor, np.float64).min(), set(), before[row["centre"].as_py()] + row["part"].as_py()
+            for c, blocks in parts.items():
                 bound = queries.centre[0] @ centres[c] + queries.radius[0] * (np.sqrt((centres[c] ** 2).sum()) + far[c]) + far[c] * queries.length[0]
-                if bound + SLACK * (1 + abs(bound)) < least:
-                    continue
-                for part in range(number):
-                    if (c, part) != (row["centre"], row["part"]):
-                        yield pa.RecordBatch.from_pylist([{"centre": c, "part": part, **{x: row[x] for x in ("query_ids", "query_points", "floor")}}], schema=OTHERS)
-
-    visits = found.mapInArrow(others, "centre int, part int, query_ids binary, query_points binary, floor binary").repartition("centre", "part", F.xxhash64("query_ids"))
+                if bound + SLACK * (1 + abs(bound)) >= least:
+                    shelves.update(at // per for at in range(before[c], before[c] + blocks) if at != own)
+            deal = zlib.crc32(row["query_ids"].as_buffer()) % deals
+            for shelf in sorted(shelves):
+                visit = {"shelf": shelf, "deal": deal, "asks": True, "at": own, "ids": row["query_ids"].as_py(), "points": row["query_points"].as_py(), "floor": floor}
+                yield pa.RecordBatch.from_pylist([visit], schema=VISITS)
+
+    visits = found.select("centre", "part", "query_ids", "query_points", "floor").mapInArrow(others, VISIT)
+    at = (count_of(before) + F.col("part")).cast("int")
+    laid = data.select(
+        F.floor(at / per).cast("int").alias("shelf"), F.explode(F.sequence(F.lit(0), F.lit(deals - 1))).alias("deal"), F.lit(False).alias("asks"), at.alias("at"),
+        F.col("data_ids").alias("ids"), F.col("data_points").alias("points"), F.lit(None).cast("binary").alias("floor"),
+    )
+    met = spread(laid.unionByName(visits), "shelf", "deal").sortWithinPartitions("shelf", "deal", "asks")
 
     def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row in (r for b in batches for r in b.to_pylist()):
-            queries = _read(row["query_ids"], row["query_points"], leaf[0])
-            best = Best(len(queries.ids), k, np.frombuffer(row["floor"], np.float64)[queries.order])
-            search(queries, _read(row["data_ids"], row["data_points"], leaf[1]), best)
+        place, trees = None, []
+        for row in _rows(batches):
+            here = row["shelf"].as_py(), row["deal"].as_py()
+            if here != place:
+                place, trees = here, []
+            if not row["asks"].as_py():
+                trees.append((row["at"].as_py(), _read(row["ids"], row["points"], number, leaf[1])))
+                continue
+            queries = _read(row["ids"], row["points"], number, leaf[0])
+            best = Best(len(queries.ids), k, np.frombuffer(row["floor"].as_py(), np.float64)[queries.order])
+            for own, tree in sorted(trees, key=lambda t: -(queries.centre[0] @ t[1].centre[0])):
+                if own != row["at"].as_py():
+                    search(queries, tree, best)
             yield pa.RecordBatch.from_pylist(_hits(queries, best), schema=HITS)
 
-    rest = visits.join(data, ["centre", "part"]).mapInArrow(second, HIT)
+    rest = met.mapInArrow(second, HIT)
     every = found.select(F.inline("hits")).unionByName(rest)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 HITS = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
-_BLOCK = [("centre", pa.int32()), ("part", pa.int32())]
-_ASKED = [("query_ids", pa.binary()), ("query_points", pa.binary()), ("floor", pa.binary())]
-OTHERS = pa.schema([*_BLOCK, *_ASKED])
-FIRST = pa.schema([*_BLOCK, ("group", pa.int32()), *_ASKED, ("hits", pa.list_(pa.struct(HITS)))])
+FIRST = pa.schema([("centre", pa.int32()), ("part", pa.int32()), ("group", pa.int32()), ("query_ids", pa.binary()), ("query_points", pa.binary()), ("floor", pa.binary()), ("hits", pa.list_(pa.struct(HITS)))])
+VISIT = "shelf int, deal int, asks boolean, at int, ids binary, points binary, floor binary"
+VISITS = pa.schema([("shelf", pa.int32()), ("deal", pa.int32()), ("asks", pa.bool_()), ("at", pa.int32()), ("ids", pa.binary()), ("points", pa.binary()), ("floor", pa.binary())])
 
 
 def _hits(queries: Tree, best: Best) -> list[dict]:
