@@ -18,6 +18,7 @@ from gevel.functions import geometry as G
 from gevel.functions.text import feature_stem
 from gevel.operators.documents import city_objects
 from gevel.operators.quality import REPORT_SCHEMA, obj_ids
+from gevel.session import cut_lineage
 
 # The archive check travels with its task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -81,6 +82,26 @@ def _documents(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return r.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
 
 
+MARK = "\ufeff"  # at the beginning of a file; Spark's reader of lines leaves it out
+
+
+def _lines(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Every line of the files with its place and the length of its file; a large file is read by several tasks."""
+    r = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", glob).option("lineSep", "\n")
+    return r.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("n"), F.col("value").alias("line"),
+    )
+
+
+def _joined(lines: DataFrame) -> DataFrame:
+    """Whole files from their lines, with the mark at their beginning and the line feed at their end where there was one."""
+    whole = lines.groupBy("path").agg(F.first("size").alias("_size"), F.array_sort(F.collect_list(F.struct("start", "n", "line")))["line"].alias("_lines"))
+    text = F.array_join("_lines", "\n")
+    left = F.col("_size") - F.octet_length(text)
+    return whole.select("path", F.concat(F.when(left >= 3, MARK).otherwise(""), text, F.when(left % 3 == 1, "\n").otherwise("")).alias("doc"))
+
+
 def read_geojson(spark: SparkSession, path: str, id: str, links: Sequence[str] = ()) -> DataFrame:
     return parse_geojson(_documents(spark, path), "doc", id, links)
 
@@ -95,11 +116,16 @@ def read_features(spark: SparkSession, path: str) -> DataFrame:
     The id is that of the document's building, its smallest object name; a document without objects is
     named after its file.
     """
-    files = _documents(spark, path, "*.{city.jsonl,txt}")
-    lines = F.filter(F.split("doc", "\n"), lambda x: F.trim(x) != "")
-    # a document over several lines has lines that are no objects
-    many = F.forall(lines, lambda x: x.rlike(r"^\s*\{.*\}\s*$"))
-    docs = files.select("path", F.explode(F.when(many, lines).otherwise(F.array("doc"))).alias("doc"))
+    files = _lines(spark, path, "*.{city.jsonl,txt}")
+    # a document over several lines has lines that are no objects; only such a file is put together in memory
+    stands = F.col("line").rlike(r"^\s*\{.*\}\s*$") | (F.trim("line") == "")
+    sums = files.groupBy("path").agg(F.max(~stands).alias("_broken"), F.sum(F.octet_length("line") + 1).alias("_length"), F.first("size").alias("_size"))
+    broken = cut_lineage(sums.filter("_broken OR _length < _size").select("path"))
+    lines = files.filter(F.trim("line") != "").select("path", F.col("line").alias("doc"))
+    if broken.isEmpty():
+        docs = lines
+    else:
+        docs = lines.join(broken, "path", "left_anti").unionByName(_joined(files.join(broken, "path", "left_semi")))
     names = F.json_object_keys(F.get_json_object("doc", "$.CityObjects"))
     return docs.withColumn("id", F.coalesce(F.array_min(names), feature_stem("path")))
 
