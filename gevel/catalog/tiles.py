@@ -12,14 +12,13 @@ from gevel.catalog import adapters as A
 from gevel.catalog.spatial import ORDER_BOXES, order_boxes
 from gevel.functions import geometry as G
 from gevel.functions import text as TX
-from gevel.functions.rows import spread
 from gevel.operators import lineage as L
 from gevel.operators import points as PT
 from gevel.operators import documents as D
 from gevel.operators import quality as Q
 from gevel.operators import tiling as TI
 from gevel.operators import webservice as W
-from gevel.session import shared_dir
+from gevel.session import cut_lineage, shared_dir
 from gevel.sources import files as SF
 
 GRID = TI.Grid(0.0, 0.0, 200.0, 12, 12)
@@ -320,9 +319,10 @@ def validate_tiles(spark, sf):
     archives = each.filter("format <> 'obj' OR s_acctbal > 0").select("tile_id", "format", (F.col("s_acctbal") < 9000).alias("zip_ok"))
     # a file for each tile and format, and the hashes of these files
     path = f"{shared_dir(spark).rstrip('/')}/gevel-tiles-{uuid.uuid4().hex}"
-    spread(each.select("format", "tile_id", "s_name"), "format", "tile_id").write.option(*sinks.TASKS_COMMIT).partitionBy("format", "tile_id").text(path)
-    tile = lambda c: F.regexp_extract("path", f"{c}=([^/]+)/", 1).alias(c)
-    hashes = SF.read_file_hashes(spark, path, "part-*").select(tile("tile_id"), tile("format"), "sha256")
+    sinks.write_texts(each, path, ["format", "tile_id"], "s_name")
+    tile = lambda c: F.regexp_extract("path", rf"{c}=([^/]+?)(?:/|\.txt$)", 1).alias(c)
+    # read once, not again for each format
+    hashes = cut_lineage(SF.read_file_hashes(spark, path, "*.txt").select(tile("tile_id"), tile("format"), "sha256"))
     # one building per tile, with a part of two levels unless the key is a multiple of three
     doc = F.expr(
         "concat('{\"CityObjects\":{\"B', s_suppkey, '\":{\"type\":\"Building\",\"geometry\":[{\"lod\":\"0\"}]}', CASE WHEN s_suppkey % 3 > 0 THEN "

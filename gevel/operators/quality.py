@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gevel.functions import geometry as G
+from gevel.functions.rows import by_merge
 from gevel.functions.text import bracket_list, download_link, file_id
 
 HEAD_WIDTH = 23
@@ -191,7 +192,7 @@ def summarise_reports(features: DataFrame, attributes: DataFrame | None = None)
             "tile_id", "id", F.lit(True).alias("_known"),
             *[F.array_sort(F.array_distinct(bracket_list(lod))).alias(f"_at_{lod}") for lod in PRIMITIVE_AT],
         )
-        f = f.join(known, ["tile_id", "id"], "left")
+        f = f.join(by_merge(known), ["tile_id", "id"], "left")
     aggs = [F.sum((F.col("validity") == F.lit(False)).cast("int")).alias("nr_invalid_building")]
     aggs += [F.sum(f"_bad_{lod}").alias(f"nr_invalid_buildingpart_{lod}") for lod in PRIMITIVE_AT]
     aggs += [

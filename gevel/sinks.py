@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -11,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gevel.functions import geometry as G
+from gevel.functions.rows import spread
 from gevel.operators.quality import assert_references, profile
 from gevel.operators.tiling import cluster_by_location
 from gevel.session import cut_lineage
@@ -95,6 +100,64 @@ def write_features(docs: DataFrame, path: str, tile: str = "tile_id", doc: str =
     dealt.write.mode("overwrite").partitionBy(tile).text(path)
 
 
+def mounted(spark: SparkSession, path: str) -> str | None:
+    """The path as the operating system knows it, if it lies on a file system that tasks have mounted."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        scheme, rest = str(spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file").partition(":")[0], path
+    elif scheme == "file":
+        rest = unquote(rest)
+    return re.sub("^/+", "/", rest) if scheme == "file" and rest.startswith("/") else None
+
+
+def _folder(key: str, value: str | None) -> str:
+    """The name that Spark gives a partition's folder."""
+    if not value:
+        return f"{key}=__HIVE_DEFAULT_PARTITION__"
+    return f"{key}=" + re.sub(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""", lambda m: f"%{ord(m[0]):02X}", value)
+
+
+def write_texts(df: DataFrame, path: str, keys: Sequence[str], text: str) -> None:
+    """A text file for each value of ``keys``, for very many small files; names are those of ``partitionBy``, values are text.
+
+    All tasks write. On a mounted file system they do so without Hadoop's client, which starts programs to set the
+    rights of each file, and the last key names the file, ``tile_id=7.txt``, as a folder for each file takes long to list;
+    a file appears under its name when it is whole, and a task that is repeated replaces it.
+    """
+    spark = df.sparkSession
+    rows = spread(df.select(*keys, text), *keys)
+    root = mounted(spark, path)
+    if root is None:
+        rows.write.option(*TASKS_COMMIT).partitionBy(*keys).text(path)
+        return
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made, here, file, name, run = 0, None, None, "", uuid.uuid4().hex
+
+        def close() -> int:
+            if file is None:
+                return 0
+            file.close()
+            os.replace(file.name, name)
+            return 1
+
+        for batch in batches:
+            lists = [c.to_pylist() for c in batch.columns]
+            for *place, line in zip(*lists, strict=True):
+                if place != here:
+                    made += close()
+                    here, name = place, "/".join([root, *(_folder(k, v) for k, v in zip(keys, place, strict=True))]) + ".txt"
+                    folder = os.path.dirname(name)
+                    os.makedirs(folder, exist_ok=True)
+                    file = open(f"{folder}/.{run}", "wb")
+                file.write((line or "").encode() + b"\n")
+        made += close()
+        yield pa.RecordBatch.from_arrays([pa.array([made])], ["files"])
+
+    os.makedirs(root)
+    rows.sortWithinPartitions(*keys).mapInArrow(put, "files long").agg(F.sum("files")).collect()
+
+
 def write_clustered(df: DataFrame, path: str, files: int = 64, cell: float = 50.0, file_rows: int = 1_000_000) -> None:
     """Rows with box columns in Morton order, in about ``files`` files, and the box of each file; ``read_box`` reads them.
 

@@ -141,7 +141,9 @@ def read_file_hashes(spark: SparkSession, path: str, glob: str | None = None) ->
     """Path and SHA-256 of all files below a folder."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     r = r.option("pathGlobFilter", glob) if glob else r
-    return r.load(path).select("path", F.sha2("content", 256).alias("sha256"))
+    # a scan of very many small files is laid out as a task for every few of them
+    tasks = 8 * max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return r.load(path).select("path", F.sha2("content", 256).alias("sha256")).coalesce(tasks)
 
 
 # Directory layouts of the building documents.
