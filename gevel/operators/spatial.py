@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 from gevel.functions import geometry as G
 from gevel.functions import kernels as K
-from gevel.functions.rows import by_merge, settle
+from gevel.functions.rows import by_merge, settle, spread
 from gevel.session import cut_lineage
 
 BASE = 4.0
 LEVELS = 22  # the coarsest cells are then wider than any country
 STEP_BITS = 2  # each level's cells are four times as wide as the one before
+PIECE_ROWS = 2048  # shapes of one piece that a task compares with all others there
 CLASS_BITS = 5  # footprints of one class of sizes differ by up to 32 times
 
 
@@ -100,8 +101,8 @@ def candidates(
     r = _on_grid(right, right_box, "_rk", left_levels, base, bits)
     keys = ["_k", "_cx", "_cy", *on]
     if salt > 1:
-        spread = F.pmod(F.xxhash64(*[c for c in left.columns if c not in on]), F.lit(salt)).cast("int")
-        l = l.withColumn("_salt", spread)
+        dealt = F.pmod(F.xxhash64(*[c for c in left.columns if c not in on]), F.lit(salt)).cast("int")
+        l = l.withColumn("_salt", dealt)
         r = r.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys.append("_salt")
     lx0, ly0, lx1, ly1 = (F.col(c) for c in left_box)
@@ -253,33 +254,46 @@ def overlap_area(
     keeps only that neighbour. Cells that the outlines of more than ``crowd`` shapes meet are split
     further, see ``crowded_cells``. A shape meets itself when it has copies.
     """
-    levels = _levels_of(df, G.BOX, tile)
-    shapes = distinct_shapes(df, id, on)
-    # cells as wide as a tile: a shape with its rings is then sent to few of them
-    pairs = candidates(shapes, _as_other(shapes, on), on=on, base=float(tile), left_levels=levels, right_levels=levels)
+    shapes = distinct_shapes(df, id, on).filter(F.col("x0").isNotNull())
+    size, piece = F.lit(float(tile)), [*on, "_i", "_j", "_d"]
+    cells = crowded_cells(shapes, tile, on, crowd)
+    fx0, fy0, fs = F.col("_fx"), F.col("_fy"), F.col("_fs")
+    x0, y0, x1, y1 = (F.col(c) for c in G.BOX)
+    placed = (
+        shapes.withColumn("_tx", F.explode(_range(_cell(x0, size), _cell(x1, size))))
+        .withColumn("_ty", F.explode(_range(_cell(y0, size), _cell(y1, size))))
+    )
+    if cells is None:
+        placed = placed.withColumns({"_fx": F.col("_tx") * size, "_fy": F.col("_ty") * size, "_fs": size, "_split": F.lit(False)})
+    else:
+        placed = placed.join(by_merge(cells), [*on, "_tx", "_ty"], "left").withColumn("_split", fs.isNotNull())
+        placed = placed.filter(~F.col("_split") | ((fx0 <= x1) & (fy0 <= y1) & (fx0 + fs >= x0) & (fy0 + fs >= y0)))
+        placed = placed.withColumns({"_fx": F.coalesce("_fx", F.col("_tx") * size), "_fy": F.coalesce("_fy", F.col("_ty") * size), "_fs": F.coalesce("_fs", size)})
+    # whole numbers as keys: Spark rewrites keys that are doubles, and would then shuffle the pairs again
+    placed = placed.withColumns({"_i": F.rint(fx0 / fs).cast("long"), "_j": F.rint(fy0 / fs).cast("long"), "_d": F.rint(F.log2(size / fs)).cast("int")})
+    placed = cut_lineage(placed.drop("_tx", "_ty"))
+    # a piece with very many shapes is shared among tasks
+    full = cut_lineage(placed.groupBy(*piece).count().filter(F.col("count") > PIECE_ROWS))
+    if full.isEmpty():
+        placed = placed.withColumn("_tasks", F.lit(1))
+    else:
+        placed = placed.join(by_merge(full), piece, "left").withColumn("_tasks", F.ceil(F.coalesce("count", F.lit(1)) / PIECE_ROWS).cast("int")).drop("count")
+    l = placed.withColumn("_task", F.pmod(F.xxhash64("shape"), F.col("_tasks")).cast("int")).drop("_tasks")
+    r = _as_other(placed.withColumn("_task", F.explode(F.sequence(F.lit(0), F.col("_tasks") - 1))), [*piece, "_task"])
+    gx0, gy0 = F.greatest("x0", "rx0"), F.greatest("y0", "ry0")
+    gx1, gy1 = F.least("x1", "rx1"), F.least("y1", "ry1")
+    meet = (gx0 <= gx1) & (gy0 <= gy1) & (~F.col("_split") | ((fx0 <= gx1) & (fy0 <= gy1) & (fx0 + fs >= gx0) & (fy0 + fs >= gy0)))
+    # shapes meet in their pieces, so that pairs stay in the task where they are found
     own = F.col("shape") == F.col("rshape")
-    pairs = _met(pairs)
+    l, r = (spread(side, *piece, "_task") for side in (l, r))
+    pieces = l.join(by_merge(r), [*piece, "_task"]).filter(meet)
+    # boxes that meet need no exact test, and without one rows are grouped where they are, with no shuffle of pairs
+    pieces = pieces.withColumn("_met", F.lit(True)) if placed.filter(~F.col("plain")).isEmpty() else _met(pieces)
     # a shape meets itself wherever it meets another, so that row alone carries its rings
-    pairs = pairs.filter(F.col("_met") | own).withColumns({
+    pieces = pieces.filter(F.col("_met") | own).withColumns({
         "rrings": F.when(~own | (F.col("_met") & (F.col("copies") + F.col("rcopies") > 2)), F.col("rrings")),
         "rings": F.when(own, F.col("rings")),
     }).drop("_met")
-    size = F.lit(float(tile))
-    gx0, gy0 = F.greatest("x0", "rx0"), F.greatest("y0", "ry0")
-    gx1, gy1 = F.least("x1", "rx1"), F.least("y1", "ry1")
-    pieces = (
-        pairs.withColumn("_tx", F.explode(_range(_cell(gx0, size), _cell(gx1, size))))
-        .withColumn("_ty", F.explode(_range(_cell(gy0, size), _cell(gy1, size))))
-    )
-    cells = crowded_cells(shapes, tile, on, crowd)
-    if cells is None:
-        pieces = pieces.withColumns({"_fx": F.col("_tx") * size, "_fy": F.col("_ty") * size, "_fs": size, "_split": F.lit(False)})
-    else:
-        pieces = pieces.join(by_merge(cells), [*on, "_tx", "_ty"], "left").withColumn("_split", F.col("_fs").isNotNull())
-        met = (F.col("_fx") <= gx1) & (F.col("_fy") <= gy1) & (F.col("_fx") + F.col("_fs") >= gx0) & (F.col("_fy") + F.col("_fs") >= gy0)
-        pieces = pieces.filter(~F.col("_split") | met)
-        pieces = pieces.withColumns({"_fx": F.coalesce("_fx", F.col("_tx") * size), "_fy": F.coalesce("_fy", F.col("_ty") * size), "_fs": F.coalesce("_fs", size)})
-    fx0, fy0, fs = F.col("_fx"), F.col("_fy"), F.col("_fs")
     px0, py0 = F.greatest("x0", fx0), F.greatest("y0", fy0)
     px1, py1 = F.least("x1", fx0 + fs), F.least("y1", fy0 + fs)
     covers = own | (
@@ -288,8 +302,9 @@ def overlap_area(
     )
     if cells is not None:
         # in a split place the others are told apart exactly: all of the piece, none of it, or a part
-        pieces = settle(pieces, *pieces.columns, (F.col("_split") & ~G.outline_meets("rrings", px0, py0, px1, py1)).alias("_clear"))
-        pieces = settle(pieces, *pieces.columns, (F.col("_clear") & G.point_in("rrings", (px0 + px1) / 2, (py0 + py1) / 2, boundary=True)).alias("_all"))
+        once = lambda value, name: pieces.select("*", F.inline(F.array(F.struct(value.alias(name)))))
+        pieces = once(F.col("_split") & ~G.outline_meets("rrings", px0, py0, px1, py1), "_clear")
+        pieces = once(F.col("_clear") & G.point_in("rrings", (px0 + px1) / 2, (py0 + py1) / 2, boundary=True), "_all")
         pieces = pieces.filter(own | F.col("rrings").isNull() | ~F.col("_clear") | F.col("_all"))
         covers = covers | F.coalesce("_all", F.lit(False))
     alone = (fx0 <= F.col("x0")) & (fy0 <= F.col("y0")) & (fx0 + fs >= F.col("x1")) & (fy0 + fs >= F.col("y1"))
@@ -298,7 +313,7 @@ def overlap_area(
         pieces.withColumn("_full", F.when(covers, F.col("rrings")))
         .withColumn("_part", F.when(~covers, F.col("rrings")))
         .withColumn("_frame", frame)
-        .groupBy(*on, "shape", "_fx", "_fy", "_fs")
+        .groupBy(*piece, "_task", "shape")
         .agg(
             F.first("rings", ignorenulls=True).alias("_p"),
             F.first("_frame").alias("_frame"),
